@@ -42,15 +42,15 @@ def cohort_base(rentals: DataFrame, members: DataFrame, offsets: DataFrame, bask
         "member_id", "membership_type", "membership_start_dt", "youngest_child_dob", "number_of_children",
         "expecting_at_sign_up", "is_shared_offer").join(firsts, "member_id")
     rows = expand_months(items, "delivery_date", "pick_up_date", first, as_of)
-    rows = flag_first(rows, ["member_id", "month"], ["sku", "line_item_id"], "_first").join(about, "member_id")
+    rows = flag_first(rows, ["member_id", "month"], ["sku", "line_item_id"], "_once").join(about, "member_id")
     # Offsets valid at the start of a month: start < month <= end.
     valid = expand_months(
         offsets.withColumn("_from", F.add_months(F.trunc("start_date", "month"), 1)), "_from", "end_date", first, as_of)
     valid = valid.filter("start_date < month and end_date >= month").groupBy("member_id", "month").agg(F.sum("discount_mrr_offset").alias("_offset"))
     rows = rows.join(valid, ["member_id", "month"], "left").join(
         baskets.filter("member_id is not null").select("member_id", "basket_bin", "basket_ct", "basket_dollars", "has_flagship"), "member_id", "left")
-    plan = F.when(F.col("_first"), plan_mrr()).otherwise(0.0).cast(RATE)
-    off = F.when(F.col("_first"), F.coalesce("_offset", F.lit(0))).otherwise(0).cast(RATE)
+    plan = F.when(F.col("_once"), plan_mrr()).otherwise(0.0).cast(RATE)
+    off = F.when(F.col("_once"), F.coalesce("_offset", F.lit(0))).otherwise(0).cast(RATE)
     gross = (F.col("item_mrr") + F.col("membership_mrr")).cast(RATE)
     return (
         rows.withColumns({"membership_mrr": plan, "discount_offset": off}).withColumn("gross_mrr", gross)
@@ -250,7 +250,7 @@ def mrr_pivot(monthly: DataFrame, months: Mapping[str, str]) -> DataFrame:
     months maps a column suffix to a month's first day.
     """
     aggs = [
-        F.avg("total_mrr").alias("member_monthly_avg_mrr"), F.avg("item_mrr").cast("double").alias("member_monthly_avg_item_mrr"),
+        F.avg("total_mrr").alias("member_monthly_avg_mrr"), F.avg(F.col("item_mrr").cast("double")).alias("member_monthly_avg_item_mrr"),
         F.sum("total_mrr").alias("member_monthly_sum_mrr"), F.sum("item_mrr").cast(MONEY).alias("member_monthly_sum_item_mrr")]
     for name, first in months.items():
         hit = F.col("month") == day(first)

@@ -160,7 +160,7 @@ def session_attributes(events: DataFrame, dev_site: str = "%-dev.%") -> DataFram
     firsts = [first_value(f"context_campaign_{c}", "timestamp", "id").alias(f"session_campaign_{c}") for c in CAMPAIGN]
     has = lambda p: F.coalesce(F.max(F.when(F.col("url").ilike(p), 1)), F.lit(0))
     return events.groupBy("session_id").agg(
-        *firsts,
+        F.min("master_user_id").alias("master_user_id"), *firsts,
         F.min_by("referrer", order).alias("session_referrer"),
         has("%gclid%").alias("session_has_gclid"),
         first_value(url_parameter("url", "gclid"), "timestamp", "id").alias("session_gcl_id"),
@@ -184,49 +184,45 @@ def enrich_sessions(sessioned: DataFrame, idmap: DataFrame, members: DataFrame,
     country, city.  Lookups are reduced to one row per key, so the fact keeps
     the grain of the events.
     """
-    # Member: by store account first, then by the resolved actor itself.
-    starts = members.select("member_id", "membership_start_dt")
-    by_store = ids_of(idmap, STORE, "master_user_id", "_mapped").join(
-        starts.withColumnRenamed("member_id", "_mapped"), "_mapped"
-    ).select("master_user_id", F.col("_mapped").alias("_m1"), F.col("membership_start_dt").alias("_s1"))
-    direct = starts.select(F.col("member_id").alias("master_user_id"), F.col("member_id").alias("_m2"),
-                           F.col("membership_start_dt").alias("_s2"))
-    ev = lookup(lookup(sessioned, by_store, "master_user_id"), direct, "master_user_id")
-    start = F.coalesce("_s1", "_s2").cast("date")
-    ev = (
-        ev.withColumn("member_id", F.coalesce("_m1", "_m2"))
-        .withColumn("membership_state", F.when(
-            F.col("timestamp").cast("date") > F.date_add(start, 1), "existing").otherwise("new"))
-        .drop("_m1", "_m2", "_s1", "_s2")
-        .withColumn("is_client_trackable", ~F.col("anonymous_id").ilike(untracked))
-        .withColumn("product_name", page_handle("url"))
-        .withColumn("device_type", device_class("context_user_agent"))
-    )
-    ev = flag_internal(ev, exclusions, email_patterns)
-
-    # Session attributes, ad campaign of the click id, channel: session grain.
+    # Ad campaign of a click id.
     by_click = first_rows(clicks.select("gcl_id", "campaign_id"), "gcl_id", ["campaign_id"])
-    ads = campaigns.filter(F.col("channel_id").isin("adwords_search", "adwords_display")).select(
-        F.col("src_campaign_id").alias("_src"), F.col("campaign_id").alias("ad_campaign_id"),
+    paid = campaigns.filter(F.col("channel_id").isin("adwords_search", "adwords_display")).select(
+        F.col("src_campaign_id").alias("campaign_id"), F.col("campaign_id").alias("ad_campaign_id"),
         F.col("channel_id").alias("ad_channel_id"))
-    by_click = by_click.withColumnRenamed("campaign_id", "_src").join(
-        first_rows(ads, "_src", ["ad_campaign_id"]), "_src").select(
+    by_click = by_click.join(first_rows(paid, "campaign_id", ["ad_campaign_id"]), "campaign_id").select(
         F.col("gcl_id").alias("session_gcl_id"), "ad_campaign_id", "ad_channel_id")
+
+    # Sessions and visitors are aggregated from the events as they come in;
+    # the other lookups run once, on the way to the result.
     sessions = classify_channel(
-        lookup(session_attributes(ev, dev_site), by_click, "session_gcl_id"),
+        lookup(session_attributes(sessioned, dev_site), by_click, "session_gcl_id"),
         sponsored, f"%{own_site}%").filter("is_dev_session = 0")
-
-    # Visitor attributes: first visit and device over events, touches over sessions.
     flags = module_flags(modules or {}, f"https://{own_site}/")
-    visitors = ev.groupBy("master_user_id").agg(
+    visitors = sessioned.groupBy("master_user_id").agg(
         F.min("timestamp").alias("user_first_visit_ts"),
-        first_value("device_type", "timestamp", "id").alias("session_device_type"), *flags)
-    owners = ev.groupBy("session_id").agg(F.min("master_user_id").alias("master_user_id"))
+        first_value(device_class("context_user_agent"), "timestamp", "id").alias("session_device_type"), *flags)
     touched = [f"session_{c}" for c in ("channel_id", *[f"campaign_{c}" for c in CAMPAIGN])]
-    touches = touch_attributes(sessions.join(owners, "session_id"), "master_user_id",
-                               "session_start_ts", "session_id", touched)
-    out = ev.join(sessions, "session_id")
-    out = lookup(lookup(out, visitors, "master_user_id"), touches, "master_user_id")
+    touches = touch_attributes(sessions, "master_user_id", "session_start_ts", "session_id", touched)
+    visitors = visitors.join(touches, "master_user_id", "left")
+
+    # Member: by store account first, then by the resolved actor itself.
+    starts = members.select("member_id", "membership_start_dt")
+    by_store = ids_of(idmap, STORE, "master_user_id", "_mapped").join(
+        starts.withColumnRenamed("member_id", "_mapped"), "_mapped"
+    ).select("master_user_id", F.col("_mapped").alias("member_id"), "membership_start_dt", F.lit(1).alias("_rank"))
+    direct = starts.select(F.col("member_id").alias("master_user_id"), "member_id", "membership_start_dt", F.lit(2).alias("_rank"))
+    known = first_rows(by_store.unionByName(direct), "master_user_id", ["_rank"]).drop("_rank")
+    visitors = visitors.join(known, "master_user_id", "left")
+
+    out = lookup(sessioned.join(sessions.drop("master_user_id"), "session_id"), visitors, "master_user_id")
+    existing = F.col("timestamp").cast("date") > F.date_add(F.col("membership_start_dt").cast("date"), 1)
+    out = (
+        out.withColumn("membership_state", F.when(existing, "existing").otherwise("new")).drop("membership_start_dt")
+        .withColumn("is_client_trackable", ~F.col("anonymous_id").ilike(untracked))
+        .withColumn("product_name", page_handle("url"))
+        .withColumn("device_type", device_class("context_user_agent"))
+    )
+    out = flag_internal(out, exclusions, email_patterns)
 
     # Product by page handle, social campaign by name, place by address.
     by_handle = products.select(F.lower(F.trim("handle")).alias("_handle"), F.col("id").alias("_product"))
@@ -256,7 +252,7 @@ def session_flags(web: DataFrame, **kinds: str) -> DataFrame:
 
 def _product_events(web: DataFrame, products: DataFrame, kind: str) -> DataFrame:
     named = products.select(F.col("sku").alias("product_id"), "product_name")
-    return web.filter(F.col("src_tbl") == kind).join(named, "product_id").select(
+    return web.filter(F.col("src_tbl") == kind).drop("product_name").join(named, "product_id").select(
         "product_name", F.col("product_id").alias("sku"), "timestamp", "session_start_ts",
         F.col("master_user_id").alias("user_id"), "url", "session_id",
         "user_first_session_channel_id", "session_channel_id")

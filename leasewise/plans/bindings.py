@@ -9,10 +9,12 @@ blanks, number formats, JSON) are made with expressions on a row's own values.
 from __future__ import annotations
 
 import re
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..operators.identity import STORE, ids_of
+from ..session import cut, tune
 from .warehouse import Settings, Warehouse
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -20,7 +22,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 SETTINGS = Settings(
     as_of="2001-06-01", first_day="1995-01-01", flagship_sku="42", flagship_pattern="%flagship%",
-    influencer_pattern="%SHARE3%", sharing_pattern="%SHARE7%", session_gap_s=43200,
+    influencer_pattern="%SHARE3%", sharing_pattern="%SHARE7%", bought_after="1990-01-01", session_gap_s=43200,
     internal_emails=("%corp.example.com%",), sponsored={"partner": "sc_partner"},
     modules={"one": "1", "two": "2"}, ops_states=(("SF", ("%n_1%",)), ("NYC", ("%n_2%", "%n_3%"))),
     lapsed_labels={"new": "Pre Active", "scheduled": "Scheduled", "active": "Active", "inactive": "Churned"},
@@ -291,22 +293,37 @@ def binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(f"WITH {', '.join(parts)} {sql}")
 
 
+_kept: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class TestWarehouse(Warehouse):
-    """Warehouse on the driver tables; ledger refunds point at real lines."""
+    """Warehouse on the driver tables; ledger refunds point at real lines.
+
+    Shared models are checkpointed once per Spark application and table
+    folder, as a nightly build would write them.
+    """
 
     __test__ = False
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS):
         tune(spark)
-        super().__init__(lambda name: binding(spark, sf_dir, name), settings)
         self.spark, self.sf_dir = spark, sf_dir
+        super().__init__(lambda name: binding(spark, sf_dir, name), settings, self._keep)
+
+    def _keep(self, name, build):
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _kept:
+            _kept[key] = cut(build())
+        return _kept[key]
+
+    @cached_property
+    def ledger_refunds(self) -> DataFrame:
+        ids = ids_of(self.idmap, STORE, "customer_id")
+        return self.source("refunds").join(ids, "customer_id", "left")
+
+    @cached_property
+    def ledger_refund_lines(self) -> DataFrame:
+        return self.source("refund_lines")
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
-
-    @property
-    def ledger(self) -> DataFrame:
-        from ..operators import commerce, identity
-        ids = identity.ids_of(self.idmap, identity.STORE, "customer_id")
-        refunds = self.source("refunds").join(ids, "customer_id", "left")
-        return commerce.fact_transaction(self.orders, self.lines, refunds, self.source("refund_lines"), self.products)

@@ -1,19 +1,21 @@
 """All models of the warehouse, each built from the ones before it.
 
 A `Warehouse` takes the raw sources by name and a `Settings` object; every
-model is a lazily built DataFrame.  `write_models` runs the nightly build: it
-writes the models that several others read, so that these start from files.
+model is a DataFrame built on first use.  Models that several others read are
+`shared`: they go through `keep`, which writes them and goes on from the
+written copy, so that no model drags the lineage of the whole warehouse along.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, rentals, web
+from ..session import cut
 from ..sources.incremental import publish
 
 
@@ -27,6 +29,7 @@ class Settings:
     flagship_pattern: str
     influencer_pattern: str
     sharing_pattern: str
+    bought_after: str = "2019-01-01"
     session_gap_s: int = 1800
     own_site: str = "shop.example.com"
     dev_site: str = "%-dev.%"
@@ -39,13 +42,25 @@ class Settings:
     provinces: Mapping[str, int] = field(default_factory=dict)
 
 
+class shared(cached_property):
+    """A model that goes through `Warehouse.keep` when it is first built."""
+
+    def __init__(self, build):
+        super().__init__(lambda warehouse: warehouse.keep(build.__name__, lambda: build(warehouse)))
+
+
 class Warehouse:
-    def __init__(self, source, settings: Settings):
-        """source: function from a raw table name to its DataFrame."""
-        self.source, self.settings = source, settings
+    def __init__(self, source: Callable[[str], DataFrame], settings: Settings,
+                 keep: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda name, build: cut(build())):
+        """source: from a raw table name to its DataFrame.
+
+        keep: from a shared model's name and builder to the written copy; by
+        default a checkpoint.
+        """
+        self.source, self.settings, self.keep = source, settings, keep
 
     # --- identity ---
-    @cached_property
+    @shared
     def idmap(self) -> DataFrame:
         s = self.source
         return identity.identity_map(s("customers"), s("contacts"), s("identifies"), s("landing_pages"), s("overrides"))
@@ -63,16 +78,16 @@ class Warehouse:
     def prices(self) -> DataFrame:
         return commerce.sku_price(self.source("products"), self.source("variants"))
 
-    @cached_property
+    @shared
     def lines(self) -> DataFrame:
         return commerce.fact_line_item(self.source("line_items"))
 
-    @cached_property
+    @shared
     def membership_orders(self) -> DataFrame:
         s = self.source
         return commerce.membership_orders(s("line_items"), s("orders"), s("products"), s("customers"), self.idmap, self.prices)
 
-    @cached_property
+    @shared
     def orders(self) -> DataFrame:
         gifts = commerce.gift_card_orders(self.source("line_items"), self.source("products"))
         return commerce.fact_order(self.source("orders"), self.idmap, self.membership_orders, gifts)
@@ -85,11 +100,19 @@ class Warehouse:
     def refund_lines(self) -> DataFrame:
         return commerce.fact_refund_line_item(self.refunds)
 
-    @cached_property
+    @property
+    def ledger_refunds(self) -> DataFrame:
+        return self.refunds
+
+    @property
+    def ledger_refund_lines(self) -> DataFrame:
+        return self.refund_lines
+
+    @shared
     def ledger(self) -> DataFrame:
-        return commerce.fact_transaction(self.orders, self.lines, self.refunds, self.refund_lines, self.products)
+        return commerce.fact_transaction(self.orders, self.lines, self.ledger_refunds, self.ledger_refund_lines, self.products)
 
-    @cached_property
+    @shared
     def special(self) -> DataFrame:
         return commerce.special_members(self.ledger)
 
@@ -97,7 +120,7 @@ class Warehouse:
     def offsets(self) -> DataFrame:
         return commerce.discount_offsets(self.orders)
 
-    @cached_property
+    @shared
     def order_baskets(self) -> DataFrame:
         return commerce.baskets_orders(self.orders, self.lines, self.products, self.settings.flagship_sku)
 
@@ -106,14 +129,14 @@ class Warehouse:
         return commerce.order_addresses(self.source("orders"))
 
     # --- rentals ---
-    @cached_property
+    @shared
     def rentals(self) -> DataFrame:
         s = self.source
         return rentals.fact_rental(
             s("order_lines"), s("schedule_delivery"), s("pick_deliveries"), s("schedule_pickup"), s("ops_customers"),
             self.idmap, self.prices, self.products)
 
-    @cached_property
+    @shared
     def items(self) -> DataFrame:
         s = self.source
         return rentals.dim_item(s("inventory"), s("associate_asset_tag"), s("sell_asset"), s("scrap_asset"))
@@ -122,7 +145,7 @@ class Warehouse:
     def subscriptions(self) -> DataFrame:
         return rentals.dim_subscriptions(self.rentals)
 
-    @cached_property
+    @shared
     def rental_baskets(self) -> DataFrame:
         return commerce.baskets_rentals(self.rentals, self.lines, self.orders, self.products, self.settings.flagship_sku)
 
@@ -139,7 +162,7 @@ class Warehouse:
     @cached_property
     def sku_agg(self) -> DataFrame:
         c = self.settings
-        return rentals.sku_agg(self.products, self.items, self.rentals, c.as_of, c.first_day)
+        return rentals.sku_agg(self.products, self.items, self.rentals, c.as_of, c.first_day, c.bought_after)
 
     # --- lifecycle ---
     @cached_property
@@ -150,7 +173,7 @@ class Warehouse:
         paid = lifecycle.payment_inputs(self.ledger, self.lines, s("variants"), group, codes, self.special, c.as_of)
         return lifecycle.lifecycle_inputs(paid, lifecycle.rental_inputs(self.rentals, group, c.as_of))
 
-    @cached_property
+    @shared
     def members(self) -> DataFrame:
         c, s = self.settings, self.source
         return lifecycle.dim_members(
@@ -173,11 +196,16 @@ class Warehouse:
         s = self.source
         return ads.dim_campaign(s("ad_campaigns"), s("ad_groups"), s("ads"), s("social_campaigns"))
 
-    @cached_property
+    @shared
+    def sessioned(self) -> DataFrame:
+        known = identity.resolve_actor(self.source("events"), self.idmap)
+        return web.sessionize(known, "master_user_id", "timestamp", "id", self.settings.session_gap_s)
+
+    @shared
     def web(self) -> DataFrame:
         c, s = self.settings, self.source
-        return web.web_activity(
-            s("events"), self.idmap, c.session_gap_s, members=self.members, products=s("products"), campaigns=self.campaigns,
+        return web.enrich_sessions(
+            self.sessioned, self.idmap, members=self.members, products=s("products"), campaigns=self.campaigns,
             clicks=s("clicks"), geo=s("geo"), exclusions=s("exclusions"), email_patterns=c.internal_emails,
             sponsored=c.sponsored, modules=c.modules, own_site=c.own_site, dev_site=c.dev_site)
 
@@ -194,7 +222,7 @@ class Warehouse:
     def customer_feed(self) -> DataFrame:
         return lifecycle.customer_feed(self.members, self.rentals, self.registry, self.idmap, self.settings.as_of)
 
-    @cached_property
+    @shared
     def member_agg(self) -> DataFrame:
         c = self.settings
         return lifecycle.member_agg(
@@ -209,7 +237,7 @@ class Warehouse:
         c = self.settings
         return kpis.cohort_base(self.rentals, self.members, self.offsets, commerce.nth_basket(self.rental_baskets, 1), c.first_day, c.as_of)
 
-    @cached_property
+    @shared
     def kpis(self) -> DataFrame:
         c = self.settings
         return kpis.kpis_by_day(self.members, self.rentals, self.offsets, c.first_day, c.as_of, c.lapsed_labels)
@@ -254,18 +282,13 @@ class Warehouse:
         return ads.channel_daily(self.web, spend, self.kpis, self.member_agg, self.orders, c.first_day, c.as_of)
 
 
-# Models that several others read, in dependency order.
-SHARED = ("idmap", "lines", "membership_orders", "orders", "refunds", "ledger", "rentals", "items", "members", "web",
-          "order_baskets", "rental_baskets", "kpis", "member_agg")
-# Reports and marts that nothing else reads.
+# Reports that nothing else reads.
 MARTS = ("memberships", "revenue", "depreciation", "sku_agg", "member_sales", "registry", "attribution", "customer_feed",
          "cohorts", "kpi_long", "new_customers", "mrr_pivot", "waterfall", "channel_daily", "ad_dim")
 
 
-def write_models(warehouse: Warehouse, path: str, marts: Sequence[str] = MARTS) -> dict[str, DataFrame]:
-    """Build and write the models; later ones read the written earlier ones."""
-    out = {}
-    for name in (*SHARED, *marts):
-        out[name] = publish(getattr(warehouse, name), f"{path}/{name}")
-        warehouse.__dict__[name] = out[name]  # what cached_property reads from now on
-    return out
+def write_models(source: Callable[[str], DataFrame], settings: Settings, path: str,
+                 marts: Sequence[str] = MARTS) -> dict[str, DataFrame]:
+    """The nightly build: write shared models and marts under `path`."""
+    warehouse = Warehouse(source, settings, lambda name, build: publish(build(), f"{path}/{name}"))
+    return {name: publish(getattr(warehouse, name), f"{path}/{name}") for name in marts}
