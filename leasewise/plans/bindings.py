@@ -61,16 +61,16 @@ BINDINGS: dict[str, str] = {
         SELECT 'h' || c.id AS id, c.email, CAST('1994-01-01 00:00:00' AS TIMESTAMP) AS created_at,
                CAST('1999-01-01 00:00:00' AS TIMESTAMP) AS updated_at, CAST(NULL AS STRING) AS first_conversion_date,
                'web' AS hs_analytics_source, CAST(NULL AS STRING) AS hs_analytics_source_data_1,
-               CASE t.c_mktsegment WHEN 'FURNITURE' THEN 'Per Item' WHEN 'HOUSEHOLD' THEN '' END AS membership_type,
+               CASE customer.c_mktsegment WHEN 'FURNITURE' THEN 'Per Item' WHEN 'HOUSEHOLD' THEN '' END AS membership_type,
                CASE WHEN c.c_acctbal > 9000 THEN '1998-01-01 00:00:00' ELSE '' END AS hs_lifecyclestage_customer_date,
-               t.c_name AS firstname, t.c_mktsegment AS lastname,
+               customer.c_name AS firstname, customer.c_mktsegment AS lastname,
                CAST('2000-01-01' AS DATE) + c.c_nationkey AS child_1_dob,
                CASE WHEN c.c_acctbal > 5000 THEN CAST('1998-01-01' AS DATE) + c.c_nationkey END AS child_2_dob,
                CAST(NULL AS DATE) AS child_3_dob, CAST(NULL AS STRING) AS expecting_at_sign_up,
                'Town ' || CAST(c.c_nationkey AS STRING) AS city, CAST(NULL AS STRING) AS address, CAST(NULL AS STRING) AS zip,
-               n.n_name AS state, CASE WHEN c.c_acctbal > 8000 THEN CAST('2001-01-01' AS DATE) + c.c_nationkey END AS monthly_membership_end_date,
+               n_name AS state, CASE WHEN c.c_acctbal > 8000 THEN CAST('2001-01-01' AS DATE) + c.c_nationkey END AS monthly_membership_end_date,
                CAST(NULL AS STRING) AS reason_for_canceling
-        FROM b_customers c JOIN customer t ON t.c_custkey = c.c_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey""",
+        FROM b_customers c JOIN customer ON customer.c_custkey = c.c_custkey JOIN nation ON n_nationkey = c.c_nationkey""",
     "b_overrides": """
         SELECT 'shopify' AS src, id AS src_id,
                md5('customer#' || lpad(CAST(CAST(floor(c_custkey / 2) AS BIGINT) AS STRING), 9, '0') || '@x.org') AS member_id
@@ -281,16 +281,27 @@ def chain(sql: str, named: dict[str, str]) -> list[str]:
     return order
 
 
+_tables: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read once per application."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(key[1])
+    return _tables[key]
 
 
 def binding(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw source as a DataFrame."""
     sql = BINDINGS[f"b_{name}"]
-    parts = [f"{t} AS (SELECT * FROM parquet.`{sf_dir}/{t}.parquet`)" for t in TABLES]
-    parts += [f"{b} AS ({BINDINGS[b]})" for b in chain(sql, BINDINGS)]
-    return spark.sql(f"WITH {', '.join(parts)} {sql}")
+    parts = [f"{b} AS ({BINDINGS[b]})" for b in chain(sql, BINDINGS)]
+    text = f"WITH {', '.join(parts)} {sql}" if parts else sql
+    used = [t for t in TABLES if re.search(rf"\b(FROM|JOIN) {t}\b", text)]
+    text = text.replace("{", "{{").replace("}", "}}")
+    for t in used:
+        text = re.sub(rf"\b(FROM|JOIN) {t}\b", rf"\1 {{{t}}} AS {t}", text)
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})
 
 
 _kept: dict[tuple[str, str, str], DataFrame] = {}

@@ -247,13 +247,16 @@ _REPEAT = """r AS (SELECT l.*, o.source_name, o.customer_id, row_number() OVER (
                    FROM b_line_items l JOIN o_heads o ON o.id = l.order_id)"""
 query("repeat_lines", "id:s price:m quantity:i title:s total_discount:m variant_id:s name:s product_id:s order_id:s",
       f"WITH {_REPEAT} SELECT * FROM r WHERE rn > 1 AND source_name = 'subscription_contract'")(lambda w: commerce.renewal_lines(w.source("line_items"), w.source("orders")))
-query("fulfilment_lines", "id:s price:m quantity:i name:s product_id:s order_id:s raw_order_line_id:s multiple_qty_flag:b unbundled_flag:b", f"""
+query("fulfilment_lines", "raw_order_line_id:s order_id:s multiple_qty_flag:b unbundled_flag:b product_id:s name:s n:i quantity:i price:m first_id:s last_id:s", f"""
     WITH {_REPEAT}, u AS (SELECT r.*, unnest(range(1, greatest(quantity, 1) + 1)) AS n FROM r WHERE rn = 1 OR source_name <> 'subscription_contract'),
     f AS (SELECT CASE WHEN n > 1 THEN CAST(n AS VARCHAR) || id ELSE id END AS id, price, 1 AS quantity, name, u.product_id, order_id, id AS raw_order_line_id, u.quantity > 1 AS multiple_qty_flag,
-                 b.extra_name, b.extra_product_id FROM u LEFT JOIN b_bundles b ON b.product_id = u.product_id)
-    SELECT id, price, quantity, name, product_id, order_id, raw_order_line_id, multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
-    UNION ALL SELECT '9' || id, 0, quantity, extra_name, extra_product_id, order_id, raw_order_line_id, multiple_qty_flag, TRUE FROM f WHERE extra_product_id IS NOT NULL""")(
-    lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")))
+                 b.extra_name, b.extra_product_id FROM u LEFT JOIN b_bundles b ON b.product_id = u.product_id),
+    a AS (SELECT id, price, quantity, name, product_id, order_id, raw_order_line_id, multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
+          UNION ALL SELECT '9' || id, 0, quantity, extra_name, extra_product_id, order_id, raw_order_line_id, multiple_qty_flag, TRUE FROM f WHERE extra_product_id IS NOT NULL)
+    SELECT raw_order_line_id, order_id, multiple_qty_flag, unbundled_flag, product_id, name, count(*) AS n, sum(quantity) AS quantity, sum(price) AS price, min(id) AS first_id, max(id) AS last_id FROM a GROUP BY ALL""")(
+    lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")).groupBy(
+        "raw_order_line_id", "order_id", "multiple_qty_flag", "unbundled_flag", "product_id", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"), F.sum("price").alias("price"), F.min("id").alias("first_id"), F.max("id").alias("last_id")))
 _ADDRESS = """a AS (SELECT id AS order_id, """ + ", ".join(f"json_extract_string(shipping_address, '$.{f}') AS {f}" for f in ("name", "address1", "address2", "city", "province", "latitude", "longitude")) + """ FROM b_orders),
     k AS (SELECT *, CASE WHEN nullif(address1, '') IS NOT NULL THEN md5(lower(trim(latitude)) || lower(trim(longitude)) || lower(regexp_replace(address1, '[^0-9a-zA-Z]', '', 'g'))
                  || lower(regexp_replace(address2, '[^0-9a-zA-Z]', '', 'g'))) END AS address_id FROM a)"""
@@ -271,8 +274,10 @@ query("registry_pairs", "line_item_id:s order_id:s price:m product_id:s variant_
            c.email AS customer_email, md5(lower(trim(g.email))) AS recipient_member_id, g.email AS recipient_email
     FROM b_line_items l JOIN o_heads o ON o.id = l.order_id LEFT JOIN b_customers c ON c.id = o.customer_id LEFT JOIN b_customers g ON g.id = substring(l.vendor, 2) WHERE l.fulfillment_service = 'registry'""")(
     lambda w: web.registry_pairs(w.source("line_items"), w.source("orders"), w.source("customers")))
-query("unit_expansion", "l_orderkey:i l_linenumber:i l_partkey:i unit:i", "SELECT l_orderkey, l_linenumber, l_partkey, unnest(range(1, CAST(l_quantity AS INT) + 1)) AS unit FROM lineitem")(
-    lambda w: calendar.expand_units(w.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"), "l_quantity"))
+query("unit_expansion", "l_orderkey:i units:i last_unit:i unit_sum:i", """
+    SELECT l_orderkey, count(*) AS units, max(unit) AS last_unit, sum(unit) AS unit_sum FROM (SELECT l_orderkey, unnest(range(1, CAST(l_quantity AS INT) + 1)) AS unit FROM lineitem) GROUP BY 1""")(
+    lambda w: calendar.expand_units(w.table("lineitem").select("l_orderkey", "l_quantity"), "l_quantity").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("units"), F.max("unit").alias("last_unit"), F.sum("unit").alias("unit_sum")))
 
 # --- rentals ---------------------------------------------------------------
 
@@ -460,7 +465,7 @@ _SPEND_SQL = f"""{_AD_SQL}, spend AS (SELECT CASE WHEN ad_source = 'facebook' AN
         WHERE f.n IS NULL GROUP BY 1, 2)"""
 query("ad_spend", "ad_source:s date:d spend:m impressions:i clicks:i", f"WITH {_SPEND_SQL} SELECT * FROM spend")(lambda w: ads.ad_spend_by_day(w.ad_performance, w.ad_dim, w.source("ad_key")))
 _CH = ("facebook_sf", "facebook_ny", "google_search", "google_display")
-query("channel_daily", "date:d " + " ".join(f"{p}_spend:m {p}_impressions:i {p}_clicks:i {p}_cpm:f {p}_cpc:f {p}_ctr:f" for p in (*_CH, "facebook_total")) + " paid_marketing_spend:m new_members:i order_discounts:m paid_marketing_cac:f cac:f "
+query("channel_daily", "date:d " + " ".join(f"{p}_spend:m {p}_impressions:i {p}_clicks:i {p}_cpm:m {p}_cpc:m {p}_ctr:m" for p in (*_CH, "facebook_total")) + " paid_marketing_spend:m new_members:i order_discounts:m paid_marketing_cac:m cac:m "
       "first_order_flagship_only:i sessions:i adds_to_cart:i", f"WITH {_SPEND_SQL}, src AS (SELECT date, " + ", ".join(
     f"sum(CASE WHEN ad_source = '{s}' THEN {m} ELSE 0 END) AS {p}_{m}" for p, s in ads.REPORT_SOURCES.items() for m in ("spend", "impressions", "clicks")) + " FROM spend GROUP BY 1), n AS (SELECT membership_start_dt AS date, count(*) FILTER (WHERE membership_type IN ('annual', 'monthly')) AS new_members FROM o_members GROUP BY 1), "
     "o AS (SELECT CAST(order_ts AS DATE) AS date, sum(order_discounts) AS order_discounts FROM o_orders GROUP BY 1), f AS (SELECT CAST(session_start_ts AS DATE) AS date, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN src_tbl = 'product_added' THEN session_id END) AS adds_to_cart "

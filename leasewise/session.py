@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df):
-    """Write `df` to the checkpoint folder and go on from the written copy."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` to the checkpoint folder and go on from the written table.
+
+    Parquet rather than `checkpoint()`: later steps read only the columns
+    they use, and the planner knows the table's size.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

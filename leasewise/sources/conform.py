@@ -71,13 +71,17 @@ CANDIDATES = ("int", "bigint", "double", "date", "timestamp", "boolean")
 def profile_types(df: DataFrame, candidates: Sequence[str] = CANDIDATES) -> DataFrame:
     """Per text column: set values, how many fit each type, the proposed type.
 
-    All columns are counted in one pass.
+    All columns are counted in one pass.  A bare number is no date, though a
+    cast would take '2001' as one.
     """
+    value = F.col("v")
+    dated = F.when(value.contains("-"), value)
+    fits = lambda t: (dated if t in ("date", "timestamp") else value).try_cast(t)
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), blank_to_null(F.col(c).cast("string")).alias("v")) for c in df.columns])
     counts = df.select(F.inline(pairs)).groupBy("column_name").agg(
-        F.count("v").alias("set_values"), *[F.count(F.col("v").try_cast(t)).alias(f"as_{t}") for t in candidates])
+        F.count("v").alias("set_values"), *[F.count(fits(t)).alias(f"as_{t}") for t in candidates])
     best = None
     for t in candidates:
-        fits = (F.col("set_values") > 0) & (F.col(f"as_{t}") == F.col("set_values"))
-        best = F.when(fits, t) if best is None else best.when(fits, t)
+        all_fit = (F.col("set_values") > 0) & (F.col(f"as_{t}") == F.col("set_values"))
+        best = F.when(all_fit, t) if best is None else best.when(all_fit, t)
     return counts.withColumn("proposed_type", best.otherwise("text"))

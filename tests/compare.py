@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import duckdb
 
@@ -40,8 +41,8 @@ def difference(df, con, sql: str) -> str | None:
     if len(got) != len(want):
         extra = sorted(set(got) - set(want), key=str)[:2], sorted(set(want) - set(got), key=str)[:2]
         return f"rows {len(got)} / {len(want)}; spark only, sql only: {extra}"
-    for g, w in zip(got, want):
-        if g != w:
-            cols = [(n, a, b) for n, a, b in zip(names, g, w) if a != b]
-            return f"row {g[:4]}: {cols[:6]}; {sum(x != y for x, y in zip(got, want))} rows differ"
+    if got != want:
+        left, right = Counter(got) - Counter(want), Counter(want) - Counter(got)
+        first = lambda c: sorted(c, key=str)[:2]
+        return f"{sum(left.values())} rows differ in {names}; spark: {first(left)}; sql: {first(right)}"
     return None
