@@ -249,10 +249,11 @@ query("repeat_lines", "id:s price:m quantity:i title:s total_discount:m variant_
       f"WITH {_REPEAT} SELECT * FROM r WHERE rn > 1 AND source_name = 'subscription_contract'")(lambda w: commerce.renewal_lines(w.source("line_items"), w.source("orders")))
 query("fulfilment_lines", "raw_order_line_id:s order_id:s multiple_qty_flag:b unbundled_flag:b product_id:s name:s n:i quantity:i price:m first_id:s last_id:s", f"""
     WITH {_REPEAT}, u AS (SELECT r.*, unnest(range(1, greatest(quantity, 1) + 1)) AS n FROM r WHERE rn = 1 OR source_name <> 'subscription_contract'),
-    f AS (SELECT CASE WHEN n > 1 THEN CAST(n AS VARCHAR) || id ELSE id END AS id, price, 1 AS quantity, name, u.product_id, order_id, id AS raw_order_line_id, u.quantity > 1 AS multiple_qty_flag,
+    f AS (SELECT CASE WHEN n > 8 THEN CAST(n AS VARCHAR) || '-' || id WHEN n > 1 THEN CAST(n AS VARCHAR) || id ELSE id END AS id,
+                 CASE WHEN n > 8 THEN CAST(n AS VARCHAR) || '-9' || id WHEN n > 1 THEN '9' || CAST(n AS VARCHAR) || id ELSE '9' || id END AS id2, price, 1 AS quantity, name, u.product_id, order_id, id AS raw_order_line_id, u.quantity > 1 AS multiple_qty_flag,
                  b.extra_name, b.extra_product_id FROM u LEFT JOIN b_bundles b ON b.product_id = u.product_id),
     a AS (SELECT id, price, quantity, name, product_id, order_id, raw_order_line_id, multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
-          UNION ALL SELECT '9' || id, 0, quantity, extra_name, extra_product_id, order_id, raw_order_line_id, multiple_qty_flag, TRUE FROM f WHERE extra_product_id IS NOT NULL)
+          UNION ALL SELECT id2, 0, quantity, extra_name, extra_product_id, order_id, raw_order_line_id, multiple_qty_flag, TRUE FROM f WHERE extra_product_id IS NOT NULL)
     SELECT raw_order_line_id, order_id, multiple_qty_flag, unbundled_flag, product_id, name, count(*) AS n, sum(quantity) AS quantity, sum(price) AS price, min(id) AS first_id, max(id) AS last_id FROM a GROUP BY ALL""")(
     lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")).groupBy(
         "raw_order_line_id", "order_id", "multiple_qty_flag", "unbundled_flag", "product_id", "name").agg(
