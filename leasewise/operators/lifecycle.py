@@ -91,7 +91,7 @@ def payment_inputs(ledger: DataFrame, lines: DataFrame, variants: DataFrame, fla
         F.avg(flag(F.col("is_gift_card"))).alias("avg_purchased_gift_card"),
         F.avg(flag(F.col("is_registry_product"))).alias("avg_purchased_registry_product"))
     named = influencers.select("member_id").distinct().withColumn("is_influencer", F.lit(1))
-    return lookup(stats, named, "member_id").withColumn("is_influencer", F.coalesce("is_influencer", F.lit(0)))
+    return stats.join(named, "member_id", "left").withColumn("is_influencer", F.coalesce("is_influencer", F.lit(0)))
 
 
 def rental_inputs(rentals: DataFrame, flagship: DataFrame, as_of: date | str) -> DataFrame:
@@ -271,9 +271,10 @@ def dim_members(contacts: DataFrame, payments: DataFrame, inputs: DataFrame, ord
     plans = membership.select("member_id", "membership_product_name")
     marked = special.select("member_id").distinct().withColumn("_special", F.lit(True))
     forced = overrides.select("member_id", "membership_first_purchase_dt", "is_blacklist_member")
+    # One row per member on every side: plain joins keep one partitioning.
     out = contacts
     for table in (payments, inputs, placed, trips, plans, marked, forced, shared):
-        out = lookup(out, table, "member_id")
+        out = out.join(table, "member_id", "left")
     out = out.filter(F.coalesce("is_blacklist_member", F.lit(0)) != 1)
     item, open_ = F.col("_item_dt"), open_end()
     own_items = (F.col("ct_active_product_payments") > 0) & (F.col("avg_purchased_gift_card") < 1) & (F.col("avg_purchased_registry_product") < 1)
@@ -293,7 +294,7 @@ def dim_members(contacts: DataFrame, payments: DataFrame, inputs: DataFrame, ord
     })
     out = member_status(out.withColumn("membership_type", membership_type(as_of)), as_of)
     crm = idmap.filter(F.col("src") == CRM).groupBy("member_id").agg(F.max("src_id").alias("hubspot_customer_id"))
-    out = lookup(out, crm, "member_id")
+    out = out.join(crm, "member_id", "left")
     place = first_match([(like_any("state", ps), name) for name, ps in ops_states], "Other")
     return out.select(
         "member_id", "hubspot_customer_id", "email", "first_name", "last_name", F.substring("last_name", 1, 1).alias("last_initial"),
@@ -330,7 +331,7 @@ def customer_feed(members: DataFrame, rentals: DataFrame, registry: DataFrame, i
     owners = ids_of(idmap, STORE, "user_id").join(registry.select("user_id").distinct(), "user_id", "left_semi")
     owners = owners.select("member_id").distinct().withColumn("_registry", F.lit(1))
     status = F.regexp_replace("member_status", "[0-9].", "")
-    out = lookup(lookup(members.filter(F.col("membership_start_dt") <= today), trips, "member_id"), owners, "member_id")
+    out = members.filter(F.col("membership_start_dt") <= today).join(trips, "member_id", "left").join(owners, "member_id", "left")
     return out.select(
         "member_id", "email", "next_delivery_date", "most_recent_delivery_date", status.alias("status"), "membership_type",
         F.col("membership_start_dt").alias("membership_start_date"), F.col("membership_end_dt").alias("membership_end_date"),
@@ -465,4 +466,4 @@ def churn_listing(contacts: DataFrame, members: DataFrame, attribution: DataFram
         "hubspot_customer_id", "member_id", "first_name", "last_initial", "membership_start_dt", "first_delivery_dt",
         "last_pick_up_dt", "city", "child_1_dob", "child_2_dob", "child_3_dob")
     out = terms.join(about, "hubspot_customer_id").drop("hubspot_customer_id")
-    return lookup(lookup(out, touch, "member_id"), stats, "member_id")
+    return out.join(touch, "member_id", "left").join(stats, "member_id", "left")
