@@ -23,6 +23,17 @@ def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def solid_keys(df: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Key columns as text without nulls, and their names.
+
+    A window and a join on these need one shuffle: a null-safe join on the
+    keys themselves would shuffle again on other expressions.
+    """
+    keys = _keys(keys)
+    names = [f"_solid_{k}" for k in keys]
+    return df.withColumns({n: F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for n, k in zip(names, keys)}), names
+
+
 def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Left join of a fact to a keyed table.
 
@@ -67,20 +78,15 @@ def running_slots(slots: DataFrame, keys: Sequence[str], slot: str, value: str,
 def numbered(df: DataFrame, keys: str | Sequence[str], ts: str, order: Sequence[str],
              name: str = "rn", slot: str = "month") -> DataFrame:
     """`row_number` per key in order of (ts, *order), split by calendar slot."""
-    keys = _keys(keys)
-    marked = df.withColumn("_slot", F.date_trunc(slot, F.col(ts).cast("timestamp")))
-    counts = marked.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    counts = running_slots(counts, keys, "_slot", "_n", "_before").drop("_n")
-    renamed = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                            F.col("_slot").alias("_k_slot"), "_before")
-    same = F.col("_slot").eqNullSafe(F.col("_k_slot"))
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    w = Window.partitionBy(*keys, "_slot").orderBy(ts, *order)
+    df, solid = solid_keys(df, keys)
+    marked = df.withColumn("_slot", F.coalesce(F.date_trunc(slot, F.col(ts).cast("timestamp")).cast("string"), F.lit("")))
+    counts = marked.groupBy(*solid, "_slot").agg(F.count(F.lit(1)).alias("_n"))
+    counts = running_slots(counts, solid, "_slot", "_n", "_before").drop("_n")
+    w = Window.partitionBy(*solid, "_slot").orderBy(ts, *order)
     return (
-        marked.withColumn("_in", F.row_number().over(w)).join(renamed, same, "left")
+        marked.withColumn("_in", F.row_number().over(w)).join(counts, [*solid, "_slot"])
         .withColumn(name, (F.col("_in") + F.col("_before")).cast("long"))
-        .drop("_slot", "_in", "_before", "_k_slot", *[f"_k_{k}" for k in keys])
+        .drop("_slot", "_in", "_before", *solid)
     )
 
 

@@ -18,7 +18,7 @@ from ..functions.exprs import (
     url_parameter, url_path, week_of,
 )
 from .identity import STORE, TRACKER, ids_of, resolve_actor
-from .ordered import first_rows, first_value, last_value, lookup
+from .ordered import first_rows, first_value, last_value, lookup, solid_keys
 
 CAMPAIGN = ("name", "content", "source", "medium")
 
@@ -34,34 +34,36 @@ def sessionize(events: DataFrame, actor: str, ts: str, event_id: str,
     `slot_s`, so that one very active actor is spread over many tasks; the
     window along a whole actor runs on one row per slot.
     """
-    ev = events.withColumn("_sec", epoch_second(ts)).withColumn("_slot", F.floor(F.col("_sec") / slot_s))
-    w = Window.partitionBy(actor, "_slot").orderBy(ts, event_id)
+    ev, (who,) = solid_keys(events, actor)
+    # Events without a time come after all others and open no session there.
+    slot = F.coalesce(F.floor(F.col("_sec") / slot_s), F.lit(2**62))
+    ev = ev.withColumn("_sec", epoch_second(ts)).withColumn("_slot", slot)
+    w = Window.partitionBy(who, "_slot").orderBy(ts, event_id)
     marked = (
         ev.withColumn("_prev", F.lag("_sec").over(w))
         .withColumn("_cut", F.when(F.col("_sec") - F.col("_prev") > gap_s, F.col(event_id)))
         .withColumn("_own", F.last("_cut", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     )
     # Per slot: its first event, its last second and the last session begun in it.
-    slots = marked.groupBy(actor, "_slot").agg(
+    slots = marked.groupBy(who, "_slot").agg(
         F.min("_sec").alias("_from"), F.max("_sec").alias("_to"),
         F.min(F.when(F.col("_prev").isNull(), F.col(event_id))).alias("_head"),
         F.max_by("_cut", F.when(F.col("_cut").isNotNull(), F.struct(ts, event_id))).alias("_tail"),
     )
-    along = Window.partitionBy(actor).orderBy("_slot")
-    pause = F.col("_from") - F.lag("_to").over(along)
+    along = Window.partitionBy(who).orderBy("_slot")
     slots = (
-        slots.withColumn("_pause", pause)
-        .withColumn("_opened", F.when(F.col("_pause").isNull() | (F.col("_pause") > gap_s), F.col("_head")))
+        slots.withColumn("_pause", F.col("_from") - F.lag("_to").over(along))
+        .withColumn("_alone", F.lag("_slot").over(along).isNull())
+        .withColumn("_opened", F.when(F.col("_alone") | (F.col("_pause") > gap_s), F.col("_head")))
         .withColumn("_latest", F.coalesce("_tail", "_opened"))
         .withColumn("_carried", F.coalesce("_opened", F.last("_latest", ignorenulls=True).over(
             along.rowsBetween(Window.unboundedPreceding, -1))))
-        .select(F.col(actor).alias("_k_actor"), F.col("_slot").alias("_k_slot"), "_carried")
+        .select(who, "_slot", "_carried")
     )
-    same = F.col(actor).eqNullSafe(F.col("_k_actor")) & (F.col("_slot") == F.col("_k_slot"))
     return (
-        marked.join(slots, same, "left")
+        marked.join(slots, [who, "_slot"])
         .withColumn("session_id", F.coalesce("_own", "_carried"))
-        .drop("_sec", "_slot", "_prev", "_cut", "_own", "_k_actor", "_k_slot", "_carried")
+        .drop(who, "_sec", "_slot", "_prev", "_cut", "_own", "_carried")
     )
 
 

@@ -193,6 +193,19 @@ query("attribution_by_channel", "channel_id:s conversions:i first_touch:f last_t
     WITH {_TOUCH_SQL} SELECT channel_id, count(DISTINCT member_id) AS conversions, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
     sum(multi_touch_weighting) AS multi_touch FROM (SELECT {_WEIGHT_SQL} FROM win) GROUP BY 1""")(
     lambda w: attribution.credit(attribution.attribute(*_purchases(w), lookback_h=72, grace_h=24, slot_days=1)))
+
+
+def _all_purchases(w):
+    return w.table("events").filter("event_type = 'purchase'").select(
+        F.col("event_id").alias("conversion_id"), F.col("user_id").alias("member_id"), F.col("ts").alias("order_ts"))
+
+
+_ALL_TOUCH_SQL = _TOUCH_SQL.replace("conv AS (SELECT user_id AS member_id, min(ts) AS order_ts FROM events WHERE event_type = 'purchase' GROUP BY 1)", "conv AS (SELECT event_id AS cid, user_id AS member_id, ts AS order_ts FROM events WHERE event_type = 'purchase')").replace(
+    "SELECT c.member_id, c.order_ts, t.event_id", "SELECT c.cid, c.member_id, c.order_ts, t.event_id").replace("PARTITION BY c.member_id", "PARTITION BY c.cid").replace("INTERVAL 72 HOUR", "INTERVAL 240 HOUR")
+query("order_credit", "conversion_id:i member_id:i order_ts:t channel_id:s touches:i first_touch:f last_touch:f multi_touch:f", f"""
+    WITH {_ALL_TOUCH_SQL} SELECT cid AS conversion_id, member_id, order_ts, channel_id, count(event_id) AS touches, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
+    sum(multi_touch_weighting) AS multi_touch FROM (SELECT cid, {_WEIGHT_SQL} FROM win) GROUP BY 1, 2, 3, 4""")(
+    lambda w: attribution.channel_credit(_all_purchases(w), _purchases(w)[1], [f"channel {i}" for i in range(6)], 240, 24, 5))
 query("member_attribution", "member_id:s order_ts:d channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f", f"""
     WITH touch AS (SELECT DISTINCT session_id, member_id, session_start_ts, session_channel_id, session_campaign_name FROM o_web),
     win AS (SELECT m.member_id, m.membership_start_dt AS order_ts, session_channel_id, session_campaign_name, row_number() OVER (PARTITION BY m.member_id ORDER BY session_start_ts, session_id) AS ra,

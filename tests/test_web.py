@@ -31,10 +31,10 @@ def brute_sessions(events, gap):
 
 def test_gap_bounds(spark):
     # 1800 s stays, 1801 s cuts, 1800.2 s over a second boundary cuts.
-    events = [("a", at(0), 1), ("a", at(1800), 2), ("a", at(3601), 3), ("b", at(0.9), 4), ("b", at(1801.1), 5), (None, at(5), 6), (None, at(9), 7), ("c", at(0), 8)]
+    events = [("a", at(0), 1), ("a", at(1800), 2), ("a", at(3601), 3), ("b", at(0.9), 4), ("b", at(1801.1), 5), (None, at(5), 6), (None, at(9), 7), ("c", at(0), 8), ("c", None, 9), ("n", None, 10), ("n", None, 11)]
     df = spark.createDataFrame(events, "actor string, ts timestamp, id long")
     got = dict(rows(web.sessionize(df, "actor", "ts", "id"), "id", "session_id"))
-    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 8}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 8, 9: 8, 10: 10, 11: 10}
 
 
 @pytest.mark.parametrize("slot", [60, 1000, 21600, 10**6])
@@ -80,8 +80,8 @@ def test_order_attribution(spark):
     orders = spark.createDataFrame([("o1", "m", T0), ("o2", "m", T0 + timedelta(days=1)), ("o3", None, T0)], "order_id string, member_id string, order_ts timestamp")
     visits = spark.createDataFrame([(1, "m", T0 - timedelta(hours=8760), "a", None), (2, "m", T0 + timedelta(seconds=1), "b", "k")],
                                    "session_id long, member_id string, session_start_ts timestamp, session_channel_id string, session_campaign_name string")
-    got = rows(attribution.order_attribution(orders, visits), "order_id", "event_id", "multi_touch_weighting")
-    assert got == [("o1", 1, 1.0), ("o2", 2, 1.0)]
+    got = rows(attribution.order_attribution(orders, visits, ["a", "b"]), "order_id", "channel_id", "touches", "multi_touch")
+    assert got == [("o1", "a", 1, 1.0), ("o2", "b", 1, 1.0)]
 
 
 def test_channel_rules_in_order(spark):
@@ -95,3 +95,18 @@ def test_channel_rules_in_order(spark):
                                "session_has_gclid int, ad_channel_id string, is_referral_session int, session_campaign_source string, session_campaign_medium string, session_referrer string, i int")
     got = dict(rows(web.classify_channel(df, {"club": "sc_club"}), "i", "session_channel_id"))
     assert got == {i: want for i, (_, want) in enumerate(cases)}
+
+
+@pytest.mark.parametrize("slot_days", [1, 7, 400])
+def test_credit_without_pairs_equals_credit_from_pairs(spark, slot_days):
+    # One member holds half of the conversions and of the touches.
+    rng = random.Random(slot_days)
+    who = lambda: "hot" if rng.random() < 0.5 else f"m{rng.randrange(6)}"
+    when = lambda: T0 + timedelta(hours=rng.randrange(24 * 40), seconds=rng.choice([0, 0, 1]))
+    c = spark.createDataFrame([(i, who(), when()) for i in range(120)] + [(900, "alone", T0), (901, None, T0)], "conversion_id long, member_id string, order_ts timestamp")
+    t = spark.createDataFrame([(i, who(), when(), rng.choice(["a", "b", "c", None]), None) for i in range(400)], "event_id long, member_id string, event_ts timestamp, channel_id string, campaign_id string")
+    kinds = ("first_touch", "last_touch", "multi_touch")
+    pairs = attribution.attribute(c, t, 96, 5).groupBy("conversion_id", "channel_id").agg(
+        F.count("event_id").alias("touches"), *[F.round(F.sum(f"{k}_weighting"), 9).alias(k) for k in kinds])
+    plain = attribution.channel_credit(c, t, ["a", "b", "c"], 96, 5, slot_days).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
+    assert rows(plain) == rows(pairs)
