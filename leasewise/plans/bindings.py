@@ -237,6 +237,12 @@ BINDINGS: dict[str, str] = {
         SELECT CAST(1 AS BIGINT) AS record_id, asset_tag AS asset_tag_association_asset_tag, '2000-01-01' AS asset_sale_date, '10.00' AS sale_amount FROM b_inventory WHERE p_size > 45
         UNION ALL SELECT CAST(2 AS BIGINT), asset_tag, '2000-02-01', '' FROM b_inventory WHERE p_size > 48""",
     "b_scrap_asset": "SELECT CAST(3 AS BIGINT) AS record_id, asset_tag AS asset_tag_association_asset_tag, '2000-03-01' AS scrap_date FROM b_inventory WHERE p_size = 1",
+    "b_sheets": """
+        SELECT 'b' || CAST(l_partkey AS STRING) AS bin, 'h' || CAST(o_custkey AS STRING) AS hubspot_customer_id, CAST(l_orderkey AS STRING) AS shopify_order_id,
+               CAST(l_partkey AS STRING) AS item_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS delivery_date,
+               CASE WHEN l_returnflag = 'A' THEN CAST(CAST(l_shipdate AS DATE) + 30 AS STRING) ELSE '' END AS pick_up_date,
+               CAST(NULL AS STRING) AS restocking_clean_repair_time, l_linestatus
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "b_daily_targets": """
         SELECT CAST(CAST(o_orderdate AS DATE) AS STRING) AS date, '1,' || lpad(CAST(count(*) AS STRING), 3, '0') AS gross_new_bay, '$-2.50' AS churn_bay,
                '9,000.5' AS total_members_bay, CAST(count(*) AS STRING) AS gross_new_nyc, '' AS churn_nyc, ' ' AS total_members_nyc

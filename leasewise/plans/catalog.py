@@ -143,10 +143,8 @@ query("registry", "user_id:s member_id:s first_name:s last_initial:s hubspot_cus
 
 
 def _go_live(w):
-    return w.table("pages").groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.explode(F.array(
-        F.struct(F.lit("A").alias("product"), F.lit("https://www.example.com/Pages/home?x=1").alias("url"), F.lit("2024-01-10").alias("live_date")),
-        F.struct(F.lit("B").alias("product"), F.lit("http://shop.example.com/products/ITEM-25").alias("url"), F.lit("2024-01-15").alias("live_date")),
-    )).alias("t")).select("t.*")
+    changed = [("A", "https://www.example.com/Pages/home?x=1", "2024-01-10"), ("B", "http://shop.example.com/products/ITEM-25", "2024-01-15")]
+    return w.spark.createDataFrame(changed, "product string, url string, live_date string")
 
 
 query("pre_post", "go_live_date:d event_date:d period:s product:s page:s distinct_sessions:i distinct_members:i num_add_to_cart_events:i num_orders_completed:i", """
@@ -298,6 +296,13 @@ query("unit_expansion", "l_orderkey:i units:i last_unit:i unit_sum:i", """
 _RENTAL = "bin:s member_id:s line_item_id:s sku:s order_id:s delivery_date:d pick_up_date:d avg_price:m ops_location:s"
 query("rental_fact", _RENTAL, "o_rentals")(lambda w: w.rentals)
 query("subscriptions", "member_id:s sku:s net_price:m quantity:i start_dt:d end_dt:d", "SELECT member_id, sku, avg_price AS net_price, 1 AS quantity, delivery_date AS start_dt, pick_up_date AS end_dt FROM o_rentals")(lambda w: w.subscriptions)
+query("rental_sheets", "member_id:s bin:s sku:s order_id:s delivery_date:d pick_up_date:d avg_price:m ops_location:s", """
+    WITH paid AS (SELECT member_id, sku, price, row_number() OVER (PARTITION BY member_id, sku ORDER BY order_ts, line_item_id) AS rn FROM o_orders JOIN o_lines USING (order_id) WHERE member_id IS NOT NULL)
+    SELECT i.member_id, r.bin, r.item_id AS sku, o.id AS order_id, r.delivery_date, nullif(r.pick_up_date, '') AS pick_up_date, coalesce(paid.price, s.avg_price) AS avg_price,
+           CASE r.l_linestatus WHEN 'F' THEN 'SF' ELSE 'NYC' END AS ops_location
+    FROM b_sheets r LEFT JOIN o_idmap i ON i.src = 'hubspot' AND i.src_id = r.hubspot_customer_id LEFT JOIN b_orders o ON CAST(o.order_number AS VARCHAR) = r.shopify_order_id
+    LEFT JOIN o_prices s ON s.sku = r.item_id LEFT JOIN paid ON paid.member_id = i.member_id AND paid.sku = s.sku AND paid.rn = 1""")(lambda w: rentals.fact_rental_sheets(
+    {"SF": w.source("sheets").filter("l_linestatus = 'F'"), "NYC": w.source("sheets").filter("l_linestatus = 'O'")}, w.idmap, w.orders, w.lines, w.source("orders"), w.prices))
 query("item_dim", "bin:s sku:s category:s purchase_date:d actual_purchase_price:m actual_total_cost:m assembly_time:f received:b asset_sold:b asset_sale_date:d asset_sale_amount:m asset_scrapped:b ops_location:s", "o_items")(lambda w: w.items)
 query("daily_revenue", "date:d kind:s n:i revenue:m", "SELECT date, CASE WHEN sku IS NULL THEN 'plan' ELSE 'rental' END AS kind, count(*) AS n, sum(revenue) AS revenue FROM o_revenue GROUP BY 1, 2")(
     lambda w: w.revenue.groupBy("date", F.when(F.col("sku").isNull(), "plan").otherwise("rental").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("revenue")))

@@ -104,3 +104,11 @@ def test_kpis_first_growth_is_null_and_totals_close(spark):
     assert [r.active_rental_mrr_net for r in got][:6] == [0.0, -3.0, 7.0, 7.0, 10.0, 10.0]
     long = kpis.kpi_long(kpis.kpis_by_day(members, out, off, "2022-01-01", "2022-01-10"))
     assert long.count() == 10 * 4 * 4
+
+
+def test_spines(spark):
+    assert [r.date for r in calendar.day_spine(spark, "2024-02-27", "2024-03-01").collect()] == [date(2024, 2, 27), date(2024, 2, 28), date(2024, 2, 29), date(2024, 3, 1)]
+    assert [r.month.month for r in calendar.month_spine(spark, "2024-01-15", "2024-03-01").collect()] == [1, 2, 3]
+    assert [r.ordinal for r in calendar.number_spine(spark, 3).collect()] == [0, 1, 2]
+    df = spark.createDataFrame([("a", 3), ("b", 0), ("c", None)], "k string, q int")
+    assert rows(calendar.expand_units(df, "q"), "k", "unit") == [("a", 1), ("a", 2), ("a", 3)]
