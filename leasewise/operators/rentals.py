@@ -198,17 +198,17 @@ def sku_agg(products: DataFrame, items: DataFrame, rentals: DataFrame, as_of: da
     days = overlap_days(start, end, first, yesterday)
     use = rentals.groupBy("sku").agg(
         F.countDistinct(F.when(active & (F.col("bin") != ""), F.col("bin"))).alias("active_count"),
-        F.count(F.lit(1)).alias("loop_numbers"),
-        F.avg(F.when(end.isNotNull(), F.datediff(end, start))).alias("avg_completed_loop_duration"),
-        F.avg(F.when(end.isNull(), F.datediff(today, start))).alias("avg_active_loop_duration"),
+        F.count(F.lit(1)).alias("rental_count"),
+        F.avg(F.when(end.isNotNull(), F.datediff(end, start))).alias("avg_completed_duration"),
+        F.avg(F.when(end.isNull(), F.datediff(today, start))).alias("avg_active_duration"),
         F.countDistinct("member_id").alias("total_members"),
         F.sum(F.when(active, F.col("avg_price")).otherwise(0)).cast(MONEY).alias("current_mrr"),
         F.sum(F.when(start < today, F.datediff(F.coalesce(end, today), start))).alias("total_rental_days"),
         F.sum(daily_rate("avg_price") * days).cast(RATE).alias("total_revenue"))
     named = products.select("sku", "product_name").distinct()
     return named.join(stock, "sku", "left").join(use, "sku", "left").select(
-        "sku", "product_name", "inventory_count", "active_count", "loop_numbers", "avg_completed_loop_duration",
-        "avg_active_loop_duration", "dwell_time", "total_revenue", "total_members", "current_mrr",
+        "sku", "product_name", "inventory_count", "active_count", "rental_count", "avg_completed_duration",
+        "avg_active_duration", "dwell_time", "total_revenue", "total_members", "current_mrr",
         "total_inventory_days", "total_rental_days", "non_dwell_inventory_days")
 
 

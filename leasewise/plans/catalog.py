@@ -313,7 +313,7 @@ query("depreciation", "date:d n:i depreciation_expense:m depreciated_amount:m re
     x AS (SELECT d.date, b.*, row_number() OVER (PARTITION BY b.bin ORDER BY d.date) AS n FROM o_days d JOIN b ON d.date >= first_d AND d.date < first_d + INTERVAL 720 DAY WHERE first_d <= {AS_OF})
     SELECT date, count(*) AS n, sum(daily) AS depreciation_expense, sum(daily * n) AS depreciated_amount, sum(amt - daily * n) AS remaining_value FROM x GROUP BY 1""")(
     lambda w: w.depreciation.groupBy("date").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("depreciation_expense", "depreciated_amount", "remaining_value")]))
-query("sku_agg", "sku:s product_name:s inventory_count:i active_count:i loop_numbers:i avg_completed_loop_duration:f avg_active_loop_duration:f dwell_time:f total_revenue:m total_members:i current_mrr:m total_inventory_days:i "
+query("sku_agg", "sku:s product_name:s inventory_count:i active_count:i rental_count:i avg_completed_duration:f avg_active_duration:f dwell_time:f total_revenue:m total_members:i current_mrr:m total_inventory_days:i "
       "total_rental_days:i non_dwell_inventory_days:i", "o_sku_agg")(lambda w: w.sku_agg)
 query("duration_median", "ops_location:s min_duration:i max_duration:i avg_duration:f median_duration:f observations:i", """
     SELECT ops_location, min(n) AS min_duration, max(n) AS max_duration, avg(n) AS avg_duration, median(n) AS median_duration, count(*) AS observations

@@ -207,15 +207,15 @@ ORACLE: dict[str, str] = {
                 sum(CASE WHEN purchase_date > DATE '1990-01-01' THEN date_diff('day', purchase_date, f.began) END) AS total_dwell
               FROM o_items LEFT JOIN (SELECT bin, min(delivery_date) AS began FROM o_rentals GROUP BY 1) f USING (bin) GROUP BY 1),
         use AS (SELECT sku, count(DISTINCT CASE WHEN {AS_OF} >= delivery_date AND ({AS_OF} <= pick_up_date OR pick_up_date IS NULL) AND bin <> '' THEN bin END) AS active_count,
-                count(1) AS loop_numbers, avg(CASE WHEN pick_up_date IS NOT NULL THEN date_diff('day', delivery_date, pick_up_date) END) AS avg_completed_loop_duration,
-                avg(CASE WHEN pick_up_date IS NULL THEN date_diff('day', delivery_date, {AS_OF}) END) AS avg_active_loop_duration,
+                count(1) AS rental_count, avg(CASE WHEN pick_up_date IS NOT NULL THEN date_diff('day', delivery_date, pick_up_date) END) AS avg_completed_duration,
+                avg(CASE WHEN pick_up_date IS NULL THEN date_diff('day', delivery_date, {AS_OF}) END) AS avg_active_duration,
                 count(DISTINCT member_id) AS total_members,
                 sum(CASE WHEN {AS_OF} >= delivery_date AND ({AS_OF} <= pick_up_date OR pick_up_date IS NULL) THEN avg_price ELSE 0 END) AS current_mrr,
                 sum(CASE WHEN delivery_date < {AS_OF} THEN date_diff('day', delivery_date, coalesce(pick_up_date, {AS_OF})) END) AS total_rental_days
               FROM o_rentals GROUP BY 1),
         rev AS (SELECT sku, sum(CAST(avg_price * 12 / 365 AS DECIMAL(24,6))) AS total_revenue FROM o_days d JOIN o_rentals r
                 ON d.date >= r.delivery_date AND d.date < coalesce(r.pick_up_date, DATE '9999-12-31') WHERE d.date < {AS_OF} GROUP BY 1)
-        SELECT p.sku, p.product_name, inventory_count, active_count, loop_numbers, avg_completed_loop_duration, avg_active_loop_duration, dwell_time,
+        SELECT p.sku, p.product_name, inventory_count, active_count, rental_count, avg_completed_duration, avg_active_duration, dwell_time,
                CASE WHEN use.sku IS NOT NULL THEN coalesce(total_revenue, 0) END AS total_revenue, total_members, current_mrr, total_inventory_days, total_rental_days,
                total_inventory_days - total_dwell AS non_dwell_inventory_days
         FROM o_products p LEFT JOIN stock USING (sku) LEFT JOIN use USING (sku) LEFT JOIN rev USING (sku)""",
