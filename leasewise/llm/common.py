@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,32 @@ def pieces(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
         yield batch.slice(start)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches that end where a group ends, from rows sorted by the key columns (without nulls)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        ends = np.flatnonzero(np.logical_or.reduce([c[1:] != c[:-1] for c in columns])) + 1
+        same = held and all(held[-1].column(k)[-1].as_py() == c[0] for k, c in zip(keys, columns))
+        if held and not same:
+            yield pa.concat_batches(held)
+            held = []
+        if len(ends):
+            yield pa.concat_batches([*held, batch.slice(0, ends[-1])])
+            held = []
+            batch = batch.slice(ends[-1])
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def group_starts(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+    return np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+
+
 def by_text(docs: DataFrame, keep: list[str], text: str, schema: str,
             function: Callable[[list[str | None]], dict[str, pa.Array]], most_bytes: int = 4 << 20) -> DataFrame:
     """`keep` columns plus what `function` makes of each run of texts.

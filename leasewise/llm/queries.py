@@ -6,10 +6,46 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import simhash, tokens
+from . import benchmark, chat, html, licenses, mixing, quality, secrets, simhash, substrings, tokens
 from .common import table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark.benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.secret_scan(docs, secrets.train(docs))
+
+
+def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against a variant that repeats its first answer at the end."""
+    turns = table(spark, sf_dir, "conversations")
+    return chat.preference_rows(turns, chat.repeated_answer(turns))
+
+
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.sampled(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,6 +56,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op9_simhash_near_dedup, op10_token_counts)}
-SQL: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
+    op1_quality_rules, op2_license_scan, op3_substring_dedup, op4_benchmark_decontamination, op5_html_extraction, op6_secret_scan,
+    op7_preference_formatting, op8_source_mixing, op9_simhash_near_dedup, op10_token_counts)}
+SQL: dict[str, str] = {
+    "op1_quality_rules": quality.SQL, "op3_substring_dedup": substrings.SQL, "op7_preference_formatting": chat.SQL}

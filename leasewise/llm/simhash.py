@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
-from .common import by_text
+from .common import by_text, group_starts, whole_groups
 
 RADIUS = 3
 BLOCKS = (13, 13, 13, 13, 12)  # widths; RADIUS differing bits leave at least two of five whole
@@ -144,33 +144,14 @@ def _split_masks(mask: int, radius: int) -> list[int]:
 def _linked(buckets: DataFrame, radius: int) -> DataFrame:
     """Links of buckets of bounded size: (a, b) with a spanning set per bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in _closed(batches):
-            if batch is not None:
-                now = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "bits", "fp"))
-                rest = now if rest is None else tuple(map(np.concatenate, zip(rest, now)))
-            if rest is None or not len(rest[0]):
-                continue
-            mask, bits, fp = rest
-            new = np.flatnonzero(np.r_[True, (mask[1:] != mask[:-1]) | (bits[1:] != bits[:-1])])
-            if batch is None:
-                whole, rest = len(fp), None
-            else:  # the last bucket may go on in the next batch
-                whole = new[-1]
-                rest = tuple(c[whole:] for c in rest)
-                new = new[:-1]
-            if whole:
-                a, b = links(fp[:whole].view(np.uint64), new, np.diff(np.r_[new, whole]), radius)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
+        for batch in whole_groups(batches, ["mask", "bits"]):
+            starts, fp = group_starts(batch, ["mask", "bits"]), batch.column("fp").to_numpy(zero_copy_only=False)
+            a, b = links(fp.view(np.uint64), starts, np.diff(np.r_[starts, len(fp)]), radius)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     return buckets.select("mask", "bits", "fp").mapInArrow(run, "a long, b long")
 
 
-def _closed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
-    yield None
-
-
 def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) between distinct fingerprints that give the same components as all links.
 
