@@ -21,7 +21,7 @@ ALPHA = 0.5  # default targets: shares of tokens to this power
 SHARE = 0.5  # expected share of all tokens in the sample, before saturation
 MOST_LABELS = 10_000  # language x topic pairs that the driver holds
 ROUNDS = 50
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 
 
 def topic_of(text: Column) -> Column:

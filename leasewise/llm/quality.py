@@ -66,10 +66,10 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda i: F.xxhash64(*[F.get("_hash", i + k) for k in range(GRAM)]))).alias("_grams"))
     # Places of windows found twice or more: equal neighbours after sorting.
     repeated = F.size(F.array_distinct("_grams")) < F.size("_grams")
-    placed = grams.withColumn("_sorted", F.when(repeated, F.array_sort(F.transform(
+    placed = grams.withColumn("_sorted", F.when(repeated, F.sort_array(F.transform(
         "_grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))))
     same = lambda a, b: F.coalesce(a["g"] == b["g"], F.lit(False))
-    twice = placed.withColumn("_at", F.array_sort(F.transform(
+    twice = placed.withColumn("_at", F.sort_array(F.transform(
         F.filter("_sorted", lambda e, i: same(e, F.get("_sorted", i - 1)) | same(e, F.get("_sorted", i + 1))), lambda e: e["i"])))
     covered = F.aggregate(
         F.transform("_at", lambda x, i: F.least(F.lit(GRAM), F.coalesce(F.get("_at", i + 1) - x, F.lit(GRAM)))),
@@ -125,7 +125,7 @@ def fences(sketch: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
     of_rule = lambda f: F.element_at(F.array(*[F.lit(f(r)) for r in RULES]), F.col("rule") + 1)
     spread = F.greatest(q75 - q25, of_rule(lambda r: r.least)) * of_rule(lambda r: r.reach)
     rows = rows.withColumn("low", F.when(of_rule(lambda r: r.both), q25 - spread).otherwise(F.lit(0)).cast("long")).withColumn("high", (q75 + spread).cast("long"))
-    limit = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("rule", c))), lambda x: x[c])  # noqa: E731  one row a rule
+    limit = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("rule", c))), lambda x: x[c])  # noqa: E731  one row a rule
     each = rows.groupBy("level", "lang", "source").agg(limit("low").alias("low"), limit("high").alias("high"), F.max("n").alias("n"))
     own, by_lang, every = (each.filter(F.col("level") == k) for k in range(3))
     pick = lambda c: F.when(F.col("n") >= least_rows, F.col(c)).when(F.col("_ln") >= least_rows, F.col(f"_l{c}")).otherwise(F.col(f"_a{c}"))
@@ -166,11 +166,12 @@ def quality_verdicts(docs: DataFrame, keep: str = "doc_id", text: str = "text",
 def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows that pass, with the columns they came with.
 
-    The limits come from all rows; the rows meet them in a join on language
-    and source, which is a broadcast while the limits are small.
+    The rows and their counts are written once: the limits come from all
+    rows, and the rows meet them in a join on language and source, which is a
+    broadcast while the limits are small.
     """
-    limits = cut(fences(sketches(measured(docs.select(text, lang, source), text), lang, source)))
-    return judged(measured(docs, text), limits, lang, source).filter("_kept").select(*docs.columns)
+    counted = cut(measured(docs, text))
+    return judged(counted, fences(sketches(counted, lang, source)), lang, source).filter("_kept").select(*docs.columns)
 
 
 def _sql_measure(r: Rule) -> str:

@@ -207,9 +207,30 @@ def near_duplicates(docs: DataFrame, keep: str = "doc_id", text: str = "text", s
     candidate for component_id, which is null where no row reached has an id.
     """
     marked = cut(fingerprints(docs, keep, text, shingle))
-    distinct = cut(marked.groupBy("fp").agg(F.min(keep).alias("_least")))
-    roots = components(near_links(distinct.select("fp"), radius))
-    placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    placed = _placed(marked.groupBy("fp").agg(F.min(keep).alias("_least")), radius)
     least = placed.groupBy("root").agg(F.min("_least").alias("component_id"))
     by_fp = placed.select("fp", "root").join(least, "root").select("fp", "component_id")
     return marked.join(by_fp, "fp").select(keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _placed(distinct: DataFrame, radius: int) -> DataFrame:
+    """The rows of distinct fingerprints (`fp`) with the root of their component."""
+    distinct = cut(distinct)
+    roots = components(near_links(distinct.select("fp"), radius))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def one_of_each(docs: DataFrame, keep: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, with the columns it came with.
+
+    The row with the smallest id stays, null ids last; of rows with that id
+    the one with the smallest digest of its text, and of equal ones any.
+    """
+    named = docs.select(F.struct(docs[keep].isNull(), docs[keep], F.md5(F.coalesce(docs[text], F.lit("")))).alias("row"), docs[text].alias("_text"))
+    marked = by_text(named.select(F.col("row.*"), "_text").toDF("none", "id", "digest", "_text"), ["none", "id", "digest"], "_text", "fp long", lambda texts: {
+        "fp": pa.array(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))})
+    placed = _placed(marked.groupBy("fp").agg(F.min(F.struct("none", "id", "digest")).alias("_least")), radius)
+    stay = placed.groupBy("root").agg(F.min("_least").alias("_stay")).select(
+        F.coalesce(F.col("_stay.id").cast("string"), F.lit("")).alias("_id"), F.col("_stay.digest").alias("_digest"))
+    keyed = docs.withColumns({"_id": F.coalesce(docs[keep].cast("string"), F.lit("")), "_digest": F.md5(F.coalesce(docs[text], F.lit("")))})
+    return keyed.join(stay, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"]).select(*docs.columns)
