@@ -158,7 +158,8 @@ def greatest_of(cols: Sequence[str | Column]) -> Column:
 
 
 def iso_utc(c: str | Column) -> Column:
-    return F.date_format(col(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO text in UTC, whatever the session's zone."""
+    return F.date_format(F.to_utc_timestamp(col(c).cast("timestamp"), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 # --- URLs ------------------------------------------------------------------
@@ -180,8 +181,8 @@ def page_handle(c: str | Column, folder: str = "products/") -> Column:
 
 
 def after_parameter(c: str | Column, name: str) -> Column:
-    """Value after `name=` anywhere in the URL, up to the next '&'."""
-    return F.regexp_replace(F.regexp_replace(col(c), f".*({name}=)", ""), r"(&).*", "")
+    """Value after the last `name=` in the URL, up to the next '&'; null without one."""
+    return blank_to_null(F.regexp_extract(col(c), f".*{name}=([^&]*)", 1))
 
 
 # --- JSON text -------------------------------------------------------------

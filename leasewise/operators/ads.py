@@ -112,9 +112,10 @@ def pivot_sources(spend: DataFrame, sources: Mapping[str, str] = REPORT_SOURCES)
 
 def _rates(prefix: str):
     spend, seen, clicks = (F.col(f"{prefix}_{m}") for m in ("spend", "impressions", "clicks"))
-    yield f"{prefix}_cpm", ratio(spend.cast("double") * 1000, seen)
-    yield f"{prefix}_cpc", ratio(spend, clicks)
-    yield f"{prefix}_ctr", ratio(clicks, seen)
+    none = F.lit(0.0)  # a day without impressions or clicks has rate 0
+    yield f"{prefix}_cpm", F.coalesce(ratio(spend.cast("double") * 1000, seen), none)
+    yield f"{prefix}_cpc", F.coalesce(ratio(spend, clicks), none)
+    yield f"{prefix}_ctr", F.coalesce(ratio(clicks, seen), none)
 
 
 def funnel_by_day(web: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ def channel_daily(web: DataFrame, spend: DataFrame, kpis: DataFrame, member_rows
     counts = kpis.select("date", "new_members", "new_annual_members", "new_monthly_members")
     for table in (pivot_sources(spend), funnel_by_day(web), counts, starts, off):
         out = out.join(table, "date", "left")
-    zeros = [f"{p}_{m}" for p in REPORT_SOURCES for m in ("spend", "impressions", "clicks")] + ["first_order_flagship_only"]
+    zeros = [f"{p}_{m}" for p in REPORT_SOURCES for m in ("spend", "impressions", "clicks", "cpm", "cpc", "ctr")] + ["first_order_flagship_only"]
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zeros})
     out = out.withColumns({f"facebook_total_{m}": F.col(f"facebook_sf_{m}") + F.col(f"facebook_ny_{m}") for m in ("spend", "impressions", "clicks")})
     out = out.withColumns(dict(_rates("facebook_total")))

@@ -28,34 +28,25 @@ def attribute(conversions: DataFrame, touches: DataFrame, lookback_h: int = 24 *
     many touches is spread over the slots.
     """
     slot = slot_days * DAY
-    own = conversions.select("conversion_id", "member_id", "order_ts", *keep)
+    # Count, first and last touch come from running counts, not from the pairs.
+    stats = _in_windows(conversions, touches, lookback_h, grace_h, slot_days).select(
+        "conversion_id", F.col("touches").alias("_n"), F.col("_first.id").alias("_first"), F.col("_last.id").alias("_last"))
+    heads = conversions.select("conversion_id", "member_id", "order_ts", *keep).join(stats, "conversion_id", how)
     sec = epoch_second("order_ts")
     slots = F.sequence(F.floor((sec - lookback_h * HOUR) / slot), F.floor((sec + grace_h * HOUR) / slot))
-    wide = own.withColumn("_slot", F.explode(slots))
+    none = F.array(F.lit(None).cast("bigint"))  # a conversion without touches meets no slot and keeps its row
+    wide = heads.withColumn("_slot", F.explode(F.when(F.col("_n").isNull(), none).otherwise(slots)))
     seen = touches.select("event_id", "member_id", "event_ts", "channel_id", "campaign_id").withColumn(
         "_slot", F.floor(epoch_second("event_ts") / slot))
     order_at, event_at = F.col("order_ts").cast("timestamp"), F.col("event_ts").cast("timestamp")
-    pairs = wide.join(seen, ["member_id", "_slot"]).filter(
-        (event_at <= order_at + F.expr(f"interval {grace_h} hours"))
+    rows = wide.join(seen, ["member_id", "_slot"], how).filter(
+        F.col("_n").isNull() | (event_at <= order_at + F.expr(f"interval {grace_h} hours"))
         & (event_at >= order_at - F.expr(f"interval {lookback_h} hours"))).drop("_slot")
-    rows = pairs.withColumn("_touch", F.lit(True))
-    if how == "left":
-        # One marker row per conversion: kept only where there is no touch.
-        kinds = dict(touches.dtypes)
-        markers = own.select("*", *[F.lit(None).cast(kinds[c]).alias(c) for c in ("event_id", "event_ts", "channel_id", "campaign_id")])
-        rows = rows.unionByName(markers.withColumn("_touch", F.lit(False)))
-    # Count, first and last touch come from one aggregate, not from windows
-    # over a conversion.
-    rank = F.struct("event_ts", "event_id")
-    seen_rank = F.when(F.col("_touch"), rank)
-    ends = rows.groupBy("conversion_id").agg(
-        F.count_if("_touch").alias("_n"), F.min(seen_rank).alias("_first"), F.max(seen_rank).alias("_last"))
-    rows = rows.join(ends, "conversion_id").filter(F.col("_touch") | (F.col("_n") == 0))
-    alone = F.col("_n") == 0
-    first, last = alone | (rank == F.col("_first")), alone | (rank == F.col("_last"))
+    alone = F.col("_n").isNull()
+    first, last = alone | (F.col("event_id") == F.col("_first")), alone | (F.col("event_id") == F.col("_last"))
     one, zero = F.lit(1.0), F.lit(0.0)
     shared = (
-        F.when(F.col("_n") <= 1, 1.0).when(F.col("_n") == 2, 0.5).when(first | last, 0.25)
+        F.when(alone | (F.col("_n") <= 1), 1.0).when(F.col("_n") == 2, 0.5).when(first | last, 0.25)
         .otherwise(F.lit(0.5) / (F.col("_n") - 2.0)))
     return rows.select(
         "conversion_id", "member_id", "event_id", "order_ts", "event_ts",
@@ -80,73 +71,89 @@ def member_attribution(members: DataFrame, web: DataFrame, as_of, **window) -> D
     return attribute(starts, member_touches(web), **window).drop("conversion_id")
 
 
-def order_attribution(orders: DataFrame, web: DataFrame, channels: Sequence[str], lookback_h: int = 8760) -> DataFrame:
-    """Orders credited to sessions of the year before, per order and channel.
+def _orders(orders: DataFrame) -> DataFrame:
+    return orders.filter("member_id is not null").select(F.col("order_id").alias("conversion_id"), "member_id", "order_ts")
 
-    No grace; orders without a session are left out.  A member may have many
-    orders, so the credit is summed per channel instead of listing each pair.
+
+def order_attribution(orders: DataFrame, web: DataFrame, lookback_h: int = 8760) -> DataFrame:
+    """Orders credited to sessions of the year before: one row per order and session.
+
+    No grace; orders without a session are left out.  The rows are the
+    product of a member's orders and sessions in the window;
+    `order_channel_credit` gives the sums per channel without them.
     """
-    made = orders.filter("member_id is not null").select(
-        F.col("order_id").alias("conversion_id"), "member_id", "order_ts")
-    out = channel_credit(made, member_touches(web), channels, lookback_h, 0)
+    return attribute(_orders(orders), member_touches(web), lookback_h, 0, "inner").withColumnRenamed("conversion_id", "order_id")
+
+
+def order_channel_credit(orders: DataFrame, web: DataFrame, lookback_h: int = 8760) -> DataFrame:
+    """The credit of `order_attribution` per order and channel."""
+    out = channel_credit(_orders(orders), member_touches(web), lookback_h, 0)
     return out.filter("touches > 0").withColumnRenamed("conversion_id", "order_id")
 
 
-def channel_credit(conversions: DataFrame, touches: DataFrame, channels: Sequence[str], lookback_h: int = 24 * 180,
-                   grace_h: int = 24, slot_days: int = 30) -> DataFrame:
-    """Credit per conversion and channel, without a row per conversion and touch.
+def _in_windows(conversions: DataFrame, touches: DataFrame, lookback_h: int, grace_h: int, slot_days: int, by: Sequence[str] = ()) -> DataFrame:
+    """(conversion_id, *by, touches, _first, _last) of conversions with a touch in their window.
 
-    Gives the sums of `attribute` when a member has many conversions, each
-    with many touches: the touches of a channel inside a window are the
-    difference of two running counts, the ends the nearest touches to its
-    bounds.  Counts run inside slots of time; one row per slot carries them on.
-    channels: all channel ids that occur, `direct` for touches without one.
+    Without a row per conversion and touch: the touches inside a window are
+    the difference of two running counts, its ends the nearest touches to its
+    bounds.  Counts run inside slots of time; one row per slot carries them
+    on.  With `by` (columns of the touches) all that holds per value.
     """
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     hour, slot = HOUR * 1_000_000, slot_days * DAY * 1_000_000
-    named = list(dict.fromkeys([*channels, "direct"]))
-    counts = [f"_c{i}" for i in range(len(named))]
-    seen = touches.filter("member_id is not null").select(
-        "member_id", micros("event_ts").alias("_t"), F.lit(1).alias("_kind"),
-        F.lit(None).cast(dict(conversions.dtypes)["conversion_id"]).alias("conversion_id"),
-        F.struct(micros("event_ts").alias("t"), F.col("event_id").alias("id"), F.coalesce("channel_id", F.lit("direct")).alias("channel")).alias("_touch"))
+    own = touches.filter("member_id is not null")
+    seen = own.select(
+        "member_id", *by, micros("event_ts").alias("_t"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(conversions.schema["conversion_id"].dataType).alias("conversion_id"),
+        F.struct(micros("event_ts").alias("t"), F.col("event_id").alias("id")).alias("_touch"))
     # A window's lower bound sorts before touches at its time, the upper after.
     bounds = F.array(F.struct((micros("order_ts") - lookback_h * hour).alias("_t"), F.lit(0).alias("_kind")),
                      F.struct((micros("order_ts") + grace_h * hour).alias("_t"), F.lit(2).alias("_kind")))
-    probes = conversions.filter("member_id is not null").select("member_id", F.explode(bounds).alias("b"), "conversion_id").select(
-        "member_id", "b._t", "b._kind", "conversion_id", F.lit(None).cast(seen.schema["_touch"].dataType).alias("_touch"))
-    line = seen.unionByName(probes).withColumn("_slot", F.floor(F.col("_t") / slot))
-    line = line.withColumns({c: (F.col("_touch.channel") == n).cast("long") for c, n in zip(counts, named)})
-    w = Window.partitionBy("member_id", "_slot").orderBy("_t", "_kind", "_touch.id")
+    probes = conversions.filter("member_id is not null").select("member_id", F.explode(bounds).alias("b"), "conversion_id")
+    if by:
+        probes = probes.join(own.select("member_id", *by).distinct(), "member_id")
+    line = seen.unionByName(probes.select("member_id", *by, "b._t", "b._kind", "conversion_id"), allowMissingColumns=True)
+    line = line.withColumn("_slot", F.floor(F.col("_t") / slot))
+    keys = ["member_id", *by]
+    w = Window.partitionBy(*keys, "_slot").orderBy("_t", "_kind", "_touch.id")
     upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    zero = F.lit(0)
     inside = line.select(
-        "member_id", "_slot", "_kind", "conversion_id", *[F.coalesce(F.sum(c).over(upto), zero).alias(c) for c in counts],
+        *keys, "_slot", "_kind", "conversion_id", F.count("_touch").over(upto).alias("_n"),
         F.last("_touch", ignorenulls=True).over(upto).alias("_back"), F.first("_touch", ignorenulls=True).over(onward).alias("_ahead"),
     ).filter("_kind <> 1")
-    slots = line.groupBy("member_id", "_slot").agg(*[F.sum(c).alias(c) for c in counts], F.max("_touch").alias("_end"), F.min("_touch").alias("_begin"))
-    along = Window.partitionBy("member_id").orderBy("_slot")
+    slots = line.groupBy(*keys, "_slot").agg(F.count("_touch").alias("_n"), F.max("_touch").alias("_end"), F.min("_touch").alias("_begin"))
+    along = Window.partitionBy(*keys).orderBy("_slot")
     earlier, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
     slots = slots.select(
-        "member_id", "_slot", *[F.coalesce(F.sum(c).over(earlier), zero).alias(f"_s{c}") for c in counts],
+        *keys, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_sum"),
         F.last("_end", ignorenulls=True).over(earlier).alias("_before"), F.first("_begin", ignorenulls=True).over(later).alias("_after"))
-    at = inside.join(slots, ["member_id", "_slot"])
     low, high = F.col("_kind") == 0, F.col("_kind") == 2
-    total = {c: F.col(c) + F.col(f"_s{c}") for c in counts}
-    per = at.groupBy("conversion_id").agg(
-        *[(F.max(F.when(high, v)) - F.max(F.when(low, v))).alias(c) for c, v in total.items()],
-        F.max(F.when(low, F.coalesce("_ahead", "_after")))["channel"].alias("_first"),
-        F.max(F.when(high, F.coalesce("_back", "_before")))["channel"].alias("_last"))
-    n = sum((F.col(c) for c in counts), F.lit(0))
-    entries = F.array(*[F.struct(F.lit(name).alias("channel_id"), F.col(c).alias("touches")) for c, name in zip(counts, named)])
-    per = per.withColumn("_n", n).filter("_n > 0").select("conversion_id", "_n", "_first", "_last", F.inline(entries)).filter("touches > 0")
-    first, last = (F.col("channel_id") == F.col("_first")).cast("double"), (F.col("channel_id") == F.col("_last")).cast("double")
-    shared = (
-        F.when(F.col("_n") <= 2, F.col("touches") / F.col("_n"))
-        .otherwise((first + last) * 0.25 + (F.col("touches") - first - last) * (F.lit(0.5) / (F.col("_n") - 2.0))))
-    credited = per.select("conversion_id", "channel_id", "touches", first.alias("first_touch"), last.alias("last_touch"), shared.alias("multi_touch"))
-    heads = conversions.select("conversion_id", "member_id", "order_ts")
-    out = heads.join(credited, "conversion_id", "left")
+    total = F.col("_n") + F.col("_sum")
+    return inside.join(slots, [*keys, "_slot"]).groupBy("conversion_id", *by).agg(
+        (F.max(F.when(high, total)) - F.max(F.when(low, total))).alias("touches"),
+        F.max(F.when(low, F.coalesce("_ahead", "_after"))).alias("_first"),
+        F.max(F.when(high, F.coalesce("_back", "_before"))).alias("_last")).filter("touches > 0")
+
+
+def channel_credit(conversions: DataFrame, touches: DataFrame, lookback_h: int = 24 * 180,
+                   grace_h: int = 24, slot_days: int = 30) -> DataFrame:
+    """Credit per conversion and channel, without a row per conversion and touch.
+
+    Gives the sums of `attribute` when a member has many conversions, each
+    with many touches; `direct` stands for touches without a channel.
+    """
+    named = touches.select("event_id", "member_id", "event_ts", F.coalesce("channel_id", F.lit("direct")).alias("channel_id"))
+    per = _in_windows(conversions, named, lookback_h, grace_h, slot_days, ["channel_id"])
+    whole = Window.partitionBy("conversion_id")  # its channels
+    per = per.select(
+        "*", F.sum("touches").over(whole).alias("_n"),
+        (F.col("_first") == F.min("_first").over(whole)).cast("double").alias("first_touch"),
+        (F.col("_last") == F.max("_last").over(whole)).cast("double").alias("last_touch"))
+    ends = F.col("first_touch") + F.col("last_touch")
+    shared = F.when(F.col("_n") <= 2, F.col("touches") / F.col("_n")).otherwise(
+        ends * 0.25 + (F.col("touches") - ends) * F.try_divide(F.lit(0.5), F.col("_n") - 2.0))
+    credited = per.select("conversion_id", "channel_id", "touches", "first_touch", "last_touch", shared.alias("multi_touch"))
+    out = conversions.select("conversion_id", "member_id", "order_ts").join(credited, "conversion_id", "left")
     one = F.lit(1.0)
     return out.select(
         "conversion_id", "member_id", "order_ts", F.coalesce("channel_id", F.lit("direct")).alias("channel_id"), F.coalesce("touches", F.lit(0)).alias("touches"),

@@ -339,25 +339,20 @@ def renewal_lines(line_items: DataFrame, orders: DataFrame) -> DataFrame:
         ~F.col("is_first") & (F.col("source_name") == RENEWAL)).select(*LINE_COLUMNS)
 
 
-def fulfilment_lines(line_items: DataFrame, orders: DataFrame, bundles: DataFrame,
-                     max_units: int | None = None) -> DataFrame:
+def fulfilment_lines(line_items: DataFrame, orders: DataFrame, bundles: DataFrame) -> DataFrame:
     """Lines to fulfil: no renewals, one row per unit, bundles split in two.
 
-    bundles: product_id, extra_name, extra_product_id.  Unit n > 1 has n put
-    before the id, from 9 on with a dash between; the second part of a bundle
-    has '9' before the id and price 0.  All units are listed unless
-    `max_units` is given (the reference lists 8).
+    bundles: product_id, extra_name, extra_product_id.  Unit n > 1 has `n-`
+    before the id; the second part of a bundle has `9.` before its unit's id,
+    and price 0.  All units are listed.
     """
     wanted = F.coalesce("quantity", F.lit(1)).cast("int")
-    if max_units is not None:
-        wanted = F.least(wanted, F.lit(max_units))
     lines = _repeats(line_items, orders).filter(F.col("is_first") | (F.col("source_name") != RENEWAL)).select(*LINE_COLUMNS)
     counted = lines.withColumn("_units", F.greatest(F.lit(1), wanted))
     n, plain = F.col("unit").cast("string"), F.col("id")
-    named = lambda mark: F.when(F.col("unit") > 8, F.concat(n, F.lit("-" + mark), plain)).when(
-        F.col("unit") > 1, F.concat(F.lit(mark), n, plain)).otherwise(F.concat(F.lit(mark), plain))
+    named = lambda mark: F.concat(F.lit(mark), F.when(F.col("unit") > 1, F.concat(n, F.lit("-"), plain)).otherwise(plain))
     units = expand_units(counted, "_units").select(
-        named("").alias("id"), named("9").alias("_second_id"), "price", F.lit(1).alias("quantity"), "title", "total_discount", "variant_id", "name", "product_id", "order_id",
+        named("").alias("id"), named("9.").alias("_second_id"), "price", F.lit(1).alias("quantity"), "title", "total_discount", "variant_id", "name", "product_id", "order_id",
         F.col("id").alias("raw_order_line_id"), F.coalesce(F.col("quantity") > 1, F.lit(False)).alias("multiple_qty_flag"))
     paired = lookup(units, bundles, "product_id").withColumn("unbundled_flag", F.col("extra_product_id").isNotNull())
     parts = F.when(F.col("unbundled_flag"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))

@@ -69,7 +69,7 @@ def resolve_actor(events: DataFrame, idmap: DataFrame) -> DataFrame:
     """Add master_user_id: known member, else user id, else anonymous id."""
     by_device = ids_of(idmap, TRACKER, "anonymous_id", "_by_device")
     by_user = ids_of(idmap, STORE, "user_id", "_by_user")
-    out = lookup(lookup(events, by_device, "anonymous_id"), by_user, "user_id")
+    out = lookup(lookup(events, by_device, "anonymous_id", ["id"]), by_user, "user_id", ["id"])
     return out.withColumn(
         "master_user_id", F.coalesce("_by_device", "_by_user", "user_id", "anonymous_id")
     ).drop("_by_device", "_by_user")
@@ -83,7 +83,7 @@ def message_events(messages: DataFrame, emails: DataFrame) -> DataFrame:
     """
     extra = ["link_url"] if "link_url" in messages.columns else []
     keyed = messages.withColumn("email_key", email_key("context_traits_email"))
-    return lookup(keyed, emails, "email_key").select(
+    return lookup(keyed, emails, "email_key", ["id"]).select(
         F.col("id").alias("event_id"), F.coalesce("member_id", "email_key").alias("member_id"),
         F.col("context_traits_email").alias("email"), F.col("timestamp").alias("event_ts"),
         "campaign_id", "campaign_name", *extra)

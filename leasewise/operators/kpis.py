@@ -15,8 +15,10 @@ from .ordered import flag_first, lookup, numbered_all
 
 STATUSES = ("new", "scheduled", "active", "inactive", "lapsed")
 TYPES = {"": (ANNUAL, MONTHLY), "_annual": (ANNUAL,), "_monthly": (MONTHLY,), "_per_item": (PER_ITEM,)}
-# Status labels that take a lapsed member out of a running count.
-LAPSED_LABELS = {"new": "1. new", "scheduled": "2. scheduled", "active": "3. active", "inactive": "4. inactive"}
+# Status labels that take a lapsed member out of a running count; `dim_members` gives these.
+LAPSED_LABELS = {"new": "Pre Active", "scheduled": "Scheduled", "active": "Active", "inactive": "Churned"}
+# Names of the statuses in the long form.
+LONG_NAMES = {"new": "1. new", "scheduled": "2. scheduled", "active": "3. active", "inactive": "4. inactive"}
 
 
 def plan_mrr(kind: str | Column = "membership_type") -> Column:
@@ -167,7 +169,7 @@ def kpi_long(kpis: DataFrame) -> DataFrame:
     entries = [
         F.struct(F.lit(t.lstrip("_") or "total").alias("member_type"), F.lit(label).alias("member_status"),
                  F.col(f"current_{s}{t}_members").alias("member_count"))
-        for t in TYPES for s, label in LAPSED_LABELS.items()]
+        for t in TYPES for s, label in LONG_NAMES.items()]
     return kpis.select("date", F.inline(F.array(*entries)))
 
 

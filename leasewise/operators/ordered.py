@@ -16,8 +16,6 @@ from pyspark.sql.window import Window
 from ..functions.exprs import col
 from ..session import cut
 
-SPREAD = 64  # tasks over which rows with a null join key are spread
-
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -34,15 +32,17 @@ def solid_keys(df: DataFrame, keys: str | Sequence[str]) -> tuple[DataFrame, lis
     return df.withColumns({n: F.coalesce(F.col(k).cast("string"), F.lit("\u0000")) for n, k in zip(names, keys)}), names
 
 
-def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str]) -> DataFrame:
+def lookup(left: DataFrame, right: DataFrame, on: str | Sequence[str], spread: Sequence[str] = ()) -> DataFrame:
     """Left join of a fact to a keyed table.
 
-    A null first key matches nothing; such rows get filler keys, so that they
-    do not all land in one partition.
+    A null first key matches nothing.  Where many keys are null, `spread`
+    names columns of the left side whose hash stands in for the key, so that
+    such rows do not land in one partition; name columns that are read anyway.
     """
     keys = _keys(on)
-    filler = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*left.columns), F.lit(SPREAD)).cast("string"))
-    probe = F.coalesce(F.col(keys[0]).cast("string"), filler)
+    probe = F.col(keys[0]).cast("string")
+    if spread:
+        probe = F.coalesce(probe, F.concat(F.lit("\u0000"), F.xxhash64(*spread).cast("string")))
     l = left.withColumn("_probe", probe)
     r = right.withColumn("_probe", F.col(keys[0]).cast("string")).drop(keys[0])
     return l.join(r, ["_probe", *keys[1:]], "left").drop("_probe")

@@ -95,7 +95,7 @@ def flag_internal(events: DataFrame, exclusions: DataFrame, email_patterns: Sequ
     for kind in ("context_ip", "email", "anonymous_id"):
         listed = exclusions.filter(F.col("kind") == kind).select(
             F.col("value").alias(kind), F.lit(True).alias(f"_x_{kind}")).distinct()
-        out = lookup(out, listed, kind)
+        out = lookup(out, listed, kind, ["id"])
         hit = hit | F.coalesce(F.col(f"_x_{kind}"), F.lit(False))
     return out.withColumn("is_internal", hit).drop("_x_context_ip", "_x_email", "_x_anonymous_id")
 
@@ -153,10 +153,11 @@ def touch_attributes(df: DataFrame, actor: str, ts: str, event_id: str, columns:
     return df.groupBy(actor).agg(*firsts, *lasts)
 
 
-def session_attributes(events: DataFrame, dev_site: str = "%-dev.%") -> DataFrame:
+def session_attributes(events: DataFrame, dev_site: str = "%-dev.%", extra: Sequence[Column] = ()) -> DataFrame:
     """One row per session: campaign, referrer, click id, flags, bounds, pages.
 
     The reference needs a window per attribute; one aggregate gives them all.
+    extra: further aggregates over the events of a session.
     """
     order = F.struct("timestamp", "id")
     firsts = [first_value(f"context_campaign_{c}", "timestamp", "id").alias(f"session_campaign_{c}") for c in CAMPAIGN]
@@ -170,7 +171,7 @@ def session_attributes(events: DataFrame, dev_site: str = "%-dev.%") -> DataFram
         F.min("timestamp").alias("session_start_ts"), F.max("timestamp").alias("session_end_ts"),
         has(dev_site).alias("is_dev_session"),
         F.count_if(F.col("src_tbl") == "pages").alias("session_page_views"),
-        before(first_value("url", "timestamp", "id"), "?").alias("session_first_url"),
+        before(first_value("url", "timestamp", "id"), "?").alias("session_first_url"), *extra,
     ).withColumn("is_bounce_session", F.col("session_page_views") == 1)
 
 
@@ -194,15 +195,19 @@ def enrich_sessions(sessioned: DataFrame, idmap: DataFrame, members: DataFrame,
     by_click = by_click.join(first_rows(paid, "campaign_id", ["ad_campaign_id"]), "campaign_id").select(
         F.col("gcl_id").alias("session_gcl_id"), "ad_campaign_id", "ad_channel_id")
 
-    # Sessions and visitors are aggregated from the events as they come in;
-    # the other lookups run once, on the way to the result.
-    sessions = classify_channel(
-        lookup(session_attributes(sessioned, dev_site), by_click, "session_gcl_id"),
-        sponsored, f"%{own_site}%").filter("is_dev_session = 0")
+    # Sessions are aggregated from the events as they come in, visitors from
+    # the sessions.  Only the first visit counts development sessions.
     flags = module_flags(modules or {}, f"https://{own_site}/")
-    visitors = sessioned.groupBy("master_user_id").agg(
-        F.min("timestamp").alias("user_first_visit_ts"),
-        first_value(device_class("context_user_agent"), "timestamp", "id").alias("session_device_type"), *flags)
+    device = device_class("context_user_agent")
+    seen = F.min(F.when(device.isNotNull(), F.struct(F.col("timestamp"), F.col("id"), device.alias("device")))).alias("_device")
+    every = session_attributes(sessioned, dev_site, [seen, *flags])
+    kept = F.col("is_dev_session") == 0
+    names = [f"is_{name}_module" for name in modules or {}]
+    visitors = every.groupBy("master_user_id").agg(
+        F.min("session_start_ts").alias("user_first_visit_ts"), F.min(F.when(kept, F.col("_device")))["device"].alias("session_device_type"),
+        *[F.coalesce(F.max(F.when(kept, F.col(n))), F.lit(0)).alias(n) for n in names])
+    sessions = classify_channel(
+        lookup(every.filter(kept).drop("_device", *names), by_click, "session_gcl_id"), sponsored, f"%{own_site}%")
     touched = [f"session_{c}" for c in ("channel_id", *[f"campaign_{c}" for c in CAMPAIGN])]
     touches = touch_attributes(sessions, "master_user_id", "session_start_ts", "session_id", touched)
     visitors = visitors.join(touches, "master_user_id", "left")
@@ -216,7 +221,7 @@ def enrich_sessions(sessioned: DataFrame, idmap: DataFrame, members: DataFrame,
     known = first_rows(by_store.unionByName(direct), "master_user_id", ["_rank"]).drop("_rank")
     visitors = visitors.join(known, "master_user_id", "left")
 
-    out = lookup(sessioned.join(sessions.drop("master_user_id"), "session_id"), visitors, "master_user_id")
+    out = lookup(sessioned.join(sessions.drop("master_user_id"), "session_id"), visitors, "master_user_id", ["id"])
     existing = F.col("timestamp").cast("date") > F.date_add(F.col("membership_start_dt").cast("date"), 1)
     out = (
         out.withColumn("membership_state", F.when(existing, "existing").otherwise("new")).drop("membership_start_dt")
@@ -229,13 +234,13 @@ def enrich_sessions(sessioned: DataFrame, idmap: DataFrame, members: DataFrame,
     # Product by page handle, social campaign by name, place by address.
     by_handle = products.select(F.lower(F.trim("handle")).alias("_handle"), F.col("id").alias("_product"))
     out = lookup(out.withColumn("_handle", F.lower(F.trim("product_name"))),
-                 first_rows(by_handle, "_handle", ["_product"]), "_handle")
+                 first_rows(by_handle, "_handle", ["_product"]), "_handle", ["id"])
     social = campaigns.filter("channel_id = 'facebook_ads'").select(
         F.col("src_campaign_id").alias("context_campaign_name"), F.col("campaign_id").alias("_social"))
-    out = lookup(out, first_rows(social, "context_campaign_name", ["_social"]), "context_campaign_name")
+    out = lookup(out, first_rows(social, "context_campaign_name", ["_social"]), "context_campaign_name", ["id"])
     places = geo.select(F.col("ip_id").alias("context_ip"), F.col("region").alias("ip_region"),
                         F.col("country").alias("ip_country"), F.col("city").alias("ip_city"))
-    out = lookup(out, first_rows(places, "context_ip", ["ip_region", "ip_city"]), "context_ip")
+    out = lookup(out, first_rows(places, "context_ip", ["ip_region", "ip_city"]), "context_ip", ["id"])
     paid_social = (F.lower("context_campaign_source") == "facebook") & F.col("_social").isNotNull()
     return (
         out.withColumn("product_id_master", F.coalesce("product_id", "_product"))
@@ -290,7 +295,7 @@ def page_views(web: DataFrame, own_site: str = "shop") -> DataFrame:
     """Per event: session, product, day, own-site referral, member's page views."""
     views = web.filter("src_tbl = 'pages' and member_id is not null").groupBy("member_id").agg(
         F.count(F.lit(1)).alias("page_views"))
-    return lookup(web, views, "member_id").select(
+    return lookup(web, views, "member_id", ["session_id"]).select(
         "member_id", "session_id", "product_id_master", F.col("created_at").cast("date").alias("created_at"),
         F.coalesce(F.col("referrer").contains(own_site), F.lit(False)).alias("own_referred"), "page_views")
 
@@ -308,10 +313,10 @@ def registry_agg(web: DataFrame, members: DataFrame) -> DataFrame:
         F.min(at("registry_checkout_started")).alias("first_registry_checkout_ts"),
         F.max(at("registry_checkout_started")).alias("last_registry_checkout_ts"),
         F.sum(F.when(kind == "registry_checkout_started", 1)).alias("total_registry_checkouts"))
+    buyers = web.filter("src_tbl = 'order_completed'").select("user_id").distinct().withColumn("_bought", F.lit(1))
     ordered = (
         base.filter("first_registry_checkout_ts is not null").select("user_id").distinct()
-        .join(web.select("user_id", "src_tbl"), "user_id", "left").groupBy("user_id")
-        .agg(F.max(F.when(F.col("src_tbl") == "order_completed", 1).otherwise(0)).alias("order_completed")))
+        .join(buyers, "user_id", "left").select("user_id", F.coalesce("_bought", F.lit(0)).alias("order_completed")))
     names = members.select("member_id", "first_name", "last_initial", "hubspot_customer_id")
     created = base.filter("registry_creation_ts is not null")
     return lookup(lookup(created, names, "member_id"), ordered, "user_id")
@@ -355,18 +360,23 @@ def pre_post(web: DataFrame, tracker: DataFrame, idmap: DataFrame, days: int = 3
     """
     ids = ids_of(idmap, TRACKER, "anonymous_id", "_mapped")
     who = F.coalesce("member_id", "_mapped", "anonymous_id", "user_id")
-    ev = lookup(web, ids, "anonymous_id").withColumn("_who", who)
-    orders = ev.filter("src_tbl = 'order_completed'").groupBy("session_id").agg(
-        F.min_by("_who", F.struct("timestamp", "id")).alias("_buyer"))
+    needed = web.select("id", "session_id", "timestamp", "src_tbl", "url", "member_id", "anonymous_id", "user_id")
+    named = lambda rows: lookup(rows, ids, "anonymous_id", ["id"]).withColumn("_who", who)
+    # Pages and days are cut before any lookup; buyers come from order events only.
     live = tracker.select("product", url_path("url").alias("page"), F.col("live_date").cast("date").alias("go_live_date"))
     at = F.col("timestamp").cast("timestamp")
-    ev = ev.withColumn("page", url_path("url")).join(live, "page").filter(
+    near = needed.withColumn("page", url_path("url")).join(live, "page").filter(
         (at >= F.date_sub("go_live_date", days).cast("timestamp"))
         & (at <= F.date_add("go_live_date", days).cast("timestamp")))
-    ev = lookup(ev, orders, "session_id").withColumn("event_date", F.col("timestamp").cast("date"))
-    return ev.groupBy("go_live_date", "event_date", "product", "page").agg(
+    orders = named(needed.filter("src_tbl = 'order_completed'")).groupBy("session_id").agg(
+        F.min_by("_who", F.struct("timestamp", "id")).alias("_buyer"))
+    # One row per session and visitor of a page and day before anything is counted.
+    keys = ["go_live_date", "event_date", "product", "page"]
+    visits = named(near).withColumn("event_date", F.col("timestamp").cast("date")).groupBy(*keys, "session_id", "_who").agg(
+        F.max(F.when(F.col("src_tbl") == "product_added", 1)).alias("_added"))
+    return lookup(visits, orders, "session_id").groupBy(*keys).agg(
         F.countDistinct("session_id").alias("distinct_sessions"), F.countDistinct("_who").alias("distinct_members"),
-        F.countDistinct(F.when(F.col("src_tbl") == "product_added", F.col("session_id"))).alias("num_add_to_cart_events"),
+        F.countDistinct(F.when(F.col("_added") == 1, F.col("session_id"))).alias("num_add_to_cart_events"),
         F.countDistinct("_buyer").alias("num_orders_completed"),
     ).withColumn("period", F.when(F.col("event_date") < F.col("go_live_date"), "PRE").otherwise("POST"))
 

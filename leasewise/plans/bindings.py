@@ -9,11 +9,9 @@ blanks, number formats, JSON) are made with expressions on a row's own values.
 from __future__ import annotations
 
 import re
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.identity import STORE, ids_of
 from ..session import cut, tune
 from .warehouse import Settings, Warehouse
 
@@ -22,7 +20,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 SETTINGS = Settings(
     as_of="2001-06-01", first_day="1995-01-01", flagship_sku="42", flagship_pattern="%flagship%",
-    influencer_pattern="%SHARE3%", sharing_pattern="%SHARE7%", bought_after="1990-01-01", session_gap_s=43200,
+    influencer_pattern="%SHARE3%", sharing_pattern="%SHARE7%", bought_after="1990-01-01",
     internal_emails=("%corp.example.com%",), sponsored={"partner": "sc_partner"},
     modules={"one": "1", "two": "2"}, ops_states=(("SF", ("%n_1%",)), ("NYC", ("%n_2%", "%n_3%"))),
     lapsed_labels={"new": "Pre Active", "scheduled": "Scheduled", "active": "Active", "inactive": "Churned"},
@@ -31,11 +29,21 @@ SETTINGS = Settings(
 )
 
 K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
+# Events are a month of 2024; orders and rentals run from 1995 to 2001.  So
+# that visits fall before, around and after memberships, each user's month is
+# moved back by whole days, and each day is run through twenty times as fast.
+_SECOND = "CAST(floor((extract(HOUR FROM ts) * 3600 + extract(MINUTE FROM ts) * 60 + extract(SECOND FROM ts)) / 20) AS INT)"
+MOVED = f"CAST(CAST(ts AS DATE) AS TIMESTAMP) - INTERVAL '1' DAY * (8280 + CAST(user_id AS INT) % 8 * 300) + INTERVAL '1' SECOND * {_SECOND}"
 LINE = ("CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
         "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)")
 DEVICE = "'d' || CAST(user_id AS STRING) || '-' || CAST(k % 4 AS STRING)"
 
 
+TODAY = f"CAST('{SETTINGS.as_of}' AS DATE)"
+SENT = f"CASE WHEN CAST(l_shipdate AS DATE) > {TODAY} - 120 THEN {TODAY} - 120 ELSE CAST(l_shipdate AS DATE) END"
+DELIVERED = f"CASE WHEN g = 5 OR (g = 7 AND n = 2) OR (g = 9 AND n = 1) THEN {TODAY} + 15 WHEN g > 5 THEN {SENT} ELSE CAST(l_shipdate AS DATE) END"
+
+
 def _money(c: str) -> str:
     return f"CAST({c} AS DECIMAL(18,2))"
 
@@ -80,7 +88,7 @@ BINDINGS: dict[str, str] = {
                CASE WHEN c_acctbal > 9500 THEN CAST('1996-03-01' AS DATE) + c_nationkey END AS membership_first_purchase_dt,
                CASE WHEN c_acctbal < 100 THEN 1 ELSE 0 END AS is_blacklist_member
         FROM b_customers WHERE c_acctbal > 9500 OR c_acctbal < 100""",
-    "b_k": f"SELECT event_id, ts, user_id, event_type, value, props, {K} AS k FROM events",
+    "b_k": f"SELECT event_id, {MOVED} AS ts, user_id, event_type, value, props, {K} AS k FROM events",
     "b_identifies": f"""
         SELECT {DEVICE} AS anonymous_id, CAST(user_id AS STRING) AS user_id, ts AS timestamp,
                'u' || CAST(user_id AS STRING) || '@x.org' AS email
@@ -153,15 +161,19 @@ BINDINGS: dict[str, str] = {
         UNION ALL SELECT 'w' || CAST(p_partkey AS STRING), CAST(p_partkey AS STRING), 'Other', CAST({_money('p_retailprice')} + p_size - 20 AS DECIMAL(18,2))
         FROM part WHERE p_type <> 'SMALL'""",
     "b_line_items": f"""
-        SELECT {LINE} AS id, CAST(l_orderkey AS STRING) AS order_id, CAST(l_partkey AS STRING) AS product_id,
-               'v' || CAST(l_partkey AS STRING) AS variant_id, 'Line ' || CAST(l_linenumber AS STRING) AS name, l_returnflag AS title,
+        SELECT {LINE} AS id, CAST(l_orderkey AS STRING) AS order_id, CAST(CASE WHEN o_custkey % 25 = 13 THEN gift ELSE l_partkey END AS STRING) AS product_id,
+               'v' || CAST(CASE o_custkey % 25 WHEN 13 THEN gift WHEN 17 THEN rented ELSE l_partkey END AS STRING) AS variant_id, 'Line ' || CAST(l_linenumber AS STRING) AS name, l_returnflag AS title,
                'S' || CAST(l_suppkey AS STRING) AS vendor, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'registry' ELSE 'manual' END AS fulfillment_service,
                {_money('l_extendedprice')} AS price, CAST(l_quantity AS INT) AS quantity, l_returnflag = 'A' AS gift_card,
                {_money('l_discount * 100')} AS total_discount,
                CASE WHEN l_discount > 0 THEN '[{{"amount":"' || {_money_text('l_discount * 100')} || '"}},{{"amount":"1.00"}}]'
                     WHEN l_tax > 0 THEN '[]' END AS discount_allocations,
                CASE WHEN l_returnflag = 'N' THEN '[{{"name":"_x","value":"1"}},{{"name":"registry","value":"{{\\\\"registrantId\\\\":\\\\"' || CAST(l_suppkey AS STRING) || '\\\\"}}"}}]' END AS properties
-        FROM lineitem""",
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey CROSS JOIN b_marked""",
+    # Some customers buy gift cards only, some the registry's variants only.
+    "b_marked": """
+        SELECT min(CASE WHEN p_type = 'PROMO' AND p_size > 30 AND p_size <= 40 THEN p_partkey END) AS gift,
+               min(CASE WHEN p_type <> 'PROMO' AND p_size % 10 = 0 THEN p_partkey END) AS rented FROM part""",
     "b_orders": f"""
         SELECT CAST(o_orderkey AS STRING) AS id, o_orderkey AS order_number,
                CASE o_orderpriority WHEN '2-HIGH' THEN 'subscription_contract' WHEN '3-MEDIUM' THEN 'shopify_draft_order'
@@ -176,50 +188,55 @@ BINDINGS: dict[str, str] = {
                     WHEN 'F' THEN '[' || {_code(SHARE, '12.50', 'fixed')} || ']' ELSE '[]' END AS discount_codes,
                CASE o_orderstatus WHEN 'F' THEN '[]' ELSE
                  '[{{"id":"r1-' || CAST(o_orderkey AS STRING) || '","order_id":"' || CAST(o_orderkey AS STRING)
-                 || '","created_at":"' || CAST(CAST(o_orderdate AS DATE) + 10 AS STRING) || ' 00:00:00","processed_at":"","restock":' || CASE o_orderstatus WHEN 'P' THEN 'true' ELSE 'false' END
-                 || ',"order_adjustments":[' || CASE o_orderstatus WHEN 'P' THEN '{{"amount":"90.00"}},{{"amount":"1.00"}}' ELSE '' END
-                 || '],"transactions":[],"refund_line_items":[{{"id":"a","line_item_id":"x1","quantity":1,"restock_type":"return","subtotal":"'
-                 || {_money_text('o_totalprice')} || '","total_tax":"0.10","requires_shipping":true,"price":"5.00"}},'
+                 || '","created_at":"' || CAST(CAST(o_orderdate AS DATE) + 10 AS STRING) || ' 00:00:00","processed_at":"' || CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_orderdate AS DATE) + 12 AS STRING) ELSE '' END
+                 || '","restock":' || CASE o_orderstatus WHEN 'P' THEN 'true' ELSE 'false' END
+                 || ',"order_adjustments":[' || CASE o_orderstatus WHEN 'P' THEN '{{"amount":"90.00"}},{{"amount":"1.00"}}' ELSE '{{"amount":"-5.00"}}' END
+                 || '],"transactions":[],"refund_line_items":[' || coalesce(returned.items || ',', '')
                  || '{{"id":"b","line_item_id":"","quantity":2,"restock_type":"cancel","subtotal":"","total_tax":"","total_discount":"0.50","price":"bad"}}]}}'
                  || CASE o_orderstatus WHEN 'P' THEN ',{{"id":"r2-' || CAST(o_orderkey AS STRING) || '","order_id":"' || CAST(o_orderkey AS STRING) || '","order_adjustments":[],"refund_line_items":[]}}' ELSE '' END || ']' END AS refunds,
                '{{"name":"' || CAST(o_custkey AS STRING) || '","address1":"' || CASE WHEN o_custkey % 13 = 0 THEN '' ELSE CAST(o_custkey % 50 AS STRING) || ' Main St.' END
                || '","address2":"' || CASE WHEN o_custkey % 3 = 0 THEN 'Apt #2' ELSE '' END || '","city":"C","province":"Province ' || CAST(o_custkey % 5 AS STRING)
                || '","latitude":"' || CAST(o_custkey % 90 AS STRING) || '.5","longitude":"-' || CAST(o_custkey % 60 AS STRING) || '.25"}}' AS shipping_address
-        FROM orders""",
-    # Refunds that point at real lines, for the ledger.
-    "b_refunds": """
-        SELECT 'r' || CAST(o_orderkey AS STRING) AS refund_id, CAST(o_orderkey AS STRING) AS order_id, CAST(o_custkey AS STRING) AS customer_id,
-               o_orderdate + INTERVAL 10 DAY AS created_ts,
-               CAST(CASE o_orderstatus WHEN 'P' THEN 90 ELSE -5 END AS DECIMAL(18,2)) AS order_adjustments
-        FROM orders WHERE o_orderstatus <> 'F'""",
-    "b_refund_lines": f"""
-        SELECT 'r' || CAST(l_orderkey AS STRING) AS refund_id, CAST(l_orderkey AS STRING) AS order_id, {LINE} AS line_item_id,
-               CAST(l_quantity AS INT) AS quantity, CAST({_money('l_extendedprice')} * CAST(l_quantity AS INT) AS DECIMAL(18,2)) AS subtotal,
-               {_money('l_tax * 100')} AS total_tax, {_money('l_discount * 100')} AS total_discount
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM orders LEFT JOIN b_returned returned ON returned.orderkey = o_orderkey""",
+    # The returned lines of an order, as the refund's JSON lists them.
+    "b_returned": f"""
+        SELECT l_orderkey AS orderkey, string_agg('{{"id":"a-' || {LINE} || '","line_item_id":"' || {LINE} || '","quantity":' || CAST(CAST(l_quantity AS INT) AS STRING)
+               || ',"restock_type":"return","subtotal":"' || CAST(CAST({_money('l_extendedprice')} * CAST(l_quantity AS INT) AS DECIMAL(18,2)) AS STRING) || '","total_tax":"' || {_money_text('l_tax * 100')}
+               || '","total_discount":"' || {_money_text('l_discount * 100')} || '","requires_shipping":true,"price":"' || {_money_text('l_extendedprice')} || '"}}', ',') AS items
+        FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey""",
     "b_bundles": """
         SELECT CAST(p_partkey AS STRING) AS product_id, 'Extra ' || p_name AS extra_name, 'x' || CAST(p_partkey AS STRING) AS extra_product_id
         FROM part WHERE p_type = 'LARGE' AND p_size <= 10""",
     # --- operations ---
+    # Customers fall in twelve classes by key, so that every way a member's
+    # rentals can stand occurs: 4 nothing delivered, 5 all ahead, 6 the last
+    # kept, 7 the last kept and one ahead, 8 three with a pickup ahead, 9 all
+    # back and one ahead, 10 all back, 11 only flagships; the rest as the
+    # lines say.  n counts a customer's lines from the last one back.
+    "b_trips": f"""
+        SELECT {LINE} AS line, l_orderkey, l_linenumber, l_shipdate, l_returnflag, l_linestatus, l_quantity, l_discount, o_custkey % 12 AS g, p_type = 'LARGE' AND p_size <= 10 AS flagship,
+               row_number() OVER (PARTITION BY o_custkey ORDER BY l_shipdate DESC, {LINE}) AS n
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "b_order_lines": f"""
         SELECT {LINE} || '.0' AS id, CAST(l_orderkey AS STRING) || '.0' AS order_id, CAST(l_partkey AS STRING) AS qb_item_sku,
                CASE WHEN l_tax > 0 THEN {_money_text('l_quantity')} ELSE '' END AS price,
-               CASE WHEN l_returnflag = 'R' AND l_discount > 0.08 THEN 'Closed-Refunded' WHEN l_returnflag = 'R' THEN 'Open' ELSE 'Delivered' END AS qb_ol_status,
+               CASE WHEN o_custkey % 12 = 4 OR (o_custkey % 12 = 11 AND NOT (p_type = 'LARGE' AND p_size <= 10)) THEN 'Closed'
+                    WHEN l_returnflag = 'R' AND l_discount > 0.08 THEN 'Closed-Refunded' WHEN l_returnflag = 'R' THEN 'Open' ELSE 'Delivered' END AS qb_ol_status,
                CAST(o_custkey AS STRING) || '.0' AS qb_order_related_customer,
                CASE o_orderstatus WHEN 'F' THEN 'Bay Hub' WHEN 'O' THEN 'NY Hub' ELSE 'Other' END AS order_id_qb_inventory_location_inventory_location_name
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "b_schedule_delivery": f"""
-        SELECT CAST(l_orderkey * 10 AS BIGINT) AS record_id, 'rl-' || {LINE} AS related_order_line, {LINE} || '.0' AS related_order_line_ref,
-               CAST(CAST(l_shipdate AS DATE) AS STRING) AS scheduled_delivery_date, 'Scheduled' AS delivery_status, l_shipdate AS date_modified FROM lineitem
+        SELECT CAST(l_orderkey * 10 AS BIGINT) AS record_id, 'rl-' || line AS related_order_line, line || '.0' AS related_order_line_ref,
+               CAST({DELIVERED} AS STRING) AS scheduled_delivery_date, 'Scheduled' AS delivery_status, l_shipdate AS date_modified FROM b_trips
         UNION ALL
-        SELECT CAST(l_orderkey * 10 + 1 AS BIGINT), 'rl-' || {LINE}, {LINE} || '.0', CAST(CAST(l_shipdate AS DATE) + 3 AS STRING),
+        SELECT CAST(l_orderkey * 10 + 1 AS BIGINT), 'rl-' || line, line || '.0', CAST(CAST(l_shipdate AS DATE) + 3 AS STRING),
                CASE WHEN l_returnflag = 'A' THEN 'Scheduled Delivery Cancelled' ELSE 'Scheduled' END, l_shipdate + INTERVAL 1 DAY
-        FROM lineitem WHERE l_linestatus = 'O'""",
+        FROM b_trips WHERE l_linestatus = 'O' AND g < 5""",
     "b_schedule_pickup": f"""
-        SELECT CAST(l_orderkey AS BIGINT) AS record_id, {LINE} || '.0' AS delivery_performance_picking_scheduled_delivery_related_order_line_ref,
-               CAST(CAST(l_shipdate AS DATE) + CAST(l_quantity * 10 AS INT) AS STRING) AS scheduled_pickup_date,
-               CASE WHEN l_discount = 0 THEN 'Scheduled Pickup Cancelled' ELSE 'Scheduled' END AS scheduled_pickup_status, l_shipdate AS date_modified
-        FROM lineitem WHERE l_linestatus = 'F'""",
+        SELECT CAST(l_orderkey AS BIGINT) AS record_id, line || '.0' AS delivery_performance_picking_scheduled_delivery_related_order_line_ref,
+               CAST(CASE WHEN g = 8 AND n <= 3 THEN {TODAY} + 20 WHEN g > 5 THEN {SENT} + 20 ELSE CAST(l_shipdate AS DATE) + CAST(l_quantity * 10 AS INT) END AS STRING) AS scheduled_pickup_date,
+               CASE WHEN l_discount = 0 AND g < 6 THEN 'Scheduled Pickup Cancelled' ELSE 'Scheduled' END AS scheduled_pickup_status, l_shipdate AS date_modified
+        FROM b_trips WHERE (l_linestatus = 'F' AND g < 5) OR (g = 6 AND n > 1) OR (g = 7 AND n > 2) OR g = 8 OR (g = 9 AND n > 1) OR g = 10""",
     "b_pick_deliveries": f"""
         SELECT 'b' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey % 4 AS STRING) AS asset_tag_association_asset_tag,
                'rl-' || {LINE} AS scheduled_delivery_related_order_line FROM lineitem""",
@@ -314,7 +331,7 @@ _kept: dict[tuple[str, str, str], DataFrame] = {}
 
 
 class TestWarehouse(Warehouse):
-    """Warehouse on the driver tables; ledger refunds point at real lines.
+    """Warehouse on the driver tables.
 
     Shared models are checkpointed once per Spark application and table
     folder, as a nightly build would write them.
@@ -333,14 +350,5 @@ class TestWarehouse(Warehouse):
             _kept[key] = cut(build())
         return _kept[key]
 
-    @cached_property
-    def ledger_refunds(self) -> DataFrame:
-        ids = ids_of(self.idmap, STORE, "customer_id")
-        return self.source("refunds").join(ids, "customer_id", "left")
-
-    @cached_property
-    def ledger_refund_lines(self) -> DataFrame:
-        return self.source("refund_lines")
-
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)

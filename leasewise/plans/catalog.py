@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import calendar, exprs
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, ordered, quality, rentals, web
 from ..sources import conform, export, incremental, payload
+from ..session import cut
 from ..sources.spec import Field, TableSpec
 from .bindings import K, LINE, SETTINGS, TestWarehouse
 from .oracle import AS_OF, FIRST, oracle, sessions_sql
@@ -102,8 +103,8 @@ query("classify_channel", "session_channel_id:s sessions:i",
       "SELECT session_channel_id, count(DISTINCT session_id) AS sessions FROM o_web GROUP BY 1")(
     lambda w: w.web.groupBy("session_channel_id").agg(F.countDistinct("session_id").alias("sessions")))
 
-query("module_flags", "master_user_id:s is_one_module:i is_two_module:i", "SELECT master_user_id, is_one_module, is_two_module FROM o_visitors")(
-    lambda w: w.sessioned.groupBy("master_user_id").agg(*web.module_flags(SETTINGS.modules, "https://shop.example.com/")))
+query("module_flags", "master_user_id:s is_one_module:i is_two_module:i", "SELECT master_user_id, is_one_module, is_two_module FROM o_visitors WHERE master_user_id IN (SELECT master_user_id FROM o_web)")(
+    lambda w: w.web.groupBy("master_user_id").agg(*web.module_flags(SETTINGS.modules, "https://shop.example.com/")))
 
 _PRODUCT_EVENT = "product_name:s sku:s timestamp:t session_start_ts:t user_id:s url:s session_id:i user_first_session_channel_id:s session_channel_id:s"
 _EVENT_SQL = """
@@ -143,76 +144,71 @@ query("registry", "user_id:s member_id:s first_name:s last_initial:s hubspot_cus
 
 
 def _go_live(w):
-    changed = [("A", "https://www.example.com/Pages/home?x=1", "2024-01-10"), ("B", "http://shop.example.com/products/ITEM-25", "2024-01-15")]
+    changed = [("A", "https://www.example.com/Pages/home?x=1", "2001-05-10"), ("B", "http://shop.example.com/products/ITEM-25", "2001-05-15")]
     return w.spark.createDataFrame(changed, "product string, url string, live_date string")
 
 
 query("pre_post", "go_live_date:d event_date:d period:s product:s page:s distinct_sessions:i distinct_members:i num_add_to_cart_events:i num_orders_completed:i", """
-    WITH t AS (SELECT 'A' AS product, '/pages/home' AS page, DATE '2024-01-10' AS live UNION ALL SELECT 'B', '/products/item-25', DATE '2024-01-15'),
+    WITH t AS (SELECT 'A' AS product, '/pages/home' AS page, DATE '2001-05-10' AS live UNION ALL SELECT 'B', '/products/item-25', DATE '2001-05-15'),
     e AS (SELECT w.*, coalesce(w.member_id, i.member_id, w.anonymous_id, w.user_id) AS who, lower(regexp_replace(regexp_replace(w.url, '^https?://[^/]*/', '/'), '\\?.*', '')) AS page
           FROM o_web w LEFT JOIN o_idmap i ON i.src = 'segment' AND i.src_id = w.anonymous_id),
     b AS (SELECT session_id, first(who ORDER BY timestamp, id) AS buyer FROM e WHERE src_tbl = 'order_completed' GROUP BY 1)
     SELECT live AS go_live_date, CAST(timestamp AS DATE) AS event_date, CASE WHEN CAST(timestamp AS DATE) < live THEN 'PRE' ELSE 'POST' END AS period, product, e.page,
            count(DISTINCT e.session_id) AS distinct_sessions, count(DISTINCT who) AS distinct_members,
            count(DISTINCT CASE WHEN src_tbl = 'product_added' THEN e.session_id END) AS num_add_to_cart_events, count(DISTINCT buyer) AS num_orders_completed
-    FROM e JOIN t ON t.page = e.page AND e.timestamp BETWEEN live - INTERVAL 7 DAY AND live + INTERVAL 7 DAY LEFT JOIN b ON b.session_id = e.session_id GROUP BY ALL""")(
-    lambda w: web.pre_post(w.web, _go_live(w), w.idmap, 7))
+    FROM e JOIN t ON t.page = e.page AND e.timestamp BETWEEN live - INTERVAL 30 DAY AND live + INTERVAL 30 DAY LEFT JOIN b ON b.session_id = e.session_id GROUP BY ALL""")(
+    lambda w: web.pre_post(w.web, _go_live(w), w.idmap))
 
 
 # --- attribution -----------------------------------------------------------
 
 def _purchases(w):
-    """First purchase per user as conversions, 6-hour sessions as touches."""
+    """All purchases as conversions, 6-hour sessions as touches."""
     ev = w.table("events").select("user_id", "ts", "event_id", "event_type", "props")
-    bought = ev.filter("event_type = 'purchase'").groupBy("user_id").agg(F.min("ts").alias("order_ts")).select(
-        F.col("user_id").alias("conversion_id"), F.col("user_id").alias("member_id"), "order_ts")
+    bought = ev.filter("event_type = 'purchase'").select(
+        F.col("event_id").alias("conversion_id"), F.col("user_id").alias("member_id"), F.col("ts").alias("order_ts"))
     k = F.expr(K)
     sessions = web.sessionize(ev, "user_id", "ts", "event_id", 21600).groupBy("session_id").agg(
         F.min("user_id").alias("member_id"), F.min("ts").alias("event_ts"), F.min_by(k, F.struct("ts", "event_id")).alias("k"))
-    return bought, sessions.select(
+    return bought, cut(sessions.select(
         F.col("session_id").alias("event_id"), "member_id", "event_ts", F.concat(F.lit("channel "), (F.col("k") % 6).cast("string")).alias("channel_id"),
-        F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).alias("campaign_id"))
+        F.when(F.col("k") % 2 == 0, F.col("k").cast("string")).alias("campaign_id")))
 
 
 _TOUCH_SQL = f"""
     touch AS (SELECT session_id AS event_id, min(user_id) AS member_id, min(ts) AS event_ts, first({K} ORDER BY ts, event_id) AS k
               FROM ({sessions_sql('events', 'user_id', 'ts', 'event_id', 21600)}) GROUP BY 1),
-    conv AS (SELECT user_id AS member_id, min(ts) AS order_ts FROM events WHERE event_type = 'purchase' GROUP BY 1),
-    win AS (SELECT c.member_id, c.order_ts, t.event_id, t.event_ts, 'channel ' || CAST(k % 6 AS VARCHAR) AS channel_id, CASE WHEN k % 2 = 0 THEN CAST(k AS VARCHAR) END AS campaign_id,
-              row_number() OVER (PARTITION BY c.member_id ORDER BY t.event_ts, t.event_id) AS ra, row_number() OVER (PARTITION BY c.member_id ORDER BY t.event_ts DESC, t.event_id DESC) AS rd,
-              count(*) OVER (PARTITION BY c.member_id) AS n
-            FROM conv c LEFT JOIN touch t ON t.member_id = c.member_id AND t.event_ts <= c.order_ts + INTERVAL 24 HOUR AND t.event_ts >= c.order_ts - INTERVAL 72 HOUR)"""
-_WEIGHT_SQL = """member_id, order_ts, event_id, event_ts, coalesce(channel_id, 'direct') AS channel_id, coalesce(campaign_id, 'no campaign') AS campaign_id,
+    conv AS (SELECT event_id AS conversion_id, user_id AS member_id, ts AS order_ts FROM events WHERE event_type = 'purchase'),
+    win AS (SELECT c.conversion_id, c.member_id, c.order_ts, t.event_id, t.event_ts, 'channel ' || CAST(k % 6 AS VARCHAR) AS channel_id, CASE WHEN k % 2 = 0 THEN CAST(k AS VARCHAR) END AS campaign_id,
+              row_number() OVER (PARTITION BY c.conversion_id ORDER BY t.event_ts, t.event_id) AS ra, row_number() OVER (PARTITION BY c.conversion_id ORDER BY t.event_ts DESC, t.event_id DESC) AS rd,
+              count(*) OVER (PARTITION BY c.conversion_id) AS n
+            FROM conv c LEFT JOIN touch t ON t.member_id = c.member_id AND t.event_ts <= c.order_ts + INTERVAL 24 HOUR AND t.event_ts >= c.order_ts - INTERVAL 4320 HOUR)"""
+_WEIGHT_SQL = """conversion_id, member_id, order_ts, event_id, event_ts, coalesce(channel_id, 'direct') AS channel_id, coalesce(campaign_id, 'no campaign') AS campaign_id,
     CASE WHEN ra = 1 THEN 1.0 ELSE 0.0 END AS first_touch_weighting, CASE WHEN rd = 1 THEN 1.0 ELSE 0.0 END AS last_touch_weighting,
     CASE WHEN n = 1 THEN 1.0 WHEN n = 2 THEN 0.5 WHEN ra = 1 OR rd = 1 THEN 0.25 ELSE 0.5 / (n - 2.0) END AS multi_touch_weighting"""
-query("attribution_multi_touch", "member_id:i order_ts:t event_id:i event_ts:t channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f",
-      f"WITH {_TOUCH_SQL} SELECT {_WEIGHT_SQL} FROM win")(lambda w: attribution.attribute(*_purchases(w), lookback_h=72, grace_h=24, slot_days=1))
+query("attribution_multi_touch", "conversion_id:i member_id:i order_ts:t event_id:i event_ts:t channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f",
+      f"WITH {_TOUCH_SQL} SELECT {_WEIGHT_SQL} FROM win")(lambda w: attribution.attribute(*_purchases(w)))
 query("attribution_by_channel", "channel_id:s conversions:i first_touch:f last_touch:f multi_touch:f", f"""
-    WITH {_TOUCH_SQL} SELECT channel_id, count(DISTINCT member_id) AS conversions, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
+    WITH {_TOUCH_SQL} SELECT channel_id, count(DISTINCT conversion_id) AS conversions, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
     sum(multi_touch_weighting) AS multi_touch FROM (SELECT {_WEIGHT_SQL} FROM win) GROUP BY 1""")(
-    lambda w: attribution.credit(attribution.attribute(*_purchases(w), lookback_h=72, grace_h=24, slot_days=1)))
-
-
-def _all_purchases(w):
-    return w.table("events").filter("event_type = 'purchase'").select(
-        F.col("event_id").alias("conversion_id"), F.col("user_id").alias("member_id"), F.col("ts").alias("order_ts"))
-
-
-_ALL_TOUCH_SQL = _TOUCH_SQL.replace("conv AS (SELECT user_id AS member_id, min(ts) AS order_ts FROM events WHERE event_type = 'purchase' GROUP BY 1)", "conv AS (SELECT event_id AS cid, user_id AS member_id, ts AS order_ts FROM events WHERE event_type = 'purchase')").replace(
-    "SELECT c.member_id, c.order_ts, t.event_id", "SELECT c.cid, c.member_id, c.order_ts, t.event_id").replace("PARTITION BY c.member_id", "PARTITION BY c.cid").replace("INTERVAL 72 HOUR", "INTERVAL 240 HOUR")
+    lambda w: attribution.credit(attribution.attribute(*_purchases(w))))
 query("order_credit", "conversion_id:i member_id:i order_ts:t channel_id:s touches:i first_touch:f last_touch:f multi_touch:f", f"""
-    WITH {_ALL_TOUCH_SQL} SELECT cid AS conversion_id, member_id, order_ts, channel_id, count(event_id) AS touches, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
-    sum(multi_touch_weighting) AS multi_touch FROM (SELECT cid, {_WEIGHT_SQL} FROM win) GROUP BY 1, 2, 3, 4""")(
-    lambda w: attribution.channel_credit(_all_purchases(w), _purchases(w)[1], [f"channel {i}" for i in range(6)], 240, 24, 5))
-query("member_attribution", "member_id:s order_ts:d channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f", f"""
-    WITH touch AS (SELECT DISTINCT session_id, member_id, session_start_ts, session_channel_id, session_campaign_name FROM o_web),
-    win AS (SELECT m.member_id, m.membership_start_dt AS order_ts, session_channel_id, session_campaign_name, row_number() OVER (PARTITION BY m.member_id ORDER BY session_start_ts, session_id) AS ra,
-        row_number() OVER (PARTITION BY m.member_id ORDER BY session_start_ts DESC, session_id DESC) AS rd, count(*) OVER (PARTITION BY m.member_id) AS n
-        FROM o_members m LEFT JOIN touch t ON t.member_id = m.member_id AND m.membership_start_dt + INTERVAL 24 HOUR >= session_start_ts AND m.membership_start_dt - INTERVAL 4320 HOUR <= session_start_ts
-        WHERE m.membership_start_dt <= {AS_OF})
-    SELECT member_id, order_ts, coalesce(session_channel_id, 'direct') AS channel_id, coalesce(session_campaign_name, 'no campaign') AS campaign_id, CASE WHEN ra = 1 THEN 1.0 ELSE 0 END AS first_touch_weighting,
-        CASE WHEN rd = 1 THEN 1.0 ELSE 0 END AS last_touch_weighting, CASE WHEN n = 1 THEN 1.0 WHEN n = 2 THEN 0.5 WHEN ra = 1 OR rd = 1 THEN 0.25 ELSE 0.5 / (n - 2.0) END AS multi_touch_weighting FROM win""")(
-    lambda w: w.attribution)
+    WITH {_TOUCH_SQL} SELECT conversion_id, member_id, order_ts, channel_id, count(event_id) AS touches, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch,
+    sum(multi_touch_weighting) AS multi_touch FROM (SELECT {_WEIGHT_SQL} FROM win) GROUP BY 1, 2, 3, 4""")(
+    lambda w: attribution.channel_credit(*_purchases(w)))
+query("member_attribution", "member_id:s order_ts:d channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f", "o_attributed")(lambda w: w.attribution)
+_ORDER_TOUCH = """
+    WITH touch AS (SELECT DISTINCT session_id, member_id, session_start_ts, session_channel_id, session_campaign_name FROM o_web WHERE member_id IS NOT NULL)
+    SELECT o.order_id, o.member_id, o.order_ts, session_id AS event_id, session_start_ts AS event_ts, coalesce(session_channel_id, 'direct') AS channel_id, coalesce(session_campaign_name, 'no campaign') AS campaign_id,
+        row_number() OVER (PARTITION BY o.order_id ORDER BY session_start_ts, session_id) AS ra, row_number() OVER (PARTITION BY o.order_id ORDER BY session_start_ts DESC, session_id DESC) AS rd,
+        count(*) OVER (PARTITION BY o.order_id) AS n
+    FROM o_orders o JOIN touch t ON t.member_id = o.member_id AND session_start_ts <= o.order_ts AND session_start_ts >= o.order_ts - INTERVAL 8760 HOUR"""
+_WEIGHTS = "CASE WHEN ra = 1 THEN 1.0 ELSE 0.0 END AS first_touch_weighting, CASE WHEN rd = 1 THEN 1.0 ELSE 0.0 END AS last_touch_weighting, CASE WHEN n = 1 THEN 1.0 WHEN n = 2 THEN 0.5 WHEN ra = 1 OR rd = 1 THEN 0.25 ELSE 0.5 / (n - 2.0) END AS multi_touch_weighting"
+query("order_attribution", "order_id:s member_id:s event_id:i order_ts:t event_ts:t channel_id:s campaign_id:s first_touch_weighting:f last_touch_weighting:f multi_touch_weighting:f",
+      f"SELECT *, {_WEIGHTS} FROM ({_ORDER_TOUCH})")(lambda w: attribution.order_attribution(w.orders, w.web))
+query("order_channel_credit", "order_id:s member_id:s order_ts:t channel_id:s touches:i first_touch:f last_touch:f multi_touch:f", f"""
+    SELECT order_id, member_id, order_ts, channel_id, count(*) AS touches, sum(first_touch_weighting) AS first_touch, sum(last_touch_weighting) AS last_touch, sum(multi_touch_weighting) AS multi_touch
+    FROM (SELECT *, {_WEIGHTS} FROM ({_ORDER_TOUCH})) GROUP BY 1, 2, 3, 4""")(lambda w: attribution.order_channel_credit(w.orders, w.web))
 
 # --- identity --------------------------------------------------------------
 
@@ -258,17 +254,13 @@ _REPEAT = """r AS (SELECT l.*, o.source_name, o.customer_id, row_number() OVER (
                    FROM b_line_items l JOIN o_heads o ON o.id = l.order_id)"""
 query("repeat_lines", "id:s price:m quantity:i title:s total_discount:m variant_id:s name:s product_id:s order_id:s",
       f"WITH {_REPEAT} SELECT * FROM r WHERE rn > 1 AND source_name = 'subscription_contract'")(lambda w: commerce.renewal_lines(w.source("line_items"), w.source("orders")))
-query("fulfilment_lines", "raw_order_line_id:s order_id:s multiple_qty_flag:b unbundled_flag:b product_id:s name:s n:i quantity:i price:m first_id:s last_id:s", f"""
+query("fulfilment_lines", "id:s price:m quantity:i title:s total_discount:m variant_id:s name:s product_id:s order_id:s raw_order_line_id:s multiple_qty_flag:b unbundled_flag:b", f"""
     WITH {_REPEAT}, u AS (SELECT r.*, unnest(range(1, greatest(quantity, 1) + 1)) AS n FROM r WHERE rn = 1 OR source_name <> 'subscription_contract'),
-    f AS (SELECT CASE WHEN n > 8 THEN CAST(n AS VARCHAR) || '-' || id WHEN n > 1 THEN CAST(n AS VARCHAR) || id ELSE id END AS id,
-                 CASE WHEN n > 8 THEN CAST(n AS VARCHAR) || '-9' || id WHEN n > 1 THEN '9' || CAST(n AS VARCHAR) || id ELSE '9' || id END AS id2, price, 1 AS quantity, name, u.product_id, order_id, id AS raw_order_line_id, u.quantity > 1 AS multiple_qty_flag,
-                 b.extra_name, b.extra_product_id FROM u LEFT JOIN b_bundles b ON b.product_id = u.product_id),
-    a AS (SELECT id, price, quantity, name, product_id, order_id, raw_order_line_id, multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
-          UNION ALL SELECT id2, 0, quantity, extra_name, extra_product_id, order_id, raw_order_line_id, multiple_qty_flag, TRUE FROM f WHERE extra_product_id IS NOT NULL)
-    SELECT raw_order_line_id, order_id, multiple_qty_flag, unbundled_flag, product_id, name, count(*) AS n, sum(quantity) AS quantity, sum(price) AS price, min(id) AS first_id, max(id) AS last_id FROM a GROUP BY ALL""")(
-    lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")).groupBy(
-        "raw_order_line_id", "order_id", "multiple_qty_flag", "unbundled_flag", "product_id", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"), F.sum("price").alias("price"), F.min("id").alias("first_id"), F.max("id").alias("last_id")))
+    f AS (SELECT CASE WHEN n > 1 THEN CAST(n AS VARCHAR) || '-' || id ELSE id END AS uid, u.* EXCLUDE (id, product_id), id AS raw_order_line_id, u.product_id, b.extra_name, b.extra_product_id
+          FROM u LEFT JOIN b_bundles b ON b.product_id = u.product_id)
+    SELECT uid AS id, price, 1 AS quantity, title, total_discount, variant_id, name, product_id, order_id, raw_order_line_id, quantity > 1 AS multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
+    UNION ALL SELECT '9.' || uid, 0, 1, title, total_discount, variant_id, extra_name, extra_product_id, order_id, raw_order_line_id, quantity > 1, TRUE FROM f WHERE extra_product_id IS NOT NULL""")(
+    lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")))
 _ADDRESS = """a AS (SELECT id AS order_id, """ + ", ".join(f"json_extract_string(shipping_address, '$.{f}') AS {f}" for f in ("name", "address1", "address2", "city", "province", "latitude", "longitude")) + """ FROM b_orders),
     k AS (SELECT *, CASE WHEN nullif(address1, '') IS NOT NULL THEN md5(lower(trim(latitude)) || lower(trim(longitude)) || lower(regexp_replace(address1, '[^0-9a-zA-Z]', '', 'g'))
                  || lower(regexp_replace(address2, '[^0-9a-zA-Z]', '', 'g'))) END AS address_id FROM a)"""
@@ -381,9 +373,9 @@ query("churn_listing", "member_id:s first_name:s last_initial:s first_touch_chan
     WITH b AS (SELECT o.member_id, l.sku, l.price, p.product_name FROM o_lines l JOIN o_products p USING (sku) JOIN o_orders o USING (order_id)
                WHERE product_name NOT ILIKE '%membership%' AND product_name NOT ILIKE '%plan%' AND order_type <> 'subscription_contract'),
     s AS (SELECT member_id, sum(price) AS ordered_mrr, count(DISTINCT sku) AS ordered_product_count, string_agg(product_name, ', ' ORDER BY product_name) AS products FROM b GROUP BY 1)
-    SELECT m.member_id, m.first_name, m.last_initial, CASE WHEN m.membership_start_dt <= {AS_OF} THEN 'direct' END AS first_touch_channel, m.membership_start_dt, c.monthly_membership_end_date AS membership_end_dt,
+    SELECT m.member_id, m.first_name, m.last_initial, a.channel_id AS first_touch_channel, m.membership_start_dt, c.monthly_membership_end_date AS membership_end_dt,
            m.first_delivery_dt, m.last_pick_up_dt, s.ordered_mrr, s.ordered_product_count, s.products
-    FROM b_contacts c JOIN o_members m ON m.hubspot_customer_id = c.id LEFT JOIN s ON s.member_id = m.member_id WHERE c.monthly_membership_end_date IS NOT NULL""")(
+    FROM b_contacts c JOIN o_members m ON m.hubspot_customer_id = c.id LEFT JOIN s ON s.member_id = m.member_id LEFT JOIN o_attributed a ON a.member_id = m.member_id AND a.first_touch_weighting = 1 WHERE c.monthly_membership_end_date IS NOT NULL""")(
     lambda w: lifecycle.churn_listing(w.source("contacts"), w.members, w.attribution, w.orders, w.lines, w.products))
 
 # --- cohorts and KPIs ------------------------------------------------------
@@ -430,7 +422,7 @@ query("kpis_daily", _KPI, f"{_KPI_SQL} SELECT *, active_rental_mrr + membership_
 query("growth_7d_30d", "date:d " + " ".join(f"current{x}_member_{n}d_growth_pct:f" for x in _TYPE_TEST for n in (7, 30)), f"{_KPI_SQL} SELECT date, " + ", ".join(
     f"current{x}_members / nullif(lag(current{x}_members, {n}) OVER (ORDER BY date), 0) - 1 AS current{x}_member_{n}d_growth_pct" for x in _TYPE_TEST for n in (7, 30)) + " FROM k_all")(lambda w: w.kpis)
 query("kpi_unpivot", "date:d member_type:s member_status:s member_count:i", f"{_KPI_SQL} " + " UNION ALL ".join(
-    f"SELECT date, '{x.lstrip('_') or 'total'}' AS member_type, '{label}' AS member_status, current_{s}{x}_members AS member_count FROM k_all" for x in _TYPE_TEST for s, label in kpis.LAPSED_LABELS.items()))(lambda w: w.kpi_long)
+    f"SELECT date, '{x.lstrip('_') or 'total'}' AS member_type, '{label}' AS member_status, current_{s}{x}_members AS member_count FROM k_all" for x in _TYPE_TEST for s, label in kpis.LONG_NAMES.items()))(lambda w: w.kpi_long)
 query("new_customers", "date:d annual_members:i monthly_members:i other_members:i gifters:i registry_buyers:i", """
     SELECT date, coalesce(a, 0) AS annual_members, coalesce(m, 0) AS monthly_members, coalesce(o, 0) AS other_members, coalesce(g, 0) AS gifters, coalesce(r, 0) AS registry_buyers FROM o_days LEFT JOIN (
         SELECT CAST(t AS DATE) AS date, sum(CASE WHEN membership_type = 'annual' THEN 1 ELSE 0 END) AS a, sum(CASE WHEN membership_type = 'monthly' THEN 1 ELSE 0 END) AS m,
@@ -485,15 +477,15 @@ _SPEND_SQL = f"""{_AD_SQL}, spend AS (SELECT CASE WHEN ad_source = 'facebook' AN
 query("ad_spend", "ad_source:s date:d spend:m impressions:i clicks:i", f"WITH {_SPEND_SQL} SELECT * FROM spend")(lambda w: ads.ad_spend_by_day(w.ad_performance, w.ad_dim, w.source("ad_key")))
 _CH = ("facebook_sf", "facebook_ny", "google_search", "google_display")
 query("channel_daily", "date:d " + " ".join(f"{p}_spend:m {p}_impressions:i {p}_clicks:i {p}_cpm:m {p}_cpc:m {p}_ctr:m" for p in (*_CH, "facebook_total")) + " paid_marketing_spend:m new_members:i order_discounts:m paid_marketing_cac:m cac:m "
-      "first_order_flagship_only:i sessions:i adds_to_cart:i", f"WITH {_SPEND_SQL}, src AS (SELECT date, " + ", ".join(
+      "first_order_flagship_only:i sessions:i adds_to_cart:i product_viewed:i checkout_started:i order_completed:i cost_per_atc:m", f"WITH {_SPEND_SQL}, src AS (SELECT date, " + ", ".join(
     f"sum(CASE WHEN ad_source = '{s}' THEN {m} ELSE 0 END) AS {p}_{m}" for p, s in ads.REPORT_SOURCES.items() for m in ("spend", "impressions", "clicks")) + " FROM spend GROUP BY 1), n AS (SELECT membership_start_dt AS date, count(*) FILTER (WHERE membership_type IN ('annual', 'monthly')) AS new_members FROM o_members GROUP BY 1), "
-    "o AS (SELECT CAST(order_ts AS DATE) AS date, sum(order_discounts) AS order_discounts FROM o_orders GROUP BY 1), f AS (SELECT CAST(session_start_ts AS DATE) AS date, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN src_tbl = 'product_added' THEN session_id END) AS adds_to_cart "
+    "o AS (SELECT CAST(order_ts AS DATE) AS date, sum(order_discounts) AS order_discounts FROM o_orders GROUP BY 1), f AS (SELECT CAST(session_start_ts AS DATE) AS date, count(DISTINCT session_id) AS sessions, count(DISTINCT CASE WHEN src_tbl = 'product_added' THEN session_id END) AS adds_to_cart, " + ", ".join(f"count(DISTINCT CASE WHEN src_tbl = '{k}' THEN session_id END) AS {k}" for k in ("product_viewed", "checkout_started", "order_completed")) + " "
     "FROM o_web WHERE NOT is_internal AND membership_state = 'new' GROUP BY 1), fl AS (SELECT m.membership_start_dt AS date, sum(CASE WHEN " + _pick("basket_ct", 1) + " = 1 AND " + _pick("has_flagship", 1) + " = 1 THEN 1 ELSE 0 END) AS v "
     "FROM o_members m LEFT JOIN o_order_baskets o1 ON o1.member_id = m.member_id AND o1.dense_rank = 1 LEFT JOIN o_rental_baskets r1 ON r1.member_id = m.member_id AND r1.dense_rank = 1 GROUP BY 1), "
-    "j AS (SELECT date, " + ", ".join(f"coalesce({p}_{m}, 0) AS {p}_{m}" for p in _CH for m in ("spend", "impressions", "clicks")) + ", coalesce(new_members, 0) AS new_members, order_discounts, sessions, adds_to_cart, coalesce(fl.v, 0) AS first_order_flagship_only "
+    "j AS (SELECT date, " + ", ".join(f"coalesce({p}_{m}, 0) AS {p}_{m}" for p in _CH for m in ("spend", "impressions", "clicks")) + ", coalesce(new_members, 0) AS new_members, order_discounts, sessions, adds_to_cart, product_viewed, checkout_started, order_completed, coalesce(fl.v, 0) AS first_order_flagship_only "
     "FROM o_days LEFT JOIN src USING (date) LEFT JOIN n USING (date) LEFT JOIN o USING (date) LEFT JOIN f USING (date) LEFT JOIN fl USING (date)), t AS (SELECT *, " + ", ".join(f"facebook_sf_{m} + facebook_ny_{m} AS facebook_total_{m}" for m in ("spend", "impressions", "clicks")) + ", " + " + ".join(f"{p}_spend" for p in _CH) + " AS paid FROM j) "
-    "SELECT *, paid AS paid_marketing_spend, CAST(paid AS DOUBLE) / nullif(new_members, 0) AS paid_marketing_cac, CAST(paid + coalesce(order_discounts, 0) AS DOUBLE) / nullif(new_members, 0) AS cac, " + ", ".join(
-    f"CAST({p}_spend AS DOUBLE) * 1000 / nullif({p}_impressions, 0) AS {p}_cpm, CAST({p}_spend AS DOUBLE) / nullif({p}_clicks, 0) AS {p}_cpc, CAST({p}_clicks AS DOUBLE) / nullif({p}_impressions, 0) AS {p}_ctr" for p in (*_CH, "facebook_total")) + " FROM t")(
+    "SELECT *, paid AS paid_marketing_spend, CAST(paid AS DOUBLE) / nullif(adds_to_cart, 0) AS cost_per_atc, CAST(paid AS DOUBLE) / nullif(new_members, 0) AS paid_marketing_cac, CAST(paid + coalesce(order_discounts, 0) AS DOUBLE) / nullif(new_members, 0) AS cac, " + ", ".join(
+    f"coalesce(CAST({p}_spend AS DOUBLE) * 1000 / nullif({p}_impressions, 0), 0) AS {p}_cpm, coalesce(CAST({p}_spend AS DOUBLE) / nullif({p}_clicks, 0), 0) AS {p}_cpc, coalesce(CAST({p}_clicks AS DOUBLE) / nullif({p}_impressions, 0), 0) AS {p}_ctr" for p in (*_CH, "facebook_total")) + " FROM t")(
     lambda w: w.channel_daily)
 
 # --- URLs, text, keys ------------------------------------------------------
@@ -524,8 +516,8 @@ query("device_class", "device:s events:i", "SELECT CASE WHEN context_user_agent
 
 query("anti_missing", "key:s", "SELECT DISTINCT context_ip AS key FROM b_events WHERE context_ip IS NOT NULL AND NOT EXISTS (SELECT 1 FROM b_geo WHERE ip_id = context_ip)")(
     lambda w: incremental.missing_keys(w.source("events"), w.source("geo"), "context_ip", "ip_id"))
-query("missing_recent", "key:s", "SELECT DISTINCT context_ip AS key FROM b_events WHERE timestamp >= TIMESTAMP '2024-01-29' AND NOT EXISTS (SELECT 1 FROM b_geo WHERE ip_id = context_ip)")(
-    lambda w: incremental.missing_keys(w.source("events"), w.source("geo"), "context_ip", "ip_id", "2024-01-29", "timestamp"))
+query("missing_recent", "key:s", "SELECT DISTINCT context_ip AS key FROM b_events WHERE timestamp >= TIMESTAMP '2001-05-25' AND NOT EXISTS (SELECT 1 FROM b_geo WHERE ip_id = context_ip)")(
+    lambda w: incremental.missing_keys(w.source("events"), w.source("geo"), "context_ip", "ip_id", "2001-05-25", "timestamp"))
 query("semi_keys", "c_custkey:i c_name:s", "SELECT c_custkey, c_name FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= TIMESTAMP '2001-01-01')")(
     lambda w: payload.children_of(w.table("customer").select("c_custkey", "c_name"), w.table("orders").filter("o_orderdate >= timestamp '2001-01-01'").select(F.col("o_custkey").alias("c_custkey")), "c_custkey"))
 query("topn_latest", "o_custkey:i o_orderkey:i o_orderdate:t", "SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")(
@@ -557,7 +549,7 @@ query("changed_since", "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i", "S
     lambda w: incremental.changed_since(w.table("lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderdate", "2000-06-01", w.table("orders"), "o_orderkey").withColumnRenamed("o_orderkey", "l_orderkey"))
 query("hwm", "mark:t", "SELECT max(greatest(o_orderdate, o_orderdate + INTERVAL 1 DAY)) AS mark FROM orders")(
     lambda w: incremental.high_water_mark(w.table("orders").withColumn("changed", F.expr("o_orderdate + interval 1 day")), ["o_orderdate", "changed"]))
-query("incremental", _ORDER, "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '2001-01-01 00:00:00'")(lambda w: incremental.incremental(w.table("orders"), "o_orderdate", "2001-01-01"))
+query("incremental", _ORDER, "SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01 00:00:00' - INTERVAL 1 SECOND")(lambda w: incremental.incremental(w.table("orders"), "o_orderdate", "2001-01-01"))
 query("insert_update_split", "o_orderkey:i change:s row_id:i", """
     SELECT n.o_orderkey, CASE WHEN o.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS change, o.o_orderkey * 10 AS row_id FROM (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01') n
     LEFT JOIN (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01') o USING (o_orderkey)""")(lambda w: _split(w))

@@ -122,24 +122,23 @@ ORACLE: dict[str, str] = {
                TRY_CAST(json_extract_string(l, '$.total_discount') AS DECIMAL(18,2)) AS total_discount,
                json_extract_string(l, '$.requires_shipping') AS requires_shipping, TRY_CAST(json_extract_string(l, '$.price') AS DECIMAL(18,2)) AS price
         FROM (SELECT refund_id, order_id, unnest(CAST(json_extract(r, '$.refund_line_items') AS JSON[])) AS l FROM o_refunds)""",
-    "o_ledger": """
-        WITH channel AS (SELECT *, CASE order_type WHEN 'shopify_draft_order' THEN 'Draft Orders' WHEN 'subscription_contract' THEN 'Bold Subscriptions'
-                                   WHEN 'web' THEN 'Online Store' WHEN '3890849' THEN 'Shop' WHEN '580111' THEN 'Registry Storefront' END AS sales_channel FROM o_orders),
-        back AS (SELECT r.*, i.member_id FROM b_refunds r LEFT JOIN o_idmap i ON i.src = 'shopify' AND i.src_id = r.customer_id)
-        SELECT o.order_id, o.member_id, l.line_item_id, o.order_ts AS transaction_ts, o.order_number, o.order_type, 'order' AS sales_type, o.sales_channel,
-               p.product_name, p.sku, l.quantity, l.price * l.quantity AS gross_sales, l.total_discount AS discounts, 0 AS returns,
-               l.price * coalesce(l.quantity, 1) - l.total_discount AS net_sales, o.order_tax AS taxes, l.price * l.quantity - l.total_discount AS total_sales
-        FROM channel o JOIN o_lines l ON l.order_id = o.order_id LEFT JOIN o_products p ON p.sku = l.sku
+    # The ledger as three kinds of movements, then one pass that names them.
+    "o_moves": """
+        SELECT 'order' AS sales_type, o.order_id, o.member_id, l.line_item_id, o.order_ts AS moved_ts, l.sku AS item, l.quantity, l.price * l.quantity AS gross, l.total_discount AS less, 0 AS back,
+               l.price * coalesce(l.quantity, 1) - l.total_discount AS net, o.order_tax AS tax, l.price * l.quantity - l.total_discount AS total
+        FROM o_lines l JOIN o_orders o ON o.order_id = l.order_id
         UNION ALL
-        SELECT r.order_id, r.member_id, f.line_item_id, r.created_ts, o.order_number, o.order_type, 'return', o.sales_channel, p.product_name, p.sku,
-               -f.quantity, 0, coalesce(f.total_discount, 0), coalesce(-f.subtotal, r.order_adjustments), coalesce(-f.subtotal, r.order_adjustments), f.total_tax,
-               coalesce(-f.subtotal, r.order_adjustments)
-        FROM back r LEFT JOIN b_refund_lines f ON f.order_id = r.order_id AND f.refund_id = r.refund_id LEFT JOIN channel o ON o.order_id = r.order_id
-        LEFT JOIN o_lines l ON l.line_item_id = f.line_item_id LEFT JOIN o_products p ON p.sku = l.sku
+        SELECT 'return', r.order_id, r.member_id, f.line_item_id, r.created_ts, l.sku, -f.quantity, 0, coalesce(f.total_discount, 0), coalesce(-f.subtotal, r.order_adjustments),
+               coalesce(-f.subtotal, r.order_adjustments), f.total_tax, coalesce(-f.subtotal, r.order_adjustments)
+        FROM o_refunds r LEFT JOIN o_refund_lines f ON f.refund_id = r.refund_id AND f.order_id = r.order_id LEFT JOIN o_lines l ON l.line_item_id = f.line_item_id
         UNION ALL
-        SELECT r.order_id, r.member_id, NULL, r.created_ts, o.order_number, o.order_type, 'return', o.sales_channel, NULL, NULL, 0,
-               r.order_adjustments, 0, 0, r.order_adjustments, 0, r.order_adjustments
-        FROM back r LEFT JOIN channel o ON o.order_id = r.order_id WHERE r.order_adjustments > 0""",
+        SELECT 'return', order_id, member_id, NULL, created_ts, NULL, 0, order_adjustments, 0, 0, order_adjustments, 0, order_adjustments FROM o_refunds WHERE order_adjustments > 0""",
+    "o_ledger": """
+        SELECT v.order_id, v.member_id, line_item_id, moved_ts AS transaction_ts, o.order_number, o.order_type, sales_type, c.label AS sales_channel, p.product_name, p.sku, v.quantity,
+               gross AS gross_sales, less AS discounts, back AS returns, net AS net_sales, tax AS taxes, total AS total_sales
+        FROM o_moves v LEFT JOIN o_orders o ON o.order_id = v.order_id LEFT JOIN o_products p ON p.sku = v.item
+        LEFT JOIN (VALUES ('web', 'Online Store'), ('shopify_draft_order', 'Draft Orders'), ('subscription_contract', 'Bold Subscriptions'), ('3890849', 'Shop'), ('580111', 'Registry Storefront'))
+             c(kind, label) ON c.kind = o.order_type""",
     "o_special": f"""
         SELECT DISTINCT member_id FROM o_ledger WHERE sales_type = 'return' AND quantity = 0 AND product_name IS NULL AND gross_sales >= 80
         AND member_id IN (SELECT member_id FROM o_ledger WHERE quantity < 0 AND {MEMBER_NAME.format('product_name')})""",
@@ -342,11 +341,12 @@ ORACLE: dict[str, str] = {
         f"first_value(session_{c}) OVER (PARTITION BY master_user_id ORDER BY session_start_ts, session_id) AS user_first_session_{c}, "
         f"first_value(session_{c}) OVER (PARTITION BY master_user_id ORDER BY session_start_ts DESC, session_id DESC) AS user_last_session_{c}"
         for c in ("channel_id", "campaign_name", "campaign_content", "campaign_source", "campaign_medium")) + " FROM o_sessions",
-    "o_visitors": "SELECT master_user_id, min(timestamp) AS user_first_visit_ts, " + _first(
-        "(CASE WHEN context_user_agent ILIKE '%iphone%' THEN 'iPhone' WHEN context_user_agent ILIKE '%android%' THEN 'Android' WHEN context_user_agent ILIKE '%ipad%' THEN 'iPad' WHEN context_user_agent IS NOT NULL THEN 'PC' END)"
-    ) + " AS session_device_type, " + ", ".join(
-        f"max(CASE WHEN regexp_replace(regexp_replace(url, '.*(pf_c_collection=)', ''), '(&).*', '') = '{v}' AND context_page_referrer = 'https://shop.example.com/' THEN 1 ELSE 0 END) AS is_{n}_module"
-        for n, v in SETTINGS.modules.items()) + " FROM o_sessioned GROUP BY 1",
+    # Only the first visit takes in development sessions.
+    "o_visitors": "SELECT master_user_id, min(timestamp) AS user_first_visit_ts, first(d ORDER BY timestamp, id) FILTER (WHERE d IS NOT NULL AND kept) AS session_device_type, " + ", ".join(
+        f"max(CASE WHEN kept AND v = '{v}' AND context_page_referrer = 'https://shop.example.com/' THEN 1 ELSE 0 END) AS is_{n}_module" for n, v in SETTINGS.modules.items()) + """
+        FROM (SELECT e.*, session_id IN (SELECT session_id FROM o_sessions) AS kept, regexp_extract(url, '.*pf_c_collection=([^&]*)', 1) AS v,
+                     CASE WHEN context_user_agent ILIKE '%iphone%' THEN 'iPhone' WHEN context_user_agent ILIKE '%android%' THEN 'Android' WHEN context_user_agent ILIKE '%ipad%' THEN 'iPad'
+                          WHEN context_user_agent IS NOT NULL THEN 'PC' END AS d FROM o_sessioned e) GROUP BY 1""",
     "o_web": """
         SELECT e.*, s.* EXCLUDE (session_id, master_user_id), t.* EXCLUDE (master_user_id), v.* EXCLUDE (master_user_id), coalesce(m1.member_id, m2.member_id) AS member_id,
                CASE WHEN CAST(e.timestamp AS DATE) > CAST(coalesce(m1.membership_start_dt, m2.membership_start_dt) AS DATE) + 1 THEN 'existing' ELSE 'new' END AS membership_state,
@@ -362,6 +362,16 @@ ORACLE: dict[str, str] = {
         LEFT JOIN o_campaigns f ON f.src_campaign_id = e.context_campaign_name AND f.channel_id = 'facebook_ads' LEFT JOIN b_geo i ON i.ip_id = e.context_ip""",
 }
 
+_ATTRIBUTED = """
+    WITH touch AS (SELECT DISTINCT session_id, member_id, session_start_ts, session_channel_id, session_campaign_name FROM o_web),
+    win AS (SELECT m.member_id, m.membership_start_dt AS order_ts, session_channel_id, session_campaign_name, row_number() OVER (PARTITION BY m.member_id ORDER BY session_start_ts, session_id) AS ra,
+        row_number() OVER (PARTITION BY m.member_id ORDER BY session_start_ts DESC, session_id DESC) AS rd, count(*) OVER (PARTITION BY m.member_id) AS n
+        FROM o_members m LEFT JOIN touch t ON t.member_id = m.member_id AND m.membership_start_dt + INTERVAL 24 HOUR >= session_start_ts AND m.membership_start_dt - INTERVAL 4320 HOUR <= session_start_ts
+        WHERE m.membership_start_dt <= {0})
+    SELECT member_id, order_ts, coalesce(session_channel_id, 'direct') AS channel_id, coalesce(session_campaign_name, 'no campaign') AS campaign_id, CASE WHEN ra = 1 THEN 1.0 ELSE 0 END AS first_touch_weighting,
+        CASE WHEN rd = 1 THEN 1.0 ELSE 0 END AS last_touch_weighting, CASE WHEN n = 1 THEN 1.0 WHEN n = 2 THEN 0.5 WHEN ra = 1 OR rd = 1 THEN 0.25 ELSE 0.5 / (n - 2.0) END AS multi_touch_weighting FROM win"""
+ORACLE["o_attributed"] = _ATTRIBUTED.format(AS_OF)
+
 
 def oracle(sql: str) -> str:
     """`sql` with all the sources and entries it uses defined before it."""

@@ -15,7 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, rentals, web
-from ..session import cut
+from ..session import check_tuned, cut
 from ..sources.incremental import publish
 
 
@@ -100,17 +100,9 @@ class Warehouse:
     def refund_lines(self) -> DataFrame:
         return commerce.fact_refund_line_item(self.refunds)
 
-    @property
-    def ledger_refunds(self) -> DataFrame:
-        return self.refunds
-
-    @property
-    def ledger_refund_lines(self) -> DataFrame:
-        return self.refund_lines
-
     @shared
     def ledger(self) -> DataFrame:
-        return commerce.fact_transaction(self.orders, self.lines, self.ledger_refunds, self.ledger_refund_lines, self.products)
+        return commerce.fact_transaction(self.orders, self.lines, self.refunds, self.refund_lines, self.products)
 
     @shared
     def special(self) -> DataFrame:
@@ -289,6 +281,10 @@ MARTS = ("memberships", "revenue", "depreciation", "sku_agg", "member_sales", "r
 
 def write_models(source: Callable[[str], DataFrame], settings: Settings, path: str,
                  marts: Sequence[str] = MARTS) -> dict[str, DataFrame]:
-    """The nightly build: write shared models and marts under `path`."""
+    """The nightly build: write shared models and marts under `path`.
+
+    The session must have the settings of `leasewise.session.tune`.
+    """
+    check_tuned(source("customers").sparkSession)
     warehouse = Warehouse(source, settings, lambda name, build: publish(build(), f"{path}/{name}"))
     return {name: publish(getattr(warehouse, name), f"{path}/{name}") for name in marts}

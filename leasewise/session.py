@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,19 +30,44 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_tuned(spark: SparkSession) -> None:
+    """Raise where the session lacks a setting the operators count on; `tune` applies them."""
+    wrong = {k: spark.conf.get(k, None) for k, v in RUNTIME.items() if spark.conf.get(k, None) != v}
+    if wrong:
+        raise ValueError(f"call leasewise.session.tune first; settings that differ: {wrong}")
+
+
+_asked = threading.Lock()
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; made locally only for a local master."""
+    """The folder in spark.checkpoint.dir, which all executors share.
+
+    Only where that is unset and the master is local, as in a quick try, a
+    temporary folder takes its place; on a cluster it has to be set.
+    """
     context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="leasewise-checkpoint-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    with _asked:
+        folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="leasewise-checkpoint-")
+        if context.getCheckpointDir() is None:
+            context.setCheckpointDir(folder)
     return folder
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what `cut` has written in this application; call it once its results are stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_cuts(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _cuts(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/cuts-{spark.sparkContext.applicationId}"
+
+
 def cut(df):
     """Write `df` to the checkpoint folder and go on from the written table.
 
@@ -49,6 +75,6 @@ def cut(df):
     they use, and the planner knows the table's size.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    path = f"{_cuts(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..functions.exprs import iso_utc
+
 
 def export(df: DataFrame, where: str | Column | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """Filtered and ordered copy of a table."""
@@ -23,7 +25,7 @@ def to_text(df: DataFrame, dest_cols: Sequence[str] | None = None) -> DataFrame:
     def text(f: T.StructField) -> Column:
         c = F.col(f.name)
         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            out = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+            out = iso_utc(c)
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out = F.when(~F.isnan(c), c.cast("string"))
         elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):

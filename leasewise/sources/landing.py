@@ -13,16 +13,17 @@ ROWS_PER_FILE = 10_000
 BOM = "﻿"
 
 
-def read_landing(spark: SparkSession, path: str, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+def read_landing(spark: SparkSession, path: str, spec: TableSpec, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good, rejected) rows of headerless CSV parts, plain or gzip.
 
     Columns are taken by position.  Over-wide text is cut to its declared
     width; a row with too few or too many columns is rejected with its raw
-    line in `_corrupt_record`.
+    line in `_corrupt_record`.  multi_line: values may hold line ends, which
+    makes each plain file one task.
     """
     schema = spec.text_schema().add("_corrupt_record", T.StringType())
     raw = spark.read.schema(schema).option("mode", "PERMISSIVE").option("escape", '"').option(
-        "multiLine", True).option("emptyValue", "").option("columnPruning", False).csv(path)
+        "multiLine", multi_line).option("emptyValue", "").option("columnPruning", False).csv(path)
     # Spark refuses to read the corrupt-record column alone, so the test takes
     # in the other columns as well; its second part is always true.
     read = F.length(F.concat_ws("", *spec.names)) >= 0
@@ -74,9 +75,16 @@ def write_landing(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
         "escape", '"').option("emptyValue", "").csv(path)
 
 
-def write_csv(df: DataFrame, path: str, quote_all: bool = False, header: bool = False) -> None:
-    """CSV parts without header; quote_all puts quotes around text values.
-
-    Number columns stay unquoted only when quote_all is off.
-    """
-    df.write.mode("overwrite").option("header", header).option("quoteAll", quote_all).option("escape", '"').csv(path)
+def write_csv(df: DataFrame, path: str, quote_text: bool = False, header: bool = False) -> None:
+    """CSV parts; quote_text puts quotes around all values but numbers, nulls as empty text."""
+    if not quote_text:
+        df.write.mode("overwrite").option("header", header).option("escape", '"').csv(path)
+        return
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    cells = [F.coalesce(F.col(f.name).cast("string"), F.lit('""')) if isinstance(f.dataType, T.NumericType) else quoted(F.col(f.name).cast("string")) for f in df.schema.fields]
+    line = F.concat_ws(",", *cells).alias("value")
+    if header:  # one line at the head of each part, as the CSV writer does
+        names = ",".join('"' + c.replace('"', '""') + '"' for c in df.columns)
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        line = F.when(first, F.concat(F.lit(names + "\n"), line)).otherwise(line).alias("value")
+    df.select(line).write.mode("overwrite").text(path)

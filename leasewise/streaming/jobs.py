@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..sources.conform import conform
 from ..sources.incremental import publish, read_table, upsert, versions
@@ -25,13 +26,27 @@ def session_stream(events: DataFrame, actor: str, ts: str, gap_s: int = 1800, la
     ).select(actor, F.col("w.start").alias("session_start_ts"), "session_end_ts", "event_count")
 
 
-def landing_stream(spark: SparkSession, path: str, spec: TableSpec, files_per_batch: int = 1000) -> DataFrame:
-    """Headerless CSV parts as they land, cast to the declared types.
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark has dropped in the batches the query still reports.
 
-    Rows that lose a value in the cast are left to `conform` on the files.
+    Spark has no side output for them: keep the raw events (they are files
+    here) and run the batch form over the period when this is not 0.
     """
-    raw = spark.readStream.schema(spec.text_schema()).option("maxFilesPerTrigger", files_per_batch).option("escape", '"').csv(path)
-    return conform(raw, spec)[0]
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in json.loads(p.json)["stateOperators"])
+
+
+def landing_stream(spark: SparkSession, path: str, spec: TableSpec, files_per_batch: int = 1000) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) rows of headerless CSV parts as they land.
+
+    Good rows have the declared types.  Rejected rows have lost a value in the
+    cast (`_lost` names the columns) or have the wrong number of columns (the
+    raw line is in `_corrupt_record`); start a query for each.
+    """
+    schema = spec.text_schema().add("_corrupt_record", "string")
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("escape", '"').option("columnPruning", False).csv(path)
+    whole, broken = raw.filter("_corrupt_record is null"), raw.filter("_corrupt_record is not null")
+    good, lost = conform(whole.drop("_corrupt_record"), spec)
+    return good, lost.unionByName(broken, allowMissingColumns=True)
 
 
 def upsert_stream(updates: DataFrame, path: str, pk: Sequence[str], order: str, checkpoint: str) -> DataStreamWriter:

@@ -80,8 +80,19 @@ def test_order_attribution(spark):
     orders = spark.createDataFrame([("o1", "m", T0), ("o2", "m", T0 + timedelta(days=1)), ("o3", None, T0)], "order_id string, member_id string, order_ts timestamp")
     visits = spark.createDataFrame([(1, "m", T0 - timedelta(hours=8760), "a", None), (2, "m", T0 + timedelta(seconds=1), "b", "k")],
                                    "session_id long, member_id string, session_start_ts timestamp, session_channel_id string, session_campaign_name string")
-    got = rows(attribution.order_attribution(orders, visits, ["a", "b"]), "order_id", "channel_id", "touches", "multi_touch")
+    got = rows(attribution.order_channel_credit(orders, visits), "order_id", "channel_id", "touches", "multi_touch")
     assert got == [("o1", "a", 1, 1.0), ("o2", "b", 1, 1.0)]
+    got = rows(attribution.order_attribution(orders, visits), "order_id", "event_id", "channel_id", "campaign_id", "multi_touch_weighting")
+    assert got == [("o1", 1, "a", "no campaign", 1.0), ("o2", 2, "b", "k", 1.0)]
+
+
+def test_every_channel_counts(spark):
+    """Four touches, the first of a channel seen nowhere else: weights still sum to 1."""
+    c = spark.createDataFrame([("c", "m", T0)], "conversion_id string, member_id string, order_ts timestamp")
+    t = spark.createDataFrame([(i, "m", T0 - timedelta(hours=9 - i), ch, None) for i, ch in enumerate(["rare", "a", None, "a"])],
+                              "event_id long, member_id string, event_ts timestamp, channel_id string, campaign_id string")
+    got = {r[0]: r[1:] for r in rows(attribution.channel_credit(c, t), "channel_id", "touches", "first_touch", "last_touch", "multi_touch")}
+    assert got == {"rare": (1, 1.0, 0.0, 0.25), "a": (2, 0.0, 1.0, 0.5), "direct": (1, 0.0, 0.0, 0.25)}
 
 
 def test_channel_rules_in_order(spark):
@@ -108,5 +119,5 @@ def test_credit_without_pairs_equals_credit_from_pairs(spark, slot_days):
     kinds = ("first_touch", "last_touch", "multi_touch")
     pairs = attribution.attribute(c, t, 96, 5).groupBy("conversion_id", "channel_id").agg(
         F.count("event_id").alias("touches"), *[F.round(F.sum(f"{k}_weighting"), 9).alias(k) for k in kinds])
-    plain = attribution.channel_credit(c, t, ["a", "b", "c"], 96, 5, slot_days).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
+    plain = attribution.channel_credit(c, t, 96, 5, slot_days).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
     assert rows(plain) == rows(pairs)
