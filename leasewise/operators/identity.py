@@ -69,7 +69,8 @@ def resolve_actor(events: DataFrame, idmap: DataFrame) -> DataFrame:
     """Add master_user_id: known member, else user id, else anonymous id."""
     by_device = ids_of(idmap, TRACKER, "anonymous_id", "_by_device")
     by_user = ids_of(idmap, STORE, "user_id", "_by_user")
-    out = lookup(lookup(events, by_device, "anonymous_id", ["id"]), by_user, "user_id", ["id"])
+    # Either key may be null on many events; the other one spreads them.
+    out = lookup(lookup(events, by_device, "anonymous_id", ["user_id"]), by_user, "user_id", ["anonymous_id"])
     return out.withColumn(
         "master_user_id", F.coalesce("_by_device", "_by_user", "user_id", "anonymous_id")
     ).drop("_by_device", "_by_user")

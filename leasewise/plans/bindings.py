@@ -122,7 +122,8 @@ BINDINGS: dict[str, str] = {
                CASE WHEN k % 6 = 0 THEN 'content-' || CAST(k % 18 AS STRING) END AS context_campaign_content,
                CASE WHEN k % 6 = 0 THEN CASE WHEN k % 4 = 0 THEN 'Facebook' ELSE 'partner' END END AS context_campaign_source,
                CASE WHEN k % 6 = 0 THEN 'cpc' END AS context_campaign_medium,
-               'u' || CAST(user_id AS STRING) || CASE WHEN k = 98 THEN '@corp.example.com' ELSE '@x.org' END AS email,
+               CASE WHEN user_id % 2 = 0 AND k <> 98 THEN 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') ELSE 'u' || CAST(user_id AS STRING) END
+               || CASE WHEN k = 98 THEN '@corp.example.com' ELSE '@x.org' END AS email,
                CASE WHEN event_type = 'click' THEN CAST(k AS STRING) END AS product_id,
                CASE WHEN event_type = 'error' AND k % 2 = 0 THEN CAST(user_id AS STRING) END AS registry_customer_id
         FROM b_k""",
@@ -142,8 +143,12 @@ BINDINGS: dict[str, str] = {
     "b_messages": """
         SELECT CAST(event_id AS STRING) AS id,
                CASE WHEN k % 3 = 0 THEN ' U' || CAST(user_id AS STRING) || '@X.org' WHEN k % 3 = 1 THEN 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') || '@x.org' END AS context_traits_email,
-               ts AS timestamp, CAST(k AS STRING) AS campaign_id, 'mail ' || CAST(k AS STRING) AS campaign_name, 'https://shop.example.com/' AS link_url
+               ts AS timestamp, CAST(k AS STRING) AS campaign_id, 'mail ' || CAST(k AS STRING) AS campaign_name, 'https://shop.example.com/?m=' || CAST(k AS STRING) AS link_url
         FROM b_k WHERE event_type = 'click'""",
+    **{f"b_{kind}": f"""
+        SELECT CAST(event_id AS STRING) AS id, CASE WHEN k % 4 = 0 THEN 'u' || CAST(user_id AS STRING) || '@x.org' WHEN k % 4 < 3 THEN 'Customer#' || lpad(CAST(user_id AS STRING), 9, '0') || '@x.org' END AS context_traits_email,
+               ts AS timestamp, CAST(k % 9 AS STRING) AS campaign_id, '{kind} ' || CAST(k % 9 AS STRING) AS campaign_name
+        FROM b_k WHERE event_type = '{event}'""" for kind, event in (("delivered", "view"), ("opened", "purchase"))},
     # --- commerce ---
     "b_products": """
         SELECT CAST(p_partkey AS STRING) AS id,
@@ -195,7 +200,7 @@ BINDINGS: dict[str, str] = {
                  || '{{"id":"b","line_item_id":"","quantity":2,"restock_type":"cancel","subtotal":"","total_tax":"","total_discount":"0.50","price":"bad"}}]}}'
                  || CASE o_orderstatus WHEN 'P' THEN ',{{"id":"r2-' || CAST(o_orderkey AS STRING) || '","order_id":"' || CAST(o_orderkey AS STRING) || '","order_adjustments":[],"refund_line_items":[]}}' ELSE '' END || ']' END AS refunds,
                '{{"name":"' || CAST(o_custkey AS STRING) || '","address1":"' || CASE WHEN o_custkey % 13 = 0 THEN '' ELSE CAST(o_custkey % 50 AS STRING) || ' Main St.' END
-               || '","address2":"' || CASE WHEN o_custkey % 3 = 0 THEN 'Apt #2' ELSE '' END || '","city":"C","province":"Province ' || CAST(o_custkey % 5 AS STRING)
+               || '","address2":"' || CASE WHEN o_custkey % 3 = 0 THEN 'Apt #2' ELSE '' END || '","city":"C' || CAST(o_custkey % 7 AS STRING) || '","province":"Province ' || CAST(o_custkey % 5 AS STRING)
                || '","latitude":"' || CAST(o_custkey % 90 AS STRING) || '.5","longitude":"-' || CAST(o_custkey % 60 AS STRING) || '.25"}}' AS shipping_address
         FROM orders LEFT JOIN b_returned returned ON returned.orderkey = o_orderkey""",
     # The returned lines of an order, as the refund's JSON lists them.

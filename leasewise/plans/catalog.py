@@ -7,6 +7,7 @@ rounded to 6 places, d date and t timestamp as text.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import calendar, exprs
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, ordered, quality, rentals, web
 from ..sources import conform, export, incremental, payload
-from ..session import cut
+from ..session import checkpoint_dir, cut
 from ..sources.spec import Field, TableSpec
 from .bindings import K, LINE, SETTINGS, TestWarehouse
 from .oracle import AS_OF, FIRST, oracle, sessions_sql
@@ -87,7 +88,11 @@ query("session_flags", f"session_id:i {CAMPAIGN_COLUMNS} session_referrer:s sess
 
 query("known_actor", "id:i master_user_id:s", "o_known")(lambda w: identity.resolve_actor(w.source("events"), w.idmap))
 
-_WEB = ("session_id:i id:i timestamp:t src_tbl:s master_user_id:s member_id:s membership_state:s is_internal:b session_channel_id:s session_campaign_name:s "
+_WEB = ("anonymous_id:s user_id:s created_at:t url:s referrer:s context_ip:s context_user_agent:s context_page_referrer:s context_campaign_name:s context_campaign_content:s "
+        "context_campaign_source:s context_campaign_medium:s email:s product_id:s registry_customer_id:s session_campaign_content:s session_campaign_source:s session_campaign_medium:s session_referrer:s "
+        "session_has_gclid:i session_gcl_id:s is_referral_session:i session_end_ts:t session_page_views:i session_first_url:s "
+        + " ".join(f"user_{e}_session_campaign_{c}:s" for e in ("first", "last") for c in ("name", "content", "source", "medium")) + " "
+        "session_id:i id:i timestamp:t src_tbl:s master_user_id:s member_id:s membership_state:s is_internal:b session_channel_id:s session_campaign_name:s "
         "session_start_ts:t user_first_visit_ts:t user_first_session_channel_id:s user_last_session_channel_id:s session_device_type:s is_one_module:i is_two_module:i "
         "product_id_master:s campaign_id:s ip_region:s ip_country:s ip_city:s")
 query("web_activity", _WEB, "o_web")(lambda w: w.web)
@@ -216,6 +221,10 @@ query("identity_map", "src_id:s src:s email_key:s member_id:s", "o_idmap")(lambd
 query("email_lookup", "email_key:s member_id:s", "o_emails")(lambda w: w.emails)
 query("message_events", "event_id:s member_id:s email:s event_ts:t campaign_id:s campaign_name:s link_url:s", "o_messages")(
     lambda w: identity.message_events(w.source("messages"), w.emails))
+for _kind in ("delivered", "opened"):
+    query(f"message_{_kind}", "event_id:s member_id:s email:s event_ts:t campaign_id:s campaign_name:s", f"""
+        SELECT m.id AS event_id, coalesce(e.member_id, md5(lower(trim(context_traits_email)))) AS member_id, context_traits_email AS email, timestamp AS event_ts, campaign_id, campaign_name
+        FROM b_{_kind} m LEFT JOIN o_emails e ON e.email_key = md5(lower(trim(context_traits_email)))""")(lambda w, kind=_kind: identity.message_events(w.source(kind), w.emails))
 query("capture_signups", "email:s user_id:s membership_start_dt:d", """
     WITH ident AS (SELECT email, user_id FROM b_events WHERE email IS NOT NULL)
     SELECT DISTINCT i.email, i.user_id, m.membership_start_dt FROM ident i JOIN (SELECT DISTINCT email FROM ident WHERE user_id IS NULL) USING (email)
@@ -324,7 +333,7 @@ query("full_outer_stats", "member_id:s first_membership_purchase_ts:t last_membe
       "avg_purchased_registry_product:f is_influencer:i ct_active_products:i ct_items_with_scheduled_delivery:i ct_items_with_scheduled_pickup:i ct_skus_delivered:i is_only_flagship_rented:i first_delivery_date:d is_only_flagship_paid:i", "o_inputs")(
     lambda w: w.lifecycle_inputs)
 _MEMBER = ("member_id:s hubspot_customer_id:s email:s last_initial:s membership_start_dt:d membership_end_dt:d membership_type:s youngest_child_dob:d number_of_children:i is_shared_offer:b shared_offer_ts:t first_item_order_dt:d "
-           "first_delivery_dt:d last_pick_up_dt:d ops_location:s")
+           "first_delivery_dt:d last_pick_up_dt:d ops_location:s first_name:s last_name:s monthly_membership_end_date:d member_status:s member_sub_status:s member_status_detail:s")
 query("member_dim", _MEMBER, "o_members")(lambda w: w.members)
 query("membership_type", "membership_type:s members:i", "SELECT membership_type, count(*) AS members FROM o_members GROUP BY 1")(lambda w: w.members.groupBy("membership_type").agg(F.count(F.lit(1)).alias("members")))
 query("status_rules", "member_id:s status_case:i member_status:s member_sub_status:s member_status_detail:s", "o_members")(lambda w: w.members)
@@ -623,6 +632,48 @@ query("aliases", "customer:s status:s absent:s", "SELECT CAST(o_custkey AS VARCH
                                       TableSpec((Field("customer", keys=("client", "cust")), Field("status", keys=("a", "b")), Field("absent")))))
 query("projected", "o_orderkey:i o_clerk:s", "SELECT o_orderkey, '-' AS o_clerk FROM orders")(
     lambda w: conform.fill_missing(w.table("orders"), TableSpec.of({"o_orderkey": "bigint", "o_clerk": "text"}), "-"))
+query("product_dim", "sku:s product_name:s product_created_ts:t product_updated_ts:t product_published_ts:t product_page_handle:s product_status:s product_tags:s", """
+    SELECT id AS sku, title AS product_name, created_at AS product_created_ts, updated_at AS product_updated_ts, published_at AS product_published_ts, handle AS product_page_handle, status AS product_status, tags AS product_tags
+    FROM b_products""")(lambda w: commerce.dim_product(w.source("products")))
+query("role_addresses", "id:s town:s address_function:s", """
+    SELECT id, town, role AS address_function FROM (SELECT *, row_number() OVER (PARTITION BY role, id ORDER BY o_orderkey) AS rn FROM (
+        SELECT o_orderkey, 'billing' AS role, 'a' || CAST(o_custkey % 50 AS VARCHAR) AS id, 'town ' || CAST(o_orderkey % 9 AS VARCHAR) AS town FROM orders
+        UNION ALL SELECT o_orderkey, 'shipping', 'a' || CAST(o_custkey % 70 AS VARCHAR), 'town ' || CAST(o_orderkey % 11 AS VARCHAR) FROM orders WHERE o_orderstatus <> 'O')) WHERE rn = 1""")(
+    lambda w: payload.role_addresses(_roles(w), ["billing", "shipping"], ["o_orderkey"]))
+query("renamed", "order_key_no:i orderstatus_:s", "SELECT o_orderkey AS order_key_no, o_orderstatus AS orderstatus_ FROM orders")(
+    lambda w: payload.normalize_columns(w.table("orders").select(F.col("o_orderkey").alias("Order Key #No"), F.col("o_orderstatus").alias("Order-Status  "))))
+query("enriched_status", "status:s user_id:i event_id:i outcome:s", """
+    SELECT status, user_id, event_id, CASE WHEN status = 'success' THEN 'good' ELSE 'bad' END AS outcome
+    FROM (SELECT event_id, user_id, CASE event_type WHEN 'view' THEN 'success' WHEN 'error' THEN 'fail' END AS status FROM events)""")(lambda w: _statuses(w))
+query("row_counts", "table_name:s enough:b in_bounds:b", """
+    SELECT 'orders' AS table_name, count(*) >= 100 AS enough, count(*) BETWEEN 1 AND 500 AS in_bounds FROM orders UNION ALL SELECT 'nation', count(*) >= 100, count(*) BETWEEN 1 AND 500 FROM nation""")(lambda w: _row_counts(w))
+query("calendar_fill", "date:d ordinal:i orders:i", f"""
+    SELECT d.date, n.ordinal, count(o_orderkey) AS orders FROM o_days d CROSS JOIN (SELECT unnest(range(0, 3)) AS ordinal) n
+    LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d.date AND o_orderkey % 3 = n.ordinal GROUP BY 1, 2""")(lambda w: _calendar_fill(w))
+query("month_fill", "month:d orders:i", f"""
+    SELECT month, count(o_orderkey) AS orders FROM (SELECT CAST(unnest(generate_series({FIRST}, {AS_OF}, INTERVAL 1 MONTH)) AS DATE) AS month)
+    LEFT JOIN orders ON date_trunc('month', o_orderdate) = month GROUP BY 1""")(
+    lambda w: calendar.month_spine(w.spark, SETTINGS.first_day, SETTINGS.as_of).join(
+        w.table("orders").select(F.trunc("o_orderdate", "month").alias("month"), "o_orderkey"), "month", "left").groupBy("month").agg(F.count("o_orderkey").alias("orders")))
+_MONTHS = ["1995-01-01", "1996-01-01", "1997-01-01"]
+query("retention_sheet", "cohort_size:f cohort_month:d month:d engagement_pct:f expected_clients:f", """
+    WITH c AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS cohort_month, count(*) AS n, """ + ", ".join(f"count(*) FILTER (WHERE o_custkey % {k} = 0) AS p{k}" for k in (2, 3, 5)) + """ FROM orders GROUP BY 1)
+    SELECT CAST(n AS DOUBLE) AS cohort_size, cohort_month, m.month, v / 100 AS engagement_pct, n * v / 100 AS expected_clients
+    FROM c, LATERAL (SELECT DATE '1995-01-01' AS month, p2 * 1.0 AS v UNION ALL SELECT DATE '1996-01-01', p3 * 1.0 UNION ALL SELECT DATE '1997-01-01', 0.0 * p5) m""")(
+    lambda w: payload.melt_retention(_retention(w), "row", ["a", "b", "c", "d", "e"], _MONTHS))
+# --- files there and back ---------------------------------------------------
+
+query("landing_round_trip", "o_orderkey:i o_totalprice:m o_orderdate:d o_clerk:s", "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderdate, substring(o_clerk, 1, 8) AS o_clerk FROM (SELECT *, o_orderpriority AS o_clerk FROM orders)")(
+    lambda w: _landed(w))
+query("csv_round_trip", "id:i name:s note:s", "SELECT c_custkey AS id, c_name AS name, c_mktsegment || ', \"' || CAST(c_nationkey AS VARCHAR) || '\"' AS note FROM customer")(lambda w: _csv(w))
+query("quoted_csv", "value:s", "SELECT format('{},\"{}\",\"\"\"{}\"\"\",{}', c_custkey, c_name, c_mktsegment, c_nationkey) AS value FROM customer")(lambda w: _quoted(w))
+query("published", _ORDER, "SELECT * FROM orders UNION ALL SELECT * REPLACE ('A' AS o_orderstatus) FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'")(lambda w: _published(w))
+query("built_table", "o_custkey:i n:i", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")(
+    lambda w: incremental.build_table(w.spark, "leasewise_built", lambda: w.table("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")), "full", _folder(w, "built")))
+query("partition_upsert", "o_orderkey:i o_orderstatus:s o_custkey:i", """
+    SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT o_orderkey, 'X', o_custkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderstatus = 'P'
+    UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderstatus <> 'P'""")(lambda w: _partitioned(w))
+
 query("melt", "o_orderpriority:s status:s n:i", """
     SELECT o_orderpriority, status, n FROM (SELECT o_orderpriority, count(*) FILTER (WHERE o_orderstatus = 'F') AS F, count(*) FILTER (WHERE o_orderstatus = 'O') AS O, count(*) FILTER (WHERE o_orderstatus = 'P') AS P
     FROM orders GROUP BY 1) UNPIVOT (n FOR status IN (F, O, P))""")(
@@ -638,3 +689,77 @@ def _sheet(w):
     from ..sources.landing import clean_sheet
     marked = w.table("orders").select(F.col("o_orderkey").alias("row"), F.when(F.col("o_orderstatus") == "P", "marker row").otherwise(F.col("o_orderkey").cast("string")).alias("c0"), "o_custkey", F.col("o_orderpriority").alias("c2"))
     return clean_sheet(marked, "row", 3, ["marker row"], {"order_id": 0, "code": 2})
+
+
+def _roles(w):
+    place = lambda a, t: F.struct(F.concat(F.lit("a"), (F.col("o_custkey") % a).cast("string")).alias("id"), F.concat(F.lit("town "), (F.col("o_orderkey") % t).cast("string")).alias("town"))
+    return w.table("orders").select("o_orderkey", place(50, 9).alias("billing"), F.when(F.col("o_orderstatus") != "O", place(70, 11)).alias("shipping"))
+
+
+def _statuses(w):
+    events = w.table("events").select("event_id", "user_id", F.when(F.col("event_type") == "view", "success").when(F.col("event_type") == "error", "fail").alias("status"))
+    good, bad = incremental.split_status(events)
+    return good.withColumn("outcome", F.lit("good")).unionByName(bad.withColumn("outcome", F.lit("bad")))
+
+
+def _row_counts(w):
+    found = [(n, quality.check_row_count(w.table(n), 100), quality.check_row_count(w.table(n), 1, 500)) for n in ("orders", "nation")]
+    return w.spark.createDataFrame(found, "table_name string, enough boolean, in_bounds boolean")
+
+
+def _calendar_fill(w):
+    made = w.table("orders").select(F.col("o_orderdate").cast("date").alias("date"), (F.col("o_orderkey") % 3).cast("int").alias("ordinal"), "o_orderkey")
+    grid = calendar.day_spine(w.spark, SETTINGS.first_day, SETTINGS.as_of).withColumn("ordinal", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))))
+    kept = grid.join(calendar.number_spine(w.spark, 3), "ordinal", "left_semi")
+    return kept.join(made, ["date", "ordinal"], "left").groupBy("date", "ordinal").agg(F.count("o_orderkey").alias("orders"))
+
+
+def _retention(w):
+    """Orders per month as the text of a cohort sheet, under its heading."""
+    share = lambda k: F.concat(F.count_if(F.col("o_custkey") % k == 0).cast("string"), F.lit("%"))
+    body = w.table("orders").groupBy(F.trunc("o_orderdate", "month").alias("b")).agg(
+        F.format_number(F.count(F.lit(1)), 0).alias("a"), share(2).alias("c"), share(3).alias("d"), F.lit("").alias("e"))
+    head = w.spark.createDataFrame([(1, "", "Existing customers engagement", *_MONTHS)], "row int, a string, b string, c string, d string, e string")
+    return head.unionByName(body.select((F.months_between("b", F.lit("1990-01-01").cast("date")) + 2).cast("int").alias("row"), "a", F.col("b").cast("string").alias("b"), "c", "d", "e"))
+
+
+def _folder(w, name):
+    return f"{checkpoint_dir(w.spark)}/round-trips/{name}-{uuid.uuid4().hex}"
+
+
+def _landed(w):
+    from ..sources.landing import read_landing, write_landing
+    path = _folder(w, "landing")
+    orders = w.table("orders").select("o_orderkey", F.col("o_totalprice").cast("decimal(18,2)"), F.col("o_orderdate").cast("date"), F.col("o_orderpriority").alias("o_clerk"))
+    write_landing(orders, path)
+    return read_landing(w.spark, path, TableSpec.of({"o_orderkey": "bigint", "o_totalprice": "numeric", "o_orderdate": "date", "o_clerk": "varchar(8)"}))[0]
+
+
+def _csv(w):
+    from ..sources.landing import read_seed, write_csv
+    path = _folder(w, "csv")
+    note = F.concat("c_mktsegment", F.lit(', "'), F.col("c_nationkey").cast("string"), F.lit('"'))
+    write_csv(w.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), note.alias("note")), path, header=True)
+    return read_seed(w.spark, path, {"id": "bigint"})
+
+
+def _quoted(w):
+    from ..sources.landing import write_csv
+    path = _folder(w, "quoted")
+    write_csv(w.table("customer").select("c_custkey", "c_name", F.concat(F.lit('"'), "c_mktsegment", F.lit('"')), "c_nationkey"), path, quote_text=True)
+    return w.spark.read.text(path)
+
+
+def _published(w):
+    path = _folder(w, "published")
+    incremental.swap_refresh(w.table("orders"), path, [lambda df: quality.check_row_count(df, 1)], partition_by=["o_orderstatus"])
+    incremental.append(w.table("orders").filter("o_orderdate >= timestamp '2001-01-01'").withColumn("o_orderstatus", F.lit("A")), path)
+    return incremental.read_table(w.spark, path)
+
+
+def _partitioned(w):
+    path = _folder(w, "partitioned")
+    orders = w.table("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    orders.write.partitionBy("o_orderstatus").parquet(path)
+    changed = orders.filter("o_orderkey % 10 = 0 and o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X"))
+    return incremental.upsert_partitions(changed, path, ["o_orderkey"], "o_orderstatus")

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from leasewise.plans.bindings import SETTINGS, TestWarehouse, binding
 from leasewise.plans.warehouse import write_models
@@ -45,6 +46,43 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate)" in plan or "PushedFilters: [IsNotNull(o_orderdate), GreaterThan" in plan
 
 
+def test_page_views_read_only_their_columns(spark):
+    from leasewise.plans.catalog import CATALOG
+    plan = plan_of(CATALOG["page_views"].run(spark, SF_DIR))
+    wide = [c for c in ("user_first_visit_ts", "session_campaign_name", "ip_city", "context_user_agent") if f"{c}:" in plan]
+    assert wide == []
+
+
+def test_attribution_plans_its_touches_once(spark):
+    """Counts, ends and pairs come from touches and conversions alone: no table is scanned for the pairs again."""
+    from leasewise.operators import attribution
+    c = spark.createDataFrame([(1, "m", "2024-01-02 00:00:00")], "conversion_id long, member_id string, order_ts string").withColumn("order_ts", F.col("order_ts").cast("timestamp"))
+    t = spark.createDataFrame([(1, "m", "2024-01-01 00:00:00", "a", "b")], "event_id long, member_id string, event_ts string, channel_id string, campaign_id string").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    plan = plan_of(attribution.attribute(c, t))
+    # Touches: running counts (twice, for rows and slots) and the pairs; conversions likewise.
+    assert plan.count("Scan ExistingRDD") <= 6 and plan.count("Window") <= 8
+
+
+def test_nightly_build_needs_its_settings(spark, tmp_path):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        with pytest.raises(ValueError, match="timeZone"):
+            write_models(lambda name: binding(spark, SF_DIR, name), SETTINGS, str(tmp_path / "x"), ())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_cuts_can_be_released(spark):
+    from leasewise.session import cut, release
+    kept = cut(spark.range(3))
+    assert kept.count() == 3
+    folder = kept.inputFiles()[0].split("/cuts-")[0].removeprefix("file://")
+    release(spark)
+    assert not [f for f in os.listdir(folder) if f.startswith("cuts-")]
+    from leasewise.plans import bindings
+    bindings._kept.clear()  # the shared models are built again
+
+
 def test_whole_events_shuffle_once_for_sessions(spark):
     from leasewise.operators.web import sessionize
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)

@@ -23,7 +23,7 @@ def test_landing_round_trip(spark, tmp_path):
     landing.write_landing(df.coalesce(1), path, rows_per_file=2)
     parts = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(parts) == 2 and all(f.endswith(".csv.gz") for f in parts)
-    good, bad = landing.read_landing(spark, path, SPEC)
+    good, bad = landing.read_landing(spark, path, SPEC, multi_line=True)
     assert bad.count() == 0
     got = {r.id: r for r in good.collect()}
     assert got[1].name == 'a "q"' and str(got[1].price) == "1.50" and got[1].seen == datetime(2024, 1, 2, 3, 4, 5) and got[1].ok is True
@@ -47,9 +47,12 @@ def test_csv_encodings_and_seed(spark, tmp_path):
 
 
 def test_write_csv(spark, tmp_path):
-    landing.write_csv(spark.createDataFrame([("a", 1)], "s string, n int"), str(tmp_path / "o"), quote_all=True)
-    parts = [p for p in (tmp_path / "o").iterdir() if p.name.startswith("part-")]
-    assert "".join(p.read_text() for p in parts) == '"a","1"\n'
+    df = spark.createDataFrame([('a "b"', 1, True), (None, None, None)], "s string, n int, b boolean").coalesce(1)
+    text = lambda name: "".join(p.read_text() for p in sorted((tmp_path / name).iterdir()) if p.name.startswith("part-"))
+    landing.write_csv(df, str(tmp_path / "o"), quote_text=True, header=True)
+    assert text("o") == '"s","n","b"\n"a ""b""",1,"true"\n"","",""\n'
+    landing.write_csv(df, str(tmp_path / "p"))
+    assert text("p") == '"a ""b""",1,true\n,,\n'
 
 
 def test_shapes(spark):
@@ -98,7 +101,7 @@ def test_marks(spark):
     df = spark.createDataFrame([(datetime(2020, 1, 1), datetime(2020, 5, 1)), (datetime(2020, 3, 1), None)], "a timestamp, b timestamp")
     assert rows(incremental.high_water_mark(df, ["a", "b"])) == [(datetime(2020, 5, 1),)] and rows(incremental.high_water_mark(df, ["a"])) == [(datetime(2020, 3, 1),)]
     assert rows(incremental.high_water_mark(df, ["a"], init=True)) == [(datetime(2019, 1, 1),)]
-    assert incremental.incremental(df, "a", "2020-03-01").count() == 0 and incremental.incremental(df, "a", "2020-03-01", overlap_s=1).count() == 1
+    assert incremental.incremental(df, "a", "2020-03-01", overlap_s=0).count() == 0 and incremental.incremental(df, "a", "2020-03-01").count() == 1
 
 
 def test_versions_and_checks(spark, tmp_path):
@@ -118,6 +121,48 @@ def test_versions_and_checks(spark, tmp_path):
     assert spark.table("lw_v").count() == spark.table("lw_t").count() == 1
 
 
+def test_append_keeps_the_partitioning(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
+    incremental.publish(df, path, partition_by=["p"])
+    assert rows(incremental.append(spark.createDataFrame([(3, "a")], "id int, p string"), path)) == [(1, "a"), (2, "b"), (3, "a")]
+    assert rows(incremental.read_table(spark, path)) == [(1, "a"), (2, "b"), (3, "a")]
+    assert incremental.versions(spark, path) == [1, 2]
+    incremental.publish(df, path)
+    assert incremental.vacuum(spark, path, keep=2) == [] and incremental.versions(spark, path) == [2, 3]
+    gone = incremental.vacuum(spark, path, keep=1)
+    assert len(gone) == 2 and rows(incremental.read_table(spark, path)) == rows(df)
+
+
+def test_two_writers_do_not_share_a_version(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "a")], "id int, p string")
+    incremental.publish(df, path)
+    monkeypatch.setattr(incremental, "versions", lambda *a: [])  # a writer that has not seen version 1
+    with pytest.raises(RuntimeError):
+        incremental.publish(df.limit(0), path)
+    monkeypatch.undo()
+    assert rows(incremental.read_table(spark, path)) == [(1, "a")]
+
+
+def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "v", "a"), (2, "v", "b"), (3, "v", "c"), (4, "v", "c"), (5, "v", None)], "id int, v string, p string").write.partitionBy("p").parquet(path)
+    before = {f for f in (tmp_path / "t" / "p=c").iterdir() if f.name.startswith("part-")}
+    got = incremental.upsert_partitions(spark.createDataFrame([(2, "w", "a"), (9, "w", "d"), (5, "w", "d")], "id int, v string, p string"), path, ["id"], "p")
+    assert rows(got, "id", "v", "p") == sorted([(1, "v", "a"), (2, "w", "a"), (3, "v", "c"), (4, "v", "c"), (5, "w", "d"), (9, "w", "d")], key=str)
+    assert {f for f in (tmp_path / "t" / "p=c").iterdir() if f.name.startswith("part-")} == before
+
+
+def test_times_are_utc_in_any_zone(spark):
+    df = spark.createDataFrame([("2024-01-01T00:00:00Z",)], "s string").select(F.col("s").cast("timestamp").alias("t"))
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert export.to_text(df).first().t == "2024-01-01T00:00:00Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_split_and_export(spark):
     ok, bad = incremental.split_status(spark.createDataFrame([("success", 1), ("fail", 2), (None, 3)], "status string, i int"))
     assert (rows(ok, "i"), rows(bad, "i")) == ([(1,)], [(2,), (3,)])
@@ -132,15 +177,19 @@ def test_streams(spark, tmp_path):
     spec = TableSpec.of({"id": "int", "v": "text", "at": "timestamp"})
 
     def run():
-        stream = jobs.landing_stream(spark, str(inbox), spec)
-        q = jobs.upsert_stream(stream, table, ["id"], "at", str(tmp_path / "cp")).trigger(availableNow=True).start()
-        q.awaitTermination(120)
+        good, bad = jobs.landing_stream(spark, str(inbox), spec)
+        q = jobs.upsert_stream(good, table, ["id"], "at", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        r = bad.writeStream.format("parquet").option("path", str(tmp_path / "bad")).option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
+        assert q.awaitTermination(120) and r.awaitTermination(120)
+        assert jobs.late_rows(q) == 0
 
-    (inbox / "a.csv").write_text("1,old,2024-01-01 00:00:00\n1,new,2024-01-02 00:00:00\nx,bad,\n")
+    (inbox / "a.csv").write_text("1,old,2024-01-01 00:00:00\n1,new,2024-01-02 00:00:00\nx,bad,\n3,short\n")
     run()
     (inbox / "b.csv").write_text("2,two,2024-01-03 00:00:00\n")
     run()
     assert rows(incremental.read_table(spark, table), "id", "v") == [(1, "new"), (2, "two")]
+    bad = {r.id: r for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
+    assert bad["x"]["_lost"] == ["id"] and bad["3"]["_corrupt_record"] == "3,short"
 
 
 def test_session_stream(spark, tmp_path):

@@ -121,3 +121,31 @@ def test_credit_without_pairs_equals_credit_from_pairs(spark, slot_days):
         F.count("event_id").alias("touches"), *[F.round(F.sum(f"{k}_weighting"), 9).alias(k) for k in kinds])
     plain = attribution.channel_credit(c, t, 96, 5, slot_days).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
     assert rows(plain) == rows(pairs)
+
+
+def test_lookup_takes_maps_and_null_keys(spark):
+    from leasewise.operators.ordered import lookup
+    left = spark.createDataFrame([(1, "a", {"x": 1}), (2, None, {"y": 2}), (3, "z", None)], "id int, k string, m map<string,int>")
+    right = spark.createDataFrame([("a", "A"), (None, "never")], "k string, name string")
+    want = [(1, "A"), (2, None), (3, None)]
+    assert rows(lookup(left, right, "k"), "id", "name") == want
+    assert rows(lookup(left, right, "k", ["id"]), "id", "name") == want
+
+
+def test_development_sessions_do_not_mark_a_visitor(spark):
+    """Module flags and device come from kept sessions; the first visit from all."""
+    home, shop = "https://shop.example.com/", "https://shop.example.com/?pf_c_collection="
+    events = [
+        (1, "u", at(0), "https://shop-dev.example.com/?pf_c_collection=1", home, "iPhone"), (2, "u", at(10_000), shop + "2", home, "Android"),
+        (3, "v", at(0), "https://shop-dev.example.com/?pf_c_collection=1", home, "iPhone"), (4, "w", at(5), shop + "1&y=2", home, None)]
+    cols = "id long, master_user_id string, timestamp timestamp, url string, context_page_referrer string, context_user_agent string"
+    df = spark.createDataFrame(events, cols).withColumns({c: F.lit(None).cast("string") for c in (
+        "anonymous_id", "user_id", "email", "product_id", "referrer", "context_ip", *[f"context_campaign_{c}" for c in web.CAMPAIGN])}).withColumn("src_tbl", F.lit("pages"))
+    none = lambda schema: spark.createDataFrame([], schema)
+    out = web.enrich_sessions(
+        web.sessionize(df, "master_user_id", "timestamp", "id"), none("src_id string, src string, email_key string, member_id string"),
+        members=none("member_id string, membership_start_dt date"), products=none("id string, handle string"),
+        campaigns=none("campaign_id string, src_campaign_id string, channel_id string"), clicks=none("gcl_id string, campaign_id string"),
+        geo=none("ip_id string, region string, country string, city string"), exclusions=none("kind string, value string"), modules={"one": "1", "two": "2"})
+    got = {r.id: (r.is_one_module, r.is_two_module, r.session_device_type, r.user_first_visit_ts) for r in out.collect()}
+    assert got == {2: (0, 1, "Android", at(0)), 4: (1, 0, None, at(5))}
