@@ -28,12 +28,12 @@ BLOCKS = BITS // 8
 NEAR = RADIUS // BLOCKS  # some block of two fingerprints within RADIUS differs in so many bits at most
 ITEMS_AT_ONCE = 20_000  # items whose index is sent to the tasks together
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+_WORD = re.compile(r"\w+")
 
 
 def word_hashes(text: str | None) -> np.ndarray:
-    """Hashes of the words of a text: letters and digits, A-Z as a-z, marks dropped."""
-    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
+    """Hashes of the words of a text: letters and digits in lower case, signs dropped."""
+    words = _WORD.findall((text or "").lower())
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
