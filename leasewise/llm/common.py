@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word: anything between ASCII white space
 
@@ -16,6 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[str]]:
+    """The rows with columns named c0, c1 and so on, and the new names of the needed ones.
+
+    Operators that give all columns back add theirs to these, so that no name
+    that comes in can clash; `named_back` undoes it.
+    """
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), [f"c{docs.columns.index(n)}" for n in needed]
+
+
+def named_back(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(columns)])
+
+
 def pieces(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of about `most_bytes` of text each.
 

@@ -8,7 +8,9 @@ come to the driver.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import add, or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,13 +26,21 @@ ROUNDS = 50
 TOLERANCE = 1e-5
 
 
+def _times(text: Column, part: str) -> Column:
+    """How often `part` stands in the text, without overlaps."""
+    return (F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)
+
+
 def topic_of(text: Column) -> Column:
     """A coarse topic from the whole text: the first of these that applies."""
+    low = F.lower(text)
+    license_ = reduce(or_, [low.contains(f"licen{c}e{d} under") for c in "sc" for d in ("", "d")] + [low.contains(f"under the mit licen{c}e") for c in "sc"])
+    marks = reduce(add, [_times(text, sign * 3) for sign in "#*$%&"])
     return (
-        F.when(F.regexp_count(text, F.lit(r" \| ")) >= 3, "table")
-        .when(text.rlike("(?i)licen[sc]ed? under|under the mit licen[sc]e"), "licensed")
-        .when(text.rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\."), "contact")
-        .when(F.regexp_count(text, F.lit(r"[#*$%&]{3}")) >= 3, "marked")
+        F.when(_times(text, " | ") >= 3, "table")
+        .when(license_, "licensed")
+        .when(text.contains("@") & text.rlike(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\."), "contact")
+        .when(marks >= 3, "marked")
         .otherwise("prose"))
 
 
@@ -113,24 +123,31 @@ def rake(table: DataFrame, lang_shares: Mapping[str, float] | None = None, topic
 
 
 def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang", keep: str = "doc_id", topic: Column | None = None,
-            share: float = SHARE, seed: int = 42, **targets) -> DataFrame:
+            share: float = SHARE, seed: int = 42, columns: Sequence[str] | None = None, **targets) -> DataFrame:
     """Documents drawn with the probability share * factor of their cell, 1 at most.
 
-    Returns the columns that came plus `mix_topic`, `mix_tokens`, `mix_weight`
-    (the cell's factor) and `mix_probability`; columns of these names are
-    replaced.  The draw depends on the id, the text and the seed only, so it is
-    the same on every run and copies of a row are drawn together.  Documents
-    without a word have no weight and are not drawn; null labels are a label
-    of their own.  Where share * factor is over 1 all of a cell is taken and
-    the expected mix falls short there: a smaller share avoids it.
+    Returns `columns` (all that came, by default) plus `mix_topic`,
+    `mix_tokens`, `mix_weight` (the cell's factor) and `mix_probability`;
+    columns of these names are replaced.  The draw depends on the id, the text
+    and the seed only, so it is the same on every run and copies of a row are
+    drawn together.  Documents without a word have no weight and are not
+    drawn; null labels are a label of their own.  Where share * factor is over
+    1 all of a cell is taken and the expected mix falls short there: a smaller
+    share avoids it.  The labelled rows are written once and read for the sums
+    and for the draw.
     """
     new = ("mix_topic", "mix_tokens", "mix_weight", "mix_probability")
-    columns = [c for c in docs.columns if c not in new]
-    docs = docs.select(*columns)
-    fitted = cut(rake(cut(cells(labelled(docs, text, source, lang, topic))), **targets).select(
-        F.struct("source", "lang", "topic").alias("_cell"), "factor"))
-    rows = labelled(docs, text, source, lang, topic).withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic"))
+    columns = [c for c in columns or docs.columns if c not in new]
+    if topic is None:
+        topic = topic_of(F.coalesce(docs[text], F.lit("")))
+    packed = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(columns)], docs[keep].alias("_id"), docs[text].alias("_text"),
+                         docs[source].alias("_source"), docs[lang].alias("_lang"), topic.alias("_topic"))
+    draw = F.shiftrightunsigned(F.xxhash64("_id", "_text", F.lit(seed)), 11) / F.lit(float(1 << 53))
+    rows = cut(labelled(packed, "_text", "_source", "_lang", F.col("_topic")).withColumn("_draw", draw).select(
+        *[f"c{i}" for i in range(len(columns))], "_mix", "_draw"))
+    fitted = cut(rake(cut(cells(rows)), **targets).select(F.struct("source", "lang", "topic").alias("_cell"), "factor"))
     chance = F.least(F.lit(1.0), F.col("factor") * share)
-    draw = F.shiftrightunsigned(F.xxhash64(F.col(keep), F.col(text), F.lit(seed)), 11) / F.lit(float(1 << 53))
-    return rows.join(fitted, "_cell").withColumn("_chance", chance).filter(draw < F.col("_chance")).select(
-        *columns, F.col("_mix.topic").alias("mix_topic"), F.col("_mix.tokens").alias("mix_tokens"), F.col("factor").alias("mix_weight"), F.col("_chance").alias("mix_probability"))
+    placed = rows.withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_chance", chance)
+    return placed.filter(F.col("_draw") < F.col("_chance")).select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("_mix.topic").alias("mix_topic"), F.col("_mix.tokens").alias("mix_tokens"),
+        F.col("factor").alias("mix_weight"), F.col("_chance").alias("mix_probability"))

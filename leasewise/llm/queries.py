@@ -42,8 +42,7 @@ def op7_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = mixing.sampled(table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability")
+    return mixing.sampled(table(spark, sf_dir, "documents"), columns=["doc_id", "source", "lang"])
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

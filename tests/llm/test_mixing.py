@@ -67,7 +67,9 @@ def test_sample_has_the_calibrated_mix(spark):
     for r in got.groupBy("lang").agg(F.sum("mix_tokens").alias("n")).collect():
         assert abs(r.n / total - want[r.lang]) < 0.02
     assert abs(total / sum(tokens.values()) - 0.3) < 0.02
-    assert rows(got) == rows(mixing.sampled(made.repartition(7), topic=F.when(F.length("text") % 2 == 0, "even").otherwise("odd"), share=0.3).select(*got.columns))
+    again = mixing.sampled(made.repartition(7), topic=F.when(F.length("text") % 2 == 0, "even").otherwise("odd"), share=0.3)
+    exact = lambda df: rows(df.drop("mix_weight", "mix_probability"))  # noqa: E731  factors are sums of doubles
+    assert exact(got) == exact(again)
 
 
 def test_rows_of_any_kind(spark):
