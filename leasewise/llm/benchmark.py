@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_text
+from .common import by_text, named_back, numbered
 
 SHINGLE = 5
 SIMILAR = 0.8
@@ -205,12 +205,11 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, keep: str = "doc_id", t
 
 def without_matches(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows that hold no item, with the columns they came with."""
-    columns = docs.columns
+    rows, (body,) = numbered(docs, text)
+    rest = [c for c in rows.columns if c != body]
     for index in indexes(items, item, item_text):
         def run(texts: list[str | None], index: Index = index) -> dict[str, pa.Array]:
             return {"_clean": pa.array([not index.matches(t) for t in texts]), "_body": pa.array(texts, pa.string())}
 
-        rest = [c for c in columns if c != text]
-        docs = by_text(docs, rest, text, "_clean boolean, _body string", run).filter("_clean").select(
-            *[F.col("_body").alias(c) if c == text else F.col(c) for c in columns])
-    return docs
+        rows = by_text(rows, rest, body, "_clean boolean, _body string", run).filter("_clean").withColumnRenamed("_body", body)
+    return named_back(rows, docs.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut
-from .common import WORD
+from .common import WORD, named_back, numbered
 
 SPACE = r"[\x20\x09-\x0D]+"
 GRAM = 5  # words of a repeated window
@@ -170,8 +170,9 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     rows, and the rows meet them in a join on language and source, which is a
     broadcast while the limits are small.
     """
-    counted = cut(measured(docs, text))
-    return judged(counted, fences(sketches(counted, lang, source)), lang, source).filter("_kept").select(*docs.columns)
+    rows, (text, lang, source) = numbered(docs, text, lang, source)
+    counted = cut(measured(rows, text))
+    return named_back(judged(counted, fences(sketches(counted, lang, source)), lang, source).filter("_kept"), docs.columns)
 
 
 def _sql_measure(r: Rule) -> str:

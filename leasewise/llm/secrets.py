@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import by_text
+from .common import by_text, named_back, numbered
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -363,11 +363,10 @@ def redact(text: str, spans: list[tuple[int, int, str]], mark: str = "[SECRET]")
 
 def redacted(docs: DataFrame, model: Model, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """All rows and columns, each secret in the text replaced by `mark`; a null text stays null."""
-    columns = docs.columns
+    rows, (body,) = numbered(docs, text)
 
     def run(texts: list[str | None]) -> dict[str, pa.Array]:
         return {"_clean": pa.array([None if t is None else redact(t, s, mark) for t, s in zip(texts, scan(texts, model))], pa.string())}
 
-    rest = [c for c in columns if c != text]
-    done = by_text(docs, rest, text, "_clean string", run)
-    return done.select(*[F.col("_clean").alias(c) if c == text else F.col(c) for c in columns])
+    done = by_text(rows, [c for c in rows.columns if c != body], body, "_clean string", run).withColumnRenamed("_clean", body)
+    return named_back(done, docs.columns)

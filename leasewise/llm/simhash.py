@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
-from .common import by_text, group_starts, whole_groups
+from .common import by_text, group_starts, named_back, numbered, whole_groups
 
 RADIUS = 3
 BLOCKS = (13, 13, 13, 13, 12)  # widths; RADIUS differing bits leave at least two of five whole
@@ -232,5 +232,6 @@ def one_of_each(docs: DataFrame, keep: str = "doc_id", text: str = "text", shing
     placed = _placed(marked.groupBy("fp").agg(F.min(F.struct("none", "id", "digest")).alias("_least")), radius)
     stay = placed.groupBy("root").agg(F.min("_least").alias("_stay")).select(
         F.coalesce(F.col("_stay.id").cast("string"), F.lit("")).alias("_id"), F.col("_stay.digest").alias("_digest"))
-    keyed = docs.withColumns({"_id": F.coalesce(docs[keep].cast("string"), F.lit("")), "_digest": F.md5(F.coalesce(docs[text], F.lit("")))})
-    return keyed.join(stay, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"]).select(*docs.columns)
+    rows, (keep, text) = numbered(docs, keep, text)
+    keyed = rows.withColumns({"_id": F.coalesce(F.col(keep).cast("string"), F.lit("")), "_digest": F.md5(F.coalesce(F.col(text), F.lit("")))})
+    return named_back(keyed.join(stay, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"]), docs.columns)

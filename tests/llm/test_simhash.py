@@ -93,5 +93,5 @@ def test_rows_of_any_kind(spark):
     assert simhash.near_duplicates(awkward.empty(spark)).count() == 0
     kept = simhash.one_of_each(awkward.docs(spark))
     assert kept.columns == awkward.docs(spark).columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 7, 8, 9]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 7, 7, 8, 9]  # two texts share id 7
     assert simhash.one_of_each(awkward.empty(spark)).count() == 0
