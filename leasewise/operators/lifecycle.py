@@ -81,15 +81,20 @@ def payment_inputs(ledger: DataFrame, lines: DataFrame, variants: DataFrame, fla
         F.coalesce(F.col("_variant").ilike("%month%"), F.lit(False)).alias("is_registry_product")).distinct()
     plan, ts = F.col("is_membership"), F.col("transaction_ts")
     recent = ts >= F.date_sub(day(as_of), days)
-    stats = paid.groupBy("member_id").agg(
-        F.min(F.when(plan, ts)).alias("first_membership_purchase_ts"),
-        F.max(F.when(plan, ts)).alias("last_membership_payment_ts"),
-        F.max(F.when(~plan, ts)).alias("last_product_payment_ts"),
-        F.countDistinct(F.when(~plan & recent, F.col("sku"))).alias("ct_active_product_payments"),
-        F.countDistinct(F.when(~plan, F.col("sku"))).alias("ct_purchased_skus"),
+    gift, registry = flag(F.col("is_gift_card")), flag(F.col("is_registry_product"))
+    # One row per member and sku first: distinct skus are then plain sums.
+    per_sku = paid.groupBy("member_id", "sku").agg(
+        F.min(F.when(plan, ts)).alias("_first_plan"), F.max(F.when(plan, ts)).alias("_last_plan"), F.max(F.when(~plan, ts)).alias("_last_item"),
+        F.max(F.when(~plan & recent, 1)).alias("_recent"), F.max(F.when(~plan, 1)).alias("_item"),
+        F.sum(gift).alias("_gift"), F.count(gift).alias("_gifts"), F.sum(registry).alias("_registry"), F.count(registry).alias("_registries"))
+    known = F.col("sku").isNotNull()
+    stats = per_sku.groupBy("member_id").agg(
+        F.min("_first_plan").alias("first_membership_purchase_ts"), F.max("_last_plan").alias("last_membership_payment_ts"),
+        F.max("_last_item").alias("last_product_payment_ts"),
+        F.count_if(known & (F.col("_recent") == 1)).alias("ct_active_product_payments"), F.count_if(known & (F.col("_item") == 1)).alias("ct_purchased_skus"),
         F.max(flag(F.col("sku") == FLAGSHIP)).alias("is_ever_purchased_flagship"),
-        F.avg(flag(F.col("is_gift_card"))).alias("avg_purchased_gift_card"),
-        F.avg(flag(F.col("is_registry_product"))).alias("avg_purchased_registry_product"))
+        F.try_divide(F.sum("_gift"), F.sum("_gifts")).alias("avg_purchased_gift_card"),
+        F.try_divide(F.sum("_registry"), F.sum("_registries")).alias("avg_purchased_registry_product"))
     named = influencers.select("member_id").distinct().withColumn("is_influencer", F.lit(1))
     return stats.join(named, "member_id", "left").withColumn("is_influencer", F.coalesce("is_influencer", F.lit(0)))
 
@@ -99,14 +104,15 @@ def rental_inputs(rentals: DataFrame, flagship: DataFrame, as_of: date | str) ->
     today = day(as_of)
     out, back = F.col("delivery_date"), F.col("pick_up_date")
     items = lookup(rentals.select("member_id", "sku", "delivery_date", "pick_up_date"), flagship, "sku").withColumn("sku", F.coalesce("_group", "sku"))
-    skus = lambda test: F.countDistinct(F.when(test, F.col("sku")))
-    return items.groupBy("member_id").agg(
-        skus((out <= today) & (back.isNull() | (back >= today))).alias("ct_active_products"),
-        skus(out > today).alias("ct_items_with_scheduled_delivery"),
-        skus(back > today).alias("ct_items_with_scheduled_pickup"),
-        skus(out <= today).alias("ct_skus_delivered"),
+    tests = {
+        "ct_active_products": (out <= today) & (back.isNull() | (back >= today)), "ct_items_with_scheduled_delivery": out > today,
+        "ct_items_with_scheduled_pickup": back > today, "ct_skus_delivered": out <= today}
+    # One row per member and sku first: distinct skus are then plain sums.
+    per_sku = items.groupBy("member_id", "sku").agg(*[F.max(F.when(t, 1)).alias(n) for n, t in tests.items()], F.min("delivery_date").alias("_first"))
+    return per_sku.groupBy("member_id").agg(
+        *[F.count_if(F.col("sku").isNotNull() & (F.col(n) == 1)).alias(n) for n in tests],
         F.min(F.when(F.col("sku") == FLAGSHIP, 1).otherwise(0)).alias("is_only_flagship_rented"),
-        F.min("delivery_date").alias("first_delivery_date"))
+        F.min("_first").alias("first_delivery_date"))
 
 
 def lifecycle_inputs(payments: DataFrame, rentals: DataFrame) -> DataFrame:

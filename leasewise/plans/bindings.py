@@ -36,6 +36,7 @@ _SECOND = "CAST(floor((extract(HOUR FROM ts) * 3600 + extract(MINUTE FROM ts) *
 MOVED = f"CAST(CAST(ts AS DATE) AS TIMESTAMP) - INTERVAL '1' DAY * (8280 + CAST(user_id AS INT) % 8 * 300) + INTERVAL '1' SECOND * {_SECOND}"
 LINE = ("CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || "
         "CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING)")
+QUANTITY = "CASE WHEN l_quantity > 48 THEN CAST(l_quantity AS INT) ELSE 1 + CAST(l_quantity AS INT) % 4 END"  # as a shop sells: few, seldom many
 DEVICE = "'d' || CAST(user_id AS STRING) || '-' || CAST(k % 4 AS STRING)"
 
 
@@ -169,7 +170,7 @@ BINDINGS: dict[str, str] = {
         SELECT {LINE} AS id, CAST(l_orderkey AS STRING) AS order_id, CAST(CASE WHEN o_custkey % 25 = 13 THEN gift ELSE l_partkey END AS STRING) AS product_id,
                'v' || CAST(CASE o_custkey % 25 WHEN 13 THEN gift WHEN 17 THEN rented ELSE l_partkey END AS STRING) AS variant_id, 'Line ' || CAST(l_linenumber AS STRING) AS name, l_returnflag AS title,
                'S' || CAST(l_suppkey AS STRING) AS vendor, CASE WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'registry' ELSE 'manual' END AS fulfillment_service,
-               {_money('l_extendedprice')} AS price, CAST(l_quantity AS INT) AS quantity, l_returnflag = 'A' AS gift_card,
+               {_money('l_extendedprice')} AS price, {QUANTITY} AS quantity, l_returnflag = 'A' AS gift_card,
                {_money('l_discount * 100')} AS total_discount,
                CASE WHEN l_discount > 0 THEN '[{{"amount":"' || {_money_text('l_discount * 100')} || '"}},{{"amount":"1.00"}}]'
                     WHEN l_tax > 0 THEN '[]' END AS discount_allocations,
@@ -205,8 +206,8 @@ BINDINGS: dict[str, str] = {
         FROM orders LEFT JOIN b_returned returned ON returned.orderkey = o_orderkey""",
     # The returned lines of an order, as the refund's JSON lists them.
     "b_returned": f"""
-        SELECT l_orderkey AS orderkey, string_agg('{{"id":"a-' || {LINE} || '","line_item_id":"' || {LINE} || '","quantity":' || CAST(CAST(l_quantity AS INT) AS STRING)
-               || ',"restock_type":"return","subtotal":"' || CAST(CAST({_money('l_extendedprice')} * CAST(l_quantity AS INT) AS DECIMAL(18,2)) AS STRING) || '","total_tax":"' || {_money_text('l_tax * 100')}
+        SELECT l_orderkey AS orderkey, string_agg('{{"id":"a-' || {LINE} || '","line_item_id":"' || {LINE} || '","quantity":' || CAST({QUANTITY} AS STRING)
+               || ',"restock_type":"return","subtotal":"' || CAST(CAST({_money('l_extendedprice')} * ({QUANTITY}) AS DECIMAL(18,2)) AS STRING) || '","total_tax":"' || {_money_text('l_tax * 100')}
                || '","total_discount":"' || {_money_text('l_discount * 100')} || '","requires_shipping":true,"price":"' || {_money_text('l_extendedprice')} || '"}}', ',') AS items
         FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey""",
     "b_bundles": """
