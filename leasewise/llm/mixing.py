@@ -147,7 +147,7 @@ def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: s
         *[f"c{i}" for i in range(len(columns))], "_mix", "_draw"))
     fitted = cut(rake(cut(cells(rows)), **targets).select(F.struct("source", "lang", "topic").alias("_cell"), "factor"))
     chance = F.least(F.lit(1.0), F.col("factor") * share)
-    placed = rows.withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_chance", chance)
+    placed = rows.filter("_mix.tokens > 0").withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_chance", chance)
     return placed.filter(F.col("_draw") < F.col("_chance")).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("_mix.topic").alias("mix_topic"), F.col("_mix.tokens").alias("mix_tokens"),
         F.col("factor").alias("mix_weight"), F.col("_chance").alias("mix_probability"))

@@ -60,7 +60,7 @@ def test_viterbi_is_the_best_path(model):
     draw = random.Random(1)
     for _ in range(20):
         tokens = [draw.choice(["token", "=", "abc12345678", "word", "AKIA99999999999", "12345678", '"']) for _ in range(6)]
-        x, ok = secrets.features(tokens, ("f",)), [secrets.possible(t) for t in tokens]
+        x, ok = secrets.features(tokens, ("f", "g")), [secrets.possible(t) for t in tokens]
         emit = model.weights[np.array(x)].sum(axis=1)
 
         def score(path):
