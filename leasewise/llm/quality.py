@@ -158,7 +158,7 @@ def quality_verdicts(docs: DataFrame, keep: str = "doc_id", text: str = "text",
     """
     narrow = docs.select(docs[keep].alias("_id"), docs[text].alias("_text"), docs[lang].alias("_l"), docs[source].alias("_s"))
     counted = cut(measured(narrow, "_text").drop("_text"))
-    done = judged(counted, fences(sketches(counted, "_l", "_s")), "_l", "_s")
+    done = judged(counted, cut(fences(sketches(counted, "_l", "_s"))), "_l", "_s")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return done.select(F.col("_id").alias(keep), *[F.col(f"_base.{n}").alias(n) for n in names], F.col("_failed").alias("base_failed"), F.col("_kept").alias("kept"))
 
@@ -172,7 +172,8 @@ def keep_good(docs: DataFrame, text: str = "text", lang: str = "lang", source: s
     """
     rows, (text, lang, source) = numbered(docs, text, lang, source)
     counted = cut(measured(rows, text))
-    return named_back(judged(counted, fences(sketches(counted, lang, source)), lang, source).filter("_kept"), docs.columns)
+    limits = cut(fences(sketches(counted, lang, source)))  # written, so that its size is known to the join
+    return named_back(judged(counted, limits, lang, source).filter("_kept"), docs.columns)
 
 
 def _sql_measure(r: Rule) -> str:

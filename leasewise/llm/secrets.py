@@ -34,6 +34,7 @@ AROUND = 6  # tokens of context on each side of a possible secret
 BUCKETS = 1 << 13  # hashed features
 SHOWN = 256  # characters of a token that its features describe
 SAMPLE_DOCS = 2000  # documents that the model is fitted on, at most
+RANKS = 1_000_000_007
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -299,7 +300,10 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
             made.append([{"x": x, "y": y, "ok": ok} for x, y, ok in training_rows(t or "", spans)])
         return {"rows": pa.array(made, kind)}
 
-    sample = docs.select(docs[text].alias("_text")).filter(F.col("_text").isNotNull()).orderBy(F.xxhash64("_text"), "_text").limit(sample_docs)
+    # A share of all texts by hash, so that few rows meet for the exact cut; copies count once.
+    rank = F.pmod(F.xxhash64("_text"), F.lit(RANKS))
+    most = RANKS if (rows := docs.count()) <= 2 * sample_docs else RANKS * 2 * sample_docs // rows
+    sample = docs.select(docs[text].alias("_text")).filter(F.col("_text").isNotNull() & (rank < most)).distinct().orderBy(rank, "_text").limit(sample_docs)
     got = [(r["x"], r["y"], r["ok"]) for row in by_text(sample, [], "_text", schema, run).collect() for r in row["rows"]]
     got += [r for line, spans in made_lines() for r in training_rows(line, spans)]
     got = [(x[:64], y[:64], ok[:64]) for x, y, ok in got]  # a bounded piece of a longer run is enough to learn from
