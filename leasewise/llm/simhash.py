@@ -230,7 +230,12 @@ def one_of_each(docs: DataFrame, keep: str = "doc_id", text: str = "text", shing
     marked = by_text(named.select(F.col("row.*"), "_text").toDF("none", "id", "digest", "_text"), ["none", "id", "digest"], "_text", "fp long", lambda texts: {
         "fp": pa.array(np.array([fingerprint(t, shingle) for t in texts], dtype=np.uint64).view(np.int64))})
     placed = _placed(marked.groupBy("fp").agg(F.min(F.struct("none", "id", "digest")).alias("_least")), radius)
-    stay = placed.groupBy("root").agg(F.min("_least").alias("_stay")).select(
+    return rows_that_stay(docs, keep, text, placed.groupBy("root").agg(F.min("_least").alias("_stay")))
+
+
+def rows_that_stay(docs: DataFrame, keep: str, text: str, stay: DataFrame) -> DataFrame:
+    """One row of `docs` for each `_stay`: (none, id, digest of the text)."""
+    stay = stay.select(
         F.coalesce(F.col("_stay.id").cast("string"), F.lit("")).alias("_id"), F.col("_stay.digest").alias("_digest"))
     rows, (keep, text) = numbered(docs, keep, text)
     keyed = rows.withColumns({"_id": F.coalesce(F.col(keep).cast("string"), F.lit("")), "_digest": F.md5(F.coalesce(F.col(text), F.lit("")))})
