@@ -20,7 +20,7 @@ from .common import WORD
 
 NONE = "\u0000"  # stands for a null label
 ALPHA = 0.5  # default targets: shares of tokens to this power
-SHARE = 0.5  # expected share of all tokens in the sample, before saturation
+SHARE = 0.5  # expected share of all tokens in the sample
 MOST_LABELS = 10_000  # language x topic pairs that the driver holds
 ROUNDS = 50
 TOLERANCE = 1e-5
@@ -124,17 +124,20 @@ def rake(table: DataFrame, lang_shares: Mapping[str, float] | None = None, topic
 
 def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: str = "lang", keep: str = "doc_id", topic: Column | None = None,
             share: float = SHARE, seed: int = 42, columns: Sequence[str] | None = None, **targets) -> DataFrame:
-    """Documents drawn with the probability share * factor of their cell, 1 at most.
+    """Documents drawn share * factor times, on average, for the factor of their cell.
 
     Returns `columns` (all that came, by default) plus `mix_topic`,
-    `mix_tokens`, `mix_weight` (the cell's factor) and `mix_probability`;
-    columns of these names are replaced.  The draw depends on the id, the text
-    and the seed only, so it is the same on every run and copies of a row are
-    drawn together.  Documents without a word have no weight and are not
-    drawn; null labels are a label of their own.  Where share * factor is over
-    1 all of a cell is taken and the expected mix falls short there: a smaller
-    share avoids it.  The labelled rows are written once and read for the sums
-    and for the draw.
+    `mix_tokens`, `mix_weight` (the cell's factor) and `mix_probability` (the
+    expected number of copies); columns of these names are replaced.  Where
+    share * factor is over 1, its whole part is the number of copies of every
+    document of the cell and the rest is drawn for one more, so the sample
+    has the target shares and `share` of all tokens, on average.  The draw
+    depends on the id, the text and the seed only, so it is the same on every
+    run and copies of a row are drawn together.  Documents without a word have
+    no weight and are not drawn; null labels are a label of their own.  A share
+    over 1 is more than there is: no document is repeated then, a cell gives
+    what it has and the mix falls short.  The labelled rows are written once
+    and read for the sums and for the draw.
     """
     new = ("mix_topic", "mix_tokens", "mix_weight", "mix_probability")
     columns = [c for c in columns or docs.columns if c not in new]
@@ -146,8 +149,10 @@ def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: s
     rows = cut(labelled(packed, "_text", "_source", "_lang", F.col("_topic")).withColumn("_draw", draw).select(
         *[f"c{i}" for i in range(len(columns))], "_mix", "_draw"))
     fitted = cut(rake(cut(cells(rows)), **targets).select(F.struct("source", "lang", "topic").alias("_cell"), "factor"))
-    chance = F.least(F.lit(1.0), F.col("factor") * share)
-    placed = rows.filter("_mix.tokens > 0").withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_chance", chance)
-    return placed.filter(F.col("_draw") < F.col("_chance")).select(
+    expected = F.col("factor") * share if share <= 1 else F.least(F.lit(1.0), F.col("factor") * share)
+    copies = F.floor("_expected").cast("int") + (F.col("_draw") < F.col("_expected") - F.floor("_expected")).cast("int")
+    placed = rows.filter("_mix.tokens > 0").withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_expected", expected)
+    drawn = placed.withColumn("_copies", copies).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return drawn.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("_mix.topic").alias("mix_topic"), F.col("_mix.tokens").alias("mix_tokens"),
-        F.col("factor").alias("mix_weight"), F.col("_chance").alias("mix_probability"))
+        F.col("factor").alias("mix_weight"), F.col("_expected").alias("mix_probability"))

@@ -72,6 +72,26 @@ def test_sample_has_the_calibrated_mix(spark):
     assert exact(got) == exact(again)
 
 
+def test_sample_has_the_targets_under_strong_skew(spark):
+    made = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), F.col("id").cast("string")).alias("text"),
+        F.when(F.col("id") % 100 < 2, "rare").otherwise("en").alias("lang"), F.when(F.col("id") % 97 == 0, "few").otherwise("many").alias("source"))
+    topic = F.when(F.col("doc_id") % 89 == 0, "odd").otherwise("even")
+    got = mixing.sampled(made, topic=topic)
+    labels = made.withColumn("mix_topic", topic)
+    assert got.agg(F.max("mix_probability")).first()[0] > 2  # no draw without repeats can have this mix
+    total = got.agg(F.sum("mix_tokens")).first()[0]
+    assert abs(total / 80_000 - mixing.SHARE) < 0.02
+    cells = labels.groupBy("source", "lang", "mix_topic").count().collect()
+    expected = {tuple(r[:3]): r[3] for r in got.select("source", "lang", "mix_topic", "mix_probability").distinct().collect()}
+    for label in ("source", "lang", "mix_topic"):
+        want = mixing.tempered({r[0]: r[1] for r in labels.groupBy(label).count().collect()})
+        for name, share in want.items():
+            weight = sum(r[3] * expected[tuple(r[:3])] for r in cells if r[label] == name) / sum(r[3] * expected[tuple(r[:3])] for r in cells)
+            drawn = got.filter(F.col(label) == name).agg(F.sum("mix_tokens")).first()[0] / total
+            assert abs(weight - share) < 1e-3 and abs(drawn - share) < 0.02
+
+
 def test_rows_of_any_kind(spark):
     docs = awkward.docs(spark)
     everything = mixing.sampled(docs, share=1e9)
