@@ -23,7 +23,7 @@ BASE = (("mit", "the mit license"), ("apache-2", "apache license version 2"), ("
 
 # Texts are bytes read as Latin-1, so every byte from \x80 on belongs to a word.
 IN, OUT = r"[0-9a-z\x80-\xff]", r"[\x00-\x2f\x3a-\x60\x7b-\x7f]"
-G = "(?:" + OUT + "{1,4})"  # a gap between two words of a signature
+G = "(?:" + OUT + "+)"  # a gap between two words of a signature: also line ends with comment leaders and indents
 
 # label, SPDX identifier, name, address; each part is a regex over lower-case
 # text, "_" stands for a gap; last come the keywords, one of which must occur.
@@ -105,7 +105,7 @@ LOOSE = (
     (1, "mit", 0.95, r"permission_is_hereby_granted_free_of_charge_to_any_person_obtaining_a_copy", "permission is hereby"),
     (1, "isc", 0.95, r"permission_to_use_copy_modify_and_or_distribute_this_software_for_any_purpose", "permission to use"),
     (1, "bsd", 0.9, r"redistribution_and_use_in_source_and_binary_forms", "redistribution and use"),
-    (2, "bsd-3-clause", 0.9, r"neither_the_names?_of_.{1,80}?_nor_the_names_of_its_contributors", "neither the name"),
+    (2, "bsd-3-clause", 0.9, r"neither_the_names?_of_(?s:.){1,200}?_nor_the_names_of_its_contributors", "neither the name"),
     (1, "unlicense", 0.95, r"this_is_free_and_unencumbered_software_released_into_the_public_domain", "unencumbered"),
     (1, "zlib", 0.9, r"this_software_is_provided_as_is_without_any_express_or_implied_warranty_in_no_event", "express or implied"),
     (1, "boost-1", 0.95, r"boost_software_licen[sc]e_version_1_0_august_17th_2003", "august 17th"),

@@ -67,3 +67,10 @@ def test_offsets_are_code_points():
     text = "çéü the mit license"
     (found,) = licenses.scan(text)["detections"]
     assert text[found["start"]:found["end"]] == "the mit license"
+
+
+def test_rules_hold_over_wrapped_lines():
+    for gap in ("\n * ", "\n    * ", "\r\n\t\t//   ", "\n#" + " " * 20):
+        assert labels(f"Redistribution and use in source and binary{gap}forms, with or without") == "bsd"
+        assert labels(f"licensed under the GNU Lesser General{gap}Public License, version 2.1") == "lgpl-2.1"
+        assert labels(f"Neither the name of The Example{gap}Company nor the{gap}names of its contributors") == "bsd-3-clause"
