@@ -144,12 +144,18 @@ class Index:
                     old = best.get((size, item))
                     if old is None or (similar, -start) > (old[0], -old[1]):
                         best[size, item] = similar, start
-        return [(i, start, size, similar) for (size, item), (similar, start) in best.items() for i in self.sized[size].ids[item]]
+        return [(i, start, min(size, len(words)), similar) for (size, item), (similar, start) in best.items() for i in self.sized[size].ids[item]]
 
     def _windows(self, codes: np.ndarray, places: np.ndarray, size: int, width: int) -> Iterator[tuple[int, float, int]]:
         n = size - width + 1  # shingles of a window
         last = len(codes) - n
-        if last < 0:
+        if last < 0:  # shorter than the items: the whole document is the window, where its length allows the similarity
+            if len(codes) >= SIMILAR * n:
+                own, whole = self.sized[size], Counter(codes.tolist())
+                for _, item in zip(*own.near(fingerprints(codes, np.array([0]), len(codes)))):
+                    similar = similarity(whole, own.counts[item])
+                    if similar >= SIMILAR:
+                        yield 0, similar, int(item)
             return
         edge = np.zeros(last + 2, np.int64)  # windows that hold a hit
         low, high = np.maximum(places - n + 1, 0), np.minimum(places, last)
@@ -186,7 +192,7 @@ _MATCH_TYPE = pa.list_(pa.struct([("item_id", pa.int64()), ("first_word", pa.int
 def benchmark_matches(docs: DataFrame, items: DataFrame, keep: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc, item_id, first_word, n_words, similarity): the best window of each item that a document holds.
 
-    A window has as many words as the item; similarity is weighted Jaccard
+    A window has as many words as the item, or all of a shorter document; similarity is weighted Jaccard
     over five-word shingles (all words where there are fewer), 0.8 or more.
     Null and empty texts and items match nothing; rows repeat as documents and
     items do; a null id stays null.  Large benchmarks go over the documents in

@@ -77,3 +77,10 @@ def test_rows_of_any_kind(spark):
     none = items.filter("false")
     assert benchmark.benchmark_matches(awkward.docs(spark), none).count() == 0 and benchmark.without_matches(awkward.docs(spark), none).count() == len(awkward.DOCS)
     assert benchmark.benchmark_matches(awkward.empty(spark), items).count() == 0
+
+
+def test_document_shorter_than_the_item():
+    words = [f"w{i}" for i in range(50)]
+    index = benchmark.Index([(1, " ".join(words))])
+    assert index.matches(" ".join(words[:45])) == [(1, 0, 45, 41 / 46)]
+    assert index.matches(" ".join(words[:40])) == []  # 36 of 46 shingles
