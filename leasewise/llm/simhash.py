@@ -177,24 +177,35 @@ def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node that has an edge (a, b); the root is its smallest node.
 
-    Each round gives every node the smallest of itself and its neighbours and
-    draws the edges between these anew, until no edge is left.  Rounds are
-    written to the shared folder, so the plan does not grow.
+    Each round ranks the nodes anew by a hash, moves every node to the one of
+    lowest rank among itself and its neighbours, and draws the edges between
+    these, until no edge is left.  As ranks do not follow the ids, a round leaves
+    half of the nodes of a path, in whatever order its ids stand, and of a star
+    one: rounds grow with the logarithm of the nodes.  Rounds are written to
+    the shared folder, so the plan does not grow.
     """
-    found = None
     edges = cut(edges.select(F.col("a").alias("a"), F.col("b").alias("b")))
+    found, turn = None, 0
     while not edges.isEmpty():
+        rank = lambda end: F.struct(F.xxhash64(end, F.lit(turn)), F.col(end).alias("node"))  # noqa: B023, E731
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = cut(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low")))
+        low = cut(both.groupBy("a").agg(F.min(rank("b")).alias("low")).select(F.col("a").alias("node"), F.least(rank("a"), "low")["node"].alias("low")))
         if found is None:
             found = low.select("node", F.col("low").alias("root"))
         else:
             step = low.select(F.col("node").alias("root"), F.col("low").alias("_next"))
             found = found.join(step, "root", "left").select("node", F.coalesce("_next", "root").alias("root"))
+        turn += 1
+        if turn % 4 == 0:
+            found = cut(found)
         for end in ("a", "b"):
             edges = edges.join(low.select(F.col("node").alias(end), F.col("low").alias(f"_{end}")), end)
         edges = cut(edges.select(F.col("_a").alias("a"), F.col("_b").alias("b")).filter("a != b").distinct())
-    return found if found is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    if found is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    found = cut(found)
+    least = found.groupBy("root").agg(F.min("node").alias("_least"))
+    return found.join(least, "root").select("node", F.col("_least").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, keep: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = RADIUS) -> DataFrame:

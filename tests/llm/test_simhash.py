@@ -4,10 +4,12 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import awkward
 from conftest import rows
 from leasewise.llm import simhash
+from leasewise.session import cut
 
 
 def plain_fingerprint(text, shingle=3):
@@ -61,6 +63,18 @@ def test_links_give_the_components_of_all_pairs(spark, monkeypatch, large):
     assert len(set(want.values())) < len(fps) - 50
 
 
+def test_rounds_of_a_path_and_a_star(spark, monkeypatch):
+    """A path of 10,000 nodes in ascending order and a star, in 20 rounds or fewer: three written tables a round at most."""
+    path = spark.range(9_999).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    star = spark.range(20_001, 25_000).select(F.lit(20_000).cast("long").alias("a"), F.col("id").alias("b"))
+    written = []
+    monkeypatch.setattr(simhash, "cut", lambda df: written.append(1) or cut(df))
+    found = simhash.components(path.unionByName(star)).groupBy("root").count()
+    assert rows(found) == [(0, 10_000), (20_000, 5_000)]
+    assert len(written) <= 2 + 2 * 20 + 20 // 4
+    assert rows(simhash.components(path.limit(0))) == []
+
+
 def test_forest_finds_all_within_radius():
     draw = np.random.default_rng(1)
     fp = np.unique(draw.integers(0, 2**12, 400, dtype=np.uint64))
