@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import benchmark, chat, html, licenses, mixing, quality, secrets, simhash, substrings, tokens
+from . import benchmark, chat, divergence, html, licenses, mixing, prefixes, quality, resampling, secrets, simhash, substrings, tokens
 from .common import table
 
 
@@ -55,8 +55,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.edit_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {q.__name__: q for q in (
     op1_quality_rules, op2_license_scan, op3_substring_dedup, op4_benchmark_decontamination, op5_html_extraction, op6_secret_scan,
-    op7_preference_formatting, op8_source_mixing, op9_simhash_near_dedup, op10_token_counts)}
+    op7_preference_formatting, op8_source_mixing, op9_simhash_near_dedup, op10_token_counts, op11_source_divergence, op12_document_fingerprints,
+    op13_importance_resampling)}
 SQL: dict[str, str] = {
-    "op1_quality_rules": quality.SQL, "op3_substring_dedup": substrings.SQL, "op7_preference_formatting": chat.SQL}
+    "op1_quality_rules": quality.SQL, "op3_substring_dedup": substrings.SQL, "op7_preference_formatting": chat.SQL,
+    "op11_source_divergence": divergence.SQL, "op13_importance_resampling": resampling.SQL}
