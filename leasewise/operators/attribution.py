@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from ..functions.exprs import epoch_second
+from .ordered import CHUNK_ROWS, HOT_ROWS, before_chunk, solid_keys, split_hot
 
 HOUR, DAY = 3600, 86400
 
 
 def attribute(conversions: DataFrame, touches: DataFrame, lookback_h: int = 24 * 180, grace_h: int = 24,
-              how: str = "left", slot_days: int = 30, keep: Sequence[str] = ()) -> DataFrame:
+              how: str = "left", slot_days: int = 30, keep: Sequence[str] = (), hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """One row per conversion and touch of its member in the time window.
 
     conversions: conversion_id, member_id, order_ts.  touches: event_id,
@@ -24,12 +25,12 @@ def attribute(conversions: DataFrame, touches: DataFrame, lookback_h: int = 24 *
     how="left" a conversion without touches keeps one `direct` row.
 
     The join key is (member, slot of time): a conversion is repeated for the
-    few slots of its window, a touch falls in one, and a member with very
-    many touches is spread over the slots.
+    few slots of its window and a touch falls in one.  A slot that is large
+    all the same is divided by AQE, as any skewed join is.
     """
     slot = slot_days * DAY
     # Count, first and last touch come from running counts, not from the pairs.
-    stats = _in_windows(conversions, touches, lookback_h, grace_h, slot_days).select(
+    stats = _in_windows(conversions, touches, lookback_h, grace_h, (), hot_rows, chunk_rows).select(
         "conversion_id", F.col("touches").alias("_n"), F.col("_first.id").alias("_first"), F.col("_last.id").alias("_last"))
     heads = conversions.select("conversion_id", "member_id", "order_ts", *keep).join(stats, "conversion_id", how)
     sec = epoch_second("order_ts")
@@ -91,16 +92,18 @@ def order_channel_credit(orders: DataFrame, web: DataFrame, lookback_h: int = 87
     return out.filter("touches > 0").withColumnRenamed("conversion_id", "order_id")
 
 
-def _in_windows(conversions: DataFrame, touches: DataFrame, lookback_h: int, grace_h: int, slot_days: int, by: Sequence[str] = ()) -> DataFrame:
+def _in_windows(conversions: DataFrame, touches: DataFrame, lookback_h: int, grace_h: int, by: Sequence[str] = (),
+                hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(conversion_id, *by, touches, _first, _last) of conversions with a touch in their window.
 
     Without a row per conversion and touch: the touches inside a window are
     the difference of two running counts, its ends the nearest touches to its
-    bounds.  Counts run inside slots of time; one row per slot carries them
-    on.  With `by` (columns of the touches) all that holds per value.
+    bounds.  Touches and bounds of a member stand in one line of time; that of
+    a hot member is cut into chunks, and one row per chunk carries counts and
+    ends on.  With `by` (columns of the touches) all that holds per value.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    hour, slot = HOUR * 1_000_000, slot_days * DAY * 1_000_000
+    hour = HOUR * 1_000_000
     own = touches.filter("member_id is not null")
     seen = own.select(
         "member_id", *by, micros("event_ts").alias("_t"), F.lit(1).alias("_kind"),
@@ -113,37 +116,45 @@ def _in_windows(conversions: DataFrame, touches: DataFrame, lookback_h: int, gra
     if by:
         probes = probes.join(own.select("member_id", *by).distinct(), "member_id")
     line = seen.unionByName(probes.select("member_id", *by, "b._t", "b._kind", "conversion_id"), allowMissingColumns=True)
-    line = line.withColumn("_slot", F.floor(F.col("_t") / slot))
-    keys = ["member_id", *by]
-    w = Window.partitionBy(*keys, "_slot").orderBy("_t", "_kind", "_touch.id")
-    upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
-    inside = line.select(
-        *keys, "_slot", "_kind", "conversion_id", F.count("_touch").over(upto).alias("_n"),
-        F.last("_touch", ignorenulls=True).over(upto).alias("_back"), F.first("_touch", ignorenulls=True).over(onward).alias("_ahead"),
-    ).filter("_kind <> 1")
-    slots = line.groupBy(*keys, "_slot").agg(F.count("_touch").alias("_n"), F.max("_touch").alias("_end"), F.min("_touch").alias("_begin"))
-    along = Window.partitionBy(*keys).orderBy("_slot")
-    earlier, later = along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
-    slots = slots.select(
-        *keys, "_slot", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_sum"),
-        F.last("_end", ignorenulls=True).over(earlier).alias("_before"), F.first("_begin", ignorenulls=True).over(later).alias("_after"))
+    line, keys = solid_keys(line, ["member_id", *by])
+    order = [F.col("_t"), F.col("_kind"), F.col("_touch.id")]
+    cold, hot = split_hot(line, keys, order, hot_rows, chunk_rows)
+
+    def counted(rows: DataFrame, *group: str) -> DataFrame:
+        """Bounds with the touches of the window up to them, the last of these and the next one."""
+        w = Window.partitionBy(*group).orderBy(*order)
+        upto, onward = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+        return rows.select(
+            "*", F.count("_touch").over(upto).alias("_n"), F.last("_touch", ignorenulls=True).over(upto).alias("_back"),
+            F.first("_touch", ignorenulls=True).over(onward).alias("_ahead")).filter("_kind <> 1")
+
+    wanted = ["conversion_id", *by, "_kind", "_n", "_back", "_ahead"]
+    found = counted(cold, *keys).select(*wanted)
+    if hot is not None:
+        folded = hot.groupBy(*keys, "_chunk").agg(F.count("_touch").alias("_count"), F.max("_touch").alias("_end"), F.min("_touch").alias("_begin"))
+        _, earlier, later = before_chunk(keys)
+        carried = folded.select(
+            *keys, "_chunk", F.coalesce(F.sum("_count").over(earlier), F.lit(0)).alias("_sum"),
+            F.last("_end", ignorenulls=True).over(earlier).alias("_before"), F.first("_begin", ignorenulls=True).over(later).alias("_after"))
+        placed = counted(hot, *keys, "_chunk").join(carried, [*keys, "_chunk"]).withColumns({
+            "_n": F.col("_n") + F.col("_sum"), "_back": F.coalesce("_back", "_before"), "_ahead": F.coalesce("_ahead", "_after")})
+        found = found.unionByName(placed.select(*wanted))
     low, high = F.col("_kind") == 0, F.col("_kind") == 2
-    total = F.col("_n") + F.col("_sum")
-    return inside.join(slots, [*keys, "_slot"]).groupBy("conversion_id", *by).agg(
-        (F.max(F.when(high, total)) - F.max(F.when(low, total))).alias("touches"),
-        F.max(F.when(low, F.coalesce("_ahead", "_after"))).alias("_first"),
-        F.max(F.when(high, F.coalesce("_back", "_before"))).alias("_last")).filter("touches > 0")
+    return found.groupBy("conversion_id", *by).agg(
+        (F.max(F.when(high, F.col("_n"))) - F.max(F.when(low, F.col("_n")))).alias("touches"),
+        F.max(F.when(low, F.col("_ahead"))).alias("_first"),
+        F.max(F.when(high, F.col("_back"))).alias("_last")).filter("touches > 0")
 
 
 def channel_credit(conversions: DataFrame, touches: DataFrame, lookback_h: int = 24 * 180,
-                   grace_h: int = 24, slot_days: int = 30) -> DataFrame:
+                   grace_h: int = 24, hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Credit per conversion and channel, without a row per conversion and touch.
 
     Gives the sums of `attribute` when a member has many conversions, each
     with many touches; `direct` stands for touches without a channel.
     """
     named = touches.select("event_id", "member_id", "event_ts", F.coalesce("channel_id", F.lit("direct")).alias("channel_id"))
-    per = _in_windows(conversions, named, lookback_h, grace_h, slot_days, ["channel_id"])
+    per = _in_windows(conversions, named, lookback_h, grace_h, ["channel_id"], hot_rows, chunk_rows)
     whole = Window.partitionBy("conversion_id")  # its channels
     per = per.select(
         "*", F.sum("touches").over(whole).alias("_n"),

@@ -261,7 +261,7 @@ def baskets_orders(orders: DataFrame, lines: DataFrame, products: DataFrame, fla
 
 def _ranked(per_visit: DataFrame, ts: str) -> DataFrame:
     # One row per (member, time) already, so numbering it is the dense rank.
-    return numbered(per_visit, "member_id", ts, [], "dense_rank", "month")
+    return numbered(per_visit, "member_id", ts, [], "dense_rank")
 
 
 def name_list(name: str, n: str) -> Column:

@@ -2,8 +2,10 @@
 
 A window over a whole key puts that key in one task.  These helpers avoid it:
 "first rows" are cut before the shuffle, "is it the first row" is an
-aggregate joined back, and numbering or carrying a value along a key is done
-per (key, calendar slot) with a small window over slot totals.
+aggregate joined back, and numbering or carrying a value along a key goes by
+`split_hot`: keys with few rows take the plain window, the rows of a hot key are
+cut into chunks of bounded size, each chunk is folded to one row, a window
+along the key runs on those, and its result is joined to the chunks.
 """
 
 from __future__ import annotations
@@ -69,25 +71,52 @@ def flag_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], n
     )
 
 
-def running_slots(slots: DataFrame, keys: Sequence[str], slot: str, value: str, name: str) -> DataFrame:
-    """Sum of `value` over the earlier slots of a key (0 for the first)."""
-    w = Window.partitionBy(*keys).orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
-    return slots.withColumn(name, F.coalesce(F.sum(value).over(w), F.lit(0)))
+HOT_ROWS = 1_000_000  # a key with more rows is cut into chunks
+CHUNK_ROWS = 100_000  # rows of a chunk, at most
 
 
-def numbered(df: DataFrame, keys: str | Sequence[str], ts: str, order: Sequence[str],
-             name: str = "rn", slot: str = "month") -> DataFrame:
-    """`row_number` per key in order of (ts, *order), split by calendar slot."""
+def split_hot(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+              hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys with their `_chunk`); the second is None where no key is hot.
+
+    `keys` hold no nulls (`solid_keys`).  One pass over the key columns counts
+    their rows.  The rows of hot keys are range-partitioned by key and `order`,
+    numbered where they then stand and written to the checkpoint folder, so
+    that every later step sees the same chunks: at most `chunk_rows` rows each,
+    whatever the key or the ties, in ascending order along a key.  There are
+    fewer hot keys than rows / hot_rows, and the planner knows the written
+    size, so it broadcasts them only where they are few.
+    """
+    keys = list(keys)
+    hot = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows).select(*keys))
+    if hot.isEmpty():
+        return df, None
+    order = [*keys, *order]
+    chunks = cut(
+        df.join(hot, keys, "left_semi").repartitionByRange(*order).sortWithinPartitions(*order)
+        .withColumn("_chunk", F.floor(F.monotonically_increasing_id() / chunk_rows)))
+    return df.join(hot, keys, "left_anti"), chunks
+
+
+def before_chunk(keys: Sequence[str]) -> tuple[Window, Window, Window]:
+    """Windows over one row per chunk: along a key, over its earlier and over its later chunks."""
+    along = Window.partitionBy(*keys).orderBy("_chunk")
+    return along, along.rowsBetween(Window.unboundedPreceding, -1), along.rowsBetween(1, Window.unboundedFollowing)
+
+
+def numbered(df: DataFrame, keys: str | Sequence[str], ts: str, order: Sequence[str], name: str = "rn",
+             hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """`row_number` per key in order of (ts, *order)."""
     df, solid = solid_keys(df, keys)
-    marked = df.withColumn("_slot", F.coalesce(F.date_trunc(slot, F.col(ts).cast("timestamp")).cast("string"), F.lit("")))
-    counts = marked.groupBy(*solid, "_slot").agg(F.count(F.lit(1)).alias("_n"))
-    counts = running_slots(counts, solid, "_slot", "_n", "_before").drop("_n")
-    w = Window.partitionBy(*solid, "_slot").orderBy(ts, *order)
-    return (
-        marked.withColumn("_in", F.row_number().over(w)).join(counts, [*solid, "_slot"])
-        .withColumn(name, (F.col("_in") + F.col("_before")).cast("long"))
-        .drop("_slot", "_in", "_before", *solid)
-    )
+    cold, hot = split_hot(df, solid, [ts, *order], hot_rows, chunk_rows)
+    number = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(ts, *order)).cast("long")
+    out = cold.withColumn(name, number(*solid))
+    if hot is not None:
+        sizes = hot.groupBy(*solid, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+        offsets = sizes.select(*solid, "_chunk", F.coalesce(F.sum("_n").over(before_chunk(solid)[1]), F.lit(0)).alias("_before"))
+        placed = hot.withColumn(name, number(*solid, "_chunk")).join(offsets, [*solid, "_chunk"])
+        out = out.unionByName(placed.withColumn(name, F.col(name) + F.col("_before")).drop("_chunk", "_before"))
+    return out.drop(*solid)
 
 
 def numbered_all(df: DataFrame, order: Sequence[Column | str], name: str = "rn") -> DataFrame:

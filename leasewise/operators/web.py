@@ -18,53 +18,57 @@ from ..functions.exprs import (
     url_parameter, url_path, week_of,
 )
 from .identity import STORE, TRACKER, ids_of, resolve_actor
-from .ordered import first_rows, first_value, last_value, lookup, solid_keys
+from .ordered import (
+    CHUNK_ROWS, HOT_ROWS, before_chunk, first_rows, first_value, last_value, lookup, solid_keys, split_hot,
+)
 
 CAMPAIGN = ("name", "content", "source", "medium")
 
 
 # --- sessions --------------------------------------------------------------
 
-def sessionize(events: DataFrame, actor: str, ts: str, event_id: str,
-               gap_s: int = 1800, slot_s: int = 21600) -> DataFrame:
+def sessionize(events: DataFrame, actor: str, ts: str, event_id: str, gap_s: int = 1800,
+               hot_rows: int = HOT_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Add session_id: the id of the first event of the session.
 
     A session starts at the actor's first event and after a pause of more
-    than `gap_s`, counted in second boundaries.  Events are cut into slots of
-    `slot_s`, so that one very active actor is spread over many tasks; the
-    window along a whole actor runs on one row per slot.
+    than `gap_s`, counted in second boundaries.  Events without a time come
+    after all others and open no session there; those without an actor are
+    one actor's.  An actor with few events takes one window.  A hot one (a bot,
+    or no actor) is cut into chunks; each is folded to its first event, its
+    first and last second and the last session begun in it, and the open
+    session is carried along these rows.
     """
     ev, (who,) = solid_keys(events, actor)
-    # Events without a time come after all others and open no session there.
-    slot = F.coalesce(F.floor(F.col("_sec") / slot_s), F.lit(2**62))
-    ev = ev.withColumn("_sec", epoch_second(ts)).withColumn("_slot", slot)
-    w = Window.partitionBy(who, "_slot").orderBy(ts, event_id)
-    marked = (
-        ev.withColumn("_prev", F.lag("_sec").over(w))
-        .withColumn("_cut", F.when(F.col("_sec") - F.col("_prev") > gap_s, F.col(event_id)))
-        .withColumn("_own", F.last("_cut", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    )
-    # Per slot: its first event, its last second and the last session begun in it.
-    slots = marked.groupBy(who, "_slot").agg(
-        F.min("_sec").alias("_from"), F.max("_sec").alias("_to"),
-        F.min(F.when(F.col("_prev").isNull(), F.col(event_id))).alias("_head"),
-        F.max_by("_cut", F.when(F.col("_cut").isNotNull(), F.struct(ts, event_id))).alias("_tail"),
-    )
-    along = Window.partitionBy(who).orderBy("_slot")
-    slots = (
-        slots.withColumn("_pause", F.col("_from") - F.lag("_to").over(along))
-        .withColumn("_alone", F.lag("_slot").over(along).isNull())
-        .withColumn("_opened", F.when(F.col("_alone") | (F.col("_pause") > gap_s), F.col("_head")))
-        .withColumn("_latest", F.coalesce("_tail", "_opened"))
-        .withColumn("_carried", F.coalesce("_opened", F.last("_latest", ignorenulls=True).over(
-            along.rowsBetween(Window.unboundedPreceding, -1))))
-        .select(who, "_slot", "_carried")
-    )
-    return (
-        marked.join(slots, [who, "_slot"])
-        .withColumn("session_id", F.coalesce("_own", "_carried"))
-        .drop(who, "_sec", "_slot", "_prev", "_cut", "_own", "_carried")
-    )
+    ev = ev.withColumn("_sec", epoch_second(ts))
+    order = [F.col(ts).asc_nulls_last(), F.col(event_id)]
+    cold, hot = split_hot(ev, [who], order, hot_rows, chunk_rows)
+
+    def opened(rows: DataFrame, *by: str) -> DataFrame:
+        """`_head`: the first event of the window; `_own`: the event that opened the session, where it lies in the window."""
+        w = Window.partitionBy(*by).orderBy(*order)
+        pause = F.col("_sec") - F.lag("_sec").over(w) > gap_s
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn("_cut", F.when(pause, F.col(event_id))).select(
+            "*", F.first(event_id).over(upto).alias("_head"), F.last("_cut", ignorenulls=True).over(upto).alias("_own"))
+
+    out = opened(cold, who).withColumn("session_id", F.coalesce("_own", "_head")).drop("_cut", "_head", "_own")
+    if hot is not None:
+        marked = opened(hot, who, "_chunk")
+        place = F.struct(F.col(ts).isNull(), ts, event_id)
+        folded = marked.groupBy(who, "_chunk").agg(
+            F.min("_sec").alias("_from"), F.max("_sec").alias("_to"), F.min_by(event_id, place).alias("_head"),
+            F.max_by("_cut", F.when(F.col("_cut").isNotNull(), place)).alias("_tail"))
+        along, earlier, _ = before_chunk([who])
+        pause = F.col("_from") - F.last("_to", ignorenulls=True).over(earlier)
+        begins = F.row_number().over(along) == 1
+        carried = (
+            folded.withColumn("_open", F.when(begins | (pause > gap_s), F.col("_head")))
+            .withColumn("_latest", F.coalesce("_tail", "_open"))
+            .select(who, "_chunk", F.coalesce("_open", F.last("_latest", ignorenulls=True).over(earlier)).alias("_carried")))
+        placed = marked.join(carried, [who, "_chunk"]).withColumn("session_id", F.coalesce("_own", "_carried"))
+        out = out.unionByName(placed.drop("_chunk", "_cut", "_head", "_own", "_carried"))
+    return out.drop(who, "_sec")
 
 
 def session_table(sessioned: DataFrame, actor: str, ts: str, event_id: str, kind: str) -> DataFrame:

@@ -56,7 +56,8 @@ def test_ordered_helpers_on_a_hot_key(spark):
     for k, ts, i in data:
         groups.setdefault(k, []).append((ts, i))
     want = {i: n for g in groups.values() for n, (_, i) in enumerate(sorted(g), 1)}
-    assert dict(rows(ordered.numbered(df, "k", "ts", ["id"]), "id", "rn")) == want
+    for bounds in ((10**6, 10**6), (100, 1), (100, 33), (0, 500)):
+        assert dict(rows(ordered.numbered(df, "k", "ts", ["id"], "rn", *bounds), "id", "rn")) == want
     assert {i for i, f in rows(ordered.flag_first(df, "k", ["ts", "id"], "f"), "id", "f") if f} == {i for i, n in want.items() if n == 1}
     assert {r[0] for r in rows(ordered.first_rows(df, "k", ["ts", "id"], 2), "id")} == {i for i, n in want.items() if n <= 2}
     every = dict(rows(ordered.numbered_all(df, ["ts", "id"]), "id", "rn"))

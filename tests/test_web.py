@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from leasewise.operators import attribution, web
+from leasewise.operators import attribution, ordered, web
 
 T0 = datetime(2024, 1, 1, 12, 0, 0)
 
@@ -37,16 +37,40 @@ def test_gap_bounds(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5, 6: 6, 7: 6, 8: 8, 9: 8, 10: 10, 11: 10}
 
 
-@pytest.mark.parametrize("slot", [60, 1000, 21600, 10**6])
-def test_hot_actor_matches_brute_force(spark, slot):
-    # One actor holds most rows; slots of any width give the same sessions.
-    rng, events, sec = random.Random(slot), [], 0
+@pytest.mark.parametrize("hot_rows,chunk_rows", [(10**6, 10**6), (100, 1), (100, 7), (10, 40), (0, 3), (0, 10**6)])
+def test_hot_actor_matches_brute_force(spark, hot_rows, chunk_rows):
+    # One actor holds most rows, many have none; chunks of any size give the same sessions.
+    rng, events, sec = random.Random(chunk_rows), [], 0
     for i in range(1500):
         sec += rng.choice([0, 1, 5, 300, 1799, 1800, 1801, 9000])
-        events.append(("hot" if rng.random() < 0.8 else f"u{rng.randrange(20)}", at(sec + rng.choice([0, 0.5])), i))
-    df = spark.createDataFrame(events, "actor string, ts timestamp, id long").repartition(4)
-    got = dict(rows(web.sessionize(df, "actor", "ts", "id", slot_s=slot), "id", "session_id"))
-    assert got == brute_sessions(events, 1800)
+        who = "hot" if rng.random() < 0.6 else None if rng.random() < 0.5 else f"u{rng.randrange(20)}"
+        events.append((who, at(sec + rng.choice([0, 0.5])), i))
+    df = spark.createDataFrame(events + [(a, None, 2000 + k) for k, a in enumerate(["hot", "hot", None, "u1", "never"])], "actor string, ts timestamp, id long").repartition(4)
+    got = dict(rows(web.sessionize(df, "actor", "ts", "id", 1800, hot_rows, chunk_rows), "id", "session_id"))
+    want = brute_sessions(events, 1800)
+    last = lambda a: want[max((e[1], e[2]) for e in events if e[0] == a)[1]]
+    assert got == want | {2000: last("hot"), 2001: last("hot"), 2002: last(None), 2003: last("u1"), 2004: 2004}
+
+
+def test_no_task_holds_a_hot_actor(spark):
+    """One actor has 90 % of all events: chunks are bounded, and no task of the window has over twice the median."""
+    events = spark.range(60_000).select(
+        F.when(F.col("id") % 10 > 0, "bot").otherwise(F.concat(F.lit("u"), F.col("id") % 400)).alias("actor"),
+        F.timestamp_seconds(F.col("id") * 977 % 60_000 * 60).alias("ts"), "id")
+    with_parts = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in with_parts}
+    for k, v in with_parts.items():
+        spark.conf.set(k, v)
+    try:
+        cold, hot = ordered.split_hot(events, ["actor"], [F.col("ts"), F.col("id")], 5_000, 300)
+        sizes = [r[0] for r in hot.groupBy("actor", "_chunk").count().select("count").collect()]
+        assert sum(sizes) == 54_000 and max(sizes) <= 300 and cold.filter("actor = 'bot'").isEmpty()
+        out = web.sessionize(events, "actor", "ts", "id", 1800, 5_000, 300)
+        tasks = sorted(r[0] for r in out.filter("actor = 'bot'").groupBy(F.spark_partition_id()).count().select("count").collect())
+        assert len(tasks) >= 8 and tasks[-1] <= 2 * tasks[len(tasks) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def brute_weights(n):
@@ -108,18 +132,20 @@ def test_channel_rules_in_order(spark):
     assert got == {i: want for i, (_, want) in enumerate(cases)}
 
 
-@pytest.mark.parametrize("slot_days", [1, 7, 400])
-def test_credit_without_pairs_equals_credit_from_pairs(spark, slot_days):
+@pytest.mark.parametrize("hot_rows,chunk_rows", [(10**6, 10**6), (50, 1), (50, 9), (0, 200)])
+def test_credit_without_pairs_equals_credit_from_pairs(spark, hot_rows, chunk_rows):
     # One member holds half of the conversions and of the touches.
-    rng = random.Random(slot_days)
+    rng = random.Random(chunk_rows)
     who = lambda: "hot" if rng.random() < 0.5 else f"m{rng.randrange(6)}"
     when = lambda: T0 + timedelta(hours=rng.randrange(24 * 40), seconds=rng.choice([0, 0, 1]))
     c = spark.createDataFrame([(i, who(), when()) for i in range(120)] + [(900, "alone", T0), (901, None, T0)], "conversion_id long, member_id string, order_ts timestamp")
     t = spark.createDataFrame([(i, who(), when(), rng.choice(["a", "b", "c", None]), None) for i in range(400)], "event_id long, member_id string, event_ts timestamp, channel_id string, campaign_id string")
     kinds = ("first_touch", "last_touch", "multi_touch")
-    pairs = attribution.attribute(c, t, 96, 5).groupBy("conversion_id", "channel_id").agg(
+    whole = attribution.attribute(c, t, 96, 5)
+    assert rows(attribution.attribute(c, t, 96, 5, hot_rows=hot_rows, chunk_rows=chunk_rows)) == rows(whole)
+    pairs = whole.groupBy("conversion_id", "channel_id").agg(
         F.count("event_id").alias("touches"), *[F.round(F.sum(f"{k}_weighting"), 9).alias(k) for k in kinds])
-    plain = attribution.channel_credit(c, t, 96, 5, slot_days).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
+    plain = attribution.channel_credit(c, t, 96, 5, hot_rows, chunk_rows).select("conversion_id", "channel_id", "touches", *[F.round(k, 9).alias(k) for k in kinds])
     assert rows(plain) == rows(pairs)
 
 
