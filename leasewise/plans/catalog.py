@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import calendar, exprs
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, ordered, quality, rentals, web
-from ..sources import conform, export, incremental, payload
+from ..sources import conform, export, incremental, payload, tables
 from ..session import checkpoint_dir, cut
 from ..sources.spec import Field, TableSpec
 from .bindings import K, LINE, SETTINGS, TestWarehouse
@@ -554,6 +554,7 @@ query("upsert", _ORDER, "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '199
 query("window_replace", _ORDER, """
     SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')
     UNION ALL SELECT * REPLACE ('X' AS o_orderstatus) FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'""")(lambda w: incremental.replace_window(_old(w), _new(w), ["o_custkey"]))
+query("routed_window", _ORDER, CATALOG["window_replace"].sql)(lambda w: _routed_window(w))
 query("changed_since", "l_orderkey:i l_linenumber:i l_partkey:i l_suppkey:i", "SELECT l.* FROM lineitem l JOIN orders ON o_orderkey = l_orderkey WHERE o_orderdate > TIMESTAMP '2000-06-01'")(
     lambda w: incremental.changed_since(w.table("lineitem").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderdate", "2000-06-01", w.table("orders"), "o_orderkey").withColumnRenamed("o_orderkey", "l_orderkey"))
 query("hwm", "mark:t", "SELECT max(greatest(o_orderdate, o_orderdate + INTERVAL 1 DAY)) AS mark FROM orders")(
@@ -669,7 +670,7 @@ query("csv_round_trip", "id:i name:s note:s", "SELECT c_custkey AS id, c_name AS
 query("quoted_csv", "value:s", "SELECT format('{},\"{}\",\"\"\"{}\"\"\",{}', c_custkey, c_name, c_mktsegment, c_nationkey) AS value FROM customer")(lambda w: _quoted(w))
 query("published", _ORDER, "SELECT * FROM orders UNION ALL SELECT * REPLACE ('A' AS o_orderstatus) FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'")(lambda w: _published(w))
 query("built_table", "o_custkey:i n:i", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1")(
-    lambda w: incremental.build_table(w.spark, "leasewise_built", lambda: w.table("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")), "full", _folder(w, "built")))
+    lambda w: tables.build_table(w.spark, "leasewise_built", lambda: w.table("orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))))
 query("partition_upsert", "o_orderkey:i o_orderstatus:s o_custkey:i", """
     SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 10 <> 0 UNION ALL SELECT o_orderkey, 'X', o_custkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderstatus = 'P'
     UNION ALL SELECT o_orderkey, o_orderstatus, o_custkey FROM orders WHERE o_orderkey % 10 = 0 AND o_orderstatus <> 'P'""")(lambda w: _partitioned(w))
@@ -751,15 +752,25 @@ def _quoted(w):
 
 
 def _published(w):
-    path = _folder(w, "published")
-    incremental.swap_refresh(w.table("orders"), path, [lambda df: quality.check_row_count(df, 1)], partition_by=["o_orderstatus"])
-    incremental.append(w.table("orders").filter("o_orderdate >= timestamp '2001-01-01'").withColumn("o_orderstatus", F.lit("A")), path)
-    return incremental.read_table(w.spark, path)
+    tables.publish(w.table("orders"), "leasewise_published", ["o_orderstatus"], [lambda df: quality.check_row_count(df, 1)])
+    return tables.append(w.table("orders").filter("o_orderdate >= timestamp '2001-01-01'").withColumn("o_orderstatus", F.lit("A")), "leasewise_published")
+
+
+def _keyed(w, name, key, partition_by=()):
+    """A keyed table of this application, made anew."""
+    table = tables.KeyedTable(f"leasewise_{name}_{w.spark.sparkContext.applicationId.replace('-', '_')}", (key,), 8, partition_by)
+    w.spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    return table
 
 
 def _partitioned(w):
-    path = _folder(w, "partitioned")
+    table = _keyed(w, "by_status", "o_orderkey", ("o_orderstatus",))
     orders = w.table("orders").select("o_orderkey", "o_orderstatus", "o_custkey")
-    orders.write.partitionBy("o_orderstatus").parquet(path)
-    changed = orders.filter("o_orderkey % 10 = 0 and o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X"))
-    return incremental.upsert_partitions(changed, path, ["o_orderkey"], "o_orderstatus")
+    table.create(orders)
+    return table.merge(orders.filter("o_orderkey % 10 = 0 and o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("X")))
+
+
+def _routed_window(w):
+    table = _keyed(w, "by_customer", "o_custkey")
+    table.create(_old(w))
+    return table.merge(_new(w))

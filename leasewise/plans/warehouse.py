@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, rentals, web
 from ..session import check_tuned, cut
-from ..sources.incremental import publish
+from ..sources.tables import publish
 
 
 @dataclass(frozen=True)
@@ -279,12 +279,12 @@ MARTS = ("memberships", "revenue", "depreciation", "sku_agg", "member_sales", "r
          "cohorts", "kpi_long", "new_customers", "mrr_pivot", "waterfall", "channel_daily", "ad_dim")
 
 
-def write_models(source: Callable[[str], DataFrame], settings: Settings, path: str,
+def write_models(source: Callable[[str], DataFrame], settings: Settings, database: str,
                  marts: Sequence[str] = MARTS) -> dict[str, DataFrame]:
-    """The nightly build: write shared models and marts under `path`.
+    """The nightly build: shared models and marts as tables of a database of Spark's catalog.
 
     The session must have the settings of `leasewise.session.tune`.
     """
     check_tuned(source("customers").sparkSession)
-    warehouse = Warehouse(source, settings, lambda name, build: publish(build(), f"{path}/{name}"))
-    return {name: publish(getattr(warehouse, name), f"{path}/{name}") for name in marts}
+    warehouse = Warehouse(source, settings, lambda name, build: publish(build(), f"{database}.{name}"))
+    return {name: publish(getattr(warehouse, name), f"{database}.{name}") for name in marts}

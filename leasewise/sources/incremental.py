@@ -1,24 +1,14 @@
-"""Incremental loads and table refreshes on plain parquet folders.
-
-The table functions return the new content; `publish` writes it.  A refresh
-reads the old files while the new are written, so each version has folders of
-its own, named in a commit file `<table>/_versions/<n>`; the highest is the
-current one.  A lost executor or driver leaves the last version in place.
-"""
+"""Marks, worklists and the new content of a refreshed table; `tables` writes it."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Sequence
 from datetime import date, datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import greatest_of
 from ..operators.ordered import numbered_all
-from ..session import cut
 
 FIRST_MARK = "2019-01-01"
 
@@ -100,149 +90,3 @@ def split_changes(df: DataFrame, existing: DataFrame, pk: Sequence[str], row_id:
     known = existing.select(*pk, row_id).groupBy(*pk).agg(F.max(row_id).alias(row_id))
     marked = df.join(known, list(pk), "left")
     return marked.filter(F.col(row_id).isNull()).drop(row_id), marked.filter(F.col(row_id).isNotNull())
-
-
-# --- writing ---------------------------------------------------------------
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Committed versions of a table, oldest first."""
-    fs, root = _fs(spark, f"{path}/_versions")
-    if not fs.exists(root):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(root)]
-    return sorted(int(n) for n in names if n.isdigit())
-
-
-def _entry(spark: SparkSession, path: str, version: int) -> dict:
-    """What a version's commit file says: its folders and partition columns."""
-    fs, p = _fs(spark, f"{path}/_versions/{version}")
-    stream = fs.open(p)
-    try:
-        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-
-
-def _commit(spark: SparkSession, path: str, version: int, entry: dict) -> None:
-    """Make a version visible: its commit file is made last, and never replaces another."""
-    fs, p = _fs(spark, f"{path}/_versions/{version}")
-    if fs.exists(p):
-        raise RuntimeError(f"version {version} of {path} was committed by another writer")
-    stream = fs.create(p, False)
-    try:
-        stream.write(bytearray(json.dumps(entry).encode()))
-    finally:
-        stream.close()
-
-
-def _read(spark: SparkSession, path: str, entry: dict) -> DataFrame:
-    parts = [spark.read.parquet(f"{path}/{folder}") for folder in entry["folders"]]
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Current version of a table written by `publish`."""
-    return _read(spark, path, _entry(spark, path, versions(spark, path)[-1]))
-
-
-def publish(df: DataFrame, path: str, partition_by: Sequence[str] = (), checks: Iterable[Callable[[DataFrame], bool]] = ()) -> DataFrame:
-    """Write the next version; it counts only if all checks hold.
-
-    The files are written where they stay, under a name of their own, and
-    checked; a small commit file, made last, makes the version visible.  So
-    nothing is renamed, and of two writers one fails.
-    """
-    spark = df.sparkSession
-    current = versions(spark, path)
-    n = (current[-1] if current else 0) + 1
-    entry = {"folders": [f"data-{n}-{uuid.uuid4().hex[:8]}"], "partition_by": list(partition_by)}
-    df.write.partitionBy(*partition_by).parquet(f"{path}/{entry['folders'][0]}")
-    written = _read(spark, path, entry)
-    for check in checks:
-        if not check(written):
-            raise ValueError(f"check {getattr(check, '__name__', check)} failed; {path} keeps version {n - 1}")
-    _commit(spark, path, n, entry)
-    return written
-
-
-def full_refresh(df: DataFrame, path: str, **options) -> DataFrame:
-    """Replace the whole table."""
-    return publish(df, path, **options)
-
-
-def swap_refresh(df: DataFrame, path: str, checks: Iterable[Callable[[DataFrame], bool]], **options) -> DataFrame:
-    """Replace the whole table once the staged rows pass the checks."""
-    return publish(df, path, checks=checks, **options)
-
-
-def append(df: DataFrame, path: str) -> DataFrame:
-    """Add rows in the table's own partitioning: the next version has one folder more."""
-    spark = df.sparkSession
-    current = versions(spark, path)
-    if not current:
-        return publish(df, path)
-    entry = _entry(spark, path, current[-1])
-    folder = f"data-{current[-1] + 1}-{uuid.uuid4().hex[:8]}"
-    df.write.partitionBy(*entry["partition_by"]).parquet(f"{path}/{folder}")
-    entry["folders"].append(folder)
-    _commit(spark, path, current[-1] + 1, entry)
-    return _read(spark, path, entry)
-
-
-def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete all but the last `keep` versions, and the folders none of these uses; returns their names.
-
-    Folders of unfinished writes go too, so run it when nobody writes.
-    """
-    every = versions(spark, path)
-    used = {f for v in every[-keep:] for f in _entry(spark, path, v)["folders"]}
-    fs, root = _fs(spark, path)
-    for v in every[:-keep]:
-        fs.delete(_fs(spark, f"{path}/_versions/{v}")[1], False)
-    gone = [s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("data-") and s.getPath().getName() not in used]
-    for name in gone:
-        fs.delete(_fs(spark, f"{path}/{name}")[1], True)
-    return gone
-
-
-def upsert_partitions(updates: DataFrame, path: str, pk: Sequence[str], partition: str) -> DataFrame:
-    """Upsert into a plain parquet folder partitioned by one column, touching only the partitions concerned.
-
-    These are the ones that hold a row with a key of the batch, and those the
-    batch writes to; only key columns are read to find the first.  A batch
-    that is run again gives the same table.
-    """
-    spark = updates.sparkSession
-    target = spark.read.parquet(path)
-    keys = updates.select(*pk).distinct()
-    touched = cut(target.join(keys, list(pk), "left_semi").select(partition).union(updates.select(partition)).distinct())
-    old = target.join(touched, target[partition].eqNullSafe(touched[partition]), "left_semi")
-    new = cut(upsert(old, updates.select(*target.columns), pk))  # the files read are about to be replaced
-    # A partition that loses its last row is written as nothing: name it, so that it is emptied too.
-    left = touched.join(new.select(F.col(partition).alias("_p")).distinct(), F.col(partition).eqNullSafe(F.col("_p")), "left_anti")
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
-    fs, _ = _fs(spark, path)
-    for row in left.toLocalIterator():
-        value = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-        fs.delete(_fs(spark, f"{path}/{partition}={value}")[1], True)
-    return spark.read.parquet(path)
-
-
-def build_table(spark: SparkSession, name: str, fn: Callable[[], DataFrame], mode: str = "full", path: str | None = None) -> DataFrame:
-    """Rebuild a table from its function, or define it as a view.
-
-    full: written under `path` and registered; view: registered only.
-    """
-    df = fn()
-    if mode == "full":
-        df = publish(df, path)
-    elif mode != "view":
-        raise ValueError(f"unknown mode {mode}")
-    df.createOrReplaceTempView(name)
-    return df

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..sources.conform import conform
-from ..sources.incremental import publish, read_table, upsert, versions
 from ..sources.spec import TableSpec
+from ..sources.tables import KeyedTable
 
 
 def session_stream(events: DataFrame, actor: str, ts: str, gap_s: int = 1800, late: str = "1 hour") -> DataFrame:
@@ -49,15 +47,17 @@ def landing_stream(spark: SparkSession, path: str, spec: TableSpec, files_per_ba
     return good, lost.unionByName(broken, allowMissingColumns=True)
 
 
-def upsert_stream(updates: DataFrame, path: str, pk: Sequence[str], order: str, checkpoint: str) -> DataStreamWriter:
-    """Upsert each micro-batch into a table written by `publish`.
+def upsert_stream(updates: DataFrame, table: KeyedTable, order: str, checkpoint: str) -> DataStreamWriter:
+    """Merge each micro-batch into a keyed table, made by the first one; it rewrites the routes of the batch's keys only.
 
     Within a batch the row with the latest `order` wins.  A batch that is run
     again after a failure gives the same table, as its rows replace themselves.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last = batch.groupBy(*pk).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
-        publish(upsert(read_table(spark, path), last, pk) if versions(spark, path) else last, path)
+        last = batch.groupBy(*table.key).agg(F.max_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
+        if batch.sparkSession.catalog.tableExists(table.name):
+            table.merge(last)
+        else:
+            table.create(last)
 
     return updates.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -1,25 +1,29 @@
 """The nightly build, and plans that must not degrade."""
 
 import os
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from leasewise.plans.bindings import SETTINGS, TestWarehouse, binding
 from leasewise.plans.warehouse import write_models
-from leasewise.sources.incremental import read_table, versions
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-def test_nightly_build_writes_models(spark, tmp_path):
-    path = str(tmp_path / "wh")
-    out = write_models(lambda name: binding(spark, SF_DIR, name), SETTINGS, path, ("memberships", "new_customers"))
-    for name in ("idmap", "orders", "ledger", "rentals", "members"):
-        assert versions(spark, f"{path}/{name}") == [1]
-    assert out["memberships"].count() == read_table(spark, f"{path}/memberships").count() > 0
-    # The plain warehouse takes its refunds from the order payloads.
-    assert read_table(spark, f"{path}/ledger").filter("sales_type = 'return'").count() > 0
+def test_nightly_build_writes_models(spark):
+    base = f"lw_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {base}")
+    try:
+        out = write_models(lambda name: binding(spark, SF_DIR, name), SETTINGS, base, ("memberships", "new_customers"))
+        for name in ("idmap", "orders", "ledger", "rentals", "members"):
+            assert spark.catalog.tableExists(f"{base}.{name}")
+        assert out["memberships"].count() == spark.table(f"{base}.memberships").count() > 0
+        # The plain warehouse takes its refunds from the order payloads.
+        assert spark.table(f"{base}.ledger").filter("sales_type = 'return'").count() > 0
+    finally:
+        spark.sql(f"DROP DATABASE {base} CASCADE")
 
 
 def plan_of(df):
@@ -63,11 +67,11 @@ def test_attribution_plans_its_touches_once(spark):
     assert plan.count("Scan ExistingRDD") <= 6 and plan.count("Window") <= 8
 
 
-def test_nightly_build_needs_its_settings(spark, tmp_path):
+def test_nightly_build_needs_its_settings(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     try:
         with pytest.raises(ValueError, match="timeZone"):
-            write_models(lambda name: binding(spark, SF_DIR, name), SETTINGS, str(tmp_path / "x"), ())
+            write_models(lambda name: binding(spark, SF_DIR, name), SETTINGS, "nowhere", ())
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

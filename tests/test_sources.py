@@ -2,15 +2,16 @@
 
 import gzip
 import os
+import uuid
 from datetime import date, datetime
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from leasewise.operators.quality import check_row_count, check_unique
 from leasewise.sources import conform, export, incremental, landing, payload
 from leasewise.sources.spec import Field, TableSpec
+from leasewise.sources.tables import KeyedTable
 from leasewise.streaming import jobs
 
 SPEC = TableSpec.of({"id": "int", "name": "varchar(5)", "price": "numeric", "day": "date", "seen": "timestamp", "ok": "bool"}, pk=("id",))
@@ -104,56 +105,6 @@ def test_marks(spark):
     assert incremental.incremental(df, "a", "2020-03-01", overlap_s=0).count() == 0 and incremental.incremental(df, "a", "2020-03-01").count() == 1
 
 
-def test_versions_and_checks(spark, tmp_path):
-    path = str(tmp_path / "t")
-    one = spark.createDataFrame([(1, "a")], "id int, v string")
-    incremental.full_refresh(one, path)
-    # A refresh may read the table it replaces.
-    incremental.full_refresh(incremental.upsert(incremental.read_table(spark, path), spark.createDataFrame([(1, "b"), (2, "c")], "id int, v string"), ["id"]), path)
-    assert rows(incremental.read_table(spark, path)) == [(1, "b"), (2, "c")]
-    twice = one.unionByName(one)
-    with pytest.raises(ValueError):
-        incremental.swap_refresh(twice, path, [lambda df: check_row_count(df, 1), lambda df: check_unique(df, "id").isEmpty()])
-    assert rows(incremental.read_table(spark, path)) == [(1, "b"), (2, "c")]
-    assert incremental.append(one, path).count() == 3
-    incremental.build_table(spark, "lw_v", lambda: one, "view")
-    incremental.build_table(spark, "lw_t", lambda: one, "full", str(tmp_path / "u"))
-    assert spark.table("lw_v").count() == spark.table("lw_t").count() == 1
-
-
-def test_append_keeps_the_partitioning(spark, tmp_path):
-    path = str(tmp_path / "t")
-    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string")
-    incremental.publish(df, path, partition_by=["p"])
-    assert rows(incremental.append(spark.createDataFrame([(3, "a")], "id int, p string"), path)) == [(1, "a"), (2, "b"), (3, "a")]
-    assert rows(incremental.read_table(spark, path)) == [(1, "a"), (2, "b"), (3, "a")]
-    assert incremental.versions(spark, path) == [1, 2]
-    incremental.publish(df, path)
-    assert incremental.vacuum(spark, path, keep=2) == [] and incremental.versions(spark, path) == [2, 3]
-    gone = incremental.vacuum(spark, path, keep=1)
-    assert len(gone) == 2 and rows(incremental.read_table(spark, path)) == rows(df)
-
-
-def test_two_writers_do_not_share_a_version(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    df = spark.createDataFrame([(1, "a")], "id int, p string")
-    incremental.publish(df, path)
-    monkeypatch.setattr(incremental, "versions", lambda *a: [])  # a writer that has not seen version 1
-    with pytest.raises(RuntimeError):
-        incremental.publish(df.limit(0), path)
-    monkeypatch.undo()
-    assert rows(incremental.read_table(spark, path)) == [(1, "a")]
-
-
-def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.createDataFrame([(1, "v", "a"), (2, "v", "b"), (3, "v", "c"), (4, "v", "c"), (5, "v", None)], "id int, v string, p string").write.partitionBy("p").parquet(path)
-    before = {f for f in (tmp_path / "t" / "p=c").iterdir() if f.name.startswith("part-")}
-    got = incremental.upsert_partitions(spark.createDataFrame([(2, "w", "a"), (9, "w", "d"), (5, "w", "d")], "id int, v string, p string"), path, ["id"], "p")
-    assert rows(got, "id", "v", "p") == sorted([(1, "v", "a"), (2, "w", "a"), (3, "v", "c"), (4, "v", "c"), (5, "w", "d"), (9, "w", "d")], key=str)
-    assert {f for f in (tmp_path / "t" / "p=c").iterdir() if f.name.startswith("part-")} == before
-
-
 def test_times_are_utc_in_any_zone(spark):
     df = spark.createDataFrame([("2024-01-01T00:00:00Z",)], "s string").select(F.col("s").cast("timestamp").alias("t"))
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
@@ -172,13 +123,13 @@ def test_split_and_export(spark):
 
 
 def test_streams(spark, tmp_path):
-    inbox, table = tmp_path / "in", str(tmp_path / "table")
+    inbox, table = tmp_path / "in", KeyedTable(f"lw_stream_{uuid.uuid4().hex[:8]}", ("id",), 4)
     inbox.mkdir()
     spec = TableSpec.of({"id": "int", "v": "text", "at": "timestamp"})
 
     def run():
         good, bad = jobs.landing_stream(spark, str(inbox), spec)
-        q = jobs.upsert_stream(good, table, ["id"], "at", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q = jobs.upsert_stream(good, table, "at", str(tmp_path / "cp")).trigger(availableNow=True).start()
         r = bad.writeStream.format("parquet").option("path", str(tmp_path / "bad")).option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
         assert q.awaitTermination(120) and r.awaitTermination(120)
         assert jobs.late_rows(q) == 0
@@ -187,7 +138,8 @@ def test_streams(spark, tmp_path):
     run()
     (inbox / "b.csv").write_text("2,two,2024-01-03 00:00:00\n")
     run()
-    assert rows(incremental.read_table(spark, table), "id", "v") == [(1, "new"), (2, "two")]
+    assert rows(table.read(spark), "id", "v") == [(1, "new"), (2, "two")]
+    spark.sql(f"DROP TABLE {table.name}")
     bad = {r.id: r for r in spark.read.parquet(str(tmp_path / "bad")).collect()}
     assert bad["x"]["_lost"] == ["id"] and bad["3"]["_corrupt_record"] == "3,short"
 
