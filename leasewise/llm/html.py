@@ -3,9 +3,10 @@
 The pages of a host are merged into one style tree: nodes are element paths
 (tag and class), and each keeps how its pages present it (sequences of
 children) and what they say in it.  Nodes that all pages present alike and
-fill alike have a low importance and their branches are removed.  Elements
-that are navigation, notices, forms and the like by their tag, role or class
-are removed on every page, as most hosts have too few pages to show it.
+fill alike have a low importance and their branches are removed, wherever in
+the page they stand.  In addition, elements that are navigation, notices,
+forms and the like by their tag, role or class are removed on every page, as
+most hosts have too few pages to show it.
 """
 
 from __future__ import annotations
@@ -80,14 +81,24 @@ class Element:
 
 
 def blocks(page: str | None) -> tuple[list[tuple[Element, str]], list[Element]]:
-    """The text blocks of a page with the block element that each stands in, and all elements, in page order."""
+    """The text blocks of a page with the block element that each stands in, and all elements, in page order.
+
+    Text of an element that a rule removes makes blocks of its own, so that it
+    does not part the text around it.
+    """
     page = page or ""
     top = Element("", "", None)
     stack, every, out = [top], [top], []
     held: list[str] = []
+    aside: list[str] = []  # text within removed elements
     at = 0
 
     def flush() -> None:
+        if aside:
+            text = _SPACE.sub(" ", "".join(aside)).strip()
+            aside.clear()
+            if text:
+                out.append((last_aside, text))
         if held:
             text = _SPACE.sub(" ", "".join(held)).strip()
             held.clear()
@@ -97,17 +108,32 @@ def blocks(page: str | None) -> tuple[list[tuple[Element, str]], list[Element]]:
     def close(count: int) -> None:
         del stack[len(stack) - count:]
 
+    last_aside = top
+
+    def hold(text: str) -> None:
+        nonlocal last_aside
+        if not stack[-1].noise:
+            held.append(text)
+        else:
+            if stack[-1] is not last_aside and aside:
+                block = _SPACE.sub(" ", "".join(aside)).strip()
+                aside.clear()
+                if block:
+                    out.append((last_aside, block))
+            last_aside = stack[-1]
+            aside.append(text)
+
     size = len(page)
     while at < size:
         found = _TAG.search(page, at)
         piece = page[at:found.start() if found else size]
-        if piece and not stack[-1].noise:
-            held.append(entities.unescape(piece))
+        if piece:
+            hold(entities.unescape(piece))
         if found is None:
             break
         at = found.end()
-        if found[1] is not None and not stack[-1].noise:
-            held.append(found[1])
+        if found[1] is not None:
+            hold(found[1])
         tag = (found[3] or found[6] or "").lower()
         if not tag:
             continue
@@ -167,16 +193,12 @@ def _signed(text: str) -> int:
 
 
 def _observations(pages: list[str | None]) -> pa.Array:
-    """What each page adds to its host's tree: child sequences ('style') and texts ('text') of its nodes.
-
-    Only nodes outside the main element that no rule removes: the tree is to
-    find further noise, not to judge the article.
-    """
+    """What each page adds to its host's tree: child sequences ('style') and texts ('text') of all its nodes."""
     out = []
     for page in pages:
         found, every = blocks(page)
-        rows = [{"path": e.path, "kind": "style", "feature": _signed("\n".join(e.children))} for e in every if not e.noise and not e.main and e.children]
-        rows += [{"path": e.path, "kind": "text", "feature": _signed(text)} for e, text in found if not e.noise and not e.main]
+        rows = [{"path": e.path, "kind": "style", "feature": _signed("\n".join(e.children))} for e in every if e.children]
+        rows += [{"path": e.path, "kind": "text", "feature": _signed(text)} for e, text in found]
         out.append(rows)
     return pa.array(out, _NODE_TYPE)
 
@@ -194,15 +216,17 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     Importance as in site style trees: of a leaf, one less the mean entropy of
     its texts over the pages that show it; of an inner node, its presentation
     entropy and its children's mean importance, weighted 1 - g^l and g^l for
-    l ways of presentation; 1 for a node of one page.  Copies of a page count
-    once.
+    l ways of presentation; 1 for a node of one page.  Copies of a page, under
+    whatever address of the host, count once, so a story that a host shows
+    again is no template.  Elements below DEEPEST count as part of their
+    ancestor there.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "html", 4 << 20):
                 yield pa.RecordBatch.from_pydict({"host": piece.column("host"), "page": piece.column("page"), "rows": _observations(piece.column("html").to_pylist())})
 
-    seen = pages.select(host_of(pages[url]).alias("host"), F.xxhash64(pages[url], pages[html]).alias("page"), pages[html].alias("html")).mapInArrow(run, f"host string, page bigint, rows {_NODE}")
+    seen = pages.select(host_of(pages[url]).alias("host"), F.xxhash64(pages[html]).alias("page"), pages[html].alias("html")).mapInArrow(run, f"host string, page bigint, rows {_NODE}")
     each = cut(seen.select("host", "page", F.inline("rows")).distinct())  # one row for a page, node and feature
     shown = each.select("host", "path", "page").distinct().groupBy("host", "path").agg(F.count(F.lit(1)).alias("pages"))
     style = each.filter("kind = 'style'").groupBy("host", "path", "feature").agg(F.count(F.lit(1)).alias("n"))
@@ -238,23 +262,48 @@ def low_branches(tree: DataFrame, low: float = LOW, least_pages: int = LEAST_PAG
 
 # ---- extraction
 
-def main_text(page: str | None, low: set[str] | frozenset[str] = frozenset()) -> str:
-    """The article of a page: blocks joined by line ends.
+def _within(path: str, low: set[str] | frozenset[str]) -> bool:
+    """Is the node, or one above it, among the low branches?"""
+    while path:
+        if path in low:
+            return True
+        path = path.rpartition("/")[0]
+    return False
+
 
-    With an article or main element only what stands in one; otherwise all
-    that no rule and no low branch removes.
+def extract(page: str | None, low: set[str] | frozenset[str] = frozenset()) -> tuple[str, int]:
+    """The article of a page, blocks joined by line ends, and how many characters of the page stood in low branches.
+
+    Removed are low branches and what a rule names; with an article or main
+    element only what stands in one is kept.  The tree takes no more than half
+    of a page's article: more of it is a story that other pages tell as well.
     """
     found, _ = blocks(page)
+    known: dict[str, bool] = {}
+
+    def is_low(e: Element) -> bool:
+        if e.path not in known:
+            known[e.path] = _within(e.path, low)
+        return known[e.path]
+
+    taken = sum(len(t) for e, t in found if is_low(e)) if low else 0
     kept = [(e, t) for e, t in found if not e.noise]
-    if any(e.main for e, _ in kept):
-        kept = [(e, t) for e, t in kept if e.main]
-    elif low:
-        kept = [(e, t) for e, t in kept if not any(e.path == p or e.path.startswith(p + "/") for p in low)]
-    return "\n".join(t for _, t in kept)
+    inside = [(e, t) for e, t in kept if e.main]
+    kept = inside or kept
+    if taken:
+        high = [(e, t) for e, t in kept if not is_low(e)]
+        if not inside or 2 * sum(len(t) for _, t in high) >= sum(len(t) for _, t in kept):
+            kept = high
+    return "\n".join(t for _, t in kept), taken
+
+
+def main_text(page: str | None, low: set[str] | frozenset[str] = frozenset()) -> str:
+    """The article of a page: see `extract`."""
+    return extract(page, low)[0]
 
 
 def main_texts(pages: DataFrame, keep: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One row per page: id, url, text of the article, its code points.
+    """One row per page: id, url, text of the article, its code points, and the characters in low branches of the page.
 
     A null or empty page has an empty text; a null url or one without a host
     counts as host ''; repeated rows are extracted each, and count once in
@@ -270,8 +319,10 @@ def main_texts(pages: DataFrame, keep: str = "page_id", url: str = "url", html:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, "_html", 4 << 20):
-                texts = [main_text(p, frozenset(low)) for p, low in zip(piece.column("_html").to_pylist(), piece.column("paths").to_pylist())]
+                made = [extract(p, frozenset(low)) for p, low in zip(piece.column("_html").to_pylist(), piece.column("paths").to_pylist())]
+                texts = [text for text, _ in made]
                 yield pa.RecordBatch.from_pydict({
-                    "_id": piece.column("_id"), "url": piece.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64())})
+                    "_id": piece.column("_id"), "url": piece.column("url"), "text": pa.array(texts, pa.string()), "n_chars": pa.array(map(len, texts), pa.int64()),
+                    "n_low": pa.array([taken for _, taken in made], pa.int64())})
 
-    return placed.mapInArrow(run, f"_id {kind}, url string, text string, n_chars long").withColumnRenamed("_id", keep)
+    return placed.mapInArrow(run, f"_id {kind}, url string, text string, n_chars long, n_low long").withColumnRenamed("_id", keep)
