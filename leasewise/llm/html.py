@@ -23,7 +23,7 @@ from ..session import cut
 from .common import pieces
 
 GAMMA = 0.9  # damping of a node's own presentation against its children
-LOW = 0.25  # branches under this importance are removed
+LOW = 0.5  # branches under this importance are removed: most of what they show, other pages of the host show too
 LEAST_PAGES = 8  # different pages of a host that must show a node
 DEEPEST = 24  # elements below this depth count as part of their ancestor there
 
