@@ -11,6 +11,7 @@ from ..functions.calendar import day, expand_days, overlap_days, running_total
 from ..functions.exprs import (
     MONEY, RATE, before, blank_to_null, first_match, like_any, number_id, parse_date, parse_money,
 )
+from ..sources.daytables import DayTable, days_of, overlapping, touched_days
 from .identity import CRM, ids_of
 from .ordered import first_rows, lookup
 
@@ -125,27 +126,49 @@ def dim_item(inventory: DataFrame, tags: DataFrame, sales: DataFrame, scraps: Da
         region_of(place, regions or {"%bay%": "SF", "NY %": "NY"}).alias("ops_location"))
 
 
-def daily_depreciation(items: DataFrame, rentals: DataFrame, first: date | str, last: date | str,
-                       life_days: int = DEPRECIATION_DAYS) -> DataFrame:
-    """Straight line from the first delivery, one row per asset and day.
-
-    Days run from the later of first delivery and `first` to `last`.  The
-    accumulated amount counts the listed days, so it is the day's position
-    times the daily amount and needs no window.
-    """
+def depreciation_spans(items: DataFrame, rentals: DataFrame, life_days: int = DEPRECIATION_DAYS) -> DataFrame:
+    """One interval per delivered asset: first_delivery_date, _end, purchase_amt and the expense of a day."""
     starts = rentals.groupBy("bin").agg(F.min("delivery_date").alias("first_delivery_date"))
-    base = (
+    return (
         items.select("bin", F.col("actual_purchase_price").alias("purchase_amt")).join(starts, "bin")
-        .filter((F.col("first_delivery_date") <= day(last)))
         .withColumn("depreciation_expense", (F.col("purchase_amt") / life_days).cast(RATE))
         .withColumn("_end", F.date_add("first_delivery_date", life_days)))
-    days = expand_days(base, "first_delivery_date", "_end", last, first)
+
+
+def _depreciated(days: DataFrame, first: date | str) -> DataFrame:
     position = F.datediff("date", F.greatest("first_delivery_date", day(first))) + 1
     return days.withColumn("depreciated_amount", (F.col("depreciation_expense") * position).cast(RATE)).select(
         "date", "bin", "purchase_amt", "depreciation_expense", "depreciated_amount",
         (F.col("purchase_amt") - F.col("depreciated_amount")).cast(RATE).alias("remaining_value"))
 
 
+def daily_depreciation(items: DataFrame, rentals: DataFrame, first: date | str, last: date | str,
+                       life_days: int = DEPRECIATION_DAYS) -> DataFrame:
+    """Straight line from the first delivery, one row per asset and day.
+
+    Days run from the later of first delivery and `first` to `last`.  The
+    accumulated amount counts the listed days, so it is the day's position
+    times the daily amount and needs no window.
+    """
+    base = depreciation_spans(items, rentals, life_days).filter(F.col("first_delivery_date") <= day(last))
+    return _depreciated(expand_days(base, "first_delivery_date", "_end", last, first), first)
+
+
+def refresh_depreciation(table: DayTable, old: DataFrame, new: DataFrame, first: date | str, last: date | str,
+                         old_last: date | str | None = None) -> list:
+    """Bring a table of `daily_depreciation` from the `old` to the `new` `depreciation_spans`; returns the ranges of days rebuilt.
+
+    Both are keyed by asset; keep the spans of a build for the next one.
+    """
+    touched = touched_days(old, new, "first_delivery_date", "_end", first, last, ["bin"], old_last)
+
+    def rows(ranges: list) -> DataFrame:
+        near = overlapping(new, "first_delivery_date", "_end", ranges)
+        return _depreciated(near.withColumn("date", F.explode(days_of("first_delivery_date", "_end", ranges, last, first))), first)
+
+    return table.refresh(touched, rows)
+
+
 def daily_rate(price: str | Column, plan: str | Column | None = None) -> Column:
     """Revenue of one day: monthly price x 12 / 365, annual price / 365."""
     price = F.col(price) if isinstance(price, str) else price
@@ -171,6 +194,19 @@ def daily_revenue(subs: DataFrame, memberships: DataFrame, as_of: date | str, fi
     return days.select("member_id", "date", "sku", "membership_type", "revenue")
 
 
+def refresh_revenue(table: DayTable, old: DataFrame, new: DataFrame, first: date | str, as_of: date | str,
+                    old_as_of: date | str | None = None) -> list:
+    """Bring a table of `daily_revenue` from the `old` to the `new` `revenue_intervals`; returns the ranges of days rebuilt."""
+    touched = touched_days(old, new, "start_dt", "end_dt", first, as_of, (), old_as_of)
+
+    def rows(ranges: list) -> DataFrame:
+        near = overlapping(new, "start_dt", "end_dt", ranges)
+        return near.withColumn("date", F.explode(days_of("start_dt", "end_dt", ranges, as_of, first))).select(
+            "member_id", "date", "sku", "membership_type", "revenue")
+
+    return table.refresh(touched, rows)
+
+
 def daily_revenue_totals(subs: DataFrame, memberships: DataFrame, as_of: date | str, first: date | str,
                          by: tuple[str, ...] = ()) -> DataFrame:
     """Total revenue per day without expanding the intervals."""

@@ -14,8 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import calendar, exprs
-from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, ordered, quality, rentals, web
-from ..sources import conform, export, incremental, payload, tables
+from ..operators import ads, attribution, commerce, distinct, identity, kpis, lifecycle, ordered, quality, rentals, web
+from ..sources import conform, daytables, export, incremental, payload, tables
 from ..session import checkpoint_dir, cut
 from ..sources.spec import Field, TableSpec
 from .bindings import K, LINE, SETTINGS, TestWarehouse
@@ -314,6 +314,19 @@ query("depreciation", "date:d n:i depreciation_expense:m depreciated_amount:m re
     x AS (SELECT d.date, b.*, row_number() OVER (PARTITION BY b.bin ORDER BY d.date) AS n FROM o_days d JOIN b ON d.date >= first_d AND d.date < first_d + INTERVAL 720 DAY WHERE first_d <= {AS_OF})
     SELECT date, count(*) AS n, sum(daily) AS depreciation_expense, sum(daily * n) AS depreciated_amount, sum(amt - daily * n) AS remaining_value FROM x GROUP BY 1""")(
     lambda w: w.depreciation.groupBy("date").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("depreciation_expense", "depreciated_amount", "remaining_value")]))
+query("depreciation_refresh", "date:d n:i depreciation_expense:m depreciated_amount:m remaining_value:m", CATALOG["depreciation"].sql)(lambda w: _refreshed(w).groupBy("date").agg(
+    F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ("depreciation_expense", "depreciated_amount", "remaining_value")]))
+query("depreciation_by_asset", "bin:s n:i first_date:d last_date:d depreciation_expense:m depreciated_amount:m remaining_value:m", CATALOG["depreciation"].sql.replace(
+    "SELECT date, count(*) AS n", "SELECT bin, min(date) AS first_date, max(date) AS last_date, count(*) AS n"))(lambda w: w.depreciation.groupBy("bin").agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(c) for c in ("depreciation_expense", "depreciated_amount", "remaining_value")]))
+query("revenue_by_member", "member_id:s sku:s membership_type:s n:i first_date:d last_date:d revenue:m", """
+    SELECT member_id, sku, membership_type, count(*) AS n, min(date) AS first_date, max(date) AS last_date, sum(revenue) AS revenue FROM o_revenue GROUP BY 1, 2, 3""")(
+    lambda w: w.revenue.groupBy("member_id", "sku", "membership_type").agg(
+        F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.sum("revenue").alias("revenue")))
+query("visitors", "month:d kind:s visitors:i buyers:i", """
+    SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type AS kind, count(DISTINCT user_id) AS visitors, count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS buyers
+    FROM events GROUP BY 1, 2""")(lambda w: _visitors(w))
 query("sku_agg", "sku:s product_name:s inventory_count:i active_count:i rental_count:i avg_completed_duration:f avg_active_duration:f dwell_time:f total_revenue:m total_members:i current_mrr:m total_inventory_days:i "
       "total_rental_days:i non_dwell_inventory_days:i", "o_sku_agg")(lambda w: w.sku_agg)
 query("duration_median", "ops_location:s min_duration:i max_duration:i avg_duration:f median_duration:f observations:i", """
@@ -751,6 +764,27 @@ def _quoted(w):
     return w.spark.read.text(path)
 
 
+def _refreshed(w):
+    """Depreciation built from the assets and rentals of all but the latest ones, then brought up to date."""
+    c = SETTINGS
+    last = w.rentals.agg(F.max("delivery_date")).first()[0]
+    table = daytables.DayTable(f"leasewise_depreciation_{w.spark.sparkContext.applicationId.replace('-', '_')}")
+    w.spark.sql(f"DROP TABLE IF EXISTS {table.name}")
+    before = w.rentals.filter(F.col("delivery_date") < F.date_sub(F.lit(last), 180))
+    old, new = (cut(rentals.depreciation_spans(w.items, r)) for r in (before, w.rentals))
+    table.create(rentals.daily_depreciation(w.items, before, c.first_day, c.as_of))
+    rentals.refresh_depreciation(table, old, new, c.first_day, c.as_of)
+    return table.read(w.spark)
+
+
+def _visitors(w):
+    """Months from the bitmaps of days."""
+    ev = w.table("events")
+    counted = {"visitors": "user_id", "buyers": F.when(F.col("event_type") == "purchase", F.col("user_id"))}
+    days = distinct.bitmaps(ev.withColumns({"day": F.col("ts").cast("date"), "kind": F.col("event_type")}), ["day", "kind"], counted, distinct.dense_ids(ev, "user_id"), "user_id")
+    return distinct.distinct_counts(cut(days), [F.trunc("day", "month").alias("month"), "kind"], list(counted))
+
+
 def _published(w):
     tables.publish(w.table("orders"), "leasewise_published", ["o_orderstatus"], [lambda df: quality.check_row_count(df, 1)])
     return tables.append(w.table("orders").filter("o_orderdate >= timestamp '2001-01-01'").withColumn("o_orderstatus", F.lit("A")), "leasewise_published")

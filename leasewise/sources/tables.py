@@ -80,7 +80,7 @@ def build_table(spark: SparkSession, name: str, fn: Callable[[], DataFrame], mod
 # --- keyed merges ----------------------------------------------------------
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession):
+def dynamic_overwrite(spark: SparkSession):
     """An overwriting insert replaces the partitions it writes to and no others."""
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key)
@@ -148,7 +148,7 @@ class KeyedTable:
         stay = old.join(keys, [ROUTE, *self.key], "left_anti").select(*table.columns)
         gone = self._emptied(old, stay, batch) if self.partition_by else []
         rows = stay.unionByName(batch).repartition(ROUTE, *self.partition_by)
-        with _dynamic_overwrite(spark):
+        with dynamic_overwrite(spark):
             rows.write.insertInto(self.name, overwrite=True)
         for spec in gone:
             spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({spec})")
