@@ -11,7 +11,6 @@ then drops.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,15 +26,17 @@ from .common import pieces
 
 DOCUMENTS = 10  # documents of its language that a kept term stands in
 TOP = 10  # terms listed for each source
-FIRST_LEVEL = 4  # bytes of the first prefixes; each level doubles them
+FIRST_LEVEL = 6  # bytes of the first prefixes
+GROWTH = 4  # each level multiplies them
 BITS_AT_MOST = 27  # 2**27 bits are 16 MB
-HELD = 200_000  # keys a task counts before it hands them on
-CHUNK = 50_000  # terms of a language that one group compares
+HELD = 300_000  # keys a task counts before it hands them on
+CHUNK = 4_096  # terms of a language that one group compares; more where it has over a quarter as many sources
 BLOCK = 256  # sources that one group compares with all others
 CELLS = 1 << 21  # term and source cells held in memory at once
 SCALE = 1_000_000_000
 
-_TERM = re.compile(rb"[A-Za-z\x80-\xff]+")  # bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]+
+# Small letters stay, A to Z become small, bytes of other characters stay, all else parts the terms of [^\x00-\x40\x5B-\x60\x7B-\x7F]+.
+_LETTERS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _PAGE = 32_768  # bits of one bitmap of Spark's bitmap functions
 
 
@@ -61,6 +62,21 @@ def _bits(prefixes: DataFrame) -> tuple[np.ndarray, int]:
     return table, width
 
 
+class _Alive(dict):
+    """Which prefixes of a language stay, as they are asked for."""
+
+    def __init__(self, lang: str, table: np.ndarray, width: int):
+        super().__init__()
+        self.lang, self.table, self.width = lang, table, width
+
+    def __missing__(self, prefix: bytes) -> int:
+        if len(self) >= HELD:
+            self.clear()
+        place = _hash(self.lang, prefix) >> (64 - self.width)
+        self[prefix] = stays = self.table[place >> 3] >> (place & 7) & 1
+        return stays
+
+
 class _Held:
     """Counts of one task: documents and occurrences of whole terms, documents of prefixes."""
 
@@ -74,13 +90,12 @@ class _Held:
 
     def add(self, lang: str, source: str, terms: list[tuple[bytes, int]], prefixes: set[bytes]) -> None:
         of = self.terms.setdefault((lang, source), {})
-        before = len(of)
+        starts = self.prefixes.setdefault(lang, Counter())
+        self.size -= len(of) + len(starts)
         for t, n in terms:
             of[t] = of.get(t, 0) + (n << 32 | 1)  # a task holds fewer than 2**32 documents at a time
-        starts = self.prefixes.setdefault(lang, Counter())
-        self.size += len(of) - before - len(starts)
         starts.update(prefixes)
-        self.size += len(starts)
+        self.size += len(of) + len(starts)
 
     def batches(self) -> Iterator[pa.RecordBatch]:
         for (lang, source), of in self.terms.items():
@@ -102,35 +117,16 @@ def _level(docs: DataFrame, before: int, level: int, alive: tuple[np.ndarray, in
     """(lang, source, whole, key, docs, n) of terms over `before` bytes: terms up to `level` bytes whole, else their prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = _Held(), {}
-
-        def stays(lang: str, prefix: bytes) -> bool:
-            table, width = alive
-            place = _hash(lang, prefix) >> (64 - width)
-            return bool(table[place >> 3] >> (place & 7) & 1)
-
         for batch in batches:
             for piece in pieces(batch, "text", 4 << 20):
                 for text, lang, source in zip(*(piece.column(c).to_pylist() for c in ("text", "lang", "source"))):
-                    counts = Counter(_TERM.findall(text.encode("utf-8", "surrogatepass").lower()))
-                    terms, prefixes = [], set()
-                    seen = known.setdefault(lang, {})
-                    for term, n in counts.items():
-                        if len(term) <= before:
-                            continue
-                        if alive is not None:
-                            prefix = term[:before]
-                            stay = seen.get(prefix)
-                            if stay is None:
-                                if len(seen) >= HELD:
-                                    seen.clear()
-                                stay = seen[prefix] = stays(lang, prefix)
-                            if not stay:
-                                continue
-                        if len(term) <= level:
-                            terms.append((term, n))
-                        else:
-                            prefixes.add(term[:level])
-                    held.add(lang, source, terms, prefixes)
+                    found = Counter(text.encode("utf-8", "surrogatepass").translate(_LETTERS).split()).items()
+                    if alive is not None:
+                        stays = known.get(lang)
+                        if stays is None:
+                            stays = known[lang] = _Alive(lang, *alive)
+                        found = [(t, n) for t, n in found if len(t) > before and stays[t[:before]]]
+                    held.add(lang, source, [f for f in found if len(f[0]) <= level], {t[:level] for t, _ in found if len(t) > level})
                     if held.size >= HELD:
                         yield from held.batches()
                         known.clear()
@@ -145,8 +141,8 @@ def kept_terms(docs: DataFrame, documents: int = DOCUMENTS, first_level: int = F
 
     `docs` has text, lang and source without nulls.  `parts` are the (source,
     n) with n occurrences, one for each source that holds the term; `n` is
-    their sum.  Each level is one pass over the texts; there are as many as
-    doublings from the first level to the longest kept prefix.
+    their sum.  Each level is one pass over the texts; they end at the level
+    whose prefixes all stand in too few documents.
     """
     before, level, alive, counted = 0, first_level, None, None
     while True:
@@ -156,7 +152,7 @@ def kept_terms(docs: DataFrame, documents: int = DOCUMENTS, first_level: int = F
         prefixes = made.filter(f"not whole and docs >= {int(documents)}").select("lang", "key")
         if prefixes.isEmpty():
             break
-        alive, before, level = _bits(prefixes), level, 2 * level
+        alive, before, level = _bits(prefixes), level, GROWTH * level
     return counted.groupBy("lang", "key").agg(
         F.collect_list(F.struct("source", "n")).alias("parts"), F.sum("n").alias("n"), F.sum("docs").alias("_docs")
     ).filter(F.col("_docs") >= documents).select("lang", F.col("key").cast("string").alias("term"), "parts", "n")
@@ -227,7 +223,8 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
 
     Chunks of a language's terms are compared with each other's sources in
     groups of CHUNK terms and BLOCK sources; the sums over chunks are added in
-    Spark.  A group holds the sources of its language, which the result pairs.
+    Spark.  A group holds the sources of its language, which the result pairs,
+    and gives fewer rows than a quarter of the cells it reads.
     """
     named = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))])
     terms = cut(kept_terms(named, documents, first_level))
@@ -237,7 +234,7 @@ def source_divergence(docs: DataFrame, text: str = "text", lang: str = "lang", s
     langs = groups.join(by_group, ["lang", "source"], "left").groupBy("lang").agg(
         F.collect_list(F.struct("source", F.coalesce("n", F.lit(0)).alias("n"))).alias("sources")).join(by_lang, "lang", "left").select(
         "lang", "sources", F.coalesce("v", F.lit(0)).alias("v"), F.coalesce("total", F.lit(0)).alias("total"))
-    langs = cut(langs.withColumns({"chunks": F.expr(f"greatest(1, (v + {CHUNK - 1}) div {CHUNK})"), "blocks": F.expr(f"(size(sources) + {BLOCK - 1}) div {BLOCK}")}))
+    langs = cut(langs.withColumns({"chunks": F.expr(f"v div greatest({CHUNK}, 4 * size(sources)) + 1"), "blocks": F.expr(f"(size(sources) + {BLOCK - 1}) div {BLOCK}")}))
     spread = lambda rows: rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     right = spread(langs.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))).select(
         "lang", "chunk", "block", (F.col("block") * BLOCK).alias("first"), F.lit(BLOCK).alias("width"), "sources", "v", "total")
