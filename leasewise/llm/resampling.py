@@ -8,7 +8,6 @@ scores close in on the cutoff, and only rows beyond it are put in order.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -27,12 +26,13 @@ PERCENT = 25
 SEED = 7
 WAYS = 16  # parts into which one count job cuts the range that holds the cutoff
 
-_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # bytes of [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
+# Digits and small letters stay, A to Z become small, bytes of other characters stay, all else parts the words of [^\x00-\x2F\x3A-\x60\x7B-\x7F]+.
+_SIGNS = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A or 0x30 <= b <= 0x39 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 
 
 def feature_buckets(text: str | None, buckets: int = BUCKETS) -> np.ndarray:
     """The buckets of all words and pairs of words in a row of a text."""
-    words = _WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_SIGNS).split()
     single = [crc32(w) for w in words]
     double = [crc32(b" " + w, c) for w, c in zip(words[1:], single)]
     return np.array(single + double, np.int64) % buckets
