@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import ads, attribution, commerce, identity, kpis, lifecycle, rentals, web
 from ..session import check_tuned, cut
-from ..sources.tables import publish
+from ..sources.tables import Expect, publish
 
 
 @dataclass(frozen=True)
@@ -279,6 +279,10 @@ MARTS = ("memberships", "revenue", "depreciation", "sku_agg", "member_sales", "r
          "cohorts", "kpi_long", "new_customers", "mrr_pivot", "waterfall", "channel_daily", "ad_dim")
 
 
+# Keys that a model must have on every row; a model without rows or with a null key is not published.
+KEYS = {"orders": ("order_id",), "rentals": ("line_item_id",), "items": ("bin",), "members": ("member_id",), "kpis": ("date",), "web": ("id", "session_id")}
+
+
 def write_models(source: Callable[[str], DataFrame], settings: Settings, database: str,
                  marts: Sequence[str] = MARTS) -> dict[str, DataFrame]:
     """The nightly build: shared models and marts as tables of a database of Spark's catalog.
@@ -286,5 +290,10 @@ def write_models(source: Callable[[str], DataFrame], settings: Settings, databas
     The session must have the settings of `leasewise.session.tune`.
     """
     check_tuned(source("customers").sparkSession)
-    warehouse = Warehouse(source, settings, lambda name, build: publish(build(), f"{database}.{name}"))
-    return {name: publish(getattr(warehouse, name), f"{database}.{name}") for name in marts}
+
+    def write(name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        keys = KEYS.get(name)
+        return publish(build(), f"{database}.{name}", expect=Expect(least=1, not_null=keys) if keys else None)
+
+    warehouse = Warehouse(source, settings, write)
+    return {name: write(name, lambda: getattr(warehouse, name)) for name in marts}  # noqa: B023

@@ -10,11 +10,11 @@ partitions to rewrite, and no other is read.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 ROUTE = "_route"
 
@@ -31,10 +31,34 @@ def _generation(spark: SparkSession, name: str) -> str | None:
     return said["View Text"].removeprefix("SELECT * FROM ")
 
 
-def publish(df: DataFrame, name: str, partition_by: Sequence[str] = (), checks: Iterable[Callable[[DataFrame], bool]] = ()) -> DataFrame:
+@dataclass(frozen=True)
+class Expect:
+    """What the rows of a write have to be; counted while they are written, so nothing is read again."""
+    least: int | None = None
+    most: int | None = None
+    not_null: tuple[str, ...] = ()
+    where: tuple[str, ...] = ()  # SQL conditions that hold on every row
+
+    def metrics(self) -> list[Column]:
+        return [F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(c).isNull()).alias(f"null_{i}") for i, c in enumerate(self.not_null)],
+                *[F.count_if(~F.coalesce(F.expr(w), F.lit(False))).alias(f"not_{i}") for i, w in enumerate(self.where)]]
+
+    def failures(self, seen: Mapping[str, int]) -> list[str]:
+        out = []
+        if self.least is not None and seen["rows"] < self.least:
+            out.append(f"{seen['rows']} rows, fewer than {self.least}")
+        if self.most is not None and seen["rows"] > self.most:
+            out.append(f"{seen['rows']} rows, more than {self.most}")
+        out += [f"{seen[f'null_{i}']} rows without {c}" for i, c in enumerate(self.not_null) if seen[f"null_{i}"]]
+        return out + [f"{seen[f'not_{i}']} rows without: {w}" for i, w in enumerate(self.where) if seen[f"not_{i}"]]
+
+
+def publish(df: DataFrame, name: str, partition_by: Sequence[str] = (), checks: Iterable[Callable[[DataFrame], bool]] = (),
+            expect: Expect | None = None) -> DataFrame:
     """Replace the table `name` by these rows, once they are written and all checks hold.
 
-    The rows are written to a table of their own and checked there; then the
+    The rows are written to a table of their own; what `expect` asks is counted
+    in that pass, `checks` (as of unique keys) read what was written.  Then the
     view `name` is put on it.  The generation before stays until the next
     refresh, for readers that have begun; older ones are dropped.  Where a
     check fails, the new rows are dropped and the view stays as it was.
@@ -42,11 +66,14 @@ def publish(df: DataFrame, name: str, partition_by: Sequence[str] = (), checks:
     spark = df.sparkSession
     current = _generation(spark, name)
     written = f"{name}__{uuid.uuid4().hex[:12]}"
-    df.write.partitionBy(*partition_by).saveAsTable(written)
-    for check in checks:
-        if not check(spark.table(written)):
-            spark.sql(f"DROP TABLE {written}")
-            raise ValueError(f"check {getattr(check, '__name__', check)} failed; {name} stays as it was")
+    seen = Observation()
+    observed = df if expect is None else df.observe(seen, *expect.metrics())
+    observed.write.partitionBy(*partition_by).saveAsTable(written)
+    failed = [] if expect is None else expect.failures(seen.get)
+    failed += [f"check {getattr(c, '__name__', c)}" for c in checks if not failed and not c(spark.table(written))]
+    if failed:
+        spark.sql(f"DROP TABLE {written}")
+        raise ValueError(f"{'; '.join(failed)}; {name} stays as it was")
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {written}")
     database, _, plain = name.rpartition(".")
     like = f"IN {database} " if database else ""

@@ -1,14 +1,15 @@
-"""Structured Streaming forms of sessionizing, landing and upserting."""
+"""Structured Streaming forms of sessionizing, landing, incremental loads and merges."""
 
 from __future__ import annotations
 
 import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..sources.conform import conform
 from ..sources.spec import TableSpec
-from ..sources.tables import KeyedTable
+from ..sources.tables import KeyedTable, dynamic_overwrite
 
 
 def session_stream(events: DataFrame, actor: str, ts: str, gap_s: int = 1800, late: str = "1 hour") -> DataFrame:
@@ -47,6 +48,39 @@ def landing_stream(spark: SparkSession, path: str, spec: TableSpec, files_per_ba
     return good, lost.unionByName(broken, allowMissingColumns=True)
 
 
+def new_files(spark: SparkSession, path: str, schema: StructType | str, form: str = "parquet", files_per_batch: int = 1000) -> DataFrame:
+    """The rows of files that have come since the last run: the query's checkpoint is the mark.
+
+    In place of a latest change time, after which rows of the same second are
+    read twice or not at all, the checkpoint names the files that were read.
+    """
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(form).load(path)
+
+
+BATCH = "_batch"
+
+
+def append_once(rows: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
+    """Add each micro-batch to a catalog table exactly once; start it with `availableNow` for a nightly run.
+
+    A batch has a partition of its own, written by an overwriting insert.  If
+    a run ends between the write and the commit of the checkpoint, the next
+    one gets the same files under the same number and replaces that partition.
+    One table takes one checkpoint; `BATCH` stays in it as the load's number.
+    A stream writes in a session of its own: call `spark.catalog.refreshTable`
+    where the table was read before.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marked = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
+        if not spark.catalog.tableExists(table):
+            marked.limit(0).write.partitionBy(BATCH).saveAsTable(table)
+        with dynamic_overwrite(spark):
+            marked.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+
+
 def upsert_stream(updates: DataFrame, table: KeyedTable, order: str, checkpoint: str) -> DataStreamWriter:
     """Merge each micro-batch into a keyed table, made by the first one; it rewrites the routes of the batch's keys only.
 

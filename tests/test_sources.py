@@ -3,6 +3,7 @@
 import gzip
 import os
 import uuid
+from contextlib import contextmanager
 from datetime import date, datetime
 
 import pytest
@@ -144,6 +145,46 @@ def test_streams(spark, tmp_path):
     assert bad["x"]["_lost"] == ["id"] and bad["3"]["_corrupt_record"] == "3,short"
 
 
+def test_each_row_once_over_growing_files(spark, tmp_path):
+    """Three runs; the second fails after its write and before the checkpoint is committed."""
+    inbox, table, fail = tmp_path / "in", f"lw_stream_{uuid.uuid4().hex[:8]}", []
+    land = lambda a, b: spark.range(a, b).select("id", F.lit("2024-01-01 00:00:00").cast("timestamp").alias("at")).coalesce(2).write.mode("append").parquet(str(inbox))
+
+    def run():
+        rows_ = jobs.new_files(spark, str(inbox), "id long, at timestamp")
+        jobs.append_once(rows_, table, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination(120)
+        spark.catalog.refreshTable(table)
+
+    land(0, 10)
+    run()
+    land(10, 30)
+    plain = jobs.dynamic_overwrite
+
+    @contextmanager
+    def failing(session):
+        with plain(session):
+            yield
+        fail.append(1)
+        raise RuntimeError("lost after the write")
+
+    jobs.dynamic_overwrite = failing
+    try:
+        with pytest.raises(Exception, match="lost after the write"):
+            run()
+    finally:
+        jobs.dynamic_overwrite = plain
+    spark.catalog.refreshTable(table)
+    assert fail and spark.table(table).count() == 30  # written, but the checkpoint does not know it
+    run()
+    assert rows(spark.table(table), "id") == sorted([(i,) for i in range(30)], key=str)
+    land(30, 35)
+    run()
+    run()  # nothing new
+    assert rows(spark.table(table), "id") == sorted([(i,) for i in range(35)], key=str)
+    assert spark.table(table).select("_batch").distinct().count() == 3
+    spark.sql(f"DROP TABLE {table}")
+
+
 def test_session_stream(spark, tmp_path):
     events = [("a", datetime(2024, 1, 1, 0, 0)), ("a", datetime(2024, 1, 1, 0, 29)), ("a", datetime(2024, 1, 1, 2, 0)), ("b", datetime(2024, 1, 3))]
     spark.createDataFrame(events, "actor string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "ev"))

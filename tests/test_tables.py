@@ -101,3 +101,16 @@ def test_replace_days(spark, name):
     assert rows(table.merge(spark.createDataFrame([], "day string, n int"))) == [("d1", 9), ("d2", 3), ("d3", 4)]
     with pytest.raises(ValueError):
         KeyedTable(name, ())
+
+
+def test_expectations_are_counted_in_the_write(spark, name):
+    good = spark.range(5).select("id", (F.col("id") * 2).alias("n"))
+    rule = tables.Expect(least=1, most=10, not_null=("id", "n"), where=("n >= id",))
+    tables.publish(good, name, expect=rule)
+    reads = []
+    for bad, said in ((good.limit(0), "0 rows"), (spark.range(11).select("id", "id", F.col("id").alias("n")).select("n", F.col("n").alias("id")), "more than 10"),
+                      (good.withColumn("n", F.when(F.col("id") < 3, F.col("n"))), "2 rows without n"), (good.withColumn("n", -F.col("id")), "4 rows without: n >= id")):
+        with pytest.raises(ValueError, match=said):
+            tables.publish(bad.select("id", "n"), name, expect=rule, checks=[lambda df: reads.append(df) or True])
+    assert reads == []  # nothing that was written is read where the counts tell
+    assert rows(spark.table(name)) == rows(good) and spark.sql(f"SHOW TABLES LIKE '{name}__*'").count() == 1
