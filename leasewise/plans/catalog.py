@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import calendar, exprs
 from ..operators import ads, attribution, commerce, distinct, identity, kpis, lifecycle, ordered, quality, rentals, web
-from ..sources import conform, daytables, export, incremental, payload, tables
+from ..sources import conform, daytables, export, incremental, payload, tables, variants
 from ..session import checkpoint_dir, cut
 from ..sources.spec import Field, TableSpec
 from .bindings import K, LINE, SETTINGS, TestWarehouse
@@ -641,6 +641,10 @@ query("type_profile", "column_name:s set_values:i as_int:i as_double:i as_date:i
     lambda w: conform.profile_types(_text_orders(w)))
 query("drift", "key:s row_count:i sample:s", "SELECT json_key AS key, count(*) AS row_count, min(v) AS sample FROM (SELECT unnest(json_keys(shipping_address)) AS json_key, json_extract_string(shipping_address, json_key) AS v FROM b_orders) WHERE json_key NOT IN ('name', 'city') GROUP BY 1")(
     lambda w: conform.schema_drift(w.source("orders"), "shipping_address", ["name", "city"]))
+query("variant_fields", "id:s city:s province:s zip:s", "SELECT id, json_extract_string(shipping_address, '$.city') AS city, json_extract_string(shipping_address, '$.province') AS province, json_extract_string(shipping_address, '$.zip') AS zip FROM b_orders")(
+    lambda w: variants.fields(w.source("orders").select("id", "shipping_address"), "shipping_address", {n: (f"$.{n}", "string") for n in ("city", "province", "zip")}))
+query("variant_drift", "key:s row_count:i sample:s type:s", CATALOG["drift"].sql.replace("min(v) AS sample", "min(v) AS sample, 'STRING' AS type"))(
+    lambda w: variants.drift(w.source("orders"), "shipping_address", ["name", "city"]))
 query("aliases", "customer:s status:s absent:s", "SELECT CAST(o_custkey AS VARCHAR) AS customer, coalesce(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END, o_orderstatus) AS status, NULL AS absent FROM orders")(
     lambda w: conform.resolve_aliases(w.table("orders").select(F.col("o_custkey").cast("string").alias("cust"), F.when(F.col("o_orderstatus") == "O", F.col("o_orderpriority")).alias("a"), F.col("o_orderstatus").alias("b")),
                                       TableSpec((Field("customer", keys=("client", "cust")), Field("status", keys=("a", "b")), Field("absent")))))

@@ -59,7 +59,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what `cut` has written in this application; call it once its results are stored."""
+    """Delete what `cut` and `cut_bucketed` have written in this application; call it once their results are stored."""
+    for r in spark.sql("SHOW TABLES LIKE 'cut_*'").collect():
+        if not r.isTemporary:
+            spark.sql(f"DROP TABLE {r.tableName}")
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_cuts(spark))
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -78,3 +81,16 @@ def cut(df):
     path = f"{_cuts(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_bucketed(df, by: str, buckets: int | None = None, **options):
+    """`cut` into a table bucketed by a column, so that joins and sums by it leave the rows where they are.
+
+    Two tables cut with the same number of buckets (spark.sql.shuffle.partitions
+    by default) meet on the column without an exchange.
+    """
+    spark = df.sparkSession
+    name = f"cut_{uuid.uuid4().hex}"
+    buckets = buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)  # Spark's limit of buckets
+    df.write.bucketBy(buckets, by).option("path", f"{_cuts(spark)}/{name}").options(**options).format("parquet").saveAsTable(name)
+    return spark.table(name)

@@ -77,12 +77,14 @@ def test_nightly_build_needs_its_settings(spark):
 
 
 def test_cuts_can_be_released(spark):
-    from leasewise.session import cut, release
+    from leasewise.session import cut, cut_bucketed, release
     kept = cut(spark.range(3))
     assert kept.count() == 3
     folder = kept.inputFiles()[0].split("/cuts-")[0].removeprefix("file://")
+    bucketed = cut_bucketed(spark.range(30), "id", 3)
+    assert bucketed.count() == 30
     release(spark)
-    assert not [f for f in os.listdir(folder) if f.startswith("cuts-")]
+    assert not [f for f in os.listdir(folder) if f.startswith("cuts-")] and not spark.sql("SHOW TABLES LIKE 'cut_*'").collect()
     from leasewise.plans import bindings
     bindings._kept.clear()  # the shared models are built again
 
@@ -100,3 +102,18 @@ def test_whole_events_shuffle_once_for_sessions(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     # Else: events and actors without the hot ones (3), written chunks, their narrow copy, one row per chunk by actor and by chunk.
     assert split.count("Exchange hashpartitioning") <= 7
+
+
+def test_bucketed_models_meet_without_an_exchange(spark):
+    """A fact and two models bucketed by member: their lookups and a sum by member move no row."""
+    from leasewise.session import cut_bucketed
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        fact = cut_bucketed(spark.range(1000).select((F.col("id") % 50).alias("member_id"), "id"), "member_id")
+        names = cut_bucketed(spark.range(50).select(F.col("id").alias("member_id"), F.concat(F.lit("m"), "id").alias("name")), "member_id")
+        kinds = cut_bucketed(spark.range(50).select(F.col("id").alias("member_id"), (F.col("id") % 3).alias("kind")), "member_id")
+        out = fact.join(names, "member_id", "left").join(kinds, "member_id", "left").groupBy("member_id", "name", "kind").count()
+        assert "Exchange" not in plan_of(out) and out.filter("count = 20").count() == 50
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
