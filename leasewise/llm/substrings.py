@@ -10,7 +10,6 @@ streamed through it.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import checkpoint_dir, cut
+from ..session import cut, cut_bucketed
 from .common import by_text, group_starts, pieces, whole_groups
 
 WINDOW = 35  # words of the shortest passage that is removed
@@ -218,16 +217,12 @@ def _shards(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 def _texts(docs: DataFrame, text: str) -> DataFrame:
     """(key, text, copies): each distinct text once, in a table bucketed by key.
 
-    Buckets let the two later joins on the key leave the texts where they are.
+    Buckets let the two later joins on the key leave the texts where they are;
+    `leasewise.session.release` drops the table with the other cuts.
     """
-    spark = docs.sparkSession
     distinct = docs.select(F.coalesce(docs[text], F.lit("")).alias("text")).groupBy(F.unhex(F.md5("text")).alias("key")).agg(
         F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    name = f"texts_{uuid.uuid4().hex}"
-    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 100_000)
-    (distinct.write.bucketBy(buckets, "key").option("path", f"{checkpoint_dir(spark)}/{name}")
-     .option("compression", "zstd").format("parquet").saveAsTable(name))
-    return spark.table(name)
+    return cut_bucketed(distinct, "key", compression="zstd")
 
 
 def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, shard: int = SHARD) -> DataFrame:
