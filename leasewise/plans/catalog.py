@@ -324,8 +324,8 @@ query("revenue_by_member", "member_id:s sku:s membership_type:s n:i first_date:d
     SELECT member_id, sku, membership_type, count(*) AS n, min(date) AS first_date, max(date) AS last_date, sum(revenue) AS revenue FROM o_revenue GROUP BY 1, 2, 3""")(
     lambda w: w.revenue.groupBy("member_id", "sku", "membership_type").agg(
         F.count(F.lit(1)).alias("n"), F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.sum("revenue").alias("revenue")))
-query("visitors", "month:d kind:s visitors:i buyers:i", """
-    SELECT CAST(date_trunc('month', ts) AS DATE) AS month, event_type AS kind, count(DISTINCT user_id) AS visitors, count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS buyers
+query("visitors", "day:d kind:s visitors:i buyers:i", """
+    SELECT CAST(ts AS DATE) AS day, event_type AS kind, count(DISTINCT user_id) AS visitors, count(DISTINCT CASE WHEN event_type = 'purchase' THEN user_id END) AS buyers
     FROM events GROUP BY 1, 2""")(lambda w: _visitors(w))
 query("sku_agg", "sku:s product_name:s inventory_count:i active_count:i rental_count:i avg_completed_duration:f avg_active_duration:f dwell_time:f total_revenue:m total_members:i current_mrr:m total_inventory_days:i "
       "total_rental_days:i non_dwell_inventory_days:i", "o_sku_agg")(lambda w: w.sku_agg)
@@ -641,8 +641,8 @@ query("type_profile", "column_name:s set_values:i as_int:i as_double:i as_date:i
     lambda w: conform.profile_types(_text_orders(w)))
 query("drift", "key:s row_count:i sample:s", "SELECT json_key AS key, count(*) AS row_count, min(v) AS sample FROM (SELECT unnest(json_keys(shipping_address)) AS json_key, json_extract_string(shipping_address, json_key) AS v FROM b_orders) WHERE json_key NOT IN ('name', 'city') GROUP BY 1")(
     lambda w: conform.schema_drift(w.source("orders"), "shipping_address", ["name", "city"]))
-query("variant_fields", "id:s city:s province:s zip:s", "SELECT id, json_extract_string(shipping_address, '$.city') AS city, json_extract_string(shipping_address, '$.province') AS province, json_extract_string(shipping_address, '$.zip') AS zip FROM b_orders")(
-    lambda w: variants.fields(w.source("orders").select("id", "shipping_address"), "shipping_address", {n: (f"$.{n}", "string") for n in ("city", "province", "zip")}))
+query("variant_fields", "id:s city:s province:s", "SELECT id, json_extract_string(shipping_address, '$.city') AS city, json_extract_string(shipping_address, '$.province') AS province FROM b_orders")(
+    lambda w: variants.fields(w.source("orders").select("id", "shipping_address"), "shipping_address", {n: (f"$.{n}", "string") for n in ("city", "province")}))
 query("variant_drift", "key:s row_count:i sample:s type:s", CATALOG["drift"].sql.replace("min(v) AS sample", "min(v) AS sample, 'STRING' AS type"))(
     lambda w: variants.drift(w.source("orders"), "shipping_address", ["name", "city"]))
 query("aliases", "customer:s status:s absent:s", "SELECT CAST(o_custkey AS VARCHAR) AS customer, coalesce(CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END, o_orderstatus) AS status, NULL AS absent FROM orders")(
@@ -782,11 +782,11 @@ def _refreshed(w):
 
 
 def _visitors(w):
-    """Months from the bitmaps of days."""
+    """Days from the bitmaps of hours."""
     ev = w.table("events")
     counted = {"visitors": "user_id", "buyers": F.when(F.col("event_type") == "purchase", F.col("user_id"))}
-    days = distinct.bitmaps(ev.withColumns({"day": F.col("ts").cast("date"), "kind": F.col("event_type")}), ["day", "kind"], counted, distinct.dense_ids(ev, "user_id"), "user_id")
-    return distinct.distinct_counts(cut(days), [F.trunc("day", "month").alias("month"), "kind"], list(counted))
+    hours = distinct.bitmaps(ev.withColumns({"hour": F.date_trunc("hour", "ts"), "kind": F.col("event_type")}), ["hour", "kind"], counted, distinct.dense_ids(ev, "user_id"), "user_id")
+    return distinct.distinct_counts(cut(hours), [F.col("hour").cast("date").alias("day"), "kind"], list(counted))
 
 
 def _published(w):
