@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..operators.web import sessionize
+from ..session import cut
 from ..sources.conform import conform
 from ..sources.spec import TableSpec
 from ..sources.tables import KeyedTable, dynamic_overwrite
@@ -60,6 +62,64 @@ def new_files(spark: SparkSession, path: str, schema: StructType | str, form: st
 BATCH = "_batch"
 
 
+def _put(rows: DataFrame, table: str, batch_id: int) -> None:
+    """Write a batch's own partition of a table, in place of what an earlier try has left there."""
+    spark = rows.sparkSession
+    marked = rows.withColumn(BATCH, F.lit(batch_id).cast("long"))
+    if not spark.catalog.tableExists(table):
+        marked.limit(0).write.partitionBy(BATCH).saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({BATCH} = '{batch_id}')")
+    with dynamic_overwrite(spark):
+        marked.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+
+def session_labels(events: DataFrame, table: str, checkpoint: str, actor: str, ts: str, event_id: str,
+                   gap_s: int = 1800, late_s: int = 3600) -> DataStreamWriter:
+    """Give each event of a stream its session: the id of the session's first event, as `sessionize` does.
+
+    Events may come in any order within `late_s` of the latest time seen.  A
+    session's events wait in `<table>_open` until no event on time can join it
+    or come before it; then they go to `table` with their session_id.  Events
+    before that bound, and those without a time, go to `<table>_late` as they
+    are.  `<table>_mark` has the bound after each batch.  A batch reads what
+    the one before has left and writes partitions of its own, the mark last,
+    so a run that fails half-way is repeated without a row lost or doubled.
+    An actor that never pauses waits whole.
+    """
+    def step(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        got = batch.withColumn(ts, F.col(ts).cast("timestamp"))
+        held, bound = got.limit(0), None
+        if spark.catalog.tableExists(f"{table}_mark"):
+            before = spark.table(f"{table}_mark").filter(F.col(BATCH) < batch_id).agg(F.max_by("bound", BATCH), F.max(BATCH)).first()
+            bound = before[0]
+            held = spark.table(f"{table}_open").filter(F.col(BATCH) == (-1 if before[1] is None else before[1])).drop(BATCH).select(*got.columns)
+        on_time = F.col(ts).isNotNull() & (F.lit(True) if bound is None else F.col(ts) >= F.lit(bound))
+        _put(got.filter(~on_time), f"{table}_late", batch_id)
+        # The pool is written once: sessions are cut in it, and its latest time moves the bound.
+        pool = cut(held.unionByName(got.filter(on_time)))
+        latest = pool.agg((F.max(ts) - F.expr(f"interval {late_s} seconds")).alias("b")).first()["b"]
+        bound = max((b for b in (bound, latest) if b is not None), default=None)
+        cutoff = F.lit(bound).cast("timestamp") - F.expr(f"interval {gap_s + 1} seconds")
+        cut_in = sessionize(pool, actor, ts, event_id, gap_s)
+        ends = cut_in.groupBy("session_id").agg(F.max(ts).alias("_end"))
+        placed = cut(cut_in.join(ends, "session_id").withColumn("_closed", F.coalesce(F.col("_end") < cutoff, F.lit(False))))
+        _put(placed.filter("_closed").select(*got.columns, "session_id"), table, batch_id)
+        _put(placed.filter("not _closed").select(*got.columns), f"{table}_open", batch_id)
+        _put(spark.range(1).select(F.lit(bound).cast("timestamp").alias("bound")), f"{table}_mark", batch_id)
+
+    return events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+
+
+def labelled(spark: SparkSession, table: str, actor: str, ts: str, event_id: str, gap_s: int = 1800) -> DataFrame:
+    """All events so far with their session: the closed ones, and the open ones as they stand."""
+    for name in (table, f"{table}_open", f"{table}_mark"):
+        spark.catalog.refreshTable(name)
+    last = spark.table(f"{table}_mark").agg(F.max(BATCH)).first()[0]
+    waiting = spark.table(f"{table}_open").filter(F.col(BATCH) == last).drop(BATCH)
+    return spark.table(table).drop(BATCH).unionByName(sessionize(waiting, actor, ts, event_id, gap_s))
+
+
 def append_once(rows: DataFrame, table: str, checkpoint: str) -> DataStreamWriter:
     """Add each micro-batch to a catalog table exactly once; start it with `availableNow` for a nightly run.
 
@@ -70,15 +130,7 @@ def append_once(rows: DataFrame, table: str, checkpoint: str) -> DataStreamWrite
     A stream writes in a session of its own: call `spark.catalog.refreshTable`
     where the table was read before.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        marked = batch.withColumn(BATCH, F.lit(batch_id).cast("long"))
-        if not spark.catalog.tableExists(table):
-            marked.limit(0).write.partitionBy(BATCH).saveAsTable(table)
-        with dynamic_overwrite(spark):
-            marked.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-
-    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return rows.writeStream.foreachBatch(lambda batch, batch_id: _put(batch, table, batch_id)).option("checkpointLocation", checkpoint)
 
 
 def upsert_stream(updates: DataFrame, table: KeyedTable, order: str, checkpoint: str) -> DataStreamWriter:

@@ -2,14 +2,15 @@
 
 import gzip
 import os
+import random
 import uuid
-from contextlib import contextmanager
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from leasewise.operators.web import sessionize
 from leasewise.sources import conform, export, incremental, landing, payload
 from leasewise.sources.spec import Field, TableSpec
 from leasewise.sources.tables import KeyedTable
@@ -158,21 +159,19 @@ def test_each_row_once_over_growing_files(spark, tmp_path):
     land(0, 10)
     run()
     land(10, 30)
-    plain = jobs.dynamic_overwrite
+    plain = jobs._put
 
-    @contextmanager
-    def failing(session):
-        with plain(session):
-            yield
+    def failing(*batch):
+        plain(*batch)
         fail.append(1)
         raise RuntimeError("lost after the write")
 
-    jobs.dynamic_overwrite = failing
+    jobs._put = failing
     try:
         with pytest.raises(Exception, match="lost after the write"):
             run()
     finally:
-        jobs.dynamic_overwrite = plain
+        jobs._put = plain
     spark.catalog.refreshTable(table)
     assert fail and spark.table(table).count() == 30  # written, but the checkpoint does not know it
     run()
@@ -185,6 +184,47 @@ def test_each_row_once_over_growing_files(spark, tmp_path):
     spark.sql(f"DROP TABLE {table}")
 
 
+def test_stream_labels_events_like_the_batch_form(spark, tmp_path):
+    """Files in any order within the delay, a run that fails before its mark, and late rows to their own table."""
+    draw, sec, events = random.Random(4), 0, []
+    for i in range(400):
+        sec += draw.choice([0, 20, 200, 1700, 1800, 1801, 4000])
+        events.append((draw.choice(["a", "b", None, "c"]), datetime(2024, 1, 1) + timedelta(seconds=sec), i))
+    schema, table, inbox = "actor string, ts timestamp, id long", f"lw_labels_{uuid.uuid4().hex[:8]}", tmp_path / "in"
+    files = [draw.sample(events[k:k + 50], len(events[k:k + 50])) for k in range(0, 400, 50)]
+    for k in range(0, 8, 2):  # a fifth of each file comes with the next one
+        files[k + 1] += files[k][:10]
+        files[k] = files[k][10:]
+    late = [("a", datetime(2024, 1, 1), 900), ("b", None, 901)]
+    files[6] += late
+
+    def run():
+        stream = jobs.new_files(spark, str(inbox), schema, files_per_batch=1)
+        jobs.session_labels(stream, table, str(tmp_path / "cp"), "actor", "ts", "id", 1800, 3600 * 24 * 3).trigger(availableNow=True).start().awaitTermination(240)
+
+    plain = jobs._put
+
+    def failing(rows_, name, batch_id):
+        plain(rows_, name, batch_id)
+        if name.endswith("_open"):
+            raise RuntimeError("lost before the mark")
+
+    for k, part in enumerate(files):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(inbox))
+        if k == 3:
+            jobs._put = failing
+            with pytest.raises(Exception, match="lost before the mark"):
+                run()
+            jobs._put = plain
+        run()
+    want = rows(sessionize(spark.createDataFrame(events, schema), "actor", "ts", "id"), "id", "session_id")
+    assert rows(jobs.labelled(spark, table, "actor", "ts", "id"), "id", "session_id") == want
+    closed = spark.table(table).count()
+    assert 100 < closed < 400 and rows(spark.table(f"{table}_late"), "id") == [(900,), (901,)]
+    for name in (table, f"{table}_open", f"{table}_late", f"{table}_mark"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_session_stream(spark, tmp_path):
     events = [("a", datetime(2024, 1, 1, 0, 0)), ("a", datetime(2024, 1, 1, 0, 29)), ("a", datetime(2024, 1, 1, 2, 0)), ("b", datetime(2024, 1, 3))]
     spark.createDataFrame(events, "actor string, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "ev"))
