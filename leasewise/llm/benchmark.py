@@ -210,7 +210,12 @@ def benchmark_matches(docs: DataFrame, items: DataFrame, keep: str = "doc_id", t
 
 
 def without_matches(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows that hold no item, with the columns they came with."""
+    """The rows that hold no item, with the columns they came with.
+
+    Each row is judged by itself: repeated rows go or stay together.  Null and
+    empty texts hold no item and stay; items without words match nothing.  An
+    empty table stays empty, and without items all rows stay.
+    """
     rows, (body,) = numbered(docs, text)
     rest = [c for c in rows.columns if c != body]
     for index in indexes(items, item, item_text):
