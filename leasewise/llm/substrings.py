@@ -2,9 +2,11 @@
 
 A passage that stands in two places has the same smallest word-gram in both,
 its anchor, so only stretches of text with the same anchor can repeat each
-other.  The stretches of an anchor are a reference shard; each distinct one
-enters the shard's automaton once, with its number of places, and is then
-streamed through it.
+other.  A stretch ends where its windows leave the place of their anchor, so
+it has `window - gram + 1` windows at most, none of them twice, and a periodic
+text is many stretches with few contents.  The stretches of an anchor are a
+reference shard; each distinct one enters the shard's automaton once, with its
+number of places, and is then streamed through it.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from .common import by_text, group_starts, pieces, whole_groups
 
 WINDOW = 35  # words of the shortest passage that is removed
 GRAM = 8  # words of an anchor
-SHARD = 1024  # distinct stretches of one anchor that share an automaton
+SHARD = 1024  # distinct stretches of one anchor that share an automaton: 63,488 words at most
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -126,12 +128,13 @@ def _minima(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(words: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """Runs of windows with the same anchor: text number, first word, windows, anchor, content hash.
+    """Runs of windows with the same place of their anchor: text number, first word, windows, anchor, content hash.
 
-    `twice` marks a run that holds its anchor in two places, so that a window
-    may repeat within the run itself.  Content hashes are of 64 bits.
+    The anchor of a window is its smallest gram, the first of equal ones.  A
+    window gives the anchor's offset within it, so no window stands twice in a
+    run.  Content hashes are of 64 bits.
     """
-    names = ("text", "at", "n", "anchor", "content", "twice")
+    names = ("text", "at", "n", "anchor", "content")
     if len(words) < window:
         return {n: np.zeros(0, np.int64) for n in names}
     text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
@@ -146,30 +149,28 @@ def stretches(words: np.ndarray, starts: np.ndarray, window: int = WINDOW, gram:
     least = _minima(grams, width)
     n = len(least)
     whole = text[:n] == text[window - 1:]
-    first = np.flatnonzero(np.r_[True, (least[1:] != least[:-1]) | (text[1:n] != text[:n - 1]) | (whole[1:] != whole[:-1])])
+    left = (least[1:] != least[:-1]) | (grams[:n - 1] == least[:-1])  # another anchor, or the anchor was the first gram
+    first = np.flatnonzero(np.r_[True, left | (text[1:n] != text[:n - 1]) | (whole[1:] != whole[:-1])])
     last = np.r_[first[1:], n]
     first, last = first[whole[first]], last[whole[first]]
     anchor = least[first]
-    inside = np.arange(width)
-    from_left = first + (grams[first[:, None] + inside] == anchor[:, None]).argmax(axis=1)
-    from_right = last - 1 + width - 1 - (grams[(last - 1)[:, None] + inside[::-1]] == anchor[:, None]).argmax(axis=1)
     up = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(words), _MULTIPLIER, np.uint64)])
     down = np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(words), _INVERSE, np.uint64)])
     total = np.r_[np.uint64(0), np.cumsum(words * up[:-1])]
     content = (total[last + window - 1] - total[first]) * down[first] * np.uint64(_MULTIPLIER) + (last - first).astype(np.uint64)
-    values = (text[first], first - starts[text[first]], last - first, anchor.view(np.int64), content.view(np.int64), from_left != from_right)
+    values = (text[first], first - starts[text[first]], last - first, anchor.view(np.int64), content.view(np.int64))
     return dict(zip(names, values))
 
 
-_RUN = "array<struct<at: int, n: int, anchor: bigint, content: bigint, twice: boolean>>"
+_RUN = "array<struct<at: int, n: int, anchor: bigint, content: bigint>>"
 
 
 def _runs(texts: list[str | None], window: int, gram: int) -> dict[str, pa.Array]:
     words, starts = _hashes(texts)
     made = stretches(words, starts, window, gram)
     rows = pa.StructArray.from_arrays(
-        [pa.array(made["at"].astype(np.int32)), pa.array(made["n"].astype(np.int32)), pa.array(made["anchor"]), pa.array(made["content"]), pa.array(made["twice"].astype(bool))],
-        ["at", "n", "anchor", "content", "twice"])
+        [pa.array(made["at"].astype(np.int32)), pa.array(made["n"].astype(np.int32)), pa.array(made["anchor"]), pa.array(made["content"])],
+        ["at", "n", "anchor", "content"])
     return {"runs": pa.ListArray.from_arrays(np.searchsorted(made["text"], np.arange(len(texts) + 1)).astype(np.int32), rows)}
 
 
@@ -234,9 +235,9 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     # An anchor in one place only repeats nothing.  One distinct stretch in
     # several places is covered whole; several need the automaton.
     anchors = cut(runs.groupBy("anchor").agg(
-        F.sum("copies").alias("_all"), F.min("content").alias("_low"), F.max("content").alias("_high"), F.max("twice").alias("_twice"))
-        .filter("_all > 1 or _twice").select("anchor", F.expr("_twice or _low != _high").alias("mixed")))
-    hits = cut(runs.drop("twice").join(anchors, "anchor"))
+        F.sum("copies").alias("_all"), F.min("content").alias("_low"), F.max("content").alias("_high"))
+        .filter("_all > 1").select("anchor", F.expr("_low != _high").alias("mixed")))
+    hits = cut(runs.join(anchors, "anchor"))
     whole = hits.filter("not mixed").select("key", F.col("at").alias("low"), (F.col("at") + F.col("n") + window - 1).alias("high"))
     mixed = hits.filter("mixed")
     distinct = cut(mixed.groupBy("anchor", "content").agg(

@@ -96,4 +96,23 @@ def test_equal_windows_have_equal_anchors():
             key = tuple(words[starts[t] + i:starts[t] + i + 35].tolist())
             assert anchor_of.setdefault(key, anchor) == anchor
     assert len(anchor_of) == len({tuple(words[a + i:a + i + 35].tolist()) for a, b in zip(starts, starts[1:]) for i in range(max(0, b - a - 34))})
-    assert np.all(runs["n"] > 0)
+    assert np.all(runs["n"] > 0) and np.all(runs["n"] <= 35 - 8 + 1)
+
+
+def test_no_window_twice_in_a_stretch():
+    texts = [*made(6, vocabulary=5), *(" ".join((f"p{k}" for k in range(period))) + (" " + " ".join(f"p{k}" for k in range(period))) * 90 for period in (1, 2, 7, 30))]
+    words, starts = substrings._hashes(texts)
+    runs = substrings.stretches(words, starts)
+    for t, at, n in zip(*(runs[k].tolist() for k in ("text", "at", "n"))):
+        inside = [tuple(words[starts[t] + i:starts[t] + i + 35].tolist()) for i in range(at, at + n)]
+        assert len(set(inside)) == n
+
+
+def test_long_periodic_texts(spark):
+    """Texts of one repeated line, all of other lengths: few contents, each bounded, so the shard stays small."""
+    line = [f"l{k}" for k in range(10)]
+    texts = [" ".join((line * 200)[:1500 + 7 * k]) for k in range(60)] + ["a " * 900, "b " * 36, "c " * 35]
+    assert result(spark, texts) == plain(texts, 35)
+    words, starts = substrings._hashes(texts[:60])
+    runs = substrings.stretches(words, starts)
+    assert len(runs["n"]) > 5000 and len(set(zip(runs["anchor"].tolist(), runs["content"].tolist()))) < 30
