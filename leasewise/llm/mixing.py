@@ -8,6 +8,7 @@ come to the driver.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, or_
@@ -64,13 +65,17 @@ def tempered(totals: Mapping[str, float], alpha: float = ALPHA) -> dict[str, flo
 
 
 def rake(table: DataFrame, lang_shares: Mapping[str, float] | None = None, topic_shares: Mapping[str, float] | None = None,
-         source_shares: DataFrame | None = None, alpha: float = ALPHA, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+         source_shares: DataFrame | None = None, alpha: float = ALPHA, rounds: int = ROUNDS, tolerance: float = TOLERANCE, strict: bool = False) -> DataFrame:
     """(source, lang, topic, tokens, factor): tokens * factor has the target shares and the tokens' sum.
 
     `table` is a table of cells.  Targets without a given value are tempered
     token shares.  A round fits the sources (in Spark, from sums by source)
     and then languages and topics (on the driver, from sums by both).  Labels
     without tokens cannot be reached and their target goes to the others.
+    Targets that contradict each other (a language of one source only, say, with
+    another share than that source) have no fit: sources then have their
+    shares, languages and topics come as near as `rounds` rounds bring them, and
+    a warning tells how far off they are, or, if `strict`, a ValueError.
     """
     sums = table.groupBy("lang", "topic").agg(F.sum("tokens").alias("tokens")).limit(MOST_LABELS + 1).collect()
     if len(sums) > MOST_LABELS:
@@ -105,6 +110,7 @@ def rake(table: DataFrame, lang_shares: Mapping[str, float] | None = None, topic
         factor = F.when(F.col("_have") > 0, F.col("_target") / F.col("_have")).otherwise(0.0)
         return made.join(fits.select("source", factor.alias("_f")), "source").withColumn("factor", F.col("_f") * F.col("_inner"))
 
+    off = 0.0
     for _ in range(rounds):
         grid = np.zeros((len(langs), len(topics)))
         for r in weighted().groupBy("lang", "topic").agg(F.sum(F.col("tokens") * F.col("factor")).alias("w")).collect():
@@ -119,6 +125,11 @@ def rake(table: DataFrame, lang_shares: Mapping[str, float] | None = None, topic
             columns = grid.sum(0)
             step = np.divide(want_topic, columns, out=np.zeros_like(columns), where=columns > 0)
             f_topic, grid = f_topic * step, grid * step
+    else:
+        told = f"the fit has not converged after {rounds} rounds: a language or topic is {off:.2%} of all tokens off its target"
+        if strict:
+            raise ValueError(told)
+        warnings.warn(told, stacklevel=2)
     return weighted().select("source", "lang", "topic", "tokens", "factor")
 
 
@@ -127,19 +138,20 @@ def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: s
     """Documents drawn share * factor times, on average, for the factor of their cell.
 
     Returns `columns` (all that came, by default) plus `mix_topic`,
-    `mix_tokens`, `mix_weight` (the cell's factor) and `mix_probability` (the
-    expected number of copies); columns of these names are replaced.  Where
-    share * factor is over 1, its whole part is the number of copies of every
-    document of the cell and the rest is drawn for one more, so the sample
-    has the target shares and `share` of all tokens, on average.  The draw
+    `mix_tokens`, `mix_weight` (the cell's factor), `mix_probability` (the
+    expected number of copies) and `mix_copies` (how many there are of this row);
+    columns of these names are replaced.  The whole part of share * factor is
+    the number of copies of every document of the cell and the rest is drawn for
+    one more, so the sample has the target shares and `share` of all tokens, on
+    average, for any share: 2 gives each token twice, on average.  No document
+    has over share * factor + 1 copies, which is most for a small cell with a
+    large target.  The draw
     depends on the id, the text and the seed only, so it is the same on every
     run and copies of a row are drawn together.  Documents without a word have
-    no weight and are not drawn; null labels are a label of their own.  A share
-    over 1 is more than there is: no document is repeated then, a cell gives
-    what it has and the mix falls short.  The labelled rows are written once
-    and read for the sums and for the draw.
+    no weight and are not drawn; null labels are a label of their own.  The
+    labelled rows are written once and read for the sums and for the draw.
     """
-    new = ("mix_topic", "mix_tokens", "mix_weight", "mix_probability")
+    new = ("mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_copies")
     columns = [c for c in columns or docs.columns if c not in new]
     if topic is None:
         topic = topic_of(F.coalesce(docs[text], F.lit("")))
@@ -149,10 +161,9 @@ def sampled(docs: DataFrame, text: str = "text", source: str = "source", lang: s
     rows = cut(labelled(packed, "_text", "_source", "_lang", F.col("_topic")).withColumn("_draw", draw).select(
         *[f"c{i}" for i in range(len(columns))], "_mix", "_draw"))
     fitted = cut(rake(cut(cells(rows)), **targets).select(F.struct("source", "lang", "topic").alias("_cell"), "factor"))
-    expected = F.col("factor") * share if share <= 1 else F.least(F.lit(1.0), F.col("factor") * share)
     copies = F.floor("_expected").cast("int") + (F.col("_draw") < F.col("_expected") - F.floor("_expected")).cast("int")
-    placed = rows.filter("_mix.tokens > 0").withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_expected", expected)
+    placed = rows.filter("_mix.tokens > 0").withColumn("_cell", F.struct("_mix.source", "_mix.lang", "_mix.topic")).join(fitted, "_cell").withColumn("_expected", F.col("factor") * share)
     drawn = placed.withColumn("_copies", copies).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return drawn.select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], F.col("_mix.topic").alias("mix_topic"), F.col("_mix.tokens").alias("mix_tokens"),
-        F.col("factor").alias("mix_weight"), F.col("_expected").alias("mix_probability"))
+        F.col("factor").alias("mix_weight"), F.col("_expected").alias("mix_probability"), F.col("_copies").alias("mix_copies"))

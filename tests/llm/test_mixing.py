@@ -55,6 +55,17 @@ def test_given_targets(spark):
     assert all(abs(r.w / total - 1 / 9) < 1e-3 for r in done.groupBy("source").agg(F.sum("w").alias("w")).collect())
 
 
+def test_targets_without_a_fit(spark):
+    """Each source has a language of its own, but the shares asked for differ."""
+    frame = spark.createDataFrame([("a", "x", "t", 30), ("b", "y", "t", 70)], "source string, lang string, topic string, tokens long")
+    halves = spark.createDataFrame([("a", 0.5), ("b", 0.5)], "source string, share double")
+    with pytest.warns(UserWarning, match="not converged"):
+        done = mixing.rake(frame, {"x": 0.9, "y": 0.1}, None, halves, rounds=3)
+    assert {r.source: round(r.tokens * r.factor, 6) for r in done.collect()} == {"a": 50.0, "b": 50.0}
+    with pytest.raises(ValueError, match="40.00%"):
+        mixing.rake(frame, {"x": 0.9, "y": 0.1}, None, halves, rounds=3, strict=True)
+
+
 def test_sample_has_the_calibrated_mix(spark):
     made = spark.range(30_000).select(
         F.col("id").alias("doc_id"), F.concat(F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int")), F.col("id").cast("string")).alias("text"),
@@ -72,16 +83,19 @@ def test_sample_has_the_calibrated_mix(spark):
     assert exact(got) == exact(again)
 
 
-def test_sample_has_the_targets_under_strong_skew(spark):
+@pytest.mark.parametrize("share", [mixing.SHARE, 2.5])
+def test_sample_has_the_targets_under_strong_skew(spark, share):
     made = spark.range(20_000).select(
         F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), F.col("id").cast("string")).alias("text"),
         F.when(F.col("id") % 100 < 2, "rare").otherwise("en").alias("lang"), F.when(F.col("id") % 97 == 0, "few").otherwise("many").alias("source"))
     topic = F.when(F.col("doc_id") % 89 == 0, "odd").otherwise("even")
-    got = mixing.sampled(made, topic=topic)
+    got = mixing.sampled(made, topic=topic, share=share)
+    copies = got.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("mix_copies").alias("low"), F.max("mix_copies").alias("high"), F.max("mix_probability").alias("p"))
+    assert copies.filter("n != low or n != high or n > p + 1 or n < floor(p)").count() == 0
     labels = made.withColumn("mix_topic", topic)
     assert got.agg(F.max("mix_probability")).first()[0] > 2  # no draw without repeats can have this mix
     total = got.agg(F.sum("mix_tokens")).first()[0]
-    assert abs(total / 80_000 - mixing.SHARE) < 0.02
+    assert abs(total / 80_000 - share) < 0.02
     cells = labels.groupBy("source", "lang", "mix_topic").count().collect()
     expected = {tuple(r[:3]): r[3] for r in got.select("source", "lang", "mix_topic", "mix_probability").distinct().collect()}
     for label in ("source", "lang", "mix_topic"):
@@ -94,9 +108,13 @@ def test_sample_has_the_targets_under_strong_skew(spark):
 
 def test_rows_of_any_kind(spark):
     docs = awkward.docs(spark)
-    everything = mixing.sampled(docs, share=1e9)
-    assert everything.columns == [*docs.columns, "mix_topic", "mix_tokens", "mix_weight", "mix_probability"]
-    assert everything.count() == sum(bool((r[1] or "").split()) for r in awkward.DOCS)  # no word, no weight
+    everything = mixing.sampled(docs, share=500.0)
+    assert everything.columns == [*docs.columns, "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_copies"]
+    assert everything.filter("mix_probability < 1").count() == 0
+    ids = lambda df: {r[0] for r in df.select("doc_id").collect()}
+    assert ids(everything) == {r[0] for r in awkward.DOCS if (r[1] or "").split()}  # no word, no weight
+    whole = everything.groupBy("doc_id", "text").agg(F.sum(1 / F.col("mix_copies")).alias("rows"))
+    assert abs(whole.agg(F.sum("rows")).first()[0] - sum(bool((r[1] or "").split()) for r in awkward.DOCS)) < 1e-6
     assert mixing.sampled(awkward.empty(spark)).count() == 0
     assert mixing.sampled(everything).columns == everything.columns
 
