@@ -67,18 +67,20 @@ BINDINGS: dict[str, str] = {
                     ELSE c_name || '@x.org' END AS email, c_custkey, c_acctbal, c_nationkey
         FROM customer""",
     "b_contacts": """
-        SELECT 'h' || c.id AS id, c.email, CAST('1994-01-01 00:00:00' AS TIMESTAMP) AS created_at,
+        SELECT 'h' || c.id AS id, c.email, CAST('1994-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * c.c_nationkey AS created_at,
                CAST('1999-01-01 00:00:00' AS TIMESTAMP) AS updated_at, CAST(NULL AS STRING) AS first_conversion_date,
-               'web' AS hs_analytics_source, CAST(NULL AS STRING) AS hs_analytics_source_data_1,
+               CASE WHEN c.c_acctbal > 3000 THEN 'web' ELSE 'mail' END AS hs_analytics_source,
+               CASE WHEN c.c_acctbal > 6000 THEN 'page ' || CAST(c.c_nationkey AS STRING) END AS hs_analytics_source_data_1,
                CASE customer.c_mktsegment WHEN 'FURNITURE' THEN 'Per Item' WHEN 'HOUSEHOLD' THEN '' END AS membership_type,
                CASE WHEN c.c_acctbal > 9000 THEN '1998-01-01 00:00:00' ELSE '' END AS hs_lifecyclestage_customer_date,
                customer.c_name AS firstname, customer.c_mktsegment AS lastname,
                CAST('2000-01-01' AS DATE) + c.c_nationkey AS child_1_dob,
                CASE WHEN c.c_acctbal > 5000 THEN CAST('1998-01-01' AS DATE) + c.c_nationkey END AS child_2_dob,
-               CAST(NULL AS DATE) AS child_3_dob, CAST(NULL AS STRING) AS expecting_at_sign_up,
-               'Town ' || CAST(c.c_nationkey AS STRING) AS city, CAST(NULL AS STRING) AS address, CAST(NULL AS STRING) AS zip,
+               CASE WHEN c.c_acctbal > 7000 THEN CAST('2002-01-01' AS DATE) + c.c_nationkey END AS child_3_dob,
+               CASE WHEN c.c_acctbal > 4000 THEN 'yes' WHEN c.c_acctbal > 0 THEN 'no' END AS expecting_at_sign_up,
+               'Town ' || CAST(c.c_nationkey AS STRING) AS city, CAST(c.c_nationkey + 1 AS STRING) || ' Side St.' AS address, lpad(CAST(c.c_nationkey AS STRING), 5, '9') AS zip,
                n_name AS state, CASE WHEN c.c_acctbal > 8000 THEN CAST('2001-01-01' AS DATE) + c.c_nationkey END AS monthly_membership_end_date,
-               CAST(NULL AS STRING) AS reason_for_canceling
+               CASE WHEN c.c_acctbal > 8000 THEN 'moved to ' || n_name END AS reason_for_canceling
         FROM b_customers c JOIN customer ON customer.c_custkey = c.c_custkey JOIN nation ON n_nationkey = c.c_nationkey""",
     "b_overrides": """
         SELECT 'shopify' AS src, id AS src_id,
@@ -202,6 +204,9 @@ BINDINGS: dict[str, str] = {
                  || CASE o_orderstatus WHEN 'P' THEN ',{{"id":"r2-' || CAST(o_orderkey AS STRING) || '","order_id":"' || CAST(o_orderkey AS STRING) || '","order_adjustments":[],"refund_line_items":[]}}' ELSE '' END || ']' END AS refunds,
                '{{"name":"' || CAST(o_custkey AS STRING) || '","address1":"' || CASE WHEN o_custkey % 13 = 0 THEN '' ELSE CAST(o_custkey % 50 AS STRING) || ' Main St.' END
                || '","address2":"' || CASE WHEN o_custkey % 3 = 0 THEN 'Apt #2' ELSE '' END || '","city":"C' || CAST(o_custkey % 7 AS STRING) || '","province":"Province ' || CAST(o_custkey % 5 AS STRING)
+               || '","first_name":"F' || CAST(o_custkey % 11 AS STRING) || '","last_name":"L' || CAST(o_custkey % 17 AS STRING) || '","phone":"' || CASE WHEN o_custkey % 4 = 0 THEN '' ELSE '555-' || CAST(o_custkey AS STRING) END
+               || '","province_code":"P' || CAST(o_custkey % 5 AS STRING) || '","zip":"' || lpad(CAST(o_custkey % 7 AS STRING), 5, '9') || '","country":"' || CASE WHEN o_custkey % 5 = 0 THEN 'Canada' ELSE 'United States' END
+               || '","country_code":"' || CASE WHEN o_custkey % 5 = 0 THEN 'CA' ELSE 'US' END || CASE WHEN o_custkey % 6 = 0 THEN '","company":"Firm ' || CAST(o_custkey % 3 AS STRING) ELSE '' END
                || '","latitude":"' || CAST(o_custkey % 90 AS STRING) || '.5","longitude":"-' || CAST(o_custkey % 60 AS STRING) || '.25"}}' AS shipping_address
         FROM orders LEFT JOIN b_returned returned ON returned.orderkey = o_orderkey""",
     # The returned lines of an order, as the refund's JSON lists them.
@@ -249,17 +254,18 @@ BINDINGS: dict[str, str] = {
     "b_ops_customers": "SELECT CAST(c_custkey AS DOUBLE) AS id, c_custkey AS record_id, email, 'h' || id AS hubspot_id FROM b_customers",
     "b_inventory": f"""
         SELECT DISTINCT 'b' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey % 4 AS STRING) AS asset_tag, CAST(p_partkey AS STRING) AS item_sku,
-               p_name AS item_name, p_type AS item_category, p_brand AS merchant, 'card' AS payment_method,
+               p_name AS item_name, p_type AS item_category, p_brand AS merchant, CASE WHEN p_size % 2 = 0 THEN 'card' ELSE 'check' END AS payment_method,
                CASE WHEN p_size = 7 THEN '' ELSE CAST(CAST('1994-01-01' AS DATE) + p_size * 20 AS STRING) END AS purchase_date,
-               '$' || {_money_text('p_retailprice')} AS cost_pretax_price, '' AS cost_sales_tax, '5.00' AS cost_shipping, '1,' || {_money_text('p_retailprice')} AS cost_total,
-               'In use' AS inventory_status, CASE WHEN p_size <= 25 THEN 'East Bay' ELSE 'NY Store' END AS inventory_location_inventory_location_name,
-               CASE WHEN p_size <= 40 THEN '1994-06-01' ELSE '' END AS date_asset_received, '' AS estimated_arrival_date, CAST(NULL AS STRING) AS receipt_document, p_size
+               '$' || {_money_text('p_retailprice')} AS cost_pretax_price, CASE WHEN p_size % 4 = 0 THEN '' ELSE CAST(p_size AS STRING) || '.75' END AS cost_sales_tax, '$' || CAST(p_size % 6 AS STRING) || '.50' AS cost_shipping, '1,' || {_money_text('p_retailprice')} AS cost_total,
+               CASE WHEN p_size % 3 = 0 THEN 'In use' ELSE 'In stock' END AS inventory_status, CASE WHEN p_size <= 25 THEN 'East Bay' ELSE 'NY Store' END AS inventory_location_inventory_location_name,
+               CASE WHEN p_size <= 40 THEN '1994-06-01' ELSE '' END AS date_asset_received, CASE WHEN p_size % 5 = 0 THEN '' ELSE CAST(CAST('1994-02-01' AS DATE) + p_size AS STRING) END AS estimated_arrival_date,
+               CASE WHEN p_size <= 20 THEN 'receipt ' || p_brand END AS receipt_document, p_size
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "b_associate_asset_tag": "SELECT CAST(p_size AS BIGINT) AS record_id, asset_tag, CASE WHEN p_size > 20 THEN '1.5' ELSE '' END AS asset_build_time_actual FROM b_inventory",
     "b_sell_asset": """
         SELECT CAST(1 AS BIGINT) AS record_id, asset_tag AS asset_tag_association_asset_tag, '2000-01-01' AS asset_sale_date, '10.00' AS sale_amount FROM b_inventory WHERE p_size > 45
         UNION ALL SELECT CAST(2 AS BIGINT), asset_tag, '2000-02-01', '' FROM b_inventory WHERE p_size > 48""",
-    "b_scrap_asset": "SELECT CAST(3 AS BIGINT) AS record_id, asset_tag AS asset_tag_association_asset_tag, '2000-03-01' AS scrap_date FROM b_inventory WHERE p_size = 1",
+    "b_scrap_asset": "SELECT CAST(3 AS BIGINT) AS record_id, asset_tag AS asset_tag_association_asset_tag, CASE WHEN p_size = 1 THEN '2000-03-01' ELSE '2000-04-15' END AS scrap_date FROM b_inventory WHERE p_size <= 2",
     "b_sheets": """
         SELECT 'b' || CAST(l_partkey AS STRING) AS bin, 'h' || CAST(o_custkey AS STRING) AS hubspot_customer_id, CAST(l_orderkey AS STRING) AS shopify_order_id,
                CAST(l_partkey AS STRING) AS item_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS delivery_date,

@@ -270,10 +270,10 @@ query("fulfilment_lines", "id:s price:m quantity:i title:s total_discount:m vari
     SELECT uid AS id, price, 1 AS quantity, title, total_discount, variant_id, name, product_id, order_id, raw_order_line_id, quantity > 1 AS multiple_qty_flag, extra_product_id IS NOT NULL AS unbundled_flag FROM f
     UNION ALL SELECT '9.' || uid, 0, 1, title, total_discount, variant_id, extra_name, extra_product_id, order_id, raw_order_line_id, quantity > 1, TRUE FROM f WHERE extra_product_id IS NOT NULL""")(
     lambda w: commerce.fulfilment_lines(w.source("line_items"), w.source("orders"), w.source("bundles")))
-_ADDRESS = """a AS (SELECT id AS order_id, """ + ", ".join(f"json_extract_string(shipping_address, '$.{f}') AS {f}" for f in ("name", "address1", "address2", "city", "province", "latitude", "longitude")) + """ FROM b_orders),
+_ADDRESS = """a AS (SELECT id AS order_id, """ + ", ".join(f"json_extract_string(shipping_address, '$.{f}') AS {f}" for f in commerce.ADDRESS_FIELDS) + """ FROM b_orders),
     k AS (SELECT *, CASE WHEN nullif(address1, '') IS NOT NULL THEN md5(lower(trim(latitude)) || lower(trim(longitude)) || lower(regexp_replace(address1, '[^0-9a-zA-Z]', '', 'g'))
                  || lower(regexp_replace(address2, '[^0-9a-zA-Z]', '', 'g'))) END AS address_id FROM a)"""
-query("address_key", "order_id:s address_id:s name:s address1:s address2:s city:s province:s latitude:s longitude:s", f"WITH {_ADDRESS} SELECT * FROM k")(lambda w: w.addresses)
+query("address_key", "order_id:s address_id:s " + cols(" ".join(commerce.ADDRESS_FIELDS), "s"), f"WITH {_ADDRESS} SELECT * FROM k")(lambda w: w.addresses)
 query("latest_address", "id:s name:s address_line_1:s address_line_2:s city:s state:s lat:s long:s", f"""
     WITH {_ADDRESS} SELECT address_id AS id, name, address1 AS address_line_1, address2 AS address_line_2, city, province AS state, latitude AS lat, longitude AS long
     FROM (SELECT *, row_number() OVER (PARTITION BY address_id ORDER BY order_id DESC) AS rn FROM k WHERE address_id IS NOT NULL) WHERE rn = 1""")(lambda w: commerce.shipping_addresses(w.addresses))
@@ -304,7 +304,7 @@ query("rental_sheets", "member_id:s bin:s sku:s order_id:s delivery_date:d pick_
     FROM b_sheets r LEFT JOIN o_idmap i ON i.src = 'hubspot' AND i.src_id = r.hubspot_customer_id LEFT JOIN b_orders o ON CAST(o.order_number AS VARCHAR) = r.shopify_order_id
     LEFT JOIN o_prices s ON s.sku = r.item_id LEFT JOIN paid ON paid.member_id = i.member_id AND paid.sku = s.sku AND paid.rn = 1""")(lambda w: rentals.fact_rental_sheets(
     {"SF": w.source("sheets").filter("l_linestatus = 'F'"), "NYC": w.source("sheets").filter("l_linestatus = 'O'")}, w.idmap, w.orders, w.lines, w.source("orders"), w.prices))
-query("item_dim", "bin:s sku:s category:s purchase_date:d actual_purchase_price:m actual_total_cost:m assembly_time:f received:b asset_sold:b asset_sale_date:d asset_sale_amount:m asset_scrapped:b ops_location:s", "o_items")(lambda w: w.items)
+query("item_dim", cols("item_name store purchase_method bin_status location tracking_info", "s") + " " + cols("estimated_actual_arrival scrap_date", "d") + " " + cols("retail_price actual_tax_cost actual_shipping_cost", "m") + " bin:s sku:s category:s purchase_date:d actual_purchase_price:m actual_total_cost:m assembly_time:f received:b asset_sold:b asset_sale_date:d asset_sale_amount:m asset_scrapped:b ops_location:s", "o_items")(lambda w: w.items)
 query("daily_revenue", "date:d kind:s n:i revenue:m", "SELECT date, CASE WHEN sku IS NULL THEN 'plan' ELSE 'rental' END AS kind, count(*) AS n, sum(revenue) AS revenue FROM o_revenue GROUP BY 1, 2")(
     lambda w: w.revenue.groupBy("date", F.when(F.col("sku").isNull(), "plan").otherwise("rental").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum("revenue").alias("revenue")))
 query("daily_revenue_totals", "date:d revenue:m", "SELECT date, coalesce(sum(revenue), 0) AS revenue FROM o_days LEFT JOIN o_revenue USING (date) GROUP BY 1")(
@@ -346,7 +346,9 @@ query("full_outer_stats", "member_id:s first_membership_purchase_ts:t last_membe
       "avg_purchased_registry_product:f is_influencer:i ct_active_products:i ct_items_with_scheduled_delivery:i ct_items_with_scheduled_pickup:i ct_skus_delivered:i is_only_flagship_rented:i first_delivery_date:d is_only_flagship_paid:i", "o_inputs")(
     lambda w: w.lifecycle_inputs)
 _MEMBER = ("member_id:s hubspot_customer_id:s email:s last_initial:s membership_start_dt:d membership_end_dt:d membership_type:s youngest_child_dob:d number_of_children:i is_shared_offer:b shared_offer_ts:t first_item_order_dt:d "
-           "first_delivery_dt:d last_pick_up_dt:d ops_location:s first_name:s last_name:s monthly_membership_end_date:d member_status:s member_sub_status:s member_status_detail:s")
+           "first_delivery_dt:d last_pick_up_dt:d ops_location:s first_name:s last_name:s monthly_membership_end_date:d member_status:s member_sub_status:s member_status_detail:s " + cols("first_membership_purchase_ts last_membership_payment_ts last_product_payment_ts contact_created_ts", "t") + " "
+           + cols("ct_active_product_payments ct_purchased_skus ct_active_products ct_items_with_scheduled_delivery ct_items_with_scheduled_pickup ct_skus_delivered is_only_flagship_rented status_case is_ever_purchased_flagship is_only_flagship_paid", "i")
+           + " " + cols("first_delivery_date child_1_dob child_2_dob child_3_dob", "d") + " " + cols("hs_analytics_source hs_analytics_source_data expecting_at_sign_up city address zip state reason_for_canceling", "s"))
 query("member_dim", _MEMBER, "o_members")(lambda w: w.members)
 query("membership_type", "membership_type:s members:i", "SELECT membership_type, count(*) AS members FROM o_members GROUP BY 1")(lambda w: w.members.groupBy("membership_type").agg(F.count(F.lit(1)).alias("members")))
 query("status_rules", "member_id:s status_case:i member_status:s member_sub_status:s member_status_detail:s", "o_members")(lambda w: w.members)
@@ -362,7 +364,9 @@ _pick = lambda c, n: f"CASE WHEN {_never.format('o1.order_ts')} < {_never.format
 query("member_agg", "member_id:s membership_start_dt:d membership_type:s ops_location:s is_flagship_customer:b initial_basket_ct:i initial_basket_products:s initial_basket_product_dollars_gross:m initial_membership_total:m "
       "initial_basket_discounts:m second_basket_ct:i second_basket_products:s second_basket_product_dollars_gross:m first_order_flagship_only:i all_time_rented_products:i active_products:i current_mrr:m visit_count:i "
       "has_flagship_in_home:i has_other_in_home:i flagship_days:i member_discount_codes:s total_revenue:m days_to_second_order:i first_touch_channel:s first_touch_ts:t first_product_viewed:s first_url_viewed:s "
-      "num_sessions_prior_to_conversion:i is_direct_to_flagship:i saw_flagship:i", f"""
+      "num_sessions_prior_to_conversion:i is_direct_to_flagship:i saw_flagship:i num_unique_products_viewed_prior_to_conversion:i channel_source_id:s membership_end_dt:d youngest_child_dob:d number_of_children:i expecting_at_sign_up:s "
+      + cols("second_membership_total second_basket_discounts", "m") + " " + cols(" ".join(f"{x}_basket_total_dollars_{y}" for x in ("initial", "second") for y in ("gross", "net")), "m"), "SELECT *, " + ", ".join(
+          f"{x}_basket_product_dollars_gross + {x}_membership_total AS {x}_basket_total_dollars_gross, {x}_basket_product_dollars_gross + {x}_membership_total - {x}_basket_discounts AS {x}_basket_total_dollars_net" for x in ("initial", "second")) + f""" FROM (
     WITH home AS (SELECT *, delivery_date <= {AS_OF} AND coalesce(pick_up_date, DATE '9999-12-31') >= {AS_OF} AS at_home FROM o_rentals),
     rent AS (SELECT member_id, count(*) AS all_time_rented_products, sum(CASE WHEN at_home THEN 1 ELSE 0 END) AS active_products, sum(CASE WHEN at_home THEN avg_price ELSE 0 END) AS current_mrr,
         count(DISTINCT delivery_date) AS visit_count, max(CASE WHEN sku = '42' AND at_home THEN 1 ELSE 0 END) AS has_flagship_in_home, max(CASE WHEN sku <> '42' AND at_home THEN 1 ELSE 0 END) AS has_other_in_home,
@@ -375,9 +379,12 @@ query("member_agg", "member_id:s membership_start_dt:d membership_type:s ops_loc
              FROM o_web w GROUP BY 1, 2),
     seen AS (SELECT member_id, max(CASE WHEN u ILIKE '%shop.example.com/products/%' THEN 1 ELSE 0 END) AS is_direct_to_flagship, first(saw ORDER BY st, session_id) AS saw_flagship FROM page GROUP BY 1),
     touch AS (SELECT w.member_id, first(user_first_session_channel_id ORDER BY timestamp, id) AS channel, min(timestamp) AS first_touch_ts, first(product_id ORDER BY timestamp, id) FILTER (WHERE product_id IS NOT NULL) AS first_product_viewed,
-        first(url ORDER BY timestamp, id) AS first_url_viewed, count(DISTINCT CASE WHEN timestamp < m.membership_start_dt THEN session_id END) AS num_sessions_prior_to_conversion
+        first(url ORDER BY timestamp, id) AS first_url_viewed, count(DISTINCT CASE WHEN timestamp < m.membership_start_dt THEN session_id END) AS num_sessions_prior_to_conversion,
+        count(DISTINCT CASE WHEN timestamp < m.membership_start_dt AND src_tbl = 'product_viewed' THEN product_id END) AS num_unique_products_viewed_prior_to_conversion
         FROM o_web w JOIN o_members m ON m.member_id = w.member_id GROUP BY 1)
-    SELECT m.member_id, m.membership_start_dt, m.membership_type, m.ops_location,
+    SELECT m.member_id, m.membership_start_dt, m.membership_type, m.ops_location, m.membership_end_dt, m.youngest_child_dob, m.number_of_children, m.expecting_at_sign_up, touch.channel AS channel_source_id,
+        touch.num_unique_products_viewed_prior_to_conversion, CASE WHEN o1.member_id IS NOT NULL OR r1.member_id IS NOT NULL THEN coalesce({_pick('membership_dollars', 2)}, 0) END AS second_membership_total,
+        CASE WHEN o1.member_id IS NOT NULL OR r1.member_id IS NOT NULL THEN coalesce({_pick('total_discounts', 2)}, 0) END AS second_basket_discounts,
         CASE WHEN o1.member_id IS NOT NULL OR r1.member_id IS NOT NULL THEN coalesce({_pick('has_flagship', 1)} = 1, FALSE) END AS is_flagship_customer, {_pick('basket_ct', 1)} AS initial_basket_ct,
         {_pick('basket_products', 1)} AS initial_basket_products, CASE WHEN o1.member_id IS NOT NULL OR r1.member_id IS NOT NULL THEN coalesce({_pick('basket_dollars', 1)}, 0) END AS initial_basket_product_dollars_gross,
         CASE WHEN o1.member_id IS NOT NULL OR r1.member_id IS NOT NULL THEN coalesce({_pick('membership_dollars', 1)}, 0) END AS initial_membership_total,
@@ -390,7 +397,7 @@ query("member_agg", "member_id:s membership_start_dt:d membership_type:s ops_loc
     LEFT JOIN o_rental_baskets r1 ON r1.member_id = m.member_id AND r1.dense_rank = 1 LEFT JOIN o_rental_baskets r2 ON r2.member_id = m.member_id AND r2.dense_rank = 2
     LEFT JOIN rent ON rent.member_id = m.member_id LEFT JOIN codes ON codes.member_id = m.member_id LEFT JOIN cltv ON cltv.member_id = m.member_id LEFT JOIN gap ON gap.member_id = m.member_id
     LEFT JOIN touch ON touch.member_id = m.member_id LEFT JOIN seen ON seen.member_id = m.member_id LEFT JOIN b_channels ch ON ch.channel_source_id = touch.channel
-    WHERE m.membership_start_dt <= {AS_OF}""")(lambda w: w.member_agg)
+    WHERE m.membership_start_dt <= {AS_OF})""")(lambda w: w.member_agg)
 query("churn_listing", "member_id:s first_name:s last_initial:s first_touch_channel:s membership_start_dt:d membership_end_dt:d first_delivery_dt:d last_pick_up_dt:d ordered_mrr:m ordered_product_count:i products:s", f"""
     WITH b AS (SELECT o.member_id, l.sku, l.price, p.product_name FROM o_lines l JOIN o_products p USING (sku) JOIN o_orders o USING (order_id)
                WHERE product_name NOT ILIKE '%membership%' AND product_name NOT ILIKE '%plan%' AND order_type <> 'subscription_contract'),
@@ -440,7 +447,16 @@ _KPI_SQL = "WITH " + ", ".join(f"k_{s} AS (SELECT {d} AS date, {_sums(s)} FROM o
     ", new_annual_members_cum * (149 / 12) + new_monthly_members_cum * 18.0 AS membership_mrr FROM k_cum)"
 _KPI = "date:d " + " ".join(f"{s}{x}_members:i" for s in _REACHED for x in _TYPE_TEST) + " " + " ".join(
     f"current{x}_members:i current_new{x}_members:i current_scheduled{x}_members:i current_active{x}_members:i current_inactive{x}_members:i active{x}_items:i active{x}_rental_mrr:m active{x}_rental_mrr_net:m" for x in _TYPE_TEST) + " membership_mrr:f total_mrr:f total_mrr_net:f"
-query("kpis_daily", _KPI, f"{_KPI_SQL} SELECT *, active_rental_mrr + membership_mrr AS total_mrr, active_rental_mrr_net + membership_mrr AS total_mrr_net FROM k_all")(lambda w: w.kpis)
+# Steps of a day by status and label, movements, offsets; each with its running total.
+_DAILY = {f"{s}{x}_members": "i" for s in (*_REACHED, *(f"lapsed_{s}" for s in SETTINGS.lapsed_labels)) for x in _TYPE_TEST} | {
+    f"{n}{x}_{k}": kind for n in ("delivered", "picked_up") for x in _TYPE_TEST for k, kind in (("items", "i"), ("mrr", "m"))} | {f"discount_mrr_offset{x}": "m" for x in _TYPE_TEST}
+_PLAN = {"annual": "(149 / 12)", "monthly": "18.0"}
+_RATES = {f"{s}_{p}_mrr": f"{s}_{p}_members * {r}" for s in _REACHED for p, r in _PLAN.items()} | {f"new_{p}_mrr_cum": f"new_{p}_members_cum * {r}" for p, r in _PLAN.items()} | {
+    f"{s}_membership_mrr": " + ".join(f"{s}_{p}_members * {r}" for p, r in _PLAN.items()) for s in _REACHED} | {
+    f"total{x}_mrr{net}": f"active{x}_rental_mrr{net} + {extra}" for x, extra in (("", "membership_mrr"), *((f"_{p}", f"new_{p}_members_cum * {r}") for p, r in _PLAN.items()), ("_per_item", "0")) for net in ("", "_net")} | {
+    f"current{x}_member_{n}d_growth_pct": f"current{x}_members / nullif(lag(current{x}_members, {n}) OVER (ORDER BY date), 0) - 1" for x in _TYPE_TEST for n in (7, 30)}
+_KPI = " ".join(dict.fromkeys([*_KPI.split(), *(f"{c}:{k}" for c, k in _DAILY.items()), *(f"{c}_cum:{k}" for c, k in _DAILY.items()), *(f"{c}:f" for c in _RATES)]))
+query("kpis_daily", _KPI, f"{_KPI_SQL} SELECT *, " + ", ".join(f"{e} AS {c}" for c, e in _RATES.items()) + " FROM k_all")(lambda w: w.kpis)
 query("growth_7d_30d", "date:d " + " ".join(f"current{x}_member_{n}d_growth_pct:f" for x in _TYPE_TEST for n in (7, 30)), f"{_KPI_SQL} SELECT date, " + ", ".join(
     f"current{x}_members / nullif(lag(current{x}_members, {n}) OVER (ORDER BY date), 0) - 1 AS current{x}_member_{n}d_growth_pct" for x in _TYPE_TEST for n in (7, 30)) + " FROM k_all")(lambda w: w.kpis)
 query("kpi_unpivot", "date:d member_type:s member_status:s member_count:i", f"{_KPI_SQL} " + " UNION ALL ".join(
@@ -633,12 +649,15 @@ query("conform", "id:i price:m day:d code:s", f"WITH {_TEXT_SQL} SELECT CAST(id
     lambda w: conform.conform(_text_orders(w), _SPEC)[0])
 query("conform_rejected", "id:s price:s day:s lost:s", f"WITH {_TEXT_SQL} SELECT id, price, day, CASE WHEN price = 'n/a' AND day = 'soon' THEN 'price,day' WHEN price = 'n/a' THEN 'price' ELSE 'day' END AS lost FROM x WHERE price = 'n/a' OR day = 'soon'")(
     lambda w: conform.conform(_text_orders(w), _SPEC)[1].withColumn("lost", F.array_join("_lost", ",")))
-query("type_profile", "column_name:s set_values:i as_int:i as_double:i as_date:i proposed_type:s", f"""
-    WITH {_TEXT_SQL}, v AS (UNPIVOT x ON id, price, day, code INTO NAME column_name VALUE v),
-    c AS (SELECT column_name, count(nullif(v, '')) AS set_values, count(CASE WHEN regexp_matches(v, '^[0-9]+$') THEN 1 END) AS as_int, count(CASE WHEN regexp_matches(v, '^[0-9]+([.][0-9]+)?$') THEN 1 END) AS as_double,
+_PROFILE = _TEXT + ", CAST(o_orderkey * 100000000 AS STRING) AS big_id, CASE o_orderstatus WHEN 'O' THEN 'true' ELSE 'false' END AS is_open, CAST(CAST(o_orderdate AS DATE) AS STRING) || ' 10:30:00' AS placed_at"
+query("type_profile", "column_name:s set_values:i as_int:i as_bigint:i as_double:i as_date:i as_timestamp:i as_boolean:i proposed_type:s", f"""
+    WITH x AS (SELECT {_PROFILE} FROM orders), v AS (UNPIVOT x ON id, price, day, code, big_id, is_open, placed_at INTO NAME column_name VALUE v),
+    c AS (SELECT column_name, count(nullif(v, '')) AS set_values, count(CASE WHEN regexp_matches(v, '^[0-9]+$') THEN TRY_CAST(v AS INT) END) AS as_int, count(CASE WHEN regexp_matches(v, '^[0-9]+$') THEN 1 END) AS as_bigint,
+                 count(CASE WHEN regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}( [0-9:]+)?$') THEN 1 END) AS as_timestamp, count(CASE WHEN v IN ('true', 'false', '0', '1') THEN 1 END) AS as_boolean, count(CASE WHEN regexp_matches(v, '^[0-9]+([.][0-9]+)?$') THEN 1 END) AS as_double,
                  count(CASE WHEN regexp_matches(v, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN 1 END) AS as_date FROM v GROUP BY 1)
-    SELECT *, CASE WHEN as_int = set_values THEN 'int' WHEN as_double = set_values THEN 'double' WHEN as_date = set_values THEN 'date' ELSE 'text' END AS proposed_type FROM c""")(
-    lambda w: conform.profile_types(_text_orders(w)))
+    SELECT *, CASE WHEN as_int = set_values THEN 'int' WHEN as_bigint = set_values THEN 'bigint' WHEN as_double = set_values THEN 'double' WHEN as_date = set_values THEN 'date'
+                   WHEN as_timestamp = set_values THEN 'timestamp' WHEN as_boolean = set_values THEN 'boolean' ELSE 'text' END AS proposed_type FROM c""")(
+    lambda w: conform.profile_types(w.spark.sql(f"SELECT {_PROFILE} FROM {{t}}", t=w.table("orders"))))
 query("drift", "key:s row_count:i sample:s", "SELECT json_key AS key, count(*) AS row_count, min(v) AS sample FROM (SELECT unnest(json_keys(shipping_address)) AS json_key, json_extract_string(shipping_address, json_key) AS v FROM b_orders) WHERE json_key NOT IN ('name', 'city') GROUP BY 1")(
     lambda w: conform.schema_drift(w.source("orders"), "shipping_address", ["name", "city"]))
 query("variant_fields", "id:s city:s province:s", "SELECT id, json_extract_string(shipping_address, '$.city') AS city, json_extract_string(shipping_address, '$.province') AS province FROM b_orders")(

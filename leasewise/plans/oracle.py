@@ -176,7 +176,10 @@ ORACLE: dict[str, str] = {
         WHERE l.qb_ol_status NOT IN ('Closed-Refunded', 'Closed-Non-inventory', 'Closed-Duplicate', 'Closed-Registry', 'Closed-Test', 'Closed-Trial', 'Closed')
           AND p.product_name NOT ILIKE '% plan%' AND p.product_name NOT ILIKE '%membership%'""",
     "o_items": """
-        SELECT i.asset_tag AS bin, i.item_sku AS sku, i.item_category AS category, CAST(nullif(i.purchase_date, '') AS DATE) AS purchase_date,
+        SELECT i.asset_tag AS bin, i.item_sku AS sku, i.item_category AS category, i.item_name, i.merchant AS store, i.payment_method AS purchase_method, i.inventory_status AS bin_status,
+               i.inventory_location_inventory_location_name AS location, i.receipt_document AS tracking_info, CAST(nullif(i.estimated_arrival_date, '') AS DATE) AS estimated_actual_arrival,
+               CAST(replace(i.cost_pretax_price, '$', '') AS DECIMAL(18,2)) AS retail_price, CAST(nullif(i.cost_sales_tax, '') AS DECIMAL(18,2)) AS actual_tax_cost,
+               CAST(replace(i.cost_shipping, '$', '') AS DECIMAL(18,2)) AS actual_shipping_cost, CAST(x.scrap_date AS DATE) AS scrap_date, CAST(nullif(i.purchase_date, '') AS DATE) AS purchase_date,
                CAST(replace(replace(i.cost_pretax_price, ',', ''), '$', '') AS DECIMAL(18,2)) AS actual_purchase_price,
                CAST(replace(replace(i.cost_total, ',', ''), '$', '') AS DECIMAL(18,2)) AS actual_total_cost,
                CAST(nullif(t.asset_build_time_actual, '') AS DOUBLE) AS assembly_time, nullif(i.date_asset_received, '') IS NOT NULL AS received,
@@ -264,7 +267,9 @@ ORACLE: dict[str, str] = {
         crm AS (SELECT member_id, max(src_id) AS hubspot_customer_id FROM o_idmap WHERE src = 'hubspot' GROUP BY 1),
         base AS (SELECT c.member_id, crm.hubspot_customer_id, c.email, c.firstname AS first_name, c.lastname AS last_name, substring(c.lastname, 1, 1) AS last_initial, c.state,
                 c.membership_type AS crm_type, CASE WHEN nullif(c.hs_lifecyclestage_customer_date, '') IS NOT NULL OR nullif(c.membership_type, '') IS NOT NULL THEN TRUE ELSE FALSE END AS has_crm,
-                greatest(child_1_dob, child_2_dob) AS youngest_child_dob, CASE WHEN child_2_dob IS NULL THEN 1 ELSE 2 END AS number_of_children, c.monthly_membership_end_date,
+                greatest(child_1_dob, child_2_dob, child_3_dob) AS youngest_child_dob, (child_1_dob IS NOT NULL)::INT + (child_2_dob IS NOT NULL)::INT + (child_3_dob IS NOT NULL)::INT AS number_of_children,
+                c.created_at AS contact_created_ts, c.hs_analytics_source, c.hs_analytics_source_data_1 AS hs_analytics_source_data, c.child_1_dob, c.child_2_dob, c.child_3_dob, c.expecting_at_sign_up,
+                c.city, c.address, c.zip, c.reason_for_canceling, c.monthly_membership_end_date,
                 least(coalesce(v.membership_first_purchase_dt, DATE '9999-12-31'), coalesce(CAST(a.min_month_payment_ts AS DATE), DATE '9999-12-31'), coalesce(CAST(a.min_annual_payment_ts AS DATE), DATE '9999-12-31'),
                       coalesce(CAST(a.min_per_item_payment_ts AS DATE), DATE '9999-12-31'), coalesce(CASE WHEN s.member_id IS NOT NULL THEN o.item_dt END, DATE '9999-12-31'),
                       coalesce(CASE WHEN m.ct_active_product_payments > 0 AND m.avg_purchased_gift_card < 1 AND m.avg_purchased_registry_product < 1 THEN o.item_dt END, DATE '9999-12-31')) AS start_dt,
@@ -290,6 +295,8 @@ ORACLE: dict[str, str] = {
                CASE WHEN state ILIKE '%n_1%' THEN 'SF' WHEN state ILIKE '%n_2%' OR state ILIKE '%n_3%' THEN 'NYC' ELSE 'Other' END AS ops_location,
                first_membership_purchase_ts, last_membership_payment_ts, last_product_payment_ts, ct_active_product_payments, ct_purchased_skus, ct_active_products,
                ct_items_with_scheduled_delivery, ct_items_with_scheduled_pickup, ct_skus_delivered, is_only_flagship_rented, first_delivery_date, status_case, member_status,
+               contact_created_ts, hs_analytics_source, hs_analytics_source_data, child_1_dob, child_2_dob, child_3_dob, expecting_at_sign_up, city, address, zip, state, reason_for_canceling,
+               is_ever_purchased_flagship, is_only_flagship_paid,
                CASE status_case WHEN 1 THEN 'Unscheduled' WHEN 2 THEN 'Scheduled' WHEN 3 THEN 'Engaged' WHEN 4 THEN 'Engaged' WHEN 5 THEN '1 Item only' WHEN 6 THEN '1 Item only'
                     WHEN 7 THEN 'Re-engaging' WHEN 8 THEN 'At Risk' WHEN 9 THEN 'Churn Pending' WHEN 10 THEN 'Churn Pending' WHEN 11 THEN 'Churned' WHEN 12 THEN 'At Risk' END AS member_sub_status,
                CASE status_case WHEN 1 THEN 'Pre Active - Unscheduled' WHEN 2 THEN 'Pre Active - Scheduled' WHEN 3 THEN 'Multiple Items' WHEN 4 THEN 'Growing basket' WHEN 5 THEN 'Growing basket'

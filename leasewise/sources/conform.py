@@ -72,11 +72,12 @@ def profile_types(df: DataFrame, candidates: Sequence[str] = CANDIDATES) -> Data
     """Per text column: set values, how many fit each type, the proposed type.
 
     All columns are counted in one pass.  A bare number is no date, though a
-    cast would take '2001' as one.
+    cast would take '2001' as one, nor is a day with a time, which a cast to
+    date would cut off.
     """
     value = F.col("v")
-    dated = F.when(value.contains("-"), value)
-    fits = lambda t: (dated if t in ("date", "timestamp") else value).try_cast(t)
+    text = {"date": F.when(value.rlike(r"^\s*\d+-\d+-\d+\s*$"), value), "timestamp": F.when(value.contains("-"), value)}
+    fits = lambda t: text.get(t, value).try_cast(t)
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), blank_to_null(F.col(c).cast("string")).alias("v")) for c in df.columns])
     counts = df.select(F.inline(pairs)).groupBy("column_name").agg(
         F.count("v").alias("set_values"), *[F.count(fits(t)).alias(f"as_{t}") for t in candidates])
