@@ -1,8 +1,8 @@
 """Order-dependent building blocks that hold up when one key is very large.
 
 A window over a whole key puts that key in one task.  These helpers avoid it:
-"first rows" are cut before the shuffle, "is it the first row" is an
-aggregate joined back, and numbering or carrying a value along a key goes by
+"first rows" are cut before the shuffle, "is it the first row" is asked
+of salted parts of a key and then of their first rows, and numbering or carrying a value along a key goes by
 `split_hot`: keys with few rows take the plain window, the rows of a hot key are
 cut into chunks of bounded size, each chunk is folded to one row, a window
 along the key runs on those, and its result is joined to the chunks.
@@ -56,19 +56,20 @@ def first_rows(df: DataFrame, keys: str | Sequence[str], order: Sequence[Column
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
-def flag_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """True on the first row of its key; `order` must end in a unique id."""
-    keys = _keys(keys)
-    rank = F.struct(*[F.col(c) for c in order])
-    firsts = df.groupBy(*keys).agg(F.min(rank).alias("_first"))
-    firsts = firsts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_first")
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (
-        df.join(firsts, same, "left").withColumn(name, rank == F.col("_first"))
-        .drop("_first", *[f"_k_{k}" for k in keys])
-    )
+def flag_first(df: DataFrame, keys: str | Sequence[str], order: Sequence[str], name: str, salts: int = 64) -> DataFrame:
+    """True on the first row of its key in `order`, which must end in a unique id.
+
+    The input is read once and joined to nothing.  A first window runs along
+    each of `salts` parts of a key; the first rows of these parts, `salts` of a
+    key at most, then meet in one part of their own, while all others stay in
+    theirs, so a hot key is never in one task.
+    """
+    def leads(part: str) -> Column:
+        return F.row_number().over(Window.partitionBy(*_keys(keys), part).orderBy(*order)) == 1
+
+    out = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(salts))).withColumn("_leads", leads("_part"))
+    out = out.withColumn("_part", F.when(F.col("_leads"), F.lit(-1)).otherwise(F.col("_part")))
+    return out.withColumn(name, F.col("_leads") & leads("_part")).drop("_part", "_leads")
 
 
 HOT_ROWS = 1_000_000  # a key with more rows is cut into chunks

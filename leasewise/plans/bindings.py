@@ -160,9 +160,9 @@ BINDINGS: dict[str, str] = {
                     WHEN p_type = 'PROMO' AND p_size <= 30 THEN 'Per Item Plan'
                     WHEN p_type = 'PROMO' AND p_size <= 40 THEN 'Gift Card ' || p_name
                     WHEN p_type = 'LARGE' AND p_size <= 10 THEN 'Flagship ' || p_name ELSE p_name END AS title,
-               'item-' || CAST(p_partkey AS STRING) AS handle, 'active' AS status, p_brand AS tags,
-               CAST('1994-01-01 00:00:00' AS TIMESTAMP) AS created_at, CAST('1994-01-02 00:00:00' AS TIMESTAMP) AS updated_at,
-               CAST('1994-01-03 00:00:00' AS TIMESTAMP) AS published_at FROM part""",
+               'item-' || CAST(p_partkey AS STRING) AS handle, CASE WHEN p_size % 7 = 0 THEN 'archived' ELSE 'active' END AS status, p_brand AS tags,
+               CAST('1994-01-01 00:00:00' AS TIMESTAMP) + INTERVAL 1 HOUR * p_size AS created_at, CAST('1994-01-04 00:00:00' AS TIMESTAMP) + INTERVAL 1 DAY * p_size AS updated_at,
+               CAST('1994-01-03 00:00:00' AS TIMESTAMP) + INTERVAL 1 MINUTE * p_size AS published_at FROM part""",
     "b_variants": f"""
         SELECT 'v' || CAST(p_partkey AS STRING) AS id, CAST(p_partkey AS STRING) AS product_id,
                CASE WHEN p_size % 10 = 0 THEN '3 Month Rental' ELSE p_brand END AS title, {_money('p_retailprice')} AS price FROM part
@@ -273,8 +273,9 @@ BINDINGS: dict[str, str] = {
                CAST(NULL AS STRING) AS restocking_clean_repair_time, l_linestatus
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "b_daily_targets": """
-        SELECT CAST(CAST(o_orderdate AS DATE) AS STRING) AS date, '1,' || lpad(CAST(count(*) AS STRING), 3, '0') AS gross_new_bay, '$-2.50' AS churn_bay,
-               '9,000.5' AS total_members_bay, CAST(count(*) AS STRING) AS gross_new_nyc, '' AS churn_nyc, ' ' AS total_members_nyc
+        SELECT CAST(CAST(o_orderdate AS DATE) AS STRING) AS date, '1,' || lpad(CAST(count(*) AS STRING), 3, '0') AS gross_new_bay, CASE WHEN count(*) % 3 = 0 THEN '$-2.50' ELSE '-' || CAST(count(*) AS STRING) END AS churn_bay,
+               '9,' || lpad(CAST(count(*) AS STRING), 3, '0') || '.5' AS total_members_bay, CAST(count(*) AS STRING) AS gross_new_nyc, CASE WHEN count(*) % 2 = 0 THEN '' ELSE '$-' || CAST(count(*) AS STRING) END AS churn_nyc,
+               CASE WHEN count(*) % 3 = 0 THEN ' ' ELSE CAST(count(*) * 10 AS STRING) END AS total_members_nyc
         FROM orders GROUP BY CAST(o_orderdate AS DATE)""",
     # --- ads ---
     "b_ad_campaigns": """

@@ -332,6 +332,7 @@ query("sku_agg", "sku:s product_name:s inventory_count:i active_count:i rental_c
 query("duration_median", "ops_location:s min_duration:i max_duration:i avg_duration:f median_duration:f observations:i", """
     SELECT ops_location, min(n) AS min_duration, max(n) AS max_duration, avg(n) AS avg_duration, median(n) AS median_duration, count(*) AS observations
     FROM (SELECT ops_location, pick_up_date - delivery_date AS n FROM o_rentals WHERE pick_up_date IS NOT NULL AND delivery_date IS NOT NULL) GROUP BY 1""")(lambda w: rentals.duration_stats(w.rentals, by=["ops_location"]))
+query("duration_by_sku", "sku:s min_duration:i max_duration:i avg_duration:f median_duration:f observations:i", CATALOG["duration_median"].sql.replace("ops_location", "sku"))(lambda w: rentals.duration_stats(w.rentals, by=["sku"]))
 query("open_rentals", "delivery_date:d n:i days_open:i", f"SELECT delivery_date, count(*) AS n, date_diff('day', delivery_date, {AS_OF}) AS days_open FROM o_rentals WHERE pick_up_date IS NULL GROUP BY 1")(
     lambda w: rentals.open_rentals(w.rentals, SETTINGS.as_of))
 query("scheduled_items", "scheduled_items:i customers_with_scheduled_items:i scheduled_mrr:m", f"""

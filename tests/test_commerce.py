@@ -58,7 +58,9 @@ def test_ordered_helpers_on_a_hot_key(spark):
     want = {i: n for g in groups.values() for n, (_, i) in enumerate(sorted(g), 1)}
     for bounds in ((10**6, 10**6), (100, 1), (100, 33), (0, 500)):
         assert dict(rows(ordered.numbered(df, "k", "ts", ["id"], "rn", *bounds), "id", "rn")) == want
-    assert {i for i, f in rows(ordered.flag_first(df, "k", ["ts", "id"], "f"), "id", "f") if f} == {i for i, n in want.items() if n == 1}
+    for salts in (1, 3, 64):
+        flagged = ordered.flag_first(df, "k", ["ts", "id"], "f", salts)
+        assert {i for i, f in rows(flagged, "id", "f") if f} == {i for i, n in want.items() if n == 1} and flagged.count() == len(data)
     assert {r[0] for r in rows(ordered.first_rows(df, "k", ["ts", "id"], 2), "id")} == {i for i, n in want.items() if n <= 2}
     every = dict(rows(ordered.numbered_all(df, ["ts", "id"]), "id", "rn"))
     assert every == {i: n for n, (_, i) in enumerate(sorted((ts, i) for _, ts, i in data), 1)}

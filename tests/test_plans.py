@@ -117,3 +117,22 @@ def test_bucketed_models_meet_without_an_exchange(spark):
         assert "Exchange" not in plan_of(out) and out.filter("count = 20").count() == 50
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeats_plan_their_input_once(spark):
+    from leasewise.plans.catalog import CATALOG
+    for name in ("repeat_lines", "fulfilment_lines"):
+        plan = plan_of(CATALOG[name].run(spark, SF_DIR))
+        assert plan.count("lineitem.parquet") == 1, name
+
+
+def test_a_hot_key_is_spread_by_its_flags(spark):
+    """One key holds all rows; no task of the flagging windows holds over twice the median."""
+    from leasewise.operators.ordered import flag_first
+    rows = spark.range(64_000).select(F.lit("hot").alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = sorted(r[0] for r in flag_first(rows, "k", ["id"], "f").groupBy(F.spark_partition_id()).count().select("count").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) >= 4 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
