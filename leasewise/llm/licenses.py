@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from .common import by_text
 
 # Base phrases: label and the words that stand consecutively.
-BASE = (("mit", "the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
+BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
 
 # Texts are bytes read as Latin-1, so every byte from \x80 on belongs to a word.
 IN, OUT = r"[0-9a-z\x80-\xff]", r"[\x00-\x2f\x3a-\x60\x7b-\x7f]"
@@ -186,7 +186,7 @@ def detections(low: str) -> list[tuple[int, int, Rule]]:
 
 
 _WORD = re.compile(f"{IN}+")
-_PHRASES = [(label, words.split()[1] if words.startswith("the") else words.split()[0],
+_PHRASES = [(label, label.split("-")[0],  # a rare word of the phrase, looked for first
              re.compile(f"(?<!{IN})" + f"{OUT}+".join(words.split()) + f"(?!{IN})")) for label, words in BASE]
 
 

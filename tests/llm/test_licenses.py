@@ -22,6 +22,14 @@ def test_base_on_rows_of_any_kind(spark):
     assert licenses.license_scan(awkward.empty(spark)).count() == 0
 
 
+def test_base_phrases_are_those_of_the_contract():
+    got = lambda text: tuple(licenses.scan(text)[k] for k in ("n_words", "n_base", "first_word", "last_word", "base_labels"))
+    assert got("Released under the MIT License.") == (5, 1, 1, 1, "mit")
+    assert got("The MIT License (MIT)") == (4, 0, None, None, "") and labels("The MIT License (MIT)") == "mit"
+    assert got("Under\nThe MIT-License, not understanding the MIT license; CC BY-NC or under the mit license") == (17, 3, 0, 13, "cc-by-nc,mit")
+    assert got("Apache License, Version 2.0, apache license version 20") == (9, 1, 0, 0, "apache-2")
+
+
 def labels(text):
     return licenses.scan(text)["labels"]
 
