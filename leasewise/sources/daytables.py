@@ -99,6 +99,31 @@ class DayTable:
         self._placed(df).write.partitionBy(PERIOD).saveAsTable(self.name)
         return self.read(df.sparkSession)
 
+    def build(self, spark: SparkSession, first: date | str, last: date | str, rows: Callable[[list[Range]], DataFrame]) -> DataFrame:
+        """`create` from what `rows` makes of a range of days, one period after the other.
+
+        Rows are written where they are made: none is shuffled or sorted by period.
+        """
+        low, high = date.fromisoformat(str(first)), date.fromisoformat(str(last))
+        wanted = {self._start(low + timedelta(days=n)) for n in range((high - low).days + 1)}
+        none = rows([(low, low)]).limit(0).withColumn(PERIOD, self._period(F.col(self.date)))
+        none.write.partitionBy(PERIOD).option("compression", "zstd").saveAsTable(self.name)
+        for period in sorted(wanted):
+            self._fill(spark, period, rows)
+        return self.read(spark)
+
+    def _start(self, d: date) -> date:
+        return d if self.grain == "day" else d.replace(day=1)
+
+    def _fill(self, spark: SparkSession, period: date, rows: Callable[[list[Range]], DataFrame]) -> None:
+        """Write a period anew; one without rows is dropped."""
+        columns = [c for c in spark.table(self.name).columns if c != PERIOD]
+        seen = Observation()
+        made = rows([self._range(period)]).select(*columns).observe(seen, F.count(F.lit(1)).alias("rows"))
+        spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({PERIOD} = DATE'{period}') SELECT * FROM {{made}}", made=made)
+        if not seen.get.get("rows"):
+            spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS PARTITION ({PERIOD} = '{period}')")
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.name).drop(PERIOD)
 
@@ -115,9 +140,10 @@ class DayTable:
         """Rebuild the periods of the given days; `rows` makes all rows of the ranges it is given.  Returns these ranges.
 
         Days and periods are bounded by the calendar, so they come to the
-        driver.  A period that has no row any more is dropped.  What is
-        written is counted in the same pass.  A refresh that is run again,
-        also after a failure half-way, gives the same table.
+        driver.  Months are written one after the other, as in `build`, days,
+        which are many, in one write; a period that has no row any more is
+        dropped.  What is written is counted in the same pass.  A refresh that
+        is run again, also after a failure half-way, gives the same table.
         """
         spark = days.sparkSession
         wanted = sorted(r[0] for r in days.select(self._period(F.col(days.columns[0]))).distinct().collect())
@@ -130,6 +156,10 @@ class DayTable:
                 ranges.append((a, b))
         if not wanted:
             return []
+        if self.grain == "month":
+            for period in wanted:
+                self._fill(spark, period, rows)
+            return ranges
         columns = spark.table(self.name).columns
         seen = Observation()
         placed = self._placed(rows(ranges)).select(*columns).observe(seen, F.collect_set(PERIOD).alias("periods"))

@@ -146,3 +146,22 @@ def test_distinct_counts_of_weeks_from_days(spark):
         want = df.groupBy(*by).agg(F.countDistinct("who").alias("visitors"), F.countDistinct(F.when(F.col("bought"), F.col("who"))).alias("buyers")).filter("visitors > 0")
         assert rows(got) == rows(want)
         assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_build_writes_rows_where_they_are_made(spark, frame):
+    """The table that `build` fills period by period is that of `create`; no plan of it deals rows by period."""
+    items = frame([("x", 720.0), ("y", 360.0), ("z", 90.0)], "bin string, actual_purchase_price double").withColumn("actual_purchase_price", F.col("actual_purchase_price").cast("decimal(18,2)"))
+    lent = frame([("x", "2001-01-20"), ("y", "2001-04-10"), ("y", None), ("z", None)], "bin string, delivery_date string").withColumn("delivery_date", F.col("delivery_date").cast("date"))
+    names = [f"lw_built_{uuid.uuid4().hex[:8]}{x}" for x in "ab"]
+    try:
+        one = DayTable(names[0]).create(rentals.daily_depreciation(items, lent, "2001-01-01", "2001-06-01"))
+        table = DayTable(names[1])
+        spans = rentals.depreciation_spans(items, lent).localCheckpoint()
+        two = rentals.build_depreciation(table, spans, "2001-01-01", "2001-06-01")
+        assert rows(two) == rows(one) and one.count() == 133 + 53
+        assert table.periods(spark) == DayTable(names[0]).periods(spark)
+        made = rentals._depreciation_rows(spans, "2001-01-01", "2001-06-01")([(date(2001, 2, 1), date(2001, 2, 28))])
+        assert made.count() == 28 and "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
